@@ -6,11 +6,12 @@ shared checkpoint folder every round; only row counts come back to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.text import joined
 from ..session import checkpointed, small
 from .ranking import number_rows
+from .skew import hot_keys, skew_join
 
 MAX_ROUNDS = 1000
 
@@ -48,6 +49,7 @@ def _peel(nodes: DataFrame, edges: DataFrame, rank) -> tuple[DataFrame | None, D
     before.  Returns all taken nodes with their ``level`` and the ones that never came free.
     """
     left, waiting = checkpointed(nodes), checkpointed(edges.distinct())
+    hot = hot_keys(waiting, ["needs"])
     taken: list[DataFrame] = []
     for level in range(MAX_ROUNDS):
         freed = left.join(waiting.select("node").distinct(), "node", "left_anti")
@@ -58,7 +60,8 @@ def _peel(nodes: DataFrame, edges: DataFrame, rank) -> tuple[DataFrame | None, D
         left = checkpointed(left.join(freed.select("node"), "node", "left_anti"))
         if left.isEmpty():
             break
-        waiting = checkpointed(waiting.join(freed.select(F.col("node").alias("needs")), "needs", "left_anti"))
+        waiting = checkpointed(skew_join(waiting, freed.select(F.col("node").alias("needs")), ["needs"],
+                                         "left_anti", spread=["node"], hot=hot))
     out = None
     for part in taken:
         out = part if out is None else out.unionByName(part)
@@ -168,8 +171,8 @@ def load_waves(records: DataFrame, edges: DataFrame) -> DataFrame:
     nodes = records.select(node("object", "record_id").alias("node")).distinct()
     inner = (edges.select(node("object", "record_id").alias("node"), node("needs_object", "needs_id").alias("needs"))
                   .filter(F.col("node") != F.col("needs"))
-                  .join(nodes, "node", "left_semi")
-                  .join(nodes.select(F.col("node").alias("needs")), "needs", "left_semi"))
+                  .join(nodes, "node", "left_semi"))
+    inner = skew_join(inner, nodes.select(F.col("node").alias("needs")), ["needs"], "left_semi", spread=["node"])
     done, cyclic = _peel(nodes, inner, lambda freed, taken: freed.select("node", "level"))
     out = cyclic.select("node", F.lit(None).cast("int").alias("level")).withColumn("in_cycle", F.lit(True))
     if done is not None:

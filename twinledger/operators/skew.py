@@ -38,8 +38,8 @@ def is_hot(keys: list[Column], hot: list[int]) -> Column:
 
 
 def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left",
-              spread: list[str] | None = None, hot: list[int] | None = None) -> DataFrame:
-    """Equi-join whose left side may hold hot keys.
+              spread: list[str] | None = None, hot: list[int] | None = None, nulls: bool = False) -> DataFrame:
+    """Equi-join whose left side may hold hot keys, or (``nulls``) many rows without a key.
 
     Rows of a hot key are spread over salts by a hash of their ``spread`` columns (a record
     id, so that a repeated task gives the same salt); the right rows of just those keys are
@@ -49,12 +49,17 @@ def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skew_join does not cover {how} joins")
     hot = hot_keys(left, on) if hot is None else hot
-    if not hot:
+    if not hot and not nulls:
         return left.join(right, on, how)
     spread = spread or [c for c, t in left.dtypes if c not in on and not t.startswith(("map", "array", "struct", "variant"))]
     columns = [F.col(c) for c in on]
+    # A row without a key matches nothing, so its salt needs no copy on the right.
+    keyless = F.lit(False)
+    for c in columns:
+        keyless = keyless | c.isNull()
+    loose = keyless | is_hot(columns, hot) if nulls else is_hot(columns, hot)
     salted = left.withColumn("_salt", F.when(
-        is_hot(columns, hot), F.pmod(F.xxhash64(F.lit(7), *[F.col(c) for c in spread]), F.lit(SALTS)).cast("int")).otherwise(0))
+        loose, F.pmod(F.xxhash64(F.lit(7), *[F.col(c) for c in spread]), F.lit(SALTS)).cast("int")).otherwise(0))
     copies = right.withColumn("_salt", F.explode(F.when(
-        is_hot(columns, hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+        is_hot(columns, hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))) if hot else F.lit(0))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
