@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.payload import item
 from ..functions.text import load_text
 from ..model import EXTERNAL_ID
+from ..session import small
+from .deltas import field_types, with_actual_deltas
 from .resolve import best_ids, entry_value, has_entry, resolve_ids
 from .rules import apply_rules, operation_hint
 from .skew import skew_join
@@ -132,10 +134,10 @@ def classify_links(prepared: DataFrame, id_map: DataFrame, links: DataFrame, cat
     rows = apply_rules(rows, rule_table, catalog)
     current = F.when(F.col("_repeat"), F.map_from_entries(F.transform("_first_entries", lambda e: F.struct(e["name"], e["value"])))).otherwise(F.col("values"))
     rows = rows.withColumn("_current", current)
-    changed = F.filter("entries", lambda e: ~F.coalesce(F.map_contains_key("_current", e["name"]), F.lit(False))
-                       | ~e["value"].eqNullSafe(F.element_at("_current", e["name"])))
     is_update = F.col("operation") == "update"
-    rows = rows.withColumn("entries", F.when(is_update & F.col("_current").isNotNull(), changed).otherwise(F.col("entries")))
+    rows = rows.join(small(field_types(catalog)), "target_object", "left").withColumn(
+        "_types", F.coalesce("_types", F.expr("map()").cast("map<string,string>")))
+    rows = with_actual_deltas(rows, F.col("_current"), F.col("_types"), is_update & F.col("_early").isNull())
     left = F.size("entries") > 0
     status = F.when(F.col("_early").isNotNull(), "failed").when(left, "ready").when(is_update, "skipped").otherwise("failed")
     message = (F.when(F.col("_early").isNotNull(), F.col("_early")).when(left, None)
