@@ -5,7 +5,7 @@ from __future__ import annotations
 import html
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 from .text import nfc, strip
 
@@ -55,7 +55,7 @@ AFTER_ENTITIES = [
 ]
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape(texts: pd.Series) -> pd.Series:
     """HTML5 entities; the JVM libraries at hand know only the HTML4 ones."""
     return texts.map(html.unescape, na_action="ignore")

@@ -25,12 +25,14 @@ KEY = ["obj", "key"]
 @dataclass(frozen=True)
 class Parity:
     """``paired`` holds one row per reported record with its field entries; ``records`` and
-    ``fields`` are narrow views of it, so write ``paired`` once and derive both from there."""
+    ``fields`` are narrow views of it, so write ``paired`` once and derive both from there.
+    The audits are separate scans of the narrow columns they need."""
 
     paired: DataFrame
-    excluded: DataFrame
-    cleaned: DataFrame
-    unkeyed: DataFrame
+    stacked: DataFrame
+    raw: tuple[DataFrame, DataFrame]
+    exclusions: DataFrame | None
+    comparison_excluded: tuple
 
     @property
     def records(self) -> DataFrame:
@@ -40,6 +42,27 @@ class Parity:
     def fields(self) -> DataFrame:
         return fields(self.paired)
 
+    def _both(self) -> DataFrame:
+        new, old = (normalised(df).drop("seq") for df in self.raw)
+        return new.unionByName(old)
+
+    @property
+    def excluded(self) -> DataFrame:
+        """Rows left out, counted by reason."""
+        return exclusion_audit(self._both(), self.exclusions, self.comparison_excluded)
+
+    @property
+    def cleaned(self) -> DataFrame:
+        """Values that markup removal changes."""
+        return cleaned_values(hard_excluded(self._both(), self.exclusions))
+
+    @property
+    def unkeyed(self) -> DataFrame:
+        """Rows and records without a join key, which take no part in the comparison."""
+        return self.stacked.filter(F.col("key").isNull()).groupBy(
+            "obj", F.when(F.col("is_new"), "new").otherwise("old").alias("side")).agg(
+            F.count("*").alias("row_count"), F.count_distinct("record_id").alias("record_count"))
+
 
 def normalised(long_df: DataFrame) -> DataFrame:
     """Identifier columns under the blank rules of keys; the value is left alone."""
@@ -128,13 +151,7 @@ def record_parity(new_long: DataFrame, old_long: DataFrame, exclusions: DataFram
         # No repartition here: the field-level aggregate combines ahead of its own shuffle.
         paired = paired.unionByName(_record_level(
             _field_level(keyed.filter(is_hot(key_columns, hot))), comparison_excluded))
-
-    raw = normalised(new_long).drop("seq").unionByName(normalised(old_long).drop("seq"))
-    unkeyed = stacked.filter(F.col("key").isNull()).groupBy(
-        "obj", F.when(F.col("is_new"), "new").otherwise("old").alias("side")).agg(
-        F.count("*").alias("row_count"), F.count_distinct("record_id").alias("record_count"))
-    return Parity(paired, exclusion_audit(raw, exclusions, comparison_excluded),
-                  cleaned_values(hard_excluded(raw, exclusions)), unkeyed)
+    return Parity(paired, stacked, (new_long, old_long), exclusions, tuple(comparison_excluded))
 
 
 def _map(items: Column, name: str) -> Column:

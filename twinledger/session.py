@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -28,7 +29,7 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def size_in_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate; no job runs.  Unknown counts as too large."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except (AttributeError, TypeError):
         return 1 << 62
 
@@ -38,7 +39,7 @@ def input_bytes(df: DataFrame) -> int:
     about real volume; the sum of the leaves does."""
     try:
         leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return sum(int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size()))
+        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     except (AttributeError, TypeError):
         return 1 << 62
 
@@ -49,15 +50,25 @@ def small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     return F.broadcast(df) if size_in_bytes(df) <= limit else df
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, as the session names it; a fresh temporary one only
+    where none is set and the session is local."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and spark.sparkContext.master.startswith("local"):
+        folder = tempfile.mkdtemp(prefix="twinledger-")
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return folder.rstrip("/")
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new, unused path under the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage in the shared folder of the session (``spark.checkpoint.dir``)."""
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder and context.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="twinledger-")
-        if not folder:
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()

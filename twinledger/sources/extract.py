@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.text import strip
+from ..functions.text import repaired, strip
 from ..functions.values import stored
 from ..model import LONG_COLUMNS, rows
 from ..operators.ranking import number_rows
@@ -46,14 +46,19 @@ def tolerant_select(df: DataFrame, env: str, obj: str, fields: list[str]) -> tup
 def unpivot_records(df: DataFrame, obj: str, id_col: str, fields: list[str], env: str,
                     ext_id_col: str | None = None) -> DataFrame:
     """One row per (record, field): a narrow step, no shuffle.  Every value becomes text."""
-    columns = {f: field_column(df.schema, f) for f in fields}
     ext = stored(F.col(ext_id_col), df.schema[ext_id_col].dataType) if ext_id_col else F.lit(None).cast("string")
-    pairs = F.array(*[F.struct(F.lit(f).alias("field"),
-                               (stored(*c) if c else F.lit(None)).cast("string").alias("value"))
-                      for f, c in columns.items()])
+    pairs = []
+    for f in fields:
+        column, kind = field_column(df.schema, f) or (F.lit(None), T.NullType())
+        is_text = isinstance(kind, T.StringType)
+        pairs.append(F.struct(F.lit(f).alias("field"), F.lit(is_text).alias("_text"),
+                              (column if is_text else stored(column, kind)).cast("string").alias("value")))
+    # Text is repaired after the rows are split, so the plan holds that expression once
+    # however many columns the table has.
     return (df.select(F.lit(env).alias("env"), F.lit(obj).alias("obj"),
                       F.col(id_col).cast("string").alias("record_id"),
-                      ext.alias("external_id"), F.inline(pairs))
+                      ext.alias("external_id"), F.inline(F.array(*pairs)))
+              .withColumn("value", F.when(F.col("_text"), repaired(F.col("value"))).otherwise(F.col("value")))
               .select(*LONG_COLUMNS))
 
 

@@ -51,13 +51,13 @@ def bucket_of(paired: DataFrame, buckets: int) -> DataFrame:
 def done_buckets(spark: SparkSession, path: str, config: str, resume: bool = True) -> DataFrame | None:
     """Buckets finished by earlier runs with the same settings; None for a fresh start.
 
-    Each run leaves rows ``obj, join_bucket, config, record_rows, field_rows`` under ``_done``.
+    Each run leaves rows ``obj, join_bucket, config, record_rows, field_rows`` under ``done_buckets``.
     Other settings stop the run: finished and new buckets must not be mixed.
     """
     if not resume:
         return None
     try:
-        done = spark.read.parquet(f"{path}/_done_buckets")
+        done = spark.read.parquet(f"{path}/done_buckets")
         done.schema  # resolves the path
     except Exception as e:  # nothing stored yet
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
@@ -83,7 +83,7 @@ def write_paired(paired: DataFrame, inputs: DataFrame, path: str, config: str, b
     counts = stored.groupBy(*BUCKET_KEYS).agg(F.count("*").alias("record_rows"), F.sum(F.size("items")).alias("field_rows"))
     seen = inputs.select(*BUCKET_KEYS).distinct()
     done = seen.join(counts, BUCKET_KEYS, "left").na.fill(0, ["record_rows", "field_rows"]).withColumn("config", F.lit(config))
-    done.write.mode("append").parquet(f"{path}/_done_buckets")
+    done.write.mode("append").parquet(f"{path}/done_buckets")
 
 
 def read_paired(spark: SparkSession, path: str) -> DataFrame:
