@@ -27,14 +27,16 @@ MOJIBAKE = (
     ("\u00a0", " "),
 )
 
-# Unicode white space plus the four separators that Python also strips.
+# Unicode white space plus the four separators that Python also strips, as a regular
+# expression class and as the characters themselves.
 _SPACE = r"[\s\x1c-\x1f]"
+_SPACES = "".join(chr(c) for c in range(0x110000) if chr(c).isspace())
 _NON_ASCII = r"[^\x00-\x7F]"
 
 
 def strip(c: Column) -> Column:
     """Trim all Unicode white space (Spark's ``trim`` removes only the space character)."""
-    return F.regexp_replace(c, rf"(?U)^{_SPACE}+|{_SPACE}+$", "")
+    return F.btrim(c, F.lit(_SPACES))
 
 
 def collapse(c: Column) -> Column:

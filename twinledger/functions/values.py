@@ -49,21 +49,25 @@ def parsed_float(c: Column) -> Column:
     return F.when(~is_blank(c), strip(c).try_cast("double"))
 
 
-def coerced(c: Column, kind: Column) -> Column:
+def coerced(c: Column, kind: Column, text: Column | None = None, number: Column | None = None) -> Column:
     """Text shaped by the catalogue type: booleans, whole numbers cut towards zero, doubles.
-    A number that does not parse gives null; :func:`is_bad_number` reports it."""
-    text = load_text(c)
-    number = text.try_cast("double")
+    A number that does not parse gives null; :func:`is_bad_number` reports it.  Callers that
+    already hold the trimmed text and its number as columns pass them in, which keeps the
+    generated code small."""
+    text = load_text(c) if text is None else text
+    number = text.try_cast("double") if number is None else number
+    whole = F.when(number < 0, F.ceil(number)).otherwise(F.floor(number))
     return (F.when(text.isNull(), None)
              .when(kind == "boolean", (F.lower(text) == "true").cast("string"))
-             .when(kind == "int", F.when(number < 0, F.ceil(number)).otherwise(F.floor(number)).cast("string"))
+             .when(kind == "int", whole.cast("string"))
              .when(kind.isin("double", "currency", "percent"), float_text(number))
              .otherwise(c))
 
 
-def is_bad_number(c: Column, kind: Column) -> Column:
-    text = load_text(c)
-    return F.coalesce(kind.isin(*NUMERIC) & text.isNotNull() & text.try_cast("double").isNull(), F.lit(False))
+def is_bad_number(c: Column, kind: Column, text: Column | None = None, number: Column | None = None) -> Column:
+    text = load_text(c) if text is None else text
+    number = text.try_cast("double") if number is None else number
+    return F.coalesce(kind.isin(*NUMERIC) & text.isNotNull() & number.isNull(), F.lit(False))
 
 
 def equivalent(a: Column, b: Column, kind: Column) -> Column:

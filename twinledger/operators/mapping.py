@@ -76,9 +76,11 @@ def shape_values(rows: DataFrame, catalog: DataFrame) -> DataFrame:
     rows = rows.withColumn("_way", F.when(dotted, "relation").otherwise("field")).withColumn(
         "_name", F.when(dotted, F.substring_index("target_field", ".", 1)).otherwise(F.col("target_field")))
     rows = rows.join(small(field_targets(catalog)), ["target_object", "_way", "_name"], "left")
+    # Columns, not nested expressions: each is used many times below.
+    rows = rows.withColumn("_text", load_text(F.col("mapped_value"))).withColumn("_number", F.col("_text").try_cast("double"))
     value, kind = F.col("mapped_value"), F.col("meta.type")
     ext = F.expr("substring(target_field, instr(target_field, '.') + 1)")
-    blank = is_blank(value)
+    blank = F.col("_text").isNull()
     usable = F.col("meta").isNotNull() & _writable(F.col("hint")) & (F.col("target_field") != "Id")
     nothing = item(F.col("meta.field"), F.lit(None))
     clear = F.when(F.col("meta.nillable"), nothing)
@@ -91,9 +93,10 @@ def shape_values(rows: DataFrame, catalog: DataFrame) -> DataFrame:
               .when(dotted, F.when((F.length("_name") == 0) | (F.length(ext) == 0), None)
                              .when(blank, clear).otherwise(item(F.col("_name"), value, ext)))
               .when(kind == "reference", reference)
-              .otherwise(item(F.col("target_field"), coerced(value, kind))))
+              .otherwise(item(F.col("target_field"), coerced(value, kind, F.col("_text"), F.col("_number")))))
     return rows.withColumn("entry", entry).withColumn(
-        "bad_number", F.col("entry").isNotNull() & ~dotted & is_bad_number(value, F.coalesce(kind, F.lit("")))).drop("_way", "_name", "meta")
+        "bad_number", F.col("entry").isNotNull() & ~dotted & is_bad_number(value, F.coalesce(kind, F.lit("")), F.col("_text"), F.col("_number"))).drop(
+        "_way", "_name", "meta", "_text", "_number")
 
 
 def infer_entries(rows: DataFrame, catalog: DataFrame, inferred: DataFrame) -> DataFrame:
