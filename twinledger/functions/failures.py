@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .text import collapse, joined, load_text, strip
 
@@ -72,21 +72,20 @@ def _variant_list(v: Column, path: str) -> Column:
         field_list(F.try_variant_get(v, path, "string")), F.lit(""))
 
 
-def parsed(message: Column) -> Column:
-    """``struct<code, fields, message>`` of a raw error message.
+def with_parsed_error(df: DataFrame, message: str = "message") -> DataFrame:
+    """Add ``error_code``, ``error_fields`` and ``error_message`` parsed from a raw message.
 
     JSON is read as such; the single-quoted spelling of the same structure is rewritten to
     JSON first when it holds no double quote; anything else goes through three patterns.
+    Steps are separate columns because each is used several times by the next.
     """
-    raw = load_text(message)
     marker = "Response content:"
-    content = F.when(raw.contains(marker), strip(F.substring(
-        raw, F.instr(raw, marker) + len(marker), F.length(raw)))).otherwise(raw)
-    quoted = content.rlike(r"\A[\[{]") & ~content.contains('"')
+    raw, content, v = F.col("_raw"), F.col("_content"), F.col("_v")
+    first, bulk = F.col("_first"), F.col("_bulk")
     rewritten = F.translate(content, "'", '"')
     for word, token in (("None", "null"), ("True", "true"), ("False", "false")):
         rewritten = F.regexp_replace(rewritten, rf"(?<=[\[,:]\s?){word}(?=\s*[,\]}}])", token)
-    v = F.coalesce(F.try_parse_json(content), F.when(quoted, F.try_parse_json(rewritten)))
+    quoted = content.rlike(r"\A[\[{]") & ~content.contains('"')
 
     def is_object(node: Column, path: str) -> Column:
         return F.try_variant_get(node, path, "map<string,variant>").isNotNull()
@@ -94,35 +93,35 @@ def parsed(message: Column) -> Column:
     def text(node: Column, path: str) -> Column:
         return load_text(F.try_variant_get(node, path, "string"))
 
-    head = F.try_variant_get(v, "$[0]", "variant")
-    first = F.coalesce(head, F.when(is_object(v, "$"), v))
-    empty = F.lit("")
-
-    def result(code, fields, text_) -> Column:
-        return F.struct(F.coalesce(code, empty).alias("code"), F.coalesce(fields, empty).alias("fields"),
-                        F.coalesce(text_, empty).alias("message"))
-
-    bulk = F.try_variant_get(first, "$.errors[0]", "variant")
-    bulk_text = text(first, "$.errors")
-    by_pattern = result(
-        F.regexp_extract(raw, r"""['"]errorCode['"]:\s*['"]([^'"]+)['"]""", 1),
-        field_list(F.regexp_extract(raw, r"""['"]fields['"]:\s*(\[[^\]]*\])""", 1)),
-        F.coalesce(F.nullif(F.regexp_extract(raw, r"""['"]message['"]:\s*['"]([^'"]+)['"]""", 1), empty),
-                   short_message(raw)))
-    none = F.lit(None).cast("string")
-    duplicate = is_object(first, "$.duplicateResult")
-    return (F.when(raw.isNull(), result(none, none, none))
-             .when(first.isNull(), by_pattern)
-             .when(is_object(first, "$.errors[0]"), result(
-                 F.coalesce(text(bulk, "$.statusCode"), text(bulk, "$.errorCode")),
-                 _variant_list(bulk, "$.fields"), text(bulk, "$.message")))
-             .when(bulk.isNotNull(), result(none, none, text(bulk, "$")))
-             .when(bulk_text.isNotNull() & ~bulk_text.startswith("["), result(none, none, bulk_text))
-             .when(duplicate, result(
-                 F.coalesce(text(first, "$.errorCode"), F.lit("DUPLICATES_DETECTED")),
-                 _variant_list(first, "$.fields"),
-                 F.coalesce(text(first, "$.duplicateResult.errorMessage"), text(first, "$.message"))))
-             .otherwise(result(text(first, "$.errorCode"), _variant_list(first, "$.fields"), text(first, "$.message"))))
+    df = df.withColumn("_raw", load_text(F.col(message)))
+    df = df.withColumn("_content", F.when(raw.contains(marker), strip(F.substring(
+        raw, F.instr(raw, marker) + len(marker), F.length(raw)))).otherwise(raw))
+    df = df.withColumn("_v", F.try_parse_json(F.when(quoted, rewritten).otherwise(content)))
+    df = df.withColumn("_first", F.coalesce(F.try_variant_get(v, "$[0]", "variant"), F.when(is_object(v, "$"), v)))
+    df = df.withColumn("_bulk", F.try_variant_get(first, "$.errors[0]", "variant"))
+    df = df.withColumn("_bulk_text", text(first, "$.errors"))
+    # How the message is built, then what it says.
+    df = df.withColumn("_form", F.when(raw.isNull(), "none").when(first.isNull(), "text")
+                       .when(is_object(bulk, "$"), "bulk").when(bulk.isNotNull(), "bulk_text")
+                       .when(F.col("_bulk_text").isNotNull() & ~F.col("_bulk_text").startswith("["), "errors_text")
+                       .when(is_object(first, "$.duplicateResult"), "duplicate").otherwise("plain"))
+    form, blank = F.col("_form"), F.lit("")
+    pattern = lambda p: F.regexp_extract(raw, p, 1)
+    code = (F.when(form == "text", pattern(r"""['"]errorCode['"]:\s*['"]([^'"]+)['"]"""))
+             .when(form == "bulk", F.coalesce(text(bulk, "$.statusCode"), text(bulk, "$.errorCode")))
+             .when(form == "duplicate", F.coalesce(text(first, "$.errorCode"), F.lit("DUPLICATES_DETECTED")))
+             .when(form == "plain", text(first, "$.errorCode")))
+    fields = (F.when(form == "text", field_list(pattern(r"""['"]fields['"]:\s*(\[[^\]]*\])""")))
+               .when(form == "bulk", _variant_list(bulk, "$.fields"))
+               .when(form.isin("duplicate", "plain"), _variant_list(first, "$.fields")))
+    said = (F.when(form == "text", F.coalesce(F.nullif(pattern(r"""['"]message['"]:\s*['"]([^'"]+)['"]"""), blank), short_message(raw)))
+             .when(form == "bulk", text(bulk, "$.message")).when(form == "bulk_text", text(bulk, "$"))
+             .when(form == "errors_text", F.col("_bulk_text"))
+             .when(form == "duplicate", F.coalesce(text(first, "$.duplicateResult.errorMessage"), text(first, "$.message")))
+             .when(form == "plain", text(first, "$.message")))
+    df = df.withColumn("error_code", F.coalesce(code, blank)).withColumn("error_fields", F.coalesce(fields, blank)).withColumn(
+        "error_message", F.coalesce(said, short_message(raw), blank))
+    return df.drop("_raw", "_content", "_v", "_first", "_bulk", "_bulk_text", "_form")
 
 
 def category(operation: Column, code: Column, message: Column) -> Column:

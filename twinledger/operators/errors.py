@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.failures import advice, category, masked, parsed, short_message
+from ..functions.failures import advice, category, masked, with_parsed_error
 from ..functions.payload import key_list
 from ..functions.text import load_text, strip
 from .ranking import top_per_group
@@ -14,12 +14,8 @@ ERROR_KEY = ["target_object", "source_object", "operation", "error_category", "e
 
 def classified(results: DataFrame) -> DataFrame:
     """Add error category, code, fields and message parsed from the raw message."""
-    raw = F.coalesce(load_text(F.col("message")), F.lit(""))
-    out = results.withColumn("_e", parsed(F.col("message")))
-    message = F.coalesce(F.nullif(F.col("_e.message"), F.lit("")), short_message(raw))
-    out = (out.withColumn("error_code", F.col("_e.code")).withColumn("error_fields", F.col("_e.fields"))
-              .withColumn("error_message", message))
-    return out.withColumn("error_category", category(F.col("operation"), F.col("error_code"), F.col("error_message"))).drop("_e")
+    return with_parsed_error(results).withColumn(
+        "error_category", category(F.col("operation"), F.col("error_code"), F.col("error_message")))
 
 
 def _sample(names: list[str], order: list[str], df: DataFrame):

@@ -103,7 +103,8 @@ def classify_links(prepared: DataFrame, id_map: DataFrame, links: DataFrame, cat
     rows = resolve_ids(rows, id_map, F.lit(link.child_object), F.col("_ck"), "child_id", ["source_record_id"])
     pair = ["parent_id", "child_id"]
     rows = skew_join(rows, _existing(links), pair, "left", spread=["source_record_id"], nulls=True)
-    empty, blank = F.size("entries") == 0, F.col("_pk").isNull() | F.col("_ck").isNull()
+    rows = rows.withColumn("_empty", F.size("entries") == 0)
+    empty, blank = F.col("_empty"), F.col("_pk").isNull() | F.col("_ck").isNull()
     lost = F.col("parent_id").isNull() | F.col("child_id").isNull()
     own = F.filter("entries", lambda e: ~e["name"].isin(link.parent_relation, link.child_relation, link.parent_field, link.child_field))
     with_ids = F.concat(own, F.array(item(F.lit(link.parent_field), F.col("parent_id")), item(F.lit(link.child_field), F.col("child_id"))))
