@@ -231,8 +231,7 @@ def text_repair(spark, sf):
 
 @query()
 def markup_clean(spark, sf):
-    clean = markup.without_markup(F.col("html"))
-    return read(spark, sf, "pages").withColumn("clean", clean).select(
+    return markup.with_clean_text(read(spark, sf, "pages"), "html", "clean").select(
         "page_id", F.md5("clean").alias("clean_md5"), F.length("clean").alias("clean_length"), (F.col("clean") != F.col("html")).alias("changed"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import html
 
 import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .text import nfc, strip
 
@@ -65,17 +65,23 @@ def has_markup(c: Column) -> Column:
     return F.coalesce(c.rlike(TRIGGER), F.lit(False))
 
 
-def without_markup(c: Column) -> Column:
-    """The cleaned text, or the value itself when nothing triggers."""
-    text = F.regexp_replace(c, r"\r\n?", "\n")
-    text = F.when(text.rlike(OFFICE_BODY) & text.rlike(OFFICE_MARKS),
-                  F.regexp_replace(text, OFFICE_BODY + ".*", "Body:")).otherwise(text)
+def with_clean_text(df: DataFrame, name: str, out: str | None = None) -> DataFrame:
+    """Put the cleaned text of column ``name`` into ``out`` (default: in place); text that
+    triggers nothing stays as it is.
+
+    Each step is its own column because the next uses it more than once.  Only texts that
+    hold an entity travel to the Python worker; all others go there as null.
+    """
+    df = df.withColumn("_hit", has_markup(F.col(name)))
+    df = df.withColumn("_lines", F.when(F.col("_hit"), F.regexp_replace(F.col(name), r"\r\n?", "\n")))
+    text = F.when(F.col("_lines").rlike(OFFICE_BODY) & F.col("_lines").rlike(OFFICE_MARKS),
+                  F.regexp_replace(F.col("_lines"), OFFICE_BODY + ".*", "Body:")).otherwise(F.col("_lines"))
     for pattern, replacement in BEFORE_ENTITIES:
         text = F.regexp_replace(text, pattern, replacement)
-    # Only texts that hold an entity travel to the Python worker; others go as null.
-    text = F.when(has_markup(c), text)
-    text = F.coalesce(unescape(F.when(text.contains("&"), text)), text)
-    text = nfc(text)
+    df = df.withColumn("_plain", text)
+    df = df.withColumn("_decoded", unescape(F.when(F.col("_plain").contains("&"), F.col("_plain"))))
+    df = df.withColumn("_decoded", F.coalesce("_decoded", "_plain"))
+    text = nfc(F.col("_decoded"))
     for pattern, replacement in AFTER_ENTITIES:
         text = F.regexp_replace(text, pattern, replacement)
-    return F.when(has_markup(c), strip(text)).otherwise(c)
+    return df.withColumn(out or name, F.when(F.col("_hit"), strip(text)).otherwise(F.col(name))).drop("_hit", "_lines", "_plain", "_decoded")

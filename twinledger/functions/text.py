@@ -31,7 +31,10 @@ MOJIBAKE = (
 # expression class and as the characters themselves.
 _SPACE = r"[\s\x1c-\x1f]"
 _SPACES = "".join(chr(c) for c in range(0x110000) if chr(c).isspace())
-_NON_ASCII = r"[^\x00-\x7F]"
+
+
+def _non_ascii(c: Column) -> Column:
+    return F.octet_length(c) != F.length(c)
 
 
 def strip(c: Column) -> Column:
@@ -43,9 +46,21 @@ def collapse(c: Column) -> Column:
     return strip(F.regexp_replace(c, rf"(?U){_SPACE}+", " "))
 
 
+def unless_blank(text: Column, blanks: tuple[str, ...]) -> Column:
+    """Null for trimmed text that is one of the (short) blank words."""
+    short = F.length(text) <= max(map(len, blanks))
+    return F.when(~(short & F.lower(text).isin(*blanks)), text)
+
+
 def _without(c: Column, blanks: tuple[str, ...]) -> Column:
-    text = strip(c.cast("string"))
-    return F.when(~F.lower(text).isin(*blanks), text)
+    return unless_blank(strip(c.cast("string")), blanks)
+
+
+def strip_name(name: str) -> Column:
+    """:func:`strip` of a column by name: text that begins and ends with a printable ASCII
+    character, nearly all of it, is passed through without scanning."""
+    c = F.col(name)
+    return F.when(F.ascii(c).between(33, 126) & F.ascii(F.right(c, F.lit(1))).between(33, 126), c).otherwise(strip(c))
 
 
 def key_text(c: Column) -> Column:
@@ -72,7 +87,7 @@ def _composed(c: Column, compatibility: bool) -> Column:
     # The Unicode library that Spark itself ships does the composition inside the JVM;
     # plain ASCII text is already composed and never reaches it.
     return F.when(
-        c.rlike(_NON_ASCII),
+        _non_ascii(c),
         F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), c, F.lit(compatibility)),
     ).otherwise(c)
 
@@ -94,7 +109,7 @@ def repaired(c: Column) -> Column:
     text = nfc(c)
     for bad, good in MOJIBAKE:
         text = F.replace(text, F.lit(bad), F.lit(good))
-    return F.when(c.rlike(_NON_ASCII), text).otherwise(c)
+    return F.when(_non_ascii(c), text).otherwise(c)
 
 
 def one_line(c: Column) -> Column:
@@ -122,9 +137,19 @@ def is_field_path(c: Column) -> Column:
 
 
 def glob(c: Column, pattern: str) -> Column:
-    """Case-sensitive shell pattern over the whole value."""
+    """Case-sensitive shell pattern over the whole value; plain prefixes, suffixes and names
+    need no regular expression."""
+    text = F.coalesce(c, F.lit(""))
+    if pattern == "*":
+        return F.lit(True)
+    if not set(pattern[1:-1] + pattern[:1].replace("*", "") + pattern[-1:].replace("*", "")) & set("*?["):
+        head, tail = pattern.startswith("*"), pattern.endswith("*")
+        word = pattern[head:len(pattern) - tail]
+        if head and tail:
+            return text.contains(word)
+        return text.endswith(word) if head else text.startswith(word) if tail else text == word
     expr = re.sub(r"\\[Zz]$", "", fnmatch.translate(pattern))
-    return F.coalesce(c, F.lit("")).rlike(rf"\A{expr}\z")
+    return text.rlike(rf"\A{expr}\z")
 
 
 def first_glob(obj: Column, field: Column, specs) -> Column:

@@ -49,8 +49,10 @@ def comparison_spec(specs):
 def exclusion_audit(long_df: DataFrame, exclusions: DataFrame | None, specs=()) -> DataFrame:
     """Rows excluded per env, object, field and reason.  A hard-excluded row counts once,
     under its hard reason; only surviving rows can count under a comparison-only spec."""
-    tagged = with_reason(long_df.select("env", "obj", "field"), exclusions).withColumn("spec", comparison_spec(specs))
+    # Count first: the rules then see one row per env, object and field.
+    counts = long_df.groupBy("env", "obj", "field").agg(F.count("*").alias("_n"))
+    tagged = with_reason(counts, exclusions).withColumn("spec", comparison_spec(specs))
     reason = F.when(F.col("reason").isNotNull(), F.col("reason")).when(
         F.col("spec").isNotNull(), F.concat(F.lit(GLOB_REASON), F.col("spec")))
-    return (tagged.withColumn("reason", reason).filter(F.col("reason").isNotNull())
-                  .groupBy("env", "obj", "field", "reason").agg(F.count("*").alias("excluded_row_count")))
+    return tagged.select("env", "obj", "field", reason.alias("reason"), F.col("_n").alias("excluded_row_count")).filter(
+        F.col("reason").isNotNull())

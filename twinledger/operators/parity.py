@@ -13,8 +13,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.markup import has_markup, without_markup
-from ..functions.text import canonical, cell, key_text, one_line
+from ..functions.markup import has_markup, with_clean_text
+from ..functions.text import BLANK_IN_KEYS, canonical, cell, strip_name, unless_blank
 from ..model import DATA_GAP, LONG_COLUMNS, MISSING_FROM
 from .exclude import comparison_spec, exclusion_audit, hard_excluded
 from .skew import hot_keys, is_hot
@@ -66,13 +66,15 @@ class Parity:
 
 def normalised(long_df: DataFrame) -> DataFrame:
     """Identifier columns under the blank rules of keys; the value is left alone."""
-    return long_df.select(*[F.col(c) if c == "value" else key_text(F.col(c)).alias(c) for c in LONG_COLUMNS],
-                          *(["seq"] if "seq" in long_df.columns else []))
+    rest = ["seq"] if "seq" in long_df.columns else []
+    trimmed = long_df.select(*[F.col(c) if c == "value" else strip_name(c).alias(c) for c in LONG_COLUMNS], *rest)
+    return trimmed.select(*[F.col(c) if c == "value" else unless_blank(F.col(c), BLANK_IN_KEYS).alias(c) for c in LONG_COLUMNS], *rest)
 
 
 def cleaned_values(long_df: DataFrame) -> DataFrame:
     """One audit row per value that markup removal changed, with 1000-character samples."""
-    hit = long_df.filter(has_markup(F.col("value"))).withColumn("_clean", without_markup(F.col("value")))
+    hit = long_df.filter(has_markup(F.col("value")))
+    hit = with_clean_text(hit, "value", "_clean")
     return hit.filter(F.col("_clean") != F.col("value")).select(
         "env", "obj", "record_id", "field",
         F.lit("Removed HTML/CSS/Office markup from value").alias("reason"),
@@ -83,7 +85,7 @@ def cleaned_values(long_df: DataFrame) -> DataFrame:
 def _side(long_df: DataFrame, side: str, key: str, exclusions, clean: bool) -> DataFrame:
     df = hard_excluded(normalised(long_df), exclusions)
     if clean:
-        df = df.withColumn("value", without_markup(F.col("value")))
+        df = with_clean_text(df, "value")
     seq = F.col("seq").cast("long") if "seq" in df.columns else F.lit(0).cast("long")
     return df.select("obj", F.col(key).alias("key"), F.lit(side == "new").alias("is_new"), seq.alias("seq"),
                      "record_id", "external_id", "field", "value")
