@@ -78,9 +78,9 @@ def equivalent(a: Column, b: Column, kind: Column) -> Column:
              .otherwise(strip(F.coalesce(a, F.lit("None"))) == strip(F.coalesce(b, F.lit("None")))))
 
 
-def lookup_key(c: Column) -> Column:
-    """Typed lookup key: blank, boolean or trimmed text."""
-    text = load_text(c)
+def lookup_key(c: Column, text: Column | None = None) -> Column:
+    """Typed lookup key: blank, boolean or trimmed text (``text``, if already at hand)."""
+    text = load_text(c) if text is None else text
     low = F.lower(text)
     return (F.when(text.isNull(), F.lit("blank"))
              .when(low.isin("true", "false"), F.concat(F.lit("bool:"), low))

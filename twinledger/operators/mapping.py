@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.payload import item
-from ..functions.text import is_blank, load_text, name_candidates
+from ..functions.text import BLANK_IN_LOADS, is_blank, load_text, name_candidates, strip_name, unless_blank
 from ..functions.values import coerced, is_bad_number, lookup_key
 from ..model import EXTERNAL_ID, RECORD_TYPE
 from ..session import small
@@ -21,6 +21,12 @@ VALUE_MAP = ("struct<source:struct<object:string,field:string>,"
 RECORD = ["target_object", "source_object", "source_record_id", "target_record_id", "change_type", "operation"]
 
 
+def with_load_text(df: DataFrame, name: str, out: str) -> DataFrame:
+    """The trimmed text of a column, null when blank, in two steps so that the trim is
+    generated and evaluated once."""
+    return df.withColumn(out, strip_name(name)).withColumn(out, unless_blank(F.col(out), BLANK_IN_LOADS))
+
+
 def numbered(mapping: DataFrame) -> DataFrame:
     """Give every mapping row an id that survives re-computation: its content and place."""
     return mapping.withColumn("mapping_id", F.xxhash64(
@@ -49,7 +55,8 @@ def map_fields(tall: DataFrame, mapping: DataFrame) -> DataFrame:
     m = numbered(mapping)
     out = tall.join(small(m.select("source_object", "source_field", "target_object", "target_field", "mapping_id", "row_no")),
                     [c for c in ("source_object", "source_field", "target_object") if c in tall.columns], "left")
-    out = out.withColumn("key", lookup_key(F.col("value"))).join(small(value_lookup(mapping)), ["mapping_id", "key"], "left")
+    out = with_load_text(out, "value", "_key_text")
+    out = out.withColumn("key", lookup_key(F.col("value"), F.col("_key_text"))).drop("_key_text").join(small(value_lookup(mapping)), ["mapping_id", "key"], "left")
     return out.withColumn("mapped_value", F.when(F.col("hit"), F.col("mapped_value")).otherwise(F.col("value"))).drop("hit", "key")
 
 
@@ -77,7 +84,7 @@ def shape_values(rows: DataFrame, catalog: DataFrame) -> DataFrame:
         "_name", F.when(dotted, F.substring_index("target_field", ".", 1)).otherwise(F.col("target_field")))
     rows = rows.join(small(field_targets(catalog)), ["target_object", "_way", "_name"], "left")
     # Columns, not nested expressions: each is used many times below.
-    rows = rows.withColumn("_text", load_text(F.col("mapped_value"))).withColumn("_number", F.col("_text").try_cast("double"))
+    rows = with_load_text(rows, "mapped_value", "_text").withColumn("_number", F.col("_text").try_cast("double"))
     value, kind = F.col("mapped_value"), F.col("meta.type")
     ext = F.expr("substring(target_field, instr(target_field, '.') + 1)")
     blank = F.col("_text").isNull()
