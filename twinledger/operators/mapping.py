@@ -37,13 +37,17 @@ def value_lookup(mapping: DataFrame) -> DataFrame:
     """The value maps as rows ``(mapping_id, key, mapped_value)``, read in the direction the
     map declares; the last of repeated keys wins."""
     m = numbered(mapping).filter(F.col("value_map").isNotNull()).withColumn("m", F.from_json("value_map", VALUE_MAP))
-    ends = lambda side: F.struct(load_text(F.col(f"m.{side}.object")), load_text(F.col(f"m.{side}.field")))
+    for side in ("source", "target"):
+        for part in ("object", "field"):
+            m = m.withColumn(f"_{side}_{part}", load_text(F.col(f"m.{side}.{part}")))
+    ends = lambda side: F.struct(F.col(f"_{side}_object"), F.col(f"_{side}_field"))
     here = lambda side: F.struct(F.col(f"{side}_object"), F.col(f"{side}_field"))
     direct = ends("source").eqNullSafe(here("source")) & ends("target").eqNullSafe(here("target"))
     inverse = ~direct & ends("source").eqNullSafe(here("target")) & ends("target").eqNullSafe(here("source"))
     pairs = m.select("mapping_id", inverse.alias("_inv"), F.posexplode(F.map_entries("m.mapping")).alias("_pos", "e"))
-    keyed = pairs.select(
-        "mapping_id", "_pos", lookup_key(F.when(F.col("_inv"), F.col("e.value")).otherwise(F.col("e.key"))).alias("key"),
+    pairs = pairs.withColumn("_k", F.when(F.col("_inv"), F.col("e.value")).otherwise(F.col("e.key")))
+    keyed = with_load_text(pairs, "_k", "_kt").select(
+        "mapping_id", "_pos", lookup_key(F.col("_k"), F.col("_kt")).alias("key"),
         F.when(F.col("_inv"), F.col("e.key")).otherwise(F.col("e.value")).alias("mapped_value"))
     return keyed.groupBy("mapping_id", "key").agg(F.max_by("mapped_value", "_pos").alias("mapped_value"),
                                                   F.lit(True).alias("hit"))
