@@ -7,6 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import read
+from .decontaminate import contaminated
+from .exact_dedup import exact_groups
+from .mixing import mix_sources
+from .secret_scan import scan_secrets
 from .substring_dedup import drop_repeated_passages
 from .suffix_dedup import drop_repeated_bytes
 
@@ -33,3 +37,83 @@ def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     out = drop_repeated_bytes(read(spark, sf, "documents"), length=400)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_SPANS = r"""
+SELECT doc_id, {rank} AS rank, '{kind}' AS kind,
+       sum(length(gap) + length(m)) OVER (PARTITION BY doc_id ORDER BY i) - length(m) AS s,
+       sum(length(gap) + length(m)) OVER (PARTITION BY doc_id ORDER BY i) AS e, length(g) AS n
+FROM (SELECT doc_id, unnest(ms) AS m, unnest(gs) AS g, unnest(gaps[:len(ms)]) AS gap, generate_subscripts(ms, 1) AS i
+      FROM (SELECT doc_id, regexp_extract_all(text, '{pattern}') AS ms, regexp_extract_all(text, '{pattern}', {group}) AS gs,
+                   regexp_split_to_array(text, '{pattern}') AS gaps FROM documents) WHERE len(ms) > 0)"""
+_ANY = lambda w: "".join(f"[{c.upper()}{c}]" for c in w)
+_ASSIGN = ("(" + "|".join(map(_ANY, ("password", "passwd", "secret", "token"))) + "|" + _ANY("api") + "_?" + _ANY("key")
+           + r""")["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""")
+
+
+@query(rf"""
+WITH found AS (
+  SELECT * FROM ({_SPANS.format(rank=0, kind="assign", pattern=_ASSIGN, group=2)}) WHERE n >= 12
+  UNION ALL SELECT * FROM ({_SPANS.format(rank=1, kind="access", pattern="AKIA[A-Z0-9]+", group=0)}) WHERE n >= 18
+  UNION ALL SELECT * FROM ({_SPANS.format(rank=2, kind="hex", pattern="[0-9a-f]+", group=0)}) WHERE n >= 16),
+per AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS a, count(*) FILTER (kind = 'access') AS b, count(*) FILTER (kind = 'hex') AS c,
+               string_agg(kind || ':' || s::BIGINT || ':' || e::BIGINT, ',' ORDER BY s, rank) AS spans FROM found GROUP BY doc_id)
+SELECT d.doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesce(c, 0) AS n_hex,
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents d LEFT JOIN per ON d.doc_id = per.doc_id""")
+def op3_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    out = scan_secrets(read(spark, sf, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    told = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return out.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(told, 256).alias("base_sha256"), told.alias("spans"))
+
+
+@query(r"""
+WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
+g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(n.t) AS text_sha256 FROM n JOIN g ON n.t = g.t""")
+def op4_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return exact_groups(read(spark, sf, "documents"))
+
+
+@query(r"""
+WITH sized AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+keyed AS (SELECT *, md5('mix|' || doc_id || '|' || size) AS k FROM sized),
+s0 AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+s1 AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS r, 3 * source_size AS cap FROM s0),
+s2 AS (SELECT *, (r % 3 + 1)::DOUBLE AS weight FROM s1),
+s3 AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER w, 0))::DOUBLE / (sum(weight) OVER () - coalesce(sum(weight) OVER w, 0)) AS level
+       FROM s2 WINDOW w AS (ORDER BY cap / weight, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+s4 AS (SELECT source, source_size, least(cap::DOUBLE, weight * max(level) OVER ()) AS target FROM s3),
+s5 AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS passes FROM s4),
+q AS (SELECT source, k, sum(size) AS words FROM keyed GROUP BY source, k),
+c AS (SELECT *, coalesce(sum(words) OVER (PARTITION BY source ORDER BY md5('mix|' || coalesce(source, '<null>') || '|' || k[:2]), k
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM q)
+SELECT doc_id, size, source_size, target,
+       (size * (passes + CASE WHEN 2 * before + words <= 2 * (target - passes * source_size) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM keyed JOIN c ON keyed.k = c.k AND keyed.source IS NOT DISTINCT FROM c.source JOIN s5 ON keyed.source IS NOT DISTINCT FROM s5.source""")
+def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mix_sources(read(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query(r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+i AS (SELECT DISTINCT item_id, size, array_to_string(w[s:s + size - 1], ' ') AS win
+      FROM (SELECT item_id, w, least(13, len(w)) AS size, unnest(generate_series(1, len(w) - least(13, len(w)) + 1)) AS s FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM i),
+spots AS (SELECT doc_id, size, s, array_to_string(w[s:s + size - 1], ' ') AS win
+       FROM (SELECT doc_id, w, size, unnest(generate_series(1, len(w) - size + 1)) AS s FROM d, sizes WHERE len(w) >= size)),
+m AS (SELECT doc_id, item_id, s, spots.size AS size FROM spots JOIN i ON spots.win = i.win AND spots.size = i.size),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(s, s + size - 1)) AS p FROM m) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+      FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM m) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN t ON d.doc_id = t.doc_id""")
+def op8_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    out = contaminated(read(spark, sf, "documents"), read(spark, sf, "benchmark"), length=13, one_in=20)
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
