@@ -10,6 +10,7 @@ from .common import read
 from .decontaminate import contaminated
 from .exact_dedup import exact_groups
 from .mixing import mix_sources
+from .near_dedup import near_groups
 from .secret_scan import scan_secrets
 from .substring_dedup import drop_repeated_passages
 from .suffix_dedup import drop_repeated_bytes
@@ -117,3 +118,8 @@ def op8_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     out = contaminated(read(spark, sf, "documents"), read(spark, sf, "benchmark"), length=13, one_in=20)
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@query()
+def op7_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_groups(read(spark, sf, "documents"), words=2, percent=80)
