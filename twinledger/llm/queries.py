@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .common import read
 from .decontaminate import contaminated
 from .exact_dedup import exact_groups
+from .language import identify
 from .mixing import mix_sources
 from .near_dedup import near_groups
 from .secret_scan import scan_secrets
@@ -123,3 +124,8 @@ def op8_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op7_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_groups(read(spark, sf, "documents"), words=2, percent=80)
+
+
+@query()
+def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return identify(read(spark, sf, "documents"), per_label=400).select("doc_id", "held_out", "lang_pred", "score")
