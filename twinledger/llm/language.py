@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from .common import limit_batches
 
@@ -235,8 +235,9 @@ def identify(docs: DataFrame, text: str = "text", label: str = "lang", key: str
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:len(names)], pa.array([d[0] for d in done], pa.string()), pa.array([d[1] for d in done], pa.float64()),
                  pa.array([d[2] for d in done], shares)], names=[*names, "lang_pred", "score", "shares"])
-    schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in names)
-    return rows.mapInArrow(scan, schema + ", lang_pred string, score double, shares map<string,double>")
+    schema = T.StructType([*(rows.schema[c] for c in names), T.StructField("lang_pred", T.StringType()),
+                           T.StructField("score", T.DoubleType()), T.StructField("shares", T.MapType(T.StringType(), T.DoubleType()))])
+    return rows.mapInArrow(scan, schema)
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5, **settings) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .common import read
 from .decontaminate import contaminated
 from .exact_dedup import exact_groups
+from .html_extract import extract_text
 from .language import identify
 from .mixing import mix_sources
 from .near_dedup import near_groups
@@ -129,3 +130,8 @@ def op7_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return identify(read(spark, sf, "documents"), per_label=400).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query()
+def op5_html_extract(spark: SparkSession, sf: str) -> DataFrame:
+    return extract_text(read(spark, sf, "pages"))

@@ -26,6 +26,7 @@ from .windows import byte_codes, segments, word_bounds, word_codes
 
 # Bytes of one in-task index.
 SHARD_BYTES = 1 << 19
+NO_ID = (1 << 63) - 1
 RUNS = "array<struct<from:int,to:int,first:long>>"
 
 
@@ -35,13 +36,17 @@ class Windows:
     length: int
     gram: int
     words: bool
-    # Repeats count only between different ids (the smaller id keeps), or anywhere.
-    across: bool
+    # Which windows repeat: those that stand in a row of a smaller id ("earlier"), in rows of at
+    # least two ids ("shared"), or in any other place ("anywhere").
+    rule: str
     crowd: int = 2000
 
     def codes(self, text: bytes) -> np.ndarray:
         return word_codes(text) if self.words else byte_codes(text)
 
+    def bounds(self, text: bytes):
+        return word_bounds(text) if self.words else None
+
     def cut(self, text: bytes, bounds, start: int, windows: int) -> bytes:
         """The bytes of a segment."""
         end = start + windows + self.length - 1
@@ -65,13 +70,17 @@ def _occurrences(docs: DataFrame, spec: Windows) -> DataFrame:
 
 def _first_id():
     """The smallest id; documents without an id come after all others."""
-    return F.coalesce(F.min("_id"), F.lit((1 << 63) - 1))
+    return F.coalesce(F.min("_id"), F.lit(NO_ID))
+
+
+def _last_id():
+    return F.max(F.coalesce("_id", F.lit(NO_ID)))
 
 
 def _segment_rows(docs: DataFrame, picked: DataFrame, spec: Windows, digests: bool) -> DataFrame:
     """Fetch the text of picked segments: as bytes, or as one digest per window."""
     wanted = picked.groupBy("_id", "_h").agg(F.collect_list(F.struct(
-        "anchor", "content", "n", "first", "start", "windows", "at")).alias("_wanted"))
+        "anchor", "content", "n", "first", "last", "start", "windows", "at")).alias("_wanted"))
     joined = docs.join(wanted, same_row(docs, wanted)).select(docs["_text"], "_wanted")
 
     def scan(batches):
@@ -80,25 +89,25 @@ def _segment_rows(docs: DataFrame, picked: DataFrame, spec: Windows, digests: bo
             texts = batch.column(0).cast(pa.binary())
             for i in range(batch.num_rows):
                 text, rows = texts[i].as_py(), batch.column(1)[i].as_py()
-                bounds = word_bounds(text) if spec.words else None
+                bounds = spec.bounds(text)
                 for r in rows:
                     if digests:
                         for w in range(r["windows"]):
                             data = spec.cut(text, bounds, r["start"] + w, 1)
-                            if spec.words:
+                            if spec.words:  # words count, not what stands between them
                                 data = b" ".join(data.split())
-                            out.append((r["anchor"], r["content"], r["n"], r["first"], w,
+                            out.append((r["anchor"], r["content"], r["n"], r["first"], r["last"], w,
                                         hashlib.blake2b(data, digest_size=16).digest()))
                     else:
-                        out.append((r["anchor"], r["content"], r["n"], r["first"], r["windows"], r["at"],
+                        out.append((r["anchor"], r["content"], r["n"], r["first"], r["last"], r["windows"], r["at"],
                                     spec.cut(text, bounds, r["start"], r["windows"])))
                     if len(out) >= 4096:
                         yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=names)
                         out = []
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=names)
-    kinds = ({"anchor": "long", "content": "long", "n": "long", "first": "long", "w": "int", "digest": "binary"} if digests else
-             {"anchor": "long", "content": "long", "n": "long", "first": "long", "windows": "int", "at": "int", "data": "binary"})
+    kinds = ({"anchor": "long", "content": "long", "n": "long", "first": "long", "last": "long", "w": "int", "digest": "binary"} if digests else
+             {"anchor": "long", "content": "long", "n": "long", "first": "long", "last": "long", "windows": "int", "at": "int", "data": "binary"})
     names = list(kinds)
 
     def typed(batches):
@@ -119,7 +128,8 @@ def run_lengths(first: np.ndarray, keep: np.ndarray) -> list[dict]:
     return [{"from": int(a), "to": int(b), "first": int(first[a])} for a, b in zip(starts, ends) if keep[a]]
 
 
-Index = Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray], list[list[dict]]]
+# Of the segments of a shard: bytes, occurrences, smallest and largest id, windows, place of the anchor.
+Index = Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], list[list[dict]]]
 
 
 def _looked_up(rows: DataFrame, index: Index) -> DataFrame:
@@ -129,8 +139,8 @@ def _looked_up(rows: DataFrame, index: Index) -> DataFrame:
         units = 0
 
         def flush():
-            anchor, content, n, first, windows, at, data = zip(*held)
-            found = index(list(data), *(np.array(x, dtype=np.int64) for x in (n, first, windows, at)))
+            anchor, content, *numbers, data = zip(*held)
+            found = index(list(data), *(np.array(x, dtype=np.int64) for x in numbers))
             return pa.RecordBatch.from_arrays(
                 [pa.array(anchor, pa.int64()), pa.array(content, pa.int64()),
                  pa.array(found, pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32()), ("first", pa.int64())])))],
@@ -151,8 +161,8 @@ def _looked_up(rows: DataFrame, index: Index) -> DataFrame:
 def _split_up(docs: DataFrame, crowded: DataFrame, spec: Windows) -> DataFrame:
     """Windows of crowded anchors, each counted under its own digest."""
     rows = stored(_segment_rows(docs, crowded, spec, digests=True), "crowded-windows")
-    counted = rows.groupBy("digest").agg(F.sum("n").alias("_n"), F.min("first").alias("_first"))
-    counted = counted.filter("_n > 1")
+    counted = rows.groupBy("digest").agg(F.sum("n").alias("_n"), F.min("first").alias("_first"), F.max("last").alias("_last"))
+    counted = stored(counted.filter("_first < _last" if spec.rule == "shared" else "_n > 1").drop("_n", "_last"), "crowded-counts")
     return (rows.join(counted, "digest")
                 .groupBy("anchor", "content")
                 .agg(F.collect_list(F.struct(F.col("w").alias("from"), (F.col("w") + 1).cast("int").alias("to"),
@@ -165,27 +175,28 @@ def repeated_spans(docs: DataFrame, spec: Windows, index: Index) -> DataFrame:
     spark = docs.sparkSession
     limit_batches(spark)
     seen = _occurrences(docs, spec)
-    if spec.across:
-        anchors = (seen.groupBy("anchor").agg(_first_id().alias("_a"), F.max(F.coalesce("_id", F.lit((1 << 63) - 1))).alias("_b"))
-                       .filter("_a < _b").select("anchor"))
+    if spec.rule == "anywhere":
+        anchors = seen.groupBy("anchor").agg(F.count("*").alias("_n")).filter("_n > 1")
     else:
-        anchors = seen.groupBy("anchor").agg(F.count("*").alias("_n")).filter("_n > 1").select("anchor")
+        anchors = seen.groupBy("anchor").agg(_first_id().alias("_a"), _last_id().alias("_b")).filter("_a < _b")
+    # Written down, so that the join below deals both sides anew and can split a frequent anchor.
+    anchors = stored(anchors.select("anchor"), "anchors")
     live = stored(seen.join(anchors, "anchor"), "live-segments")
     contents = live.groupBy("anchor", "content").agg(
-        F.count("*").alias("n"), _first_id().alias("first"),
+        F.count("*").alias("n"), _first_id().alias("first"), _last_id().alias("last"),
         F.min(F.struct("_id", "_h", "start", "windows", "at")).alias("_one"))
     kinds = contents.groupBy("anchor").agg(F.count("*").alias("d"))
-    contents = stored(contents.join(kinds, "anchor").select("anchor", "content", "n", "first", "d", "_one.*"), "contents")
+    contents = stored(contents.join(kinds, "anchor").select("anchor", "content", "n", "first", "last", "d", "_one.*"), "contents")
     several = contents.filter((F.col("d") > 1) & (F.col("d") <= spec.crowd))
     crowded = contents.filter(F.col("d") > spec.crowd)
-    alone = contents.filter("d = 1").select("anchor", "content", F.array(F.struct(
+    alone = contents.filter("d = 1").filter("first < last" if spec.rule == "shared" else "true").select("anchor", "content", F.array(F.struct(
         F.lit(0).alias("from"), F.col("windows").alias("to"), F.col("first"))).cast(RUNS).alias("runs"))
     found = alone.unionByName(_looked_up(_segment_rows(docs, several, spec, digests=False), index))
     if not crowded.isEmpty():
         found = found.unionByName(_split_up(docs, crowded, spec).select("anchor", "content", F.col("runs").cast(RUNS)))
     places = live.join(found, ["anchor", "content"]).select("_id", "_h", "start", F.explode("runs").alias("r"))
-    if spec.across:
-        places = places.filter(F.coalesce("_id", F.lit((1 << 63) - 1)) > F.col("r.first"))
+    if spec.rule == "earlier":
+        places = places.filter(F.coalesce("_id", F.lit(NO_ID)) > F.col("r.first"))
     return places.groupBy("_id", "_h").agg(F.collect_list(F.struct(
         (F.col("start") + F.col("r.from")).alias("begin"),
         (F.col("start") + F.col("r.to") + (spec.length - 1)).alias("end"))).alias("spans"))

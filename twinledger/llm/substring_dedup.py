@@ -86,7 +86,7 @@ class SuffixAutomaton:
 
 def automaton_index(length: int):
     """Index for ``repeats``: one automaton per shard, all its segments streamed past it."""
-    def look(data, n, first, windows, at):
+    def look(data, n, first, last, windows, at):
         codes = [word_codes(d) for d in data]
         _, dense = np.unique(np.concatenate(codes), return_inverse=True)
         ends = np.cumsum([len(c) for c in codes])
@@ -122,7 +122,7 @@ def drop_repeated_passages(docs: DataFrame, length: int = 50, text: str = "text"
     """
     gram = max(1, length * 2 // 5)
     rows = keyed(docs, text, key)
-    spec = Windows(length, gram, words=True, across=True)
+    spec = Windows(length, gram, words=True, rule="earlier")
     spans = repeated_spans(rows, spec, automaton_index(length))
     return without_spans(rows, spans, _apply, "n_words long, n_removed long, kept string", ["_id"]
                          ).withColumnRenamed("_id", key)

@@ -106,7 +106,7 @@ def suffix_index(length: int, period: int = 25):
     # Two ranked strings have to cover a window but for its head and tail.
     doublings = max(0, int(np.ceil(np.log2((length - period) / (2 * period)))))
 
-    def look(data, n, first, windows, at):
+    def look(data, n, first, last, windows, at):
         # Each segment starts where its anchor falls on a multiple of the period, so that equal
         # windows of different segments have the same residue.
         starts, size = [], 0
@@ -150,7 +150,7 @@ def drop_repeated_bytes(docs: DataFrame, length: int = 400, text: str = "text",
     removes and is removed.  Rows without an id are treated like all others.
     """
     rows = keyed(docs, text, key)
-    spec = Windows(length, max(1, length * 2 // 5), words=False, across=False)
+    spec = Windows(length, max(1, length * 2 // 5), words=False, rule="anywhere")
     spans = repeated_spans(rows, spec, suffix_index(length))
     return without_spans(rows, spans, _apply, "n_bytes long, n_removed long, n_spans long, kept binary",
                          ["_id"]).withColumnRenamed("_id", key)
