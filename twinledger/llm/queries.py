@@ -11,6 +11,7 @@ from .decontaminate import contaminated
 from .exact_dedup import exact_groups
 from .html_extract import extract_text
 from .language import identify
+from .line_dedup import drop_repeated_lines
 from .mixing import mix_sources
 from .near_dedup import near_groups
 from .secret_scan import scan_secrets
@@ -135,3 +136,9 @@ def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op5_html_extract(spark: SparkSession, sf: str) -> DataFrame:
     return extract_text(read(spark, sf, "pages"))
+
+
+@query()
+def op2_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    out = drop_repeated_lines(read(spark, sf, "documents"), percent=80)
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
