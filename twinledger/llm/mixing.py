@@ -66,9 +66,8 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: i
     and the order in it of every copy taken (array of ``copy, shard, order``).
 
     Size is the number of words (null text: 0).  A document is taken whole, ``floor(target / source_size)``
-    times and once more if the cut falls behind its middle, so taken words come within half a
-    document of the target and nothing is taken more than ``most`` times.  Rows of equal id
-    and size share their fate; a null source is a source of its own; documents without words
+    times and once more if it lies ahead of the cut, and one document of each source to fit
+    the gap that is left; nothing is taken more than ``most`` times.  Rows of equal id and size share their fate; a null source is a source of its own; documents without words
     are taken 0 words.  Everything follows from the ids: reruns agree.
     """
     tag = F.when(F.col(source).isNull(), "null").otherwise(F.concat(F.lit("="), F.col(source)))
@@ -93,7 +92,7 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: i
     parts = stored(parts.withColumn("_before", F.col("_before") + sums(F.col("_part"))).withColumn("_inside", state), "mix-parts")
     last = parts.filter("_inside = 'cut'").select("_s", "_block", "_part", "_before", "_rest")
     tail = sized.join(small(last), ["_s", "_block", "_part"]).groupBy("_s", "_key", "_before", "_rest").agg(F.sum("size").alias("_words"))
-    ends = tail.withColumn("_before", F.col("_before") + sums(F.col("_key"))).filter(F.col("_before") * 2 + F.col("_words") > F.col("_rest") * 2)
+    ends = tail.withColumn("_before", F.col("_before") + sums(F.col("_key"))).filter(F.col("_before") + F.col("_words") > F.col("_rest"))
     ends = ends.groupBy("_s").agg(F.min("_key").alias("_stop"))
     # The first part that is not taken as a whole.
     edges = parts.filter("_inside <> 'all'").groupBy("_s").agg(F.min(F.struct("_part", "_inside")).alias("_edge"))
@@ -115,9 +114,22 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: i
     inside = (F.col("_part") < F.col("_edge._part")) | (
         (F.col("_part") == F.col("_edge._part")) & (F.col("_edge._inside") == "cut") & (F.col("_key") < F.coalesce("_stop", beyond)))
     more = F.when(F.col("_state") == "all", 1).when((F.col("_state") == "cut") & inside, 1).otherwise(0)
-    copies = F.col("_full") + more
+    out = out.withColumn("_more", more)
+
+    # What is still missing goes to the document whose size fits the gap best.
+    gaps = out.groupBy("_s").agg(F.sum(F.col("size") * F.col("_more")).alias("_in")).join(small(targets.select("_s", "_rest")), "_s")
+    gaps = stored(gaps.select("_s", (F.col("_rest") - F.col("_in")).alias("_gap")), "mix-gaps")
+    left = out.filter((F.col("_more") == 0) & (F.col("size") > 0)).select("_s", "_key", "size").join(small(gaps), "_s")
+    misses = F.abs(F.col("_gap") - F.col("size"))
+    fits = left.filter(misses < F.col("_gap")).groupBy("_s").agg(F.min(F.struct(misses.alias("d"), "_key")).alias("_fit"))
+    out = out.join(small(stored(fits.select("_s", F.col("_fit._key").alias("_fit")), "mix-fits")), "_s", "left")
+    copies = F.col("_full") + F.when(F.col("_key") == F.col("_fit"), 1).otherwise(F.col("_more"))
+    place = lambda copy, shard: F.struct(copy.alias("copy"), shard.cast("int").alias("shard"),
+                                         F.xxhash64(shard.cast("int"), F.col("_key"), copy).alias("order"))
     placed = F.transform(F.filter(F.coalesce("_draws", F.array().cast("array<struct<copy:int,shard:int>>")), lambda d: d["copy"] <= copies),
-                         lambda d: F.struct(d["copy"].alias("copy"), d["shard"].alias("shard"),
-                                            F.xxhash64(d["shard"], F.col("_key"), d["copy"]).alias("order")))
+                         lambda d: place(d["copy"], d["shard"]))
+    # The fitted document's block may have no draw for its last copy.
+    alone = F.array(place(copies, F.pmod(F.xxhash64("_key"), F.lit(1 << levels))))
+    placed = F.when((copies > 0) & ~F.exists(placed, lambda d: d["copy"] == copies), F.concat(placed, alone)).otherwise(placed)
     return out.select(F.col("_id").alias(key), F.col("source").alias(source), "size", "source_size", "target",
                       (F.col("size") * copies).alias("taken"), placed.alias("places"))

@@ -92,10 +92,15 @@ s4 AS (SELECT source, source_size, least(cap::DOUBLE, weight * max(level) OVER (
 s5 AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS passes FROM s4),
 q AS (SELECT source, k, sum(size) AS words FROM keyed GROUP BY source, k),
 c AS (SELECT *, coalesce(sum(words) OVER (PARTITION BY source ORDER BY md5('mix|' || coalesce(source, '<null>') || '|' || k[:2]), k
-      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM q)
-SELECT doc_id, size, source_size, target,
-       (size * (passes + CASE WHEN 2 * before + words <= 2 * (target - passes * source_size) THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM keyed JOIN c ON keyed.k = c.k AND keyed.source IS NOT DISTINCT FROM c.source JOIN s5 ON keyed.source IS NOT DISTINCT FROM s5.source""")
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM q),
+j AS (SELECT keyed.*, source_size, target, passes, target - passes * source_size AS rest,
+             CASE WHEN before + words <= target - passes * source_size THEN 1 ELSE 0 END AS more
+      FROM keyed JOIN c ON keyed.k = c.k AND keyed.source IS NOT DISTINCT FROM c.source JOIN s5 ON keyed.source IS NOT DISTINCT FROM s5.source),
+gaps AS (SELECT source, max(rest) - sum(size * more) AS gap FROM j GROUP BY source),
+fits AS (SELECT j.source, arg_min(k, (abs(gap - size), k)) AS fit FROM j JOIN gaps ON j.source IS NOT DISTINCT FROM gaps.source
+         WHERE more = 0 AND size > 0 AND abs(gap - size) < gap GROUP BY j.source)
+SELECT doc_id, size, source_size, target, (size * (passes + CASE WHEN k = fit THEN 1 ELSE more END))::BIGINT AS taken
+FROM j LEFT JOIN fits ON j.source IS NOT DISTINCT FROM fits.source""")
 def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mix_sources(read(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
