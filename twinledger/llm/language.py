@@ -65,7 +65,7 @@ class Model:
 
 
 def _scaled(x: np.ndarray) -> np.ndarray:
-    return x / x.reshape(len(x), -1).max(axis=1).reshape((-1,) + (1,) * (x.ndim - 1))
+    return x / x.max(axis=tuple(range(1, x.ndim)), keepdims=True)
 
 
 def marginals(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
