@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import limit_batches, same_row
+from .common import limit_batches, same_row, stored
 from .repeats import Windows, merged, repeated_spans, run_lengths
 from .suffix_dedup import _dense
 from .windows import word_bounds, word_codes
@@ -216,42 +216,42 @@ def extract_text(pages: DataFrame, length: int = 8, covered: float = 0.8, links:
             yield _result(b.filter(pick), 2, [k for k in kept if k is not None], names)
 
     def streams(batches):
-        """Host line, then a line per block outside of marked articles, led by its kind."""
+        """Host line, then a line per block outside of marked articles, led by its kind and share of links."""
         for b in batches:
-            out = []
-            for host, h in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
+            out, found = [], []
+            for host, h in zip(b.column("_host").to_pylist(), b.column("_html").to_pylist()):
                 blocks = page_blocks(h)
-                out.append("\n".join([host or "-", *(f"{kind} {t}" for kind, t, _ in blocks if kind != MAIN)]))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.string())], names=["_id", "_h", "_text"])
-
-    def unmarked(batches):
-        for b in batches:
-            yield b.filter(pa.array([_article(page_blocks(h)) is None for h in b.column("_html").to_pylist()], pa.bool_()))
+                found.append(_article(blocks) is not None)
+                out.append("\n".join([host or "-", *(f"{kind}{round(share * 100)} {t}" for kind, t, share in blocks if kind != MAIN)]))
+            yield pa.RecordBatch.from_arrays([b.column("_id"), b.column("_url"), b.column("_h"), pa.array(out, pa.string()), pa.array(found, pa.bool_())],
+                                             names=["_id", "_url", "_h", "_text", "_marked"])
 
     def decided(batches):
         for b in batches:
             kept = []
-            for h, spans in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                blocks = [x for x in page_blocks(h) if x[0] != MAIN]
-                count = sum(len(t.encode().split()) + 1 for _, t, _ in blocks)
-                hit = np.zeros(count + 1, dtype=np.int64)
+            for stream, spans in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
+                blocks = stream.split("\n")[1:]
+                hit = np.zeros(sum(len(t.encode().split()) for t in blocks) + 1, dtype=np.int64)
                 for a, z in merged(spans):
                     hit[a:z] = 1
                 at, texts = 0, []
-                for kind, told, share in blocks:
-                    size = len(told.encode().split())
-                    part = hit[at + 1:at + 1 + size].sum() / max(1, size)
-                    at += size + 1
-                    if kind == OPEN and part < covered and share <= links:
+                for block in blocks:
+                    size = len(block.encode().split())
+                    kind, told = block.split(" ", 1)
+                    part = hit[at + 1:at + size].sum() / max(1, size - 1)
+                    at += size
+                    if kind[0] == OPEN and part < covered and int(kind[1:]) <= links * 100:
                         texts.append(told)
                 kept.append(texts)
             yield _result(b, 2, kept, names)
 
     done = rows.select("_id", "_url", "_html").mapInArrow(marked, schema)
-    stream = rows.select("_id", "_h", "_host", "_html").mapInArrow(streams, T.StructType([
-        T.StructField("_id", id_type), T.StructField("_h", T.LongType()), T.StructField("_text", T.StringType())]))
+    # The streams are short, as articles are left out, and are needed several times.
+    stream = stored(rows.mapInArrow(streams, T.StructType([
+        T.StructField("_id", id_type), T.StructField("_url", T.StringType()), T.StructField("_h", T.LongType()),
+        T.StructField("_text", T.StringType()), T.StructField("_marked", T.BooleanType())])), "streams")
     spec = HostWindows(length, max(1, length // 2), words=True, rule="shared")
-    spans = repeated_spans(stream, spec, host_suffix_index(length))
-    rest = rows.select("_id", "_url", "_h", "_html").mapInArrow(unmarked, rows.select("_id", "_url", "_h", "_html").schema)
-    rest = rest.join(spans, same_row(rest, spans), "left").select(rest["_id"], "_url", "_html", "spans")
+    spans = repeated_spans(stream.select("_id", "_h", "_text"), spec, host_suffix_index(length))
+    rest = stream.filter(~F.col("_marked"))
+    rest = rest.join(spans, same_row(rest, spans), "left").select(rest["_id"], "_url", "_text", "spans")
     return done.unionByName(rest.mapInArrow(decided, schema))
