@@ -425,18 +425,20 @@ def running_results(spark, sf):
    when 3 then 'Field Length' when 5 then 'Duplicate Rule / Duplicate Value' else 'Unclassified' end as error_category from ({PARSED_SQL}) where event_type = 'error') group by 1, 2""")
 def running_errors(spark, sf):
     base = work_folder(spark, "errors")
-    counts = jobs.running_error_counts(result_stream(spark, sf, base))
-    name = base.rsplit("/", 1)[1].replace("-", "_")
-    counts.writeStream.format("memory").queryName(name).outputMode("complete").option("checkpointLocation", f"{base}/cp").trigger(availableNow=True).start().awaitTermination()
-    return spark.table(name).groupBy("target_object", "error_category").agg(F.sum("row_count").alias("row_count"))
+    jobs.keep_error_counts(result_stream(spark, sf, base), f"{base}/out", f"{base}/cp").awaitTermination()
+    return jobs.stored_error_counts(spark, f"{base}/out").groupBy("target_object", "error_category").agg(F.sum("row_count").alias("row_count"))
 
 
-@query("select distinct cast(user_id as varchar) as target_object, event_type as source_record_id from events e where not exists (select 1 from events d where d.user_id = e.user_id and d.event_type = e.event_type and d.event_id % 4 = 0)")
+@query("""select cast(user_id as varchar) as target_object, event_type as source_record_id, min(event_id) as event_id from (
+   select user_id, event_type, event_id, row_number() over (partition by user_id, event_type order by event_id % 2, event_id) as r from events e
+   where not exists (select 1 from events d where d.user_id = e.user_id and d.event_type = e.event_type and d.event_id % 4 = 0)) where r = 1 group by 1, 2""")
 def arriving_work(spark, sf):
+    """Two files that share keys, one batch each."""
     base = work_folder(spark, "work")
     e = read(spark, sf, "events").selectExpr("cast(user_id as string) as target_object", "event_type as source_record_id", "event_id")
     e.where("event_id % 4 = 0").selectExpr("target_object", "source_record_id", "'TRUE' as success").write.parquet(f"{base}/results")
-    e.write.parquet(f"{base}/in")
-    arriving = spark.readStream.schema(e.schema).parquet(f"{base}/in")
-    jobs.fresh_work(arriving, f"{base}/results", f"{base}/out", f"{base}/cp").awaitTermination()
-    return spark.read.parquet(f"{base}/out").select("target_object", "source_record_id").distinct()
+    for part in (0, 1):
+        e.where(F.col("event_id") % 2 == part).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        arriving = spark.readStream.schema(e.schema).parquet(f"{base}/in")
+        jobs.fresh_work(arriving, f"{base}/results", f"{base}/out", f"{base}/cp").awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("target_object", "source_record_id", "event_id")

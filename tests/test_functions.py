@@ -163,3 +163,11 @@ def test_items_json(spark):
 def test_malformed_payload(spark, table):
     df = table("x", [('{"a":1}',), ("[1]",), ("oops",), ("",), (None,)]).coalesce(1)
     assert column(df, payload.is_malformed(F.col("x"))) == [False, True, True, False, False]
+
+
+def test_whole_numbers_are_exact(spark, table):
+    texts = ["12345678901234567890", "-12345678901234567890", "1e30", "9223372036854775808", "-7.9", "7.9", "1e37", "inf", "-Infinity", "1e38", "x"]
+    df = table("x kind", [(t, "int") for t in texts])
+    got = column(df, values.coerced(F.col("x"), F.col("kind")))
+    assert got == [str(int(float(t))) for t in texts[:7]] + [None] * 4
+    assert column(df, values.is_bad_number(F.col("x"), F.col("kind"))) == [False] * 7 + [True] * 4

@@ -2,7 +2,7 @@ import random
 from collections import deque
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from twinledger.model import catalog, env_names, rows
 from twinledger.operators import graph, parity, ranking, resolve, schema_diff, skew, wide
@@ -87,29 +87,33 @@ def test_environment_names(spark, table):
 
 
 @pytest.mark.parametrize("group", [[], ["g"]])
-def test_spread_numbering_equals_window(spark, group):
+def test_numbering_equals_window(spark, group):
     df = spark.range(500).selectExpr("id", "case when id % 3 = 0 then 'hot' else cast(id % 7 as string) end as g", "cast(hash(id) % 50 as int) as o")
-    a = ranking.number_rows(df, group, ["o", "id"], spread=False)
-    b = ranking.number_rows(df, group, ["o", "id"], spread=True)
-    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    by = Window.partitionBy(*group, F.lit(0)).orderBy("o", "id")
+    want = df.withColumn("rank", F.row_number().over(by).cast("long"))
+    for upto in (None, 1000, 2000):
+        got = ranking.number_rows(df, group, ["o", "id"], upto=upto)
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_skew_join_equals_plain_join(spark, how):
     left = spark.range(200).selectExpr("id", "case when id % 2 = 0 then 'hot' when id % 5 = 0 then null else cast(id as string) end as k")
     right = spark.createDataFrame([("hot", 1), ("hot", 2), ("3", 3), ("999", 4)], "k string, v int")
-    hot = [spark.range(1).select(key_hash([F.lit("hot")])).first()[0]]
     want = left.join(right, "k", how)
-    for options in ({"hot": hot}, {"hot": hot, "nulls": True}, {"hot": [], "nulls": True}):
-        got = skew.skew_join(left, right, ["k"], how, spread=["id"], **options).select(*want.columns)
-        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    got = skew.skew_join(left, right, ["k"], how).select(*want.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    with pytest.raises(ValueError):
+        skew.skew_join(left, right, ["k"], "full")
 
 
-def test_hot_keys_are_found(spark):
+def test_hot_keys_are_found(spark, monkeypatch):
     df = spark.range(3000).selectExpr("case when id % 3 = 0 then 'hot' else cast(id as string) end as k")
     want = spark.range(1).select(key_hash([F.lit("hot")])).first()[0]
-    assert skew.hot_keys(df, ["k"], share=0.2, search_from=0) == [want]
     assert skew.hot_keys(df, ["k"]) == []
+    monkeypatch.setattr(skew, "TASK_BYTES", 0)
+    monkeypatch.setattr(skew, "TASK_ROWS", 500)
+    assert skew.hot_keys(df, ["k"]) == [want]
 
 
 def test_first_and_last_wins(spark):
@@ -184,3 +188,10 @@ def test_schema_compare_needs_both_types(spark, table):
     right = table("field_name source_type", [("a", "y"), ("b", "y"), ("d", "y")])
     got = {r.field: r.status for r in schema_diff.compare_schemas(left, right).collect()}
     assert got == {"a": "TYPE_MISMATCH", "b": "SAME", "c": "ONLY_IN_LEFT", "d": "ONLY_IN_RIGHT"}
+
+
+def test_closure_of_a_long_chain(spark):
+    n = 20
+    e = spark.createDataFrame([("A", str(i), "A", str(i + 1)) for i in range(n)], "object string, record_id string, needs_object string, needs_id string")
+    got = graph.closure(spark.createDataFrame([("A", "3")], "object string, record_id string"), e)
+    assert {r.record_id for r in got.collect()} == {str(i) for i in range(3, n + 1)} and got.count() == n - 2

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from checks import loading as ld
 from checks.fixtures import read, wide
 from twinledger.model import rows
-from twinledger.operators import parity
+from twinledger.operators import parity, resolve
 from twinledger.operators.rules import RULE_COLUMNS, apply_rules, default_rules
 from twinledger.plans import execute, prepare
 from twinledger.session import work_folder
@@ -87,9 +87,8 @@ def test_shipped_rules(spark):
 
 def test_batches_are_full_for_a_large_group(spark):
     ops = spark.range(1203).selectExpr("'A' as target_object", "'create' as operation", "lpad(cast(id as string), 6, '0') as source_record_id", "'ready' as status")
-    for spread in (False, True):
-        sizes = sorted(r["count"] for r in execute.batched(ops, 500, spread).groupBy("batch_no").count().collect())
-        assert sizes == [203, 500, 500]
+    sizes = sorted(r["count"] for r in execute.batched(ops, 500).groupBy("batch_no").count().collect())
+    assert sizes == [203, 500, 500]
     with pytest.raises(ValueError):
         execute.batched(ops, 0)
 
@@ -132,3 +131,91 @@ def test_row_numbers_for_tables_without_ids(spark):
     assert sorted((r.x, r.Id) for r in ex.wide_records(df).collect()) == [("a", "ROW_0"), ("b", "ROW_1")]
     assert read(spark, SF, "nation").count() == 25
     assert prepare.prepared_summary(ld.prepared(spark, SF).work).count() == 2
+
+
+def test_bucket_text_survives_the_store(spark, table, tmp_path):
+    rows = [("NEW", "024", f"R{i}", "f", str(i), f"x{i}", b) for i, b in enumerate(["000", "001", "024"])]
+    df = table("env obj record_id field value external_id join_bucket", rows)
+    for _ in range(2):  # a repeated write replaces itself
+        store.write_extract(df, str(tmp_path / "x"))
+    back = store.read_extract(spark, str(tmp_path / "x"))
+    assert {r.join_bucket for r in back.collect()} == {"000", "001", "024"} and back.count() == 3
+    assert store.read_extract(spark, str(tmp_path / "x"), objects=["024"], buckets=["024"]).count() == 1
+
+
+def test_rerun_replaces_every_bucket_it_processed(spark, table, tmp_path):
+    path, long = str(tmp_path / "diff"), "env obj record_id external_id field value"
+
+    def sides(changed):
+        new = table(long, [("N", o, f"N{o}", "1", "f", "x") for o in "AB"])
+        old = table(long, [("O", o, "1", None, "f", "y" if o in changed else "x") for o in "AB"])
+        return ex.with_bucket(new, "new"), ex.with_bucket(old, "old")
+
+    def run(changed, config="a"):
+        new, old = sides(changed)
+        store.write_paired(parity.record_parity(new, old).paired, new.unionByName(old), path, config)
+        return {r.obj for r in store.read_paired(spark, path).collect()}
+    assert run("AB") == {"A", "B"}
+    assert run("A") == {"A"}
+    done = store.done_buckets(spark, path, "a")
+    assert {r.obj: (r.record_rows, r.field_rows) for r in done.collect()} == {"A": (1, 1), "B": (0, 0)}
+    assert store.done_buckets(spark, path, "b", resume=False) is None and store.done_buckets(spark, path, "b") is None
+    assert run("B", "b") == {"B"} and store.done_buckets(spark, path, "b").count() == 2
+    recs = str(tmp_path / "records")
+    for changed in ("AB", "A"):
+        store.write_record_parts(parity.record_parity(*sides(changed)).records, recs)
+    assert {r.obj for r in store.read_record_parts(spark, recs).collect()} == {"A"}
+
+
+LOAD_CATALOG = [("Opportunity", "Name", "string", None, [], True, True, True, False), ("Opportunity", "External_Id__c", "string", None, [], True, True, True, True),
+                ("Opportunity", "ContactId", "reference", "Contact", ["Contact"], True, True, True, False),
+                ("Contact", "Name", "string", None, [], True, True, True, False), ("Contact", "External_Id__c", "string", None, [], True, True, True, True),
+                ("OpportunityContactRole", "OpportunityId", "reference", "Opportunity", ["Opportunity"], True, False, True, False),
+                ("OpportunityContactRole", "ContactId", "reference", "Contact", ["Contact"], True, False, True, False),
+                ("OpportunityContactRole", "IsPrimary", "boolean", None, [], True, True, True, False),
+                ("OpportunityContactRole", "Role", "string", None, [], True, True, True, False)]
+
+
+def test_load_routes_contacts_into_links(spark):
+    entry = lambda n, v, e=None: {"name": n, "ext_field": e, "value": v}
+    work = spark.createDataFrame([
+        ("Contact", "Contact", "k1", None, "missing_from_new", "upsert", [entry("Name", "n")], []),
+        ("Opportunity", "Deal", "o1", None, "missing_from_new", "upsert", [entry("Name", "x"), entry("Contact", "k1", "External_Id__c")], []),
+        ("Opportunity", "Deal", "o2", None, "missing_from_new", "upsert", [entry("Name", "y"), entry("Contact", "k404", "External_Id__c")], []),
+        ("Opportunity", "Deal", "o3", "T3", "data_gap", "update", [entry("Contact", "k9", "External_Id__c")], []),
+        ("OpportunityContactRole", "Role", "r1", None, "missing_from_new", "create",
+         [entry("Role", "buyer"), entry("Opportunity", "o3", "External_Id__c"), entry("Contact", "k1", "External_Id__c")], []),
+    ], "target_object string, source_object string, source_record_id string, target_record_id string, change_type string, operation string, "
+       f"entries {ENTRIES}, skipped array<string>")
+    target = spark.createDataFrame([("Contact", "K9", "k9", {"Name": "c"}), ("Opportunity", "T3", "o3", {"Name": "z"}),
+                                    ("OpportunityContactRole", "L1", None, {"OpportunityId": "T3", "ContactId": "K9", "IsPrimary": "false"})],
+                                   "object string, record_id string, external_id string, values map<string,string>")
+    cat = ld.field_catalog(spark, LOAD_CATALOG)
+    done = execute.run_load(work, target, cat, default_rules(spark))
+    links = {r.record_id: r["values"] for r in done.target.filter("object = 'OpportunityContactRole'").collect()}
+    assert links["L1"]["IsPrimary"] == "true"
+    made = {(v["OpportunityId"], v["ContactId"]): v for k, v in links.items() if k != "L1"}
+    assert set(made) == {("To1", "Tk1"), ("T3", "Tk1")}
+    assert made["To1", "Tk1"]["IsPrimary"] == "true" and made["T3", "Tk1"]["Role"] == "buyer"
+    got = {(r.target_object, r.source_record_id): (r.operation, r.success) for r in done.results.collect()}
+    assert got["OpportunityContactRole", "o2"] == ("skip", "FALSE") and got["OpportunityContactRole", "o3"] == ("update", "TRUE")
+    assert got["Opportunity", "o1"] == ("upsert", "TRUE")
+    # Processed records are not loaded again.
+    again = execute.run_load(work, done.target, cat, default_rules(spark), results=done.results.filter("target_object <> 'Contact'"))
+    assert {r.target_object for r in again.results.collect()} <= {"Contact", "OpportunityContactRole"}
+
+
+def test_shipped_natural_keys(spark):
+    keys = resolve.default_natural_keys(spark)
+    target = spark.createDataFrame([("AccountContactRelation", "L2", None, {"AccountId": "A", "ContactId": "C"}), ("AccountContactRelation", "L1", None, {"AccountId": "A", "ContactId": "C"}),
+                                    ("Account_Relationship__c", "M", None, {"Main_Account__c": "A", "Secondary_Account__c": "B", "Secondary_Party_Type__c": "p"}),
+                                    ("Account", "X", "x", {"AccountId": "A", "ContactId": "C"})],
+                                   "object string, record_id string, external_id string, values map<string,string>")
+    links = resolve.known_links(target, keys)
+    assert links.count() == 3
+    entry = lambda **kv: [{"name": k, "ext_field": None, "value": v} for k, v in kv.items()]
+    df = spark.createDataFrame([("AccountContactRelation", entry(AccountId="A", ContactId="C")), ("Account_Relationship__c", entry(Main_Account__c="A", Secondary_Account__c="B")),
+                                ("Account_Relationship__c", entry(Main_Account__c="A", Secondary_Account__c="B", Secondary_Party_Type__c="q")), ("Account", entry(AccountId="A"))],
+                               f"target_object string, entries {ENTRIES}")
+    got = [(r.target_object, r.natural_id) for r in resolve.natural_key_match(df, links, keys).collect()]
+    assert sorted(got, key=str) == sorted([("AccountContactRelation", "L1"), ("Account_Relationship__c", "M"), ("Account_Relationship__c", None), ("Account", None)], key=str)

@@ -49,6 +49,19 @@ def parsed_float(c: Column) -> Column:
     return F.when(~is_blank(c), strip(c).try_cast("double"))
 
 
+def whole_text(number: Column) -> Column:
+    """The exact whole part of a double as text; null from 1e38 on, for infinities and NaN."""
+    size = F.abs(number)
+    small = F.when(number < 0, F.ceil(number)).otherwise(F.floor(number)).cast("string")
+    # Doubles from 2 ** 63 on are whole; they are taken apart into pieces that a double holds exactly.
+    high = F.floor(size / 2.0 ** 64).cast("decimal(20,0)")
+    rest = size - F.floor(size / 2.0 ** 64).cast("double") * 2.0 ** 64
+    middle = F.floor(rest / 2.0 ** 32).cast("decimal(20,0)")
+    low = (rest - F.floor(rest / 2.0 ** 32).cast("double") * 2.0 ** 32).cast("decimal(20,0)")
+    big = (high * F.lit(str(1 << 64)).cast("decimal(20,0)")).cast("decimal(38,0)") + middle * F.lit(str(1 << 32)).cast("decimal(10,0)") + low
+    return F.when(size < 2.0 ** 63, small).when(size < 1e38, F.concat(F.when(number < 0, "-").otherwise(""), big.cast("decimal(38,0)").cast("string")))
+
+
 def coerced(c: Column, kind: Column, text: Column | None = None, number: Column | None = None) -> Column:
     """Text shaped by the catalogue type: booleans, whole numbers cut towards zero, doubles.
     A number that does not parse gives null; :func:`is_bad_number` reports it.  Callers that
@@ -56,10 +69,9 @@ def coerced(c: Column, kind: Column, text: Column | None = None, number: Column
     generated code small."""
     text = load_text(c) if text is None else text
     number = text.try_cast("double") if number is None else number
-    whole = F.when(number < 0, F.ceil(number)).otherwise(F.floor(number))
     return (F.when(text.isNull(), None)
              .when(kind == "boolean", (F.lower(text) == "true").cast("string"))
-             .when(kind == "int", whole.cast("string"))
+             .when(kind == "int", whole_text(number))
              .when(kind.isin("double", "currency", "percent"), float_text(number))
              .otherwise(c))
 
@@ -67,7 +79,8 @@ def coerced(c: Column, kind: Column, text: Column | None = None, number: Column
 def is_bad_number(c: Column, kind: Column, text: Column | None = None, number: Column | None = None) -> Column:
     text = load_text(c) if text is None else text
     number = text.try_cast("double") if number is None else number
-    return F.coalesce(kind.isin(*NUMERIC) & text.isNotNull() & number.isNull(), F.lit(False))
+    endless = (kind == "int") & ~(F.abs(number) < 1e38)
+    return F.coalesce(kind.isin(*NUMERIC) & text.isNotNull() & (number.isNull() | endless), F.lit(False))
 
 
 def equivalent(a: Column, b: Column, kind: Column) -> Column:

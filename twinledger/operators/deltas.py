@@ -40,7 +40,7 @@ def actual_deltas(ops: DataFrame, current: DataFrame, catalog: DataFrame, when:
     asks = F.when(when, F.col("target_record_id"))
     known = current.select(F.col("object").alias("target_object"), F.col("record_id").alias("_rid"), F.col("values").alias("_current"))
     keyed = ops.withColumn("_rid", asks)
-    joined = skew_join(keyed, known, ["target_object", "_rid"], "left", spread=["source_record_id"], nulls=True)
+    joined = skew_join(keyed, known, ["target_object", "_rid"], "left")
     joined = joined.join(small(field_types(catalog)), "target_object", "left").withColumn(
         "_types", F.coalesce("_types", F.expr("map()").cast("map<string,string>")))
     return with_actual_deltas(joined, F.col("_current"), F.col("_types"), when).drop("_rid", "_current", "_types")

@@ -6,14 +6,17 @@ shared checkpoint folder every round; only row counts come back to the driver.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.text import joined
 from ..session import checkpointed, small
 from .ranking import number_rows
-from .skew import hot_keys, skew_join
+from .skew import skew_join
 
-MAX_ROUNDS = 1000
+# Frontiers of a walk that are kept apart before they are written as one table.
+FRONTS = 8
 
 
 def dependency_edges(catalog: DataFrame, scope_pairs: DataFrame, all_fields: bool = False) -> DataFrame:
@@ -49,9 +52,9 @@ def _peel(nodes: DataFrame, edges: DataFrame, rank) -> tuple[DataFrame | None, D
     before.  Returns all taken nodes with their ``level`` and the ones that never came free.
     """
     left, waiting = checkpointed(nodes), checkpointed(edges.distinct())
-    hot = hot_keys(waiting, ["needs"])
     taken: list[DataFrame] = []
-    for level in range(MAX_ROUNDS):
+    for level in count():
+        # Every round but the last takes a node, so the walk ends.
         freed = left.join(waiting.select("node").distinct(), "node", "left_anti")
         freed = checkpointed(rank(freed.withColumn("level", F.lit(level).cast("int")), taken))
         if freed.isEmpty():
@@ -61,7 +64,7 @@ def _peel(nodes: DataFrame, edges: DataFrame, rank) -> tuple[DataFrame | None, D
         if left.isEmpty():
             break
         waiting = checkpointed(skew_join(waiting, freed.select(F.col("node").alias("needs")), ["needs"],
-                                         "left_anti", spread=["node"], hot=hot))
+                                         "left_anti"))
     out = None
     for part in taken:
         out = part if out is None else out.unionByName(part)
@@ -151,17 +154,19 @@ def closure(start: DataFrame, edges: DataFrame, keys: tuple[str, str] = ("object
     """All records reachable from ``start`` along ``edges`` (``object, record_id`` to
     ``needs_object, needs_id``), the start included.  The frontier alone is joined each round."""
     o, r = keys
-    seen = checkpointed(start.select(o, r).distinct())
-    frontier = seen
-    for _ in range(MAX_ROUNDS):
-        step = (edges.join(frontier, [o, r], "left_semi")
-                     .select(F.col("needs_object").alias(o), F.col("needs_id").alias(r)).distinct()
+    # The edges are worked out once; what was reached is a list of frontiers, put together now and then.
+    edges = checkpointed(edges.select(o, r, F.col("needs_object").alias("_o"), F.col("needs_id").alias("_r")).distinct())
+    frontier = checkpointed(start.select(o, r).distinct())
+    seen, fronts = frontier, 1
+    while True:
+        step = (edges.join(frontier, [o, r], "left_semi").select(F.col("_o").alias(o), F.col("_r").alias(r)).distinct()
                      .join(seen, [o, r], "left_anti"))
         frontier = checkpointed(step)
         if frontier.isEmpty():
             return seen
-        seen = checkpointed(seen.unionByName(frontier))
-    raise RuntimeError(f"no end of the walk after {MAX_ROUNDS} rounds")
+        seen, fronts = seen.unionByName(frontier), fronts + 1
+        if fronts % FRONTS == 0:
+            seen = checkpointed(seen)
 
 
 def load_waves(records: DataFrame, edges: DataFrame) -> DataFrame:
@@ -172,7 +177,7 @@ def load_waves(records: DataFrame, edges: DataFrame) -> DataFrame:
     inner = (edges.select(node("object", "record_id").alias("node"), node("needs_object", "needs_id").alias("needs"))
                   .filter(F.col("node") != F.col("needs"))
                   .join(nodes, "node", "left_semi"))
-    inner = skew_join(inner, nodes.select(F.col("node").alias("needs")), ["needs"], "left_semi", spread=["node"])
+    inner = skew_join(inner, nodes.select(F.col("node").alias("needs")), ["needs"], "left_semi")
     done, cyclic = _peel(nodes, inner, lambda freed, taken: freed.select("node", "level"))
     out = cyclic.select("node", F.lit(None).cast("int").alias("level")).withColumn("in_cycle", F.lit(True))
     if done is not None:

@@ -60,11 +60,10 @@ def route_to_link(prepared: DataFrame, id_map: DataFrame, links: DataFrame, link
     """
     rows = prepared.filter(F.col("target_object") == link.parent_object).withColumn("_child", routed_key(F.col("entries"), link))
     rows = rows.filter(F.col("_child").isNotNull())
-    rows = resolve_ids(rows, id_map, F.lit(link.parent_object), F.col("source_record_id"), "_p", ["source_record_id"])
+    rows = resolve_ids(rows, id_map, F.lit(link.parent_object), F.col("source_record_id"), "_p")
     rows = rows.withColumn("parent_id", F.coalesce(load_text(F.col("target_record_id")), F.col("_p")))
-    rows = resolve_ids(rows, id_map, F.lit(link.child_object), F.col("_child"), "child_id", ["source_record_id"])
-    rows = skew_join(rows, _existing(links.select("parent_id", "child_id", "link_id", "is_primary")), ["parent_id", "child_id"], "left",
-                     spread=["source_record_id"], nulls=True)
+    rows = resolve_ids(rows, id_map, F.lit(link.child_object), F.col("_child"), "child_id")
+    rows = skew_join(rows, _existing(links.select("parent_id", "child_id", "link_id", "is_primary")), ["parent_id", "child_id"], "left")
     blank = load_text(F.col("source_record_id")).isNull()
     no_parent, no_child = F.col("parent_id").isNull(), F.col("child_id").isNull()
     held = F.col("link_id").isNotNull()
@@ -99,10 +98,10 @@ def classify_links(prepared: DataFrame, id_map: DataFrame, links: DataFrame, cat
     rows = prepared.filter(F.col("target_object") == link.object)
     rows = (rows.withColumn("_pk", reference_key(F.col("entries"), link.parent_relation, link.parent_field))
                 .withColumn("_ck", reference_key(F.col("entries"), link.child_relation, link.child_field)))
-    rows = resolve_ids(rows, id_map, F.lit(link.parent_object), F.col("_pk"), "parent_id", ["source_record_id"])
-    rows = resolve_ids(rows, id_map, F.lit(link.child_object), F.col("_ck"), "child_id", ["source_record_id"])
+    rows = resolve_ids(rows, id_map, F.lit(link.parent_object), F.col("_pk"), "parent_id")
+    rows = resolve_ids(rows, id_map, F.lit(link.child_object), F.col("_ck"), "child_id")
     pair = ["parent_id", "child_id"]
-    rows = skew_join(rows, _existing(links), pair, "left", spread=["source_record_id"], nulls=True)
+    rows = skew_join(rows, _existing(links), pair, "left")
     rows = rows.withColumn("_empty", F.size("entries") == 0)
     empty, blank = F.col("_empty"), F.col("_pk").isNull() | F.col("_ck").isNull()
     lost = F.col("parent_id").isNull() | F.col("child_id").isNull()
@@ -120,7 +119,7 @@ def classify_links(prepared: DataFrame, id_map: DataFrame, links: DataFrame, cat
     # The first create of a pair, found by an aggregate rather than by gathering the pair.
     first = rows.filter(F.col("_early").isNull() & (F.col("operation") == "create")).groupBy(*pair).agg(
         F.min("source_record_id").alias("_first"), F.min_by("entries", "source_record_id").alias("_first_entries"))
-    rows = skew_join(rows, first, pair, "left", spread=["source_record_id"], nulls=True)
+    rows = skew_join(rows, first, pair, "left")
     made = new_id(F.col("_first")) if new_id else F.concat(F.lit("T"), F.col("_first"))
     repeat = (F.col("operation") == "create") & F.col("_first").isNotNull() & (F.col("_first") != F.col("source_record_id"))
     rows = (rows.withColumn("_repeat", F.coalesce(repeat, F.lit(False)))

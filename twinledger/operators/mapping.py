@@ -6,6 +6,9 @@ maps are small tables joined to them; one shuffle on the record key gathers the
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.payload import item
@@ -110,22 +113,22 @@ def shape_values(rows: DataFrame, catalog: DataFrame) -> DataFrame:
         "_way", "_name", "meta", "_text", "_number")
 
 
-def infer_entries(rows: DataFrame, catalog: DataFrame, inferred: DataFrame) -> DataFrame:
+def infer_entries(rows: DataFrame, catalog: DataFrame, inferred: DataFrame, key: list[str]) -> DataFrame:
     """Fallback targets for renamed object pairs.
 
     ``inferred`` lists ``source_object, target_object`` pairs with, optionally, a
     ``reference_field`` whose value is the key of a ``reference_object``.  Other fields try
-    their candidate names in turn.  ``rows`` carries ``_row`` (unique), ``source_object``,
-    ``source_field``, ``target_object``, ``mapped_value`` and ``hint``; returns
-    ``_row, inferred_entry`` for the rows that find a place.
+    their candidate names in turn.  ``rows`` carries ``key`` columns that tell its rows apart,
+    ``source_object, source_field, target_object, mapped_value`` and ``hint``; returns the
+    key and ``inferred_entry`` for the rows that find a place.
     """
     pairs = inferred.select("source_object", "target_object", "reference_field", "reference_object").distinct()
     hit = rows.join(small(pairs), ["source_object", "target_object"])
     by_name = hit.filter(~F.coalesce(F.col("source_field") == F.col("reference_field"), F.lit(False))).select(
-        "_row", "target_object", "mapped_value", "hint",
+        *dict.fromkeys([*key, "target_object", "mapped_value", "hint"]),
         F.posexplode(name_candidates(F.col("source_field"))).alias("pos", "target_field"))
     named = (shape_values(by_name, catalog).filter(F.col("entry").isNotNull())
-             .groupBy("_row").agg(F.min_by("entry", "pos").alias("inferred_entry")))
+             .groupBy(*key).agg(F.min_by("entry", "pos").alias("inferred_entry")))
     refs = catalog.filter(F.col("type") == "reference").select(
         F.col("object").alias("target_object"), F.explode("reference_to").alias("reference_object"),
         "field", "relationship_name", "nillable", "createable", "updateable")
@@ -136,8 +139,8 @@ def infer_entries(rows: DataFrame, catalog: DataFrame, inferred: DataFrame) -> D
     entry = (F.when(blank, F.when(F.col("nillable") & allowed, item(F.col("field"), F.lit(None))))
               .when(allowed & load_text(F.col("relationship_name")).isNotNull(),
                     item(F.col("relationship_name"), F.col("mapped_value"), F.lit(EXTERNAL_ID))))
-    ranked = by_ref.select("_row", F.struct((~blank & entry.isNull()).alias("later"), "field").alias("o"), entry.alias("entry"))
-    referenced = ranked.groupBy("_row").agg(F.min_by("entry", "o").alias("inferred_entry")).filter(F.col("inferred_entry").isNotNull())
+    ranked = by_ref.select(*key, F.struct((~blank & entry.isNull()).alias("later"), "field").alias("o"), entry.alias("entry"))
+    referenced = ranked.groupBy(*key).agg(F.min_by("entry", "o").alias("inferred_entry")).filter(F.col("inferred_entry").isNotNull())
     return named.unionByName(referenced)
 
 
@@ -157,10 +160,13 @@ def map_payload(work: DataFrame, mapping: DataFrame, catalog: DataFrame, inferre
     shaped = shape_values(rows, catalog)
     field, target = F.col("source_field"), F.col("target_field")
     if inferred is not None:
-        shaped = shaped.withColumn("_row", F.xxhash64(*RECORD[:3], field, F.coalesce(target, F.lit("")), F.coalesce("mapping_id", F.lit(0).cast("long"))))
-        misses = shaped.filter(F.col("entry").isNull() & field.isNotNull() & (F.coalesce(target, F.lit("")) != "Id")).select(
-            "_row", "source_object", "source_field", "target_object", "mapped_value", "hint")
-        shaped = shaped.join(infer_entries(misses, catalog, inferred), "_row", "left")
+        # A row is told apart by its record, its field and the mapping it came through.
+        shaped = shaped.withColumn("_target", F.coalesce(target, F.lit(""))).withColumn("_map", F.coalesce("mapping_id", F.lit(0).cast("long")))
+        key = [*RECORD[:3], "source_field", "_target", "_map"]
+        misses = shaped.filter(F.col("entry").isNull() & field.isNotNull() & (F.col("_target") != "Id")).select(*key, "mapped_value", "hint")
+        found = infer_entries(misses, catalog, inferred, key)
+        shaped = shaped.join(found.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)], "inferred_entry"),
+                             reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(key)]), "left")
     else:
         shaped = shaped.withColumn("inferred_entry", F.lit(None).cast(rows.sparkSession.sql(
             "select named_struct('name','','ext_field','','value','') as s").schema["s"].dataType))

@@ -8,8 +8,9 @@ from ..session import checkpointed, input_bytes, small
 
 # Up to this k Spark itself cuts each task's rows to k per group before shuffling.
 PARTIAL_LIMIT = 1000
-# Below this estimate a whole group fits one task.
-WINDOW_LIMIT_BYTES = 256 << 20
+# Input that one numbering task is meant to sort.
+TASK_BYTES = 64 << 20
+UNKNOWN_BYTES = 1 << 60
 
 
 def _sort(order) -> list[Column]:
@@ -17,23 +18,22 @@ def _sort(order) -> list[Column]:
 
 
 def number_rows(df: DataFrame, group: list[str], order: list, name: str = "rank",
-                upto: int | None = None, spread: bool | None = None) -> DataFrame:
+                upto: int | None = None) -> DataFrame:
     """Exact 1..n numbering of each group in the given order.
 
-    Small inputs, and callers that keep only the first ``upto`` <= 1000 rows, use a window
-    (with its partial limit ahead of the shuffle).  Otherwise rows are range-partitioned and
+    Callers that keep only the first ``upto`` <= 1000 rows use a window, whose limit works ahead
+    of the shuffle.  Otherwise rows are range-partitioned, into as many tasks as the input needs, and
     sorted by group and order, each partition numbers its own rows, and the counts of
     earlier partitions (one row per partition and group) are added: a group of any size is
     spread over many tasks.
     """
-    if spread is None:
-        partial = upto is not None and upto <= PARTIAL_LIMIT
-        spread = not partial and input_bytes(df) > WINDOW_LIMIT_BYTES
-    if not spread:
+    if upto is not None and upto <= PARTIAL_LIMIT:
         by = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
         return df.withColumn(name, F.row_number().over(by.orderBy(*_sort(order))).cast("long"))
     keys = [F.col(g) for g in group]
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = input_bytes(df)
+    # Where the optimizer knows no size (cut lineage), the session's partition count stands in.
+    parts = max(1, size // TASK_BYTES) if size < UNKNOWN_BYTES else int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The checkpoint freezes which row sits where, so both passes below agree.
     placed = checkpointed(
         df.repartitionByRange(parts, *keys, *_sort(order)).sortWithinPartitions(*keys, *_sort(order))

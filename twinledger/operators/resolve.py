@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.text import load_text, strip
-from ..model import EXTERNAL_ID, RECORD_KEY
+from ..model import EXTERNAL_ID, RECORD_KEY, rows
 from ..session import small
 from .skew import skew_join
 
@@ -42,19 +42,18 @@ def best_ids(id_map: DataFrame) -> DataFrame:
         F.min_by("target_id", F.struct("origin", "target_id")).alias("target_id"), F.min("origin").alias("origin"))
 
 
-def resolve_ids(df: DataFrame, id_map: DataFrame, object_col: Column, ext_col: Column, name: str,
-                spread: list[str], hot: list[int] | None = None) -> DataFrame:
+def resolve_ids(df: DataFrame, id_map: DataFrame, object_col: Column, ext_col: Column, name: str) -> DataFrame:
     """Add ``name``: the target id of each row's (object, external id), or null.  Parents
-    that a great many rows point to are salted."""
+    that a great many rows point to are split at run time."""
     ids = best_ids(id_map).select(F.col("object").alias("_o"), F.col("ext_id").alias("_e"), F.col("target_id").alias(name))
     keyed = df.withColumn("_o", object_col).withColumn("_e", load_text(ext_col))
-    return skew_join(keyed, ids, ["_o", "_e"], "left", spread=spread, hot=hot, nulls=True).drop("_o", "_e")
+    return skew_join(keyed, ids, ["_o", "_e"], "left").drop("_o", "_e")
 
 
 def create_to_update(work: DataFrame, id_map: DataFrame) -> DataFrame:
     """Rows without a target id whose external id already exists in the target become
     updates of that record."""
-    found = resolve_ids(work, id_map, F.col("target_object"), F.col("source_record_id"), "_found", ["source_record_id"])
+    found = resolve_ids(work, id_map, F.col("target_object"), F.col("source_record_id"), "_found")
     flip = load_text(F.col("target_record_id")).isNull() & F.col("_found").isNotNull()
     return (found.withColumn("operation", F.when(flip, "update").otherwise(F.col("operation")))
                  .withColumn("target_record_id", F.when(flip, F.col("_found")).otherwise(F.col("target_record_id")))
@@ -68,7 +67,7 @@ def reference_fields(catalog: DataFrame) -> DataFrame:
             .select("target_object", "name", "meta.*"))
 
 
-def resolve_references(prepared: DataFrame, catalog: DataFrame, id_map: DataFrame, hot: list[int] | None = None) -> DataFrame:
+def resolve_references(prepared: DataFrame, catalog: DataFrame, id_map: DataFrame) -> DataFrame:
     """Replace reference entries by the target id of the record they name.
 
     The objects a reference may point to are tried in their order, and per object the ids of
@@ -83,7 +82,7 @@ def resolve_references(prepared: DataFrame, catalog: DataFrame, id_map: DataFram
     tries = refs.select(*RECORD_KEY, "name", "field", "nillable", "ext_id", "reference_to",
                         F.posexplode_outer("reference_to").alias("pos", "object"))
     ids = best_ids(id_map).select("object", "ext_id", "target_id", "origin")
-    found = skew_join(tries, ids, ["object", "ext_id"], "left", spread=["source_record_id", "name"], hot=hot, nulls=True)
+    found = skew_join(tries, ids, ["object", "ext_id"], "left")
     per_ref = found.groupBy(*RECORD_KEY, "name").agg(
         F.first("field").alias("field"), F.first("nillable").alias("nillable"), F.first("ext_id").alias("ext_id"),
         F.first("reference_to").alias("reference_to"),
@@ -121,6 +120,28 @@ def has_entry(entries: Column, name: str | Column) -> Column:
     return F.exists(entries, lambda e: e["name"] == name)
 
 
+# Objects known by the records they link, and the payload fields of that key.  The third
+# only narrows where a payload has it.
+NATURAL_KEY_COLUMNS = ["target_object", "key_1", "key_2", "key_3"]
+NATURAL_KEYS = [
+    ("AccountContactRelation", "AccountId", "ContactId", None),
+    ("OpportunityContactRole", "OpportunityId", "ContactId", None),
+    ("Account_Relationship__c", "Main_Account__c", "Secondary_Account__c", "Secondary_Party_Type__c"),
+]
+
+
+def default_natural_keys(spark: SparkSession) -> DataFrame:
+    return rows(spark, NATURAL_KEY_COLUMNS, NATURAL_KEYS, ", ".join(f"{c} string" for c in NATURAL_KEY_COLUMNS))
+
+
+def known_links(target: DataFrame, keys: DataFrame) -> DataFrame:
+    """The target's rows of objects with a natural key, by that key: ``target_object, k1, k2, k3, target_id``."""
+    named = target.withColumnRenamed("object", "target_object").join(small(keys), "target_object")
+    value = lambda c: load_text(F.try_element_at("values", F.col(c)))
+    return named.select("target_object", value("key_1").alias("k1"), value("key_2").alias("k2"), value("key_3").alias("k3"),
+                        F.col("record_id").alias("target_id")).dropna(subset=["k1", "k2"])
+
+
 def natural_key_match(df: DataFrame, links: DataFrame, keys: DataFrame) -> DataFrame:
     """Find existing link rows by their natural key.
 
@@ -135,8 +156,8 @@ def natural_key_match(df: DataFrame, links: DataFrame, keys: DataFrame) -> DataF
         out = out.withColumn(f"k{i}", F.when(F.col(f"key_{i}").isNotNull(), v))
     exact = links.filter(F.col("k3").isNotNull()).groupBy("target_object", "k1", "k2", "k3").agg(F.min("target_id").alias("_exact"))
     loose = links.groupBy("target_object", "k1", "k2").agg(F.min("target_id").alias("_loose"))
-    out = skew_join(out, exact, ["target_object", "k1", "k2", "k3"], "left", spread=["source_record_id"], nulls=True)
-    out = skew_join(out, loose, ["target_object", "k1", "k2"], "left", spread=["source_record_id"], nulls=True)
+    out = skew_join(out, exact, ["target_object", "k1", "k2", "k3"], "left")
+    out = skew_join(out, loose, ["target_object", "k1", "k2"], "left")
     return (out.withColumn("natural_id", F.when(F.col("k3").isNotNull(), F.col("_exact")).otherwise(F.col("_loose")))
                .drop("key_1", "key_2", "key_3", "k1", "k2", "k3", "_exact", "_loose"))
 

@@ -1,4 +1,4 @@
-"""Finding hot keys and joining around them."""
+"""Hot keys: joins around them, and finding them where an aggregate wants to know."""
 
 from __future__ import annotations
 
@@ -6,60 +6,42 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import input_bytes
 
-# Below this estimate even a key holding every row fits one task, so no search is made.
-SEARCH_FROM_BYTES = 1 << 30
-# A key is hot from this share of the rows on.
-HOT_SHARE = 1 / 500
-MAX_HOT = 256
-SALTS = 64
+# What one task is meant to hold.  A key below it needs no care; input below it has no such key.
+TASK_ROWS = 2_000_000
+TASK_BYTES = 128 << 20
+# Keys the sketch tracks: it finds every key that holds more than 1 / 300,000 of the rows or so.
+TRACKED, FOUND = 400_000, 10_000
 
 
 def key_hash(columns: list[Column]) -> Column:
     return F.xxhash64(*columns)
 
 
-def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE,
-             search_from: int = SEARCH_FROM_BYTES) -> list[int]:
-    """Hashes of the keys that hold at least ``share`` of the rows (at most 256 of them).
+def hot_keys(df: DataFrame, keys: list[str]) -> list[int]:
+    """Hashes of the keys that hold more rows than one task should.
 
-    One pass over the key columns with a fixed-size frequent-items sketch.  The answer only
+    One pass over the key columns with a frequent-items sketch of fixed size.  The answer only
     steers the plan: a key that is missed, or a hash collision, changes no result.
     """
-    if input_bytes(df) < search_from:
+    if input_bytes(df) <= TASK_BYTES:
         return []
     found = (df.dropna(subset=keys).select(key_hash([F.col(k) for k in keys]).alias("h"))
-               .agg(F.count("*").alias("n"), F.expr(f"approx_top_k(h, {MAX_HOT}, {MAX_HOT * 40})").alias("top"))
-               .first())
-    return [t["item"] for t in found["top"] or [] if t["count"] >= found["n"] * share]
+               .agg(F.expr(f"approx_top_k(h, {FOUND}, {TRACKED})").alias("top")).first())
+    return [t["item"] for t in found["top"] or [] if t["count"] > TASK_ROWS]
 
 
 def is_hot(keys: list[Column], hot: list[int]) -> Column:
     return key_hash(keys).isin(*hot) if hot else F.lit(False)
 
 
-def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left",
-              spread: list[str] | None = None, hot: list[int] | None = None, nulls: bool = False) -> DataFrame:
-    """Equi-join whose left side may hold hot keys, or (``nulls``) many rows without a key.
+def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Equi-join whose left side may hold hot keys, or many rows without a key.
 
-    Rows of a hot key are spread over salts by a hash of their ``spread`` columns (a record
-    id, so that a repeated task gives the same salt); the right rows of just those keys are
-    repeated once per salt.  All other keys join as usual.  Works for inner, left, semi and
-    anti joins, where each left row needs all right rows of its key and no more.
+    Adaptive execution sees the real partition sizes and splits what is too large, whatever
+    the key; forcing it keeps the split also where an aggregate follows.  No rows are copied
+    and no job runs while the plan is made.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skew_join does not cover {how} joins")
-    hot = hot_keys(left, on) if hot is None else hot
-    if not hot and not nulls:
-        return left.join(right, on, how)
-    spread = spread or [c for c, t in left.dtypes if c not in on and not t.startswith(("map", "array", "struct", "variant"))]
-    columns = [F.col(c) for c in on]
-    # A row without a key matches nothing, so its salt needs no copy on the right.
-    keyless = F.lit(False)
-    for c in columns:
-        keyless = keyless | c.isNull()
-    loose = keyless | is_hot(columns, hot) if nulls else is_hot(columns, hot)
-    salted = left.withColumn("_salt", F.when(
-        loose, F.pmod(F.xxhash64(F.lit(7), *[F.col(c) for c in spread]), F.lit(SALTS)).cast("int")).otherwise(0))
-    copies = right.withColumn("_salt", F.explode(F.when(
-        is_hot(columns, hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))) if hot else F.lit(0))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    left.sparkSession.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    return left.join(right, on, how)

@@ -32,7 +32,7 @@ def pending(work: DataFrame, results: DataFrame, retry_failed: bool = False) ->
 
 def restrict(work: DataFrame, selected: DataFrame) -> DataFrame:
     """Only the sampled records."""
-    return skew_join(work, selected.select(*RECORD_KEY).distinct(), RECORD_KEY, "left_semi", spread=RECORD_KEY)
+    return skew_join(work, selected.select(*RECORD_KEY).distinct(), RECORD_KEY, "left_semi")
 
 
 def failed(results: DataFrame) -> DataFrame:

@@ -17,10 +17,10 @@ def _uid(c: Column, ignore_case: bool) -> Column:
 
 
 def compare_wide(left: DataFrame, right: DataFrame, left_uid: str, right_uid: str | None = None,
-                 fields: list[str] | None = None, ignore_case: bool = True, id_col: str = "Id",
-                 hot: list[int] | None = None) -> DataFrame:
+                 fields: list[str] | None = None, ignore_case: bool = True, id_col: str = "Id") -> DataFrame:
     """CHANGED rows per differing field of matched identifiers, SOURCE_ONLY and TARGET_ONLY
-    rows for the rest.  Repeated identifiers match each other's every occurrence.
+    rows for the rest.  An identifier that stands m times on the left and n times on the right gives m * n
+    comparisons, as a merge does.
 
     Rows without an identifier are reported one-sided and never matched with each other.
     """
@@ -37,9 +37,9 @@ def compare_wide(left: DataFrame, right: DataFrame, left_uid: str, right_uid: st
 
     source, target = side(left, left_uid, "source"), side(right, right_uid, "target")
     none = F.lit(None).cast("string")
-    # The matched part is an inner join, so a hot identifier can be salted; the one-sided
+    # The matched part is an inner join, so a hot identifier can be split; the one-sided
     # parts are anti joins against the other side's distinct identifiers.
-    matched = skew_join(source.dropna(subset=["uid"]), target.dropna(subset=["uid"]), ["uid"], "inner", hot=hot)
+    matched = skew_join(source.dropna(subset=["uid"]), target.dropna(subset=["uid"]), ["uid"], "inner")
     entries = F.array(*[F.struct(F.lit(n).alias("field"), F.col(f"source_{i}").alias("source_value"),
                                  F.col(f"target_{i}").alias("target_value")) for i, n in enumerate(names)])
     if names:

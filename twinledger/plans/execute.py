@@ -11,10 +11,13 @@ from ..functions.text import load_text
 from ..model import EXTERNAL_ID, MISSING_FROM, RECORD_KEY, RESULT_COLUMNS, WORK_COLUMNS
 from ..operators.deltas import actual_deltas
 from ..operators.graph import load_waves
+from ..operators.links import CONTACT_ROLE, Link, classify_links, route_to_link
 from ..operators.ranking import number_rows
-from ..operators.resolve import (best_ids, create_to_update, entry_value, has_entry, id_map_from_results,
+from ..operators.resolve import (best_ids, create_to_update, entry_value, has_entry, id_map_from_results, known_links,
                                  natural_key_match, resolve_ids, resolve_references)
 from ..operators.rules import apply_rules
+from ..operators.skew import skew_join
+from ..operators.state import pending
 from ..operators.sample import reference_edges
 from ..session import checkpointed, small
 from .prepare import key_fields
@@ -94,12 +97,12 @@ def plan_operations(work: DataFrame, catalog: DataFrame, id_map: DataFrame, rule
                      "skipped", status.alias("status"), message.alias("message"))
 
 
-def batched(ops: DataFrame, size: int = 500, spread: bool | None = None) -> DataFrame:
+def batched(ops: DataFrame, size: int = 500) -> DataFrame:
     """Number ready operations into batches of at most ``size`` per object and operation."""
     if size < 1:
         raise ValueError("batch size must be at least 1")
     ready = ops.filter(F.col("status") == "ready") if "status" in ops.columns else ops
-    ranked = number_rows(ready, ["target_object", "operation"], ["source_record_id"], "_rank", spread=spread)
+    ranked = number_rows(ready, ["target_object", "operation"], ["source_record_id"], "_rank")
     return ranked.withColumn("batch_no", F.floor((F.col("_rank") - 1) / size).cast("long")).drop("_rank")
 
 
@@ -132,11 +135,10 @@ def outcomes(ops: DataFrame, target: DataFrame, new_id=default_new_id) -> DataFr
     key = F.when(ready & (F.col("operation") == "upsert"), F.col("source_record_id")).when(
         ready & (F.col("operation") == "create"), entry_value(F.col("entries"), EXTERNAL_ID))
     df = ops.withColumn("_key", key)
-    df = resolve_ids(df, keys, F.col("target_object"), F.col("_key"), "_by_key", ["source_record_id"])
+    df = resolve_ids(df, keys, F.col("target_object"), F.col("_key"), "_by_key")
     ids = target.select(F.col("object").alias("target_object"), F.col("record_id").alias("_wanted"), F.lit(True).alias("_exists")).distinct()
-    from ..operators.skew import skew_join
     df = df.withColumn("_wanted", F.when(ready & (F.col("operation") == "update"), F.col("target_record_id")))
-    df = skew_join(df, ids, ["target_object", "_wanted"], "left", spread=["source_record_id"], nulls=True)
+    df = skew_join(df, ids, ["target_object", "_wanted"], "left")
     op = F.col("operation")
     error = F.when((op == "update") & F.col("_exists").isNull(), F.to_json(F.array(F.struct(
         F.lit("ENTITY_IS_DELETED").alias("errorCode"), F.lit("target record not found").alias("message"))))).when(
@@ -192,25 +194,66 @@ def apply_operations(target: DataFrame, ops: DataFrame, target_env: str = "new",
     return Applied(target if dry_run else merge_into(target, checked), result_rows(checked, target_env, source_env, dry_run))
 
 
+def _links_of(target: DataFrame, link: Link) -> DataFrame:
+    """The link rows that the target holds, as link operators want them."""
+    value = lambda name: load_text(F.try_element_at("values", F.lit(name)))
+    return target.filter(F.col("object") == link.object).select(
+        value(link.parent_field).alias("parent_id"), value(link.child_field).alias("child_id"), F.col("record_id").alias("link_id"),
+        (F.lower(value(link.flag_field)) == "true").alias("is_primary"), "values").dropna(subset=["parent_id", "child_id"])
+
+
+def load_links(work: DataFrame, target: DataFrame, catalog: DataFrame, id_map: DataFrame, rule_table: DataFrame, link: Link,
+               new_id=default_new_id) -> DataFrame:
+    """Checked operations on a link object: its own deltas, then what parents name in a field that
+    is routed.  ``id_map`` knows the parents and children of this run.  Creates come ahead of
+    the updates, which may name a row that was just made."""
+    none = F.expr("map()").cast("map<string,string>")
+
+    def applied(ops: DataFrame, known: DataFrame) -> DataFrame:
+        made = checkpointed(outcomes(ops.filter(F.col("operation") != "update"), known, new_id))
+        fresh = made.filter(F.col("success") & (F.col("status") == "ready")).select(
+            F.col("target_object").alias("object"), F.col("landed_id").alias("record_id"), F.lit(None).cast("string").alias("external_id"), none.alias("values"))
+        return made.unionByName(outcomes(ops.filter(F.col("operation") == "update"), known.unionByName(fresh), new_id))
+
+    held = checkpointed(_links_of(target, link))
+    known = checkpointed(target.filter(F.col("object") == link.object))
+    own = checkpointed(applied(classify_links(work, id_map, held, catalog, rule_table, link, new_id), known))
+    made = own.filter((F.col("operation") == "create") & F.col("success") & (F.col("status") == "ready"))
+    value = lambda name: load_text(entry_value(F.col("entries"), name))
+    made = made.select(value(link.parent_field).alias("parent_id"), value(link.child_field).alias("child_id"), F.col("landed_id").alias("link_id"),
+                       (F.coalesce(F.lower(value(link.flag_field)), F.lit("")) == "true").alias("is_primary"), none.alias("values"))
+    fresh = made.select(F.lit(link.object).alias("object"), F.col("link_id").alias("record_id"), F.lit(None).cast("string").alias("external_id"), "values")
+    routed = route_to_link(work, id_map, held.unionByName(made), link)
+    return own.unionByName(applied(routed.select(*own.columns[:len(routed.columns)]), known.unionByName(fresh)))
+
+
 def run_load(work: DataFrame, target: DataFrame, catalog: DataFrame, rule_table: DataFrame,
              links: DataFrame | None = None, keys: DataFrame | None = None, record_types: DataFrame | None = None,
              target_env: str = "new", source_env: str = "old", dry_run: bool = False, new_id=default_new_id,
-             results: DataFrame | None = None) -> Applied:
+             results: DataFrame | None = None, retry_failed: bool = False, link: Link | None = CONTACT_ROLE) -> Applied:
     """Load prepared work parents first, so that a child finds the id its parent got.
 
     One pass per wave plans that wave's records with the ids of all earlier waves; the
-    target is merged once, at the end.  Records in a reference cycle go last, together.
+    target is merged once, at the end.  Records in a reference cycle go last, together, and the link
+    object after them: its own deltas and the fields that are routed to it.  Objects with a natural
+    key (``keys``, with ``links`` or else the target's own rows) are matched by it.  Records that
+    ``results`` already hold are left out, failed ones included unless ``retry_failed``.
     """
     id_map = target.select("object", F.col("external_id").alias("ext_id"), F.col("record_id").alias("target_id"),
                            F.lit(1).alias("origin")).dropna(subset=["ext_id"])
     if results is not None:
         id_map = id_map.unionByName(id_map_from_results(results))
-    objects = work.select(F.col("target_object").alias("object")).distinct()
-    edges = reference_edges(work, catalog, objects, id_map)
-    nodes = work.select(F.col("target_object").alias("object"), F.col("source_record_id").alias("record_id"))
+        work = pending(work, results, retry_failed)
+    if keys is not None and links is None:
+        links = known_links(target, keys)
+    work = checkpointed(work)
+    mine = work.filter(F.col("target_object") != link.object) if link else work
+    objects = mine.select(F.col("target_object").alias("object")).distinct()
+    edges = reference_edges(mine, catalog, objects, id_map)
+    nodes = mine.select(F.col("target_object").alias("object"), F.col("source_record_id").alias("record_id"))
     waves = load_waves(nodes, edges).select(F.col("object").alias("target_object"), F.col("record_id").alias("source_record_id"),
-                                            F.coalesce("wave", F.lit(1 << 20)).alias("wave"))
-    placed = checkpointed(work.join(waves, RECORD_KEY))
+                                            F.coalesce("wave", F.lit(1 << 30)).alias("wave"))
+    placed = checkpointed(mine.join(waves, RECORD_KEY))
     done = None
     for wave in sorted(r[0] for r in placed.select("wave").distinct().collect()):
         ops = plan_operations(placed.filter(F.col("wave") == wave), catalog, id_map, rule_table,
@@ -221,6 +264,9 @@ def run_load(work: DataFrame, target: DataFrame, catalog: DataFrame, rule_table:
             F.col("target_object").alias("object"), F.col("source_record_id").alias("ext_id"),
             F.col("landed_id").alias("target_id"), F.lit(0).alias("origin"))
         id_map = id_map.unionByName(fresh)
+    if link is not None:
+        routed = checkpointed(load_links(work, target, catalog, id_map, rule_table, link, new_id))
+        done = routed if done is None else done.unionByName(routed)
     if done is None:
         raise ValueError("there is no work to load")
     return Applied(target if dry_run else merge_into(target, done), result_rows(done, target_env, source_env, dry_run))

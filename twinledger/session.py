@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -51,13 +50,9 @@ def small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as the session names it; a fresh temporary one only
-    where none is set and the session is local."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder and spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="twinledger-")
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    """The folder all executors share: the one the session names in ``spark.checkpoint.dir``, else one
+    beside the tables of its warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
     return folder.rstrip("/")
 
 

@@ -2,14 +2,31 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.payload import parse, to_text
 from ..functions.text import cell
 from ..operators.parity import records as record_view
+from ..session import small
 from .extract import join_bucket
 
 BUCKET_KEYS = ["obj", "join_bucket"]
+DONE = "obj string, join_bucket string, config string, run string, record_rows long, field_rows long"
+
+
+def read_parts(spark: SparkSession, path: str, merge: bool = False) -> DataFrame:
+    """A partitioned store whose partition values stay the text they were: ``024`` is a bucket, not a number."""
+    name = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        return spark.read.option("mergeSchema", merge).parquet(path)
+    finally:
+        spark.conf.set(name, before)
 
 
 def fixed_columns(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -18,19 +35,18 @@ def fixed_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select([(F.col(f"`{have[c.lower()]}`") if c.lower() in have else F.lit(None)).cast("string").alias(c) for c in columns])
 
 
-def write_extract(long_df: DataFrame, path: str, mode: str = "append") -> None:
-    """Store a bucketed extract by object and join bucket.  Rows of one bucket gather before
-    the write so that each task writes few files; a large bucket still splits by record."""
-    (long_df.repartition(F.col("obj"), F.col("join_bucket"), F.pmod(F.xxhash64("record_id"), F.lit(8)))
-            .write.mode(mode).partitionBy(*BUCKET_KEYS).parquet(path))
+def write_extract(long_df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Store a bucketed extract by object and join bucket; a bucket that is written again replaces
+    itself.  Rows of one bucket gather before the write, and large buckets split by their size."""
+    (long_df.hint("rebalance", *BUCKET_KEYS).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*BUCKET_KEYS).parquet(path))
 
 
 def read_extract(spark: SparkSession, path: str, objects: list[str] | None = None, buckets: list[str] | None = None,
                  committed: DataFrame | None = None) -> DataFrame:
     """A stored extract, pruned to objects and buckets.  ``committed`` (``obj, chunk``) keeps
     only rows of finished chunks when the extract carries chunk numbers."""
-    df = spark.read.parquet(path)
-    df = df.withColumn("join_bucket", F.col("join_bucket").cast("string"))
+    df = read_parts(spark, path)
     if objects is not None:
         df = df.filter(F.col("obj").isin(*objects))
     if buckets is not None:
@@ -48,21 +64,43 @@ def bucket_of(paired: DataFrame, buckets: int) -> DataFrame:
     return paired.withColumn("join_bucket", join_bucket(F.col("key"), buckets))
 
 
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return read_parts(spark, path)
+    except AnalysisException as e:  # nothing stored yet
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _last_runs(spark: SparkSession, path: str) -> DataFrame | None:
+    """The last run of every bucket since the last fresh start (a row without an object)."""
+    log = _stored(spark, f"{path}/done_buckets")
+    if log is None:
+        return None
+    fresh = log.filter(F.col("obj").isNull()).agg(F.coalesce(F.max("run"), F.lit("")).alias("_fresh"))
+    runs = log.filter(F.col("obj").isNotNull()).join(F.broadcast(fresh)).filter(F.col("run") > F.col("_fresh"))
+    rest = [c for c in log.columns if c not in BUCKET_KEYS]
+    return runs.groupBy(*BUCKET_KEYS).agg(F.max_by(F.struct(*rest), "run").alias("_r")).select(*BUCKET_KEYS, "_r.*")
+
+
+def _run_name() -> str:
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
 def done_buckets(spark: SparkSession, path: str, config: str, resume: bool = True) -> DataFrame | None:
     """Buckets finished by earlier runs with the same settings; None for a fresh start.
 
-    Each run leaves rows ``obj, join_bucket, config, record_rows, field_rows`` under ``done_buckets``.
-    Other settings stop the run: finished and new buckets must not be mixed.
+    Each run leaves rows ``obj, join_bucket, config, run, record_rows, field_rows`` under ``done_buckets``;
+    the last run of a bucket counts.  Other settings stop the run: finished and new buckets must
+    not be mixed.  A fresh start makes everything stored so far invisible.
     """
     if not resume:
+        spark.createDataFrame([(None, None, config, _run_name(), 0, 0)], DONE).write.mode("append").parquet(f"{path}/done_buckets")
+        return None
+    done = _last_runs(spark, path)
+    if done is None or done.isEmpty():
         return None
-    try:
-        done = spark.read.parquet(f"{path}/done_buckets")
-        done.schema  # resolves the path
-    except Exception as e:  # nothing stored yet
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
     if not done.filter(F.col("config") != config).isEmpty():
         raise ValueError("stored diff was made with other settings; start afresh to change them")
     return done
@@ -75,34 +113,43 @@ def skip_done(long_df: DataFrame, done: DataFrame | None) -> DataFrame:
 
 def write_paired(paired: DataFrame, inputs: DataFrame, path: str, config: str, buckets: int = 32) -> None:
     """Store diff parts by object and bucket and mark every bucket of ``inputs`` done, those
-    without a difference included.  Parts of a bucket replace earlier parts of that bucket."""
-    parts = bucket_of(paired, buckets)
-    (parts.repartition(F.col("obj"), F.col("join_bucket"), F.pmod(F.xxhash64("key"), F.lit(8)))
-          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*BUCKET_KEYS).parquet(f"{path}/paired"))
-    stored = inputs.sparkSession.read.parquet(f"{path}/paired").withColumn("join_bucket", F.col("join_bucket").cast("string"))
-    counts = stored.groupBy(*BUCKET_KEYS).agg(F.count("*").alias("record_rows"), F.sum(F.size("items")).alias("field_rows"))
+    without a difference included.  What earlier runs stored for those buckets is no longer read."""
+    spark, run = inputs.sparkSession, _run_name()
+    parts = bucket_of(paired, buckets).withColumn("run", F.lit(run))
+    (parts.hint("rebalance", *BUCKET_KEYS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .partitionBy(*BUCKET_KEYS).parquet(f"{path}/paired"))
     seen = inputs.select(*BUCKET_KEYS).distinct()
-    done = seen.join(counts, BUCKET_KEYS, "left").na.fill(0, ["record_rows", "field_rows"]).withColumn("config", F.lit(config))
-    done.write.mode("append").parquet(f"{path}/done_buckets")
+    stored = _stored(spark, f"{path}/paired")
+    none = F.lit(0).cast("long")
+    if stored is None:
+        done = seen.withColumns({"record_rows": none, "field_rows": none})
+    else:
+        counts = stored.filter(F.col("run") == run).groupBy(*BUCKET_KEYS).agg(
+            F.count("*").alias("record_rows"), F.sum(F.size("items")).alias("field_rows"))
+        done = seen.join(counts, BUCKET_KEYS, "left").na.fill(0, ["record_rows", "field_rows"])
+    done.select(*BUCKET_KEYS, F.lit(config).alias("config"), F.lit(run).alias("run"), "record_rows", "field_rows").write.mode("append").parquet(
+        f"{path}/done_buckets")
 
 
 def read_paired(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.parquet(f"{path}/paired")
-    return df.withColumn("join_bucket", F.col("join_bucket").cast("string"))
+    """The parts that the last run of each bucket stored."""
+    runs = _last_runs(spark, path).select(*BUCKET_KEYS, "run")
+    return read_parts(spark, f"{path}/paired").join(small(runs), [*BUCKET_KEYS, "run"], "left_semi").drop("run")
 
 
 def write_record_parts(recs: DataFrame, path: str) -> None:
-    """Reported records with payloads as JSON text, by object."""
+    """Reported records with payloads as JSON text, by object; a new run replaces all of the last one,
+    objects that have no difference any more included."""
     out = recs.select([to_text(F.col(c)).alias(c) if t == "map<string,string>" else (F.to_json(c).alias(c) if t.startswith("map") else F.col(c))
                        for c, t in recs.dtypes])
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("obj").parquet(path)
+    out.hint("rebalance", "obj").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("obj").parquet(path)
 
 
 def read_record_parts(spark: SparkSession, path: str, objects: list[str] | None = None,
                       change_types: list[str] | None = None) -> DataFrame:
     """Stored records for loading: object partitions pruned, change types pushed to the
     scan, payload JSON parsed.  Files without the load-only columns read as empty maps."""
-    df = spark.read.option("mergeSchema", "true").parquet(path)
+    df = read_parts(spark, path, merge=True)
     if objects is not None:
         df = df.filter(F.col("obj").isin(*objects))
     if change_types is not None:

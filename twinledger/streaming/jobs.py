@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.failures import masked
 from ..model import RECORD_KEY
 from ..operators.errors import ERROR_KEY, classified
-from ..operators.ranking import last_wins
+from ..operators.ranking import first_wins, last_wins
 from ..operators.state import failed, processed_keys
 from ..sources.extract import tolerant_select, unpivot_records, with_bucket
 
@@ -27,9 +29,25 @@ def stream_extract(spark: SparkSession, path: str, schema: T.StructType, out: st
 
 
 def running_error_counts(results: DataFrame) -> DataFrame:
-    """Failures per error as results arrive; run in update or complete mode.  State holds one
-    counter per distinct error."""
-    return classified(failed(results)).groupBy(*ERROR_KEY).agg(F.count("*").alias("row_count"))
+    """Failures per error as results arrive; run in update or complete mode.  Messages are masked, so
+    state holds one counter per kind of error, however many records fail."""
+    rows = classified(failed(results)).withColumn("error_message", masked(F.col("error_message")))
+    return rows.groupBy(*ERROR_KEY).agg(F.count("*").alias("row_count"))
+
+
+def keep_error_counts(results: DataFrame, store: str, checkpoint: str) -> StreamingQuery:
+    """Keep the running counts as a table under ``store``, one folder per batch that changed them.
+    Read it back with :func:`stored_error_counts`."""
+    def write(batch: DataFrame, number: int) -> None:
+        batch.withColumn("batch", F.lit(number)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(store)
+    return (running_error_counts(results).writeStream.outputMode("update").foreachBatch(write)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def stored_error_counts(spark: SparkSession, store: str) -> DataFrame:
+    """The last count of every error."""
+    return last_wins(spark.read.parquet(store), ERROR_KEY, ["batch"]).drop("batch")
 
 
 def keep_results(results: DataFrame, store: str, checkpoint: str, order: str = "seq") -> StreamingQuery:
@@ -46,17 +64,33 @@ def stored_results(spark: SparkSession, store: str, order: str = "seq") -> DataF
     return last_wins(spark.read.parquet(store).drop("batch"), RECORD_KEY, [order])
 
 
-def fresh_work(work: DataFrame, results_store: str, out: str, checkpoint: str) -> StreamingQuery:
-    """Pass on arriving work that has no result yet, once per key within a batch.  State is
-    the stored results themselves, so nothing grows inside the stream."""
+def compact_results(spark: SparkSession, store: str, into: str, order: str = "seq") -> None:
+    """Write the last results as one batch of a new store, to be read (and added to) from then on."""
+    stored_results(spark, store, order).withColumn("batch", F.lit(-1)).write.mode("overwrite").partitionBy("batch").parquet(into)
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:  # nothing stored yet
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def fresh_work(work: DataFrame, results_store: str, out: str, checkpoint: str, order: list[str] | None = None) -> StreamingQuery:
+    """Pass on arriving work that has no result yet, once per key over all batches: the first row by
+    ``order`` (all other columns, if not given).  State is what is stored already, results and
+    work passed on, so nothing grows inside the stream; a replayed batch replaces itself."""
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        rows = batch.dropDuplicates(RECORD_KEY)
-        try:
-            rows = rows.join(processed_keys(spark.read.parquet(results_store)), RECORD_KEY, "left_anti")
-        except Exception as e:  # no result stored yet
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
+        rows = first_wins(batch, RECORD_KEY, order or [c for c in batch.columns if c not in RECORD_KEY])
+        results, passed = _stored(spark, results_store), _stored(spark, out)
+        if results is not None:
+            rows = rows.join(processed_keys(results), RECORD_KEY, "left_anti")
+        if passed is not None:
+            earlier = passed.filter(F.col("batch") != number).select(*RECORD_KEY)
+            rows = rows.join(earlier, RECORD_KEY, "left_anti")
         rows.withColumn("batch", F.lit(number)).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(out)
     return work.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
