@@ -32,6 +32,8 @@ def number_rows(df: DataFrame, group: list[str], order: list, name: str = "rank"
         return df.withColumn(name, F.row_number().over(by.orderBy(*_sort(order))).cast("long"))
     keys = [F.col(g) for g in group]
     size = input_bytes(df)
+    # Ranges are found from a sample, which would otherwise run the input's plan once more.
+    df = checkpointed(df)
     # Where the optimizer knows no size (cut lineage), the session's partition count stands in.
     parts = max(1, size // TASK_BYTES) if size < UNKNOWN_BYTES else int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The checkpoint freezes which row sits where, so both passes below agree.
