@@ -11,7 +11,7 @@ from ..functions.text import load_text
 from ..model import EXTERNAL_ID
 from ..session import small
 from .deltas import field_types, with_actual_deltas
-from .resolve import best_ids, entry_value, has_entry, resolve_ids
+from .resolve import entry_value, has_entry, resolve_ids
 from .rules import apply_rules, operation_hint
 from .skew import skew_join
 

@@ -13,7 +13,7 @@ from ..operators.deltas import actual_deltas
 from ..operators.graph import load_waves
 from ..operators.links import CONTACT_ROLE, Link, classify_links, route_to_link
 from ..operators.ranking import number_rows
-from ..operators.resolve import (best_ids, create_to_update, entry_value, has_entry, id_map_from_results, known_links,
+from ..operators.resolve import (create_to_update, entry_value, has_entry, id_map_from_results, known_links,
                                  natural_key_match, resolve_ids, resolve_references)
 from ..operators.rules import apply_rules
 from ..operators.skew import skew_join
