@@ -102,7 +102,6 @@ def page_blocks(page: str) -> list[tuple[str, str, float]]:
                     break
             continue
         if tag in RAW:
-            close_block() if tag in ("title", "head") else None
             raw = "" if token.endswith("/>") or tag == "head" else tag
             continue
         if tag == "br":
@@ -175,7 +174,8 @@ def host_suffix_index(length: int):
 
 
 def host_of(url: Column) -> Column:
-    return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
+    host = F.regexp_extract(F.coalesce(url, F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
+    return F.lower(F.regexp_replace(host, r"\s+", ""))
 
 
 def _article(blocks: list[tuple[str, str, float]]) -> list[str] | None:
