@@ -8,7 +8,7 @@ from ..session import work_folder
 
 WORD = r"[^ \t-\r]+"
 # Rows and bytes of one Arrow batch: what a Python worker holds of its input at a time.
-BATCH_ROWS, BATCH_BYTES = 256, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 
 def limit_batches(spark: SparkSession) -> None:

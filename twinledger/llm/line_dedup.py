@@ -2,35 +2,34 @@
 
 A line is the set of its words (A-Z lowered).  Two lines match if their sets have a Jaccard
 similarity of ``percent`` or more.  Words are ordered by how rare they are; two lines that match share a word among
-the first n - ceil(percent * n) + 1 of each (prefix filter), have similar sizes (length filter), and enough
-words left behind the shared one (positional filter).  What passes is compared completely.
+the first n - ceil(percent * n) + 1 of each (prefix filter), have similar sizes (length filter), enough
+words left behind the shared one (positional filter), and parity bits of their words that differ in no more places
+than words may differ.  What passes is compared completely.
 
 The order of words comes from a table of fixed size: counts of hashed words.  Any order that all
-lines share keeps the join exact; rare words first only makes it fast.  A second table of fixed
-size knows words that cannot stand in two lines; they are listed nowhere.
+lines share keeps the join exact; rare words first only makes it fast.  As a count is never too small,
+it also tells words that stand in one line only, and words whose lists are surely short.
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ..session import small
 from .common import keyed, limit_batches, same_row, stored
-from .setmath import compared, intersections
 from .windows import mix, word_bounds, word_codes
 
-COUNT_BITS, SEEN_BITS, CHUNKS = 16, 23, 64
-SHORT_LIST, BLOCK = 64, 1024
-# Characters taken at once in a task.
-PIECE = 1 << 20
-
-
-def _lines(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of the words of a text, and the line each stands in."""
-    bounds = word_bounds(text)
-    breaks = np.flatnonzero(np.frombuffer(text, dtype=np.uint8) == 10)
-    return word_codes(text, bounds), np.searchsorted(breaks, bounds[0])
+COUNT_BITS, NAME_BITS, CHUNKS = 22, 40, 64
+SHORT_LIST, BLOCK = 1024, 1024
+# Bytes of text taken at once in a task, and classes a task remembers to have listed.
+PIECE, REMEMBERED = 1 << 20, 500_000
+# Rows looked at together for pairs.
+PAIR_ROWS = 50_000
+BROADCAST = 8 << 20
 
 
 def _pieces(texts: list[bytes]):
@@ -45,82 +44,94 @@ def _pieces(texts: list[bytes]):
         low = high
 
 
-def _line_sets(texts: list[bytes], rarity: np.ndarray | None) -> tuple[np.ndarray, ...]:
+def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word codes of several texts, and for each word its text and line."""
+    joined = b"\n".join(texts).lower()
+    bounds = word_bounds(joined)
+    sizes = np.array([len(t) + 1 for t in texts])
+    ends = np.cumsum(sizes)
+    breaks = np.flatnonzero(np.frombuffer(joined, dtype=np.uint8) == 10)
+    line = np.searchsorted(breaks, bounds[0])
+    text = np.searchsorted(ends, bounds[0], side="right")
+    return word_codes(joined, bounds), text, line - np.searchsorted(breaks, ends - sizes)[text]
+
+
+def _slot(codes: np.ndarray) -> np.ndarray:
+    return (codes >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
+
+
+def _line_sets(texts: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, ...]:
     """Distinct words of every line of several texts, in the common order: code, text, line; and
     where each line begins."""
-    parts = [_lines(t.lower()) for t in texts]
-    codes = np.concatenate([c for c, _ in parts])
-    text = np.repeat(np.arange(len(parts)), [len(c) for c, _ in parts])
-    line = np.concatenate([x for _, x in parts])
+    codes, text, line = _words(texts)
     if not len(codes):
         return codes, text, line, np.zeros(0, dtype=np.int64)
     new = np.ones(len(codes), dtype=bool)
     new[1:] = (text[1:] != text[:-1]) | (line[1:] != line[:-1])
     group = np.cumsum(new) - 1
-    key = rarity[(codes >> np.uint64(64 - COUNT_BITS)).astype(np.int64)] if rarity is not None else np.zeros(len(codes), dtype=np.int64)
-    order = np.lexsort((codes, key, group))
+    # One sort key: the line (a piece has fewer than 2 ** 24, or the plain way below), the count on a fine
+    # logarithmic scale, the first bits of the code.
+    scale = np.minimum(np.log2(counts[_slot(codes)] + 1.0) * 8, 255).astype(np.uint64)
+    if group[-1] < 1 << 24:
+        order = np.argsort((group.astype(np.uint64) << np.uint64(40)) | (scale << np.uint64(32)) | (codes >> np.uint64(32)))
+        same = (codes[order][1:] >> np.uint64(32) == codes[order][:-1] >> np.uint64(32)) & (codes[order][1:] != codes[order][:-1])
+    if group[-1] >= 1 << 24 or (same & (group[order][1:] == group[order][:-1])).any():
+        order = np.lexsort((codes, scale, group))
+    at = np.flatnonzero(new)
     codes, group = codes[order], group[order]
     keep = np.ones(len(codes), dtype=bool)
     keep[1:] = (codes[1:] != codes[:-1]) | (group[1:] != group[:-1])
-    at = np.flatnonzero(new)[group[keep]]
     codes, group = codes[keep], group[keep]
-    starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-    return codes, text[at], line[at], starts
+    return codes, text[at][group], line[at][group], np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+
 
+def word_counts(rows: DataFrame) -> np.ndarray:
+    """Counts of hashed words, 2 ** 22 of them.  Tasks hand on tables of this size (packed), which
+    are added up by chunk."""
+    slots = 1 << COUNT_BITS
 
-def word_tables(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of hashed words (2 ** 16) and, as bits, which hashed words (2 ** 23) may stand in two
-    lines.  Tasks hand on tables of this size, which are added up by chunk."""
-    slots, seen_bytes = 1 << COUNT_BITS, (1 << SEEN_BITS) // 8
+    def pack(chunk, part):
+        return chunk, zlib.compress(np.minimum(part, np.iinfo(np.uint32).max).astype(np.uint32).tobytes(), 1)
+
+    def batch_of(cells):
+        return pa.RecordBatch.from_arrays([pa.array([c[0] for c in cells], pa.int32()), pa.array([c[1] for c in cells], pa.binary())],
+                                          names=["chunk", "counts"])
 
     def scan(batches):
-        counts, once, more = np.zeros(slots, dtype=np.int64), np.zeros(1 << SEEN_BITS, bool), np.zeros(1 << SEEN_BITS, bool)
+        counts = np.zeros(slots, dtype=np.int64)
         for batch in batches:
             texts = batch.column("_text").cast(pa.binary()).to_pylist()
             for low, high in _pieces(texts):
-                codes = _line_sets(texts[low:high], None)[0]
-                counts += np.bincount((codes >> np.uint64(64 - COUNT_BITS)).astype(np.int64), minlength=slots)
-                at, n = np.unique((mix(codes) >> np.uint64(64 - SEEN_BITS)).astype(np.int64), return_counts=True)
-                more[at] |= once[at] | (n > 1)
-                once[at] = True
-        yield from rows_of(counts, np.packbits(once), np.packbits(more))
-
-    def rows_of(counts, once, more):
-        cut = [np.split(x, CHUNKS) for x in (counts, once, more)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(CHUNKS), pa.int32()), *[pa.array([c.tobytes() for c in x], pa.binary()) for x in cut]],
-                                         names=["chunk", "counts", "once", "more"])
+                found, n = np.unique(_slot(_words(texts[low:high])[0]).astype(np.uint32), return_counts=True)
+                counts[found] += n
+        yield batch_of([pack(i, part) for i, part in enumerate(np.split(counts, CHUNKS))])
 
     def add(batches):
-        done: dict[int, list[np.ndarray]] = {}
+        done: dict[int, np.ndarray] = {}
         for batch in batches:
-            for chunk, *data in zip(*(c.to_pylist() for c in batch.columns)):
-                counts, once, more = (np.frombuffer(d, dtype=t) for d, t in zip(data, (np.int64, np.uint8, np.uint8)))
-                if chunk in done:
-                    c, o, m = done[chunk]
-                    done[chunk] = [c + counts, o | once, m | more | (o & once)]
-                else:
-                    done[chunk] = [counts, once, more]
+            for chunk, data in zip(*(c.to_pylist() for c in batch.columns)):
+                done[chunk] = done.get(chunk, 0) + np.frombuffer(zlib.decompress(data), dtype=np.uint32).astype(np.int64)
         if done:
-            yield pa.RecordBatch.from_arrays([pa.array(list(done), pa.int32()), *[pa.array([d[i].tobytes() for d in done.values()], pa.binary())
-                                                                                 for i in range(3)]], names=["chunk", "counts", "once", "more"])
-    schema = "chunk int, counts binary, once binary, more binary"
-    parts = rows.select("_text").mapInArrow(scan, schema).repartition("chunk").mapInArrow(add, schema).select("chunk", "counts", "more").collect()
-    counts, more = np.zeros(slots, dtype=np.int64), np.zeros(seen_bytes, dtype=np.uint8)
-    for r in parts:
-        i = r["chunk"]
-        counts[i * slots // CHUNKS:(i + 1) * slots // CHUNKS] = np.frombuffer(r["counts"], dtype=np.int64)
-        more[i * seen_bytes // CHUNKS:(i + 1) * seen_bytes // CHUNKS] = np.frombuffer(r["more"], dtype=np.uint8)
-    return counts, more
+            yield batch_of([pack(i, part) for i, part in done.items()])
+    schema = "chunk int, counts binary"
+    out = np.zeros((CHUNKS, slots // CHUNKS), dtype=np.uint32)
+    for r in rows.select("_text").mapInArrow(scan, schema).repartition("chunk").mapInArrow(add, schema).collect():
+        out[r["chunk"]] = np.frombuffer(zlib.decompress(r["counts"]), dtype=np.uint32)
+    return out.reshape(-1)
 
 
 def _ceil_share(n, percent: int):
     return -(-n * percent // 100)
 
 
-def _line_table(rows: DataFrame, counts: np.ndarray, more: np.ndarray, percent: int) -> DataFrame:
-    """A row per line with words: where it stands, a 128-bit key of its set, the set's size, and the words
-    of its prefix that may stand elsewhere, with their places."""
+def _line_table(rows: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+    """A row per line with words: where it stands, a hash and the parity bits of its set (its class), the
+    set's size, and the words of its prefix that may stand elsewhere, with their places and whether their lists are
+    surely short.  A task lists the words of a class once."""
+    shared = rows.sparkSession.sparkContext.broadcast(np.minimum(counts, (1 << 16) - 1).astype(np.uint16))
+
     def scan(batches):
+        counts, known = shared.value, set()
         for batch in batches:
             texts = batch.column("_text").cast(pa.binary()).to_pylist()
             for low, high in _pieces(texts):
@@ -128,24 +139,29 @@ def _line_table(rows: DataFrame, counts: np.ndarray, more: np.ndarray, percent:
                 if not len(starts):
                     continue
                 sizes = np.diff(np.append(starts, len(codes)))
-                c1 = np.add.reduceat(mix(codes + np.uint64(1)), starts).view(np.int64)
-                c2 = np.add.reduceat(mix(codes ^ np.uint64(0xA5A5A5A5A5A5A5A5)), starts).view(np.int64)
+                mixed = mix(codes + np.uint64(1))
+                key = np.add.reduceat(mixed, starts).view(np.int64)
+                # 128 parity bits: a word turns one of the first or one of the last 64.
+                bit, last = np.uint64(1) << (mixed >> np.uint64(58)), (mixed >> np.uint64(57)) & np.uint64(1) == 1
+                parity = [np.bitwise_xor.reduceat(np.where(half, bit, np.uint64(0)), starts).view(np.int64) for half in (~last, last)]
                 place = np.arange(len(codes)) - np.repeat(starts, sizes)
-                prefix = np.repeat(np.where(sizes > 1, sizes - _ceil_share(sizes, percent) + 1, 1), sizes)
+                prefix = np.repeat(sizes - _ceil_share(sizes, percent) + 1, sizes)
                 # Where nothing larger can match, a prefix of one word means that sets which match are equal.
-                apart = np.repeat((sizes * 100 // percent > sizes) | (sizes != _ceil_share(sizes, percent)), sizes)
-                at = (mix(codes) >> np.uint64(64 - SEEN_BITS)).astype(np.int64)
-                listed = (place < prefix) & apart & ((more[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)
-                ends = np.cumsum(listed)[np.append(starts[1:], len(codes)) - 1]
-                offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+                apart = (sizes * 100 // percent > sizes) | (sizes != _ceil_share(sizes, percent))
+                if len(known) > REMEMBERED:
+                    known = set()
+                fresh = np.array([not (k in known or known.add(k)) for k in zip(key.tolist(), parity[0].tolist())])
+                many = counts[_slot(codes)]
+                listed = np.flatnonzero((place < prefix) & np.repeat(apart & fresh, sizes) & (many > 1))
+                offsets = pa.array(np.searchsorted(listed, np.append(starts, len(codes))).astype(np.int32))
+                arrays = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (
+                    (codes[listed] >> np.uint64(64 - NAME_BITS)).view(np.int64), place[listed].astype(np.int32), many[listed] <= SHORT_LIST)]
                 pick = pa.array(text[starts] + low)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("_id").take(pick), batch.column("_h").take(pick), pa.array(line[starts].astype(np.int32)),
-                     pa.array(c1), pa.array(c2), pa.array(sizes.astype(np.int32)),
-                     pa.ListArray.from_arrays(offsets, pa.array(codes[listed].view(np.int64))),
-                     pa.ListArray.from_arrays(offsets, pa.array(place[listed].astype(np.int32)))],
-                    names=["_id", "_h", "line", "c1", "c2", "n", "words", "places"])
-    return rows.mapInArrow(scan, "_id long, _h long, line int, c1 long, c2 long, n int, words array<long>, places array<int>")
+                     pa.array(key), pa.array(parity[0]), pa.array(parity[1]), pa.array(sizes.astype(np.int32)), *arrays],
+                    names=["_id", "_h", "line", "key", "bits", "more", "n", "words", "places", "rare"])
+    return rows.mapInArrow(scan, "_id long, _h long, line int, key long, bits long, more long, n int, words array<long>, places array<int>, rare array<boolean>")
 
 
 def _spot(prefix: str = "") -> Column:
@@ -154,106 +170,120 @@ def _spot(prefix: str = "") -> Column:
     return F.struct(c("_id").isNull().alias("none"), c("_id").alias("_id"), c("_h").alias("_h"), c("line").alias("line"))
 
 
-def _could_match(a: Column, b: Column, percent: int) -> Column:
-    """Length and positional filter for two listings of one word (fields n, at)."""
-    need = F.ceil((a["n"] + b["n"]) * percent / (100 + percent) - 1e-9)
-    left = F.least(a["n"] - a["at"], b["n"] - b["at"])
-    return (a["n"] * 100 >= b["n"] * percent) & (b["n"] * 100 >= a["n"] * percent) & (left >= need)
-
-
-def _block_matches(placed: DataFrame, percent: int) -> DataFrame:
-    """``c1, c2, other1, other2`` of matching classes inside the groups (word, low, high) of a partition: for each
-    class the earliest of the group that it matches."""
-    schema = "c1 long, c2 long, other1 long, other2 long"
+def _close_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes that share a listed word and pass all filters.  Rows have ``w, key, bits, more, n, at``
+    and, for lists that are cut, ``blocks, side`` (which two blocks meet, and in which of them the row is)."""
+    names, group = ["a", "abits", "b", "bbits"], [c for c in ("w", "blocks") if c in rows.columns]
+    columns = [*group, "key", "bits", "more", "n", "at", *[c for c in ("side",) if c in rows.columns]]
 
-    def scan(batches):
-        held: list[tuple] = []
-
-        def flush():
-            sets = [np.array(r[8], dtype=np.int64) for r in held]
-            size = np.array([len(s) for s in sets])
-            common = intersections(sets)
-            linked = compared(np.array([r[3] for r in held])) & (100 * common >= percent * (size[:, None] + size[None, :] - common))
-            linked |= linked.T
-            rank = np.argsort(np.argsort([r[7] for r in held], kind="stable"), kind="stable")
-            best = np.where(linked, rank[None, :], len(held)).min(axis=1)
-            by_rank = np.argsort(rank)
-            pick = [(i, int(by_rank[b])) for i, b in enumerate(best.tolist()) if b < len(held)]
-            cells = [[held[i][4] for i, _ in pick], [held[i][5] for i, _ in pick], [held[j][4] for _, j in pick], [held[j][5] for _, j in pick]]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cells], names=["c1", "c2", "other1", "other2"])
+    def gathered(batches):
+        held = []
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and row[:3] != held[-1][:3]:
-                    yield flush()
-                    held = []
-                held.append(row)
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= PAIR_ROWS:
+                yield {c: np.concatenate([np.asarray(b.column(c)) for b in held]) for c in columns}
+                held = []
         if held:
-            yield flush()
-    return placed.mapInArrow(scan, schema)
+            yield {c: np.concatenate([np.asarray(b.column(c)) for b in held]) for c in columns}
+
+    def scan(batches):
+        rest = None
+        for part in gathered(batches):
+            if not len(part["w"]):
+                continue
+            if rest is not None:
+                part = {c: np.concatenate([rest[c], part[c]]) for c in columns}
+            last = np.ones(len(part["w"]), dtype=bool)
+            for c in group:
+                last &= part[c] == part[c][-1]
+            cut = int(np.argmax(last))  # the last list may go on
+            rest = {c: part[c][cut:] for c in columns}
+            if cut:
+                yield pairs({c: part[c][:cut] for c in columns})
+        if rest is not None:
+            yield pairs(rest)
+
+    def pairs(part):
+        key, bits, more, n, at = (part[c] for c in ("key", "bits", "more", "n", "at"))
+        found = []
+        i = np.arange(len(key))
+        step = 1
+        while len(i):
+            i = i[i + step < len(key)]
+            for c in group:
+                i = i[part[c][i] == part[c][i + step]]
+            x, j = i, i + step
+            if "side" in part:  # of two blocks, one against the other; of one block, all
+                good = (part["side"][x] != part["side"][j]) | (part["blocks"][x] % (1 << 31) == part["blocks"][x] >> 31)
+                x, j = x[good], j[good]
+            total = n[x] + n[j]
+            need = -(-total * percent // (100 + percent))
+            good = (n[x] * 100 >= n[j] * percent) & (n[j] * 100 >= n[x] * percent) & (np.minimum(n[x] - at[x], n[j] - at[j]) >= need)
+            x, j, most = x[good], j[good], (total - 2 * need)[good]
+            bits_apart = sum(np.bitwise_count((b[x] ^ b[j]).view(np.uint64)).astype(np.int64) for b in (bits, more))
+            good = (bits_apart <= most) & ((key[x] != key[j]) | (bits[x] != bits[j]))
+            found.append(np.stack([x[good], j[good]]))
+            step += 1
+        x, j = np.concatenate(found, axis=1) if found else (i, i)
+        cells = np.unique(np.stack([key[x], bits[x], key[j], bits[j]]), axis=1) if len(x) else np.zeros((4, 0), dtype=np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cells], names=names)
+    return rows.repartition(*group).sortWithinPartitions(*group).mapInArrow(scan, ", ".join(f"{c} long" for c in names))
 
 
 def duplicate_lines(docs: DataFrame, percent: int = 80, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """The keyed rows and ``_id, _h, lines``: the numbers of the lines to remove from each row."""
     limit_batches(docs.sparkSession)
     rows = keyed(docs, text, key)
-    counts, more = word_tables(rows)
-    lines = stored(_line_table(rows, counts, more, percent), "lines")
-    classes = stored(lines.groupBy("c1", "c2").agg(F.min(_spot()).alias("first"), F.count("*").alias("copies"),
-                                                   F.first("n").alias("n"), F.first("words").alias("words"), F.first("places").alias("places")),
-                     "line-classes")
-    listed = classes.select("c1", "c2", "n", F.explode(F.arrays_zip("words", "places")).alias("x")).select(
-        "c1", "c2", "n", F.col("x.words").alias("w"), F.col("x.places").alias("at"))
-    often = stored(listed.groupBy("w").agg(F.count("*").alias("m")).filter("m > 1"), "line-lists")
-    listed = listed.join(often, "w")
-    short = listed.filter(F.col("m") <= SHORT_LIST).groupBy("w").agg(F.sort_array(F.collect_list(F.struct("n", "at", "c1", "c2"))).alias("l"))
-    first = short.select("l", F.posexplode("l").alias("i", "x"))
-    pairs = first.select("x", F.explode(F.slice("l", F.col("i") + 2, F.lit(SHORT_LIST))).alias("y")).filter(_could_match(F.col("x"), F.col("y"), percent))
-    pairs = stored(pairs.select(F.col("x.c1").alias("a1"), F.col("x.c2").alias("a2"), F.col("y.c1").alias("b1"), F.col("y.c2").alias("b2")).distinct(),
-                   "line-pairs")
-    long = stored(listed.filter(F.col("m") > SHORT_LIST).select("w", "m", "c1", "c2"), "long-lists")
+    lines = stored(_line_table(rows, word_counts(rows), percent), "lines")
+    owner = ["key", "bits"]
+    classes = stored(lines.groupBy(*owner).agg(F.min(_spot()).alias("first"), F.count("*").alias("copies")), "line-classes")
+    listed = lines.select(*owner, "more", "n", F.explode(F.arrays_zip("words", "places", "rare")).alias("x")).select(
+        F.col("x.words").alias("w"), *owner, "more", "n", F.col("x.places").alias("at"), "x.rare")
+    pairs = _close_pairs(listed.filter("rare").drop("rare"), percent)
+
+    # Lists that may be long are cut into blocks, and every two blocks meet.
+    others = stored(listed.filter(~F.col("rare")).drop("rare").distinct(), "frequent-words")
+    often = stored(others.groupBy("w").agg(F.count("*").alias("m")).filter("m > 1"), "word-lists")
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    cut = others.join(often, "w").withColumn("_b", F.pmod(F.xxhash64(*owner), blocks).cast("long")).withColumn(
+        "_o", F.explode(F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1)))
+    meeting = (F.greatest("_b", "_o") * F.lit(1 << 31) + F.least("_b", "_o")).alias("blocks")
+    cut = cut.select("w", meeting, *owner, "more", "n", "at", F.when(F.col("_b") > F.col("_o"), 1).otherwise(0).alias("side"))
+    pairs = stored(pairs.unionByName(_close_pairs(cut, percent)).distinct(), "line-pairs")
 
     # Complete sets of the classes that meet another.
-    met = pairs.select(F.col("a1").alias("c1"), F.col("a2").alias("c2")).unionByName(pairs.select(F.col("b1").alias("c1"), F.col("b2").alias("c2"))
-                                                                                  ).unionByName(long.select("c1", "c2")).distinct()
-    wanted = classes.join(met, ["c1", "c2"]).select("first._id", "first._h", F.struct("c1", "c2", "first.line").alias("x"))
-    wanted = wanted.groupBy("_id", "_h").agg(F.collect_list("x").alias("wanted"))
-    texts = rows.join(wanted, same_row(rows, wanted)).select(rows["_text"], "wanted")
+    met = pairs.select(F.col("a").alias("key"), F.col("abits").alias("bits")).unionByName(
+        pairs.select(F.col("b").alias("key"), F.col("bbits").alias("bits"))).distinct()
+    wanted = classes.join(met, owner).select("first._id", "first._h", F.struct(*owner, "first.line").alias("x"))
+    wanted = stored(wanted.groupBy("_id", "_h").agg(F.collect_list("x").alias("wanted")), "wanted-lines")
+    texts = rows.join(small(wanted, BROADCAST), same_row(rows, wanted)).select(rows["_text"], "wanted")
 
     def fetch(batches):
         for batch in batches:
             out = []
             for t, want in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist()):
                 parts = t.lower().split(b"\n")
-                out += [(w["c1"], w["c2"], np.unique(word_codes(parts[w["line"]])).view(np.int64)) for w in want]
+                out += [(w["key"], w["bits"], np.unique(word_codes(parts[w["line"]])).view(np.int64)) for w in want]
             yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()),
-                                              pa.array([o[2] for o in out], pa.list_(pa.int64()))], names=["c1", "c2", "set"])
-    sets = stored(texts.mapInArrow(fetch, "c1 long, c2 long, set array<long>"), "line-sets")
-    side = lambda a, b, c: sets.select(F.col("c1").alias(a), F.col("c2").alias(b), F.col("set").alias(c))
-    checked = pairs.join(side("a1", "a2", "sa"), ["a1", "a2"]).join(side("b1", "b2", "sb"), ["b1", "b2"])
+                                              pa.array([o[2] for o in out], pa.list_(pa.int64()))], names=["key", "bits", "set"])
+    # A row that is there twice gives its sets twice.
+    sets = stored(texts.mapInArrow(fetch, "key long, bits long, set array<long>").dropDuplicates(owner), "line-sets")
+    side = lambda a, b, c: sets.select(F.col("key").alias(a), F.col("bits").alias(b), F.col("set").alias(c))
+    checked = pairs.join(side("a", "abits", "sa"), ["a", "abits"]).join(side("b", "bbits", "sb"), ["b", "bbits"])
     common = F.size(F.array_intersect("sa", "sb"))
-    checked = checked.filter(common * 100 >= (F.size("sa") + F.size("sb") - common) * percent).select("a1", "a2", "b1", "b2")
-    matches = checked.select(F.col("a1").alias("c1"), F.col("a2").alias("c2"), F.col("b1").alias("other1"), F.col("b2").alias("other2"))
-    matches = matches.unionByName(checked.select(F.col("b1").alias("c1"), F.col("b2").alias("c2"), F.col("a1").alias("other1"), F.col("a2").alias("other2")))
-    if not long.isEmpty():
-        blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-        spread = long.withColumn("_b", F.pmod(F.xxhash64("c1", "c2"), blocks).cast("int")).withColumn("_o", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        hexed = lambda c: F.lpad(F.hex(c.bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")  # noqa: E731  sorts as the numbers do
-        spots = classes.select("c1", "c2", F.concat_ws(
-            " ", F.col("first.none").cast("string"), hexed(F.coalesce("first._id", F.lit(0))), hexed(F.col("first._h")),
-            hexed(F.col("first.line").cast("long"))).alias("spot"))
-        placed = spread.join(sets, ["c1", "c2"]).join(spots, ["c1", "c2"]).select(
-            "w", F.least("_b", "_o").alias("low"), F.greatest("_b", "_o").alias("high"), F.when(F.col("_b") > F.col("_o"), 1).otherwise(0).alias("side"),
-            "c1", "c2", "m", "spot", "set")
-        placed = placed.repartition("w", "low", "high").sortWithinPartitions("w", "low", "high", "c1", "c2")
-        matches = matches.unionByName(_block_matches(placed, percent))
+    checked = checked.filter(common * 100 >= (F.size("sa") + F.size("sb") - common) * percent).select("a", "abits", "b", "bbits")
+    checked = stored(checked, "line-matches")
+    names = ["key", "bits", "other", "obits"]
+    matches = checked.toDF(*names).unionByName(checked.select("b", "bbits", "a", "abits").toDF(*names))
 
     # A line goes if it, or a line it matches, stands earlier.
-    others = classes.select(F.col("c1").alias("other1"), F.col("c2").alias("other2"), F.col("first").alias("_theirs"))
-    earliest = matches.join(others, ["other1", "other2"]).groupBy("c1", "c2").agg(F.min("_theirs").alias("_theirs"))
-    marks = classes.join(earliest, ["c1", "c2"], "left").select("c1", "c2", F.least("first", "_theirs").alias("mark"), "copies", "first")
-    marks = stored(marks.filter((F.col("copies") > 1) | (F.col("mark") < F.col("first"))).select("c1", "c2", "mark"), "line-marks")
-    gone = lines.select("_id", "_h", "line", "c1", "c2").join(marks, ["c1", "c2"]).filter(_spot() > F.col("mark"))
-    return rows, gone.groupBy("_id", "_h").agg(F.collect_set("line").alias("lines"))
+    theirs = classes.select(F.col("key").alias("other"), F.col("bits").alias("obits"), F.col("first").alias("_theirs"))
+    earliest = matches.join(theirs, ["other", "obits"]).groupBy(*owner).agg(F.min("_theirs").alias("_theirs"))
+    marks = classes.join(earliest, owner, "left").select(*owner, F.least("first", "_theirs").alias("mark"), "copies", "first")
+    marks = stored(marks.filter((F.col("copies") > 1) | (F.col("mark") < F.col("first"))).select(*owner, "mark"), "line-marks")
+    gone = lines.select("_id", "_h", "line", *owner).join(small(marks, BROADCAST), owner).filter(_spot() > F.col("mark"))
+    gone = gone.groupBy("_id", "_h").agg(F.collect_set("line").alias("lines"))
+    return rows, small(stored(gone, "gone-lines"), BROADCAST)
 
 
 def _kept(text: str, lines: list[int] | None) -> tuple[int, int, str]:
@@ -272,9 +302,11 @@ def drop_repeated_lines(docs: DataFrame, percent: int = 80, text: str = "text",
     """
     rows, gone = duplicate_lines(docs, percent, text, key)
     front = [F.struct("*").alias("row")] if carry else []
-    rows = docs.select(*front, F.col(key).alias(key), F.col(key).alias("_id"), F.xxhash64(F.col(text)).alias("_h"), F.col(text).alias("_text"))
-    names = [c for c in rows.columns if not c.startswith("_")]
-    joined = rows.join(gone, same_row(rows, gone), "left").select(*names, "_text", "lines")
+    own = [F.col(key).alias("_id"), F.xxhash64(F.col(text)).alias("_h")]
+    rows = docs.select(*front, *own) if carry else docs.select(*own, F.col(text).alias("_text"))
+    names = ["row", key] if carry else [key]
+    joined = rows.join(gone, same_row(rows, gone), "left").select(
+        *front and ["row"], rows["_id"].alias(key), F.col(f"row.`{text}`").alias("_text") if carry else "_text", "lines")
 
     def scan(batches):
         for batch in batches:
@@ -283,6 +315,6 @@ def drop_repeated_lines(docs: DataFrame, percent: int = 80, text: str = "text",
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(names)], pa.array([o[0] for o in out], pa.int64()),
                                               pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.string())],
                                              names=[*names, "n_lines", "n_removed", "kept"])
-    schema = T.StructType([*(rows.schema[c] for c in names), T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType()),
+    schema = T.StructType([*(joined.schema[c] for c in names), T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType()),
                            T.StructField("kept", T.StringType())])
     return joined.mapInArrow(scan, schema)
