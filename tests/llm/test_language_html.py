@@ -82,6 +82,14 @@ def test_blocks():
     assert page_blocks("") == [] and page_blocks("<") == [(OPEN, "<", 0.0)]
 
 
+def test_scripts_end_at_their_own_end_tag():
+    for script in ("for(i=0;i<n;i++){f(i)}", "if(a<b){s='<p>';t=\"it's\"}", "<!-- x<y", "var s='</scripted>'"):
+        for end in ("</script>", "</SCRIPT >"):
+            page = f"<body><script>{script}{end}<article><p>Text</p></article><script>g()</script><p>after"
+            assert [(k, t) for k, t, _ in page_blocks(page)] == [(MAIN, "Text"), (OPEN, "after")], script
+    assert page_blocks("<p>a<style>b<c") == [(OPEN, "a", 0.0)]
+
+
 def test_extraction(spark):
     def page(i):
         return (f"<body><div>Welcome to our big site about the cats and dogs of town</div><div><p>Unique text number {i} about thing {i * 7} with "

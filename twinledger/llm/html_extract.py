@@ -40,6 +40,7 @@ NAMES = frozenset(("ad ads advert advertisement advertising adsense banner spons
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|</?[a-zA-Z][^\s/>]*(?:\"[^\"]*\"|'[^']*'|[^'\">])*>|[^<]+|<", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+_RAW_END = {tag: re.compile(rf"</{tag}(?![^\s/>])[^>]*>?", re.I) for tag in RAW}
 _SPACES = re.compile(r"\s+")
 MAIN, OPEN, OUT = "M", "O", "X"
 
@@ -74,13 +75,10 @@ def page_blocks(page: str) -> list[tuple[str, str, float]]:
         text.clear()
         linked = 0
 
-    raw = ""
-    for m in _TOKEN.finditer(page):
-        token = m.group()
-        if raw:
-            if token[:2] == "</" and (n := _NAME.match(token)) and n.group(1).lower() == raw:
-                raw = ""
-            continue
+    at = 0
+    while at < len(page):
+        m = _TOKEN.match(page, at)
+        token, at = m.group(), m.end()
         if token[0] != "<" or token == "<":
             told = html.unescape(token)
             text.append(told)
@@ -102,7 +100,10 @@ def page_blocks(page: str) -> list[tuple[str, str, float]]:
                     break
             continue
         if tag in RAW:
-            raw = "" if token.endswith("/>") or tag == "head" else tag
+            if not token.endswith("/>") and tag != "head":
+                # Only its own end tag ends it: a '<' inside is no tag.
+                end = _RAW_END[tag].search(page, at)
+                at = end.end() if end else len(page)
             continue
         if tag == "br":
             text.append(" ")
