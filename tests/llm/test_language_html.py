@@ -90,6 +90,17 @@ def test_scripts_end_at_their_own_end_tag():
     assert page_blocks("<p>a<style>b<c") == [(OPEN, "a", 0.0)]
 
 
+def test_names_of_wrappers_do_not_decide():
+    kinds = lambda page: [(k, t) for k, t, _ in page_blocks(page)]
+    for name in ("class='content no-sidebar'", "class=has-sidebar", "class=layout-sidebar-right", "id=search-page", "class=search", "id=banner"):
+        assert kinds(f"<body {name}><div {name}><article><p>Text</p></article></div>") == [(MAIN, "Text")], name
+        assert kinds(f"<div {name}><div role=main>Text</div></div><div class=sidebar>Side</div>") == [(MAIN, "Text"), (OUT, "Side")], name
+    assert kinds("<article><div class=article-header><h1>Head</h1></div><div class='entry-header'>By</div></article>") == [(MAIN, "Head"), (MAIN, "By")]
+    assert kinds("<div class=no-sidebar>Open</div><div class=cookie-notice>C</div>") == [(OPEN, "Open"), (OUT, "C")]
+    assert kinds("<article>A<section id=comments><article>first!</article></section></article>") == [(MAIN, "A"), (OUT, "first!")]
+    assert kinds("<div class=sidebar><p>x</p><nav>n<article>y</article></nav></div>") == [(OUT, "x"), (OUT, "n"), (OUT, "y")]
+
+
 def test_extraction(spark):
     def page(i):
         return (f"<body><div>Welcome to our big site about the cats and dogs of town</div><div><p>Unique text number {i} about thing {i * 7} with "

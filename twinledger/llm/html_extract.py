@@ -46,23 +46,34 @@ MAIN, OPEN, OUT = "M", "O", "X"
 
 
 def _is_furniture(tag: str, attributes: dict[str, str], in_main: bool) -> bool:
+    """Whether the element itself, its role or its style says so."""
     if tag in FURNITURE or tag == "header" and not in_main:
         return True
     if attributes.get("role", "").lower() in ROLES or attributes.get("aria-hidden") == "true":
         return True
-    if re.search(r"display\s*:\s*none", attributes.get("style", "")):
-        return True
-    if tag in ("html", "body", "article", "main"):
+    return bool(re.search(r"display\s*:\s*none", attributes.get("style", "")))
+
+
+def _is_named(tag: str, attributes: dict[str, str]) -> bool:
+    """Whether a class or the id is a listed name, or put together of listed names only (cookie-notice, but not no-sidebar)."""
+    if tag in ("html", "body", "article", "main") or attributes.get("role") == "main":
         return False
-    names = re.split(r"[^a-z0-9]+", f"{attributes.get('class', '')} {attributes.get('id', '')}".lower())
-    return any(n in NAMES for n in names)
+    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split()
+    parts = ([p for p in re.split(r"[^a-z0-9]+", n) if p] for n in names)
+    return any(p and all(x in NAMES for x in p) for p in parts)
 
 
 def page_blocks(page: str) -> list[tuple[str, str, float]]:
-    """Blocks of a page in order: what they are (main, open, out), text, share of it in links."""
-    out: list[tuple[str, str, float]] = []
-    # Open elements: name, furniture, inside an article, inside a link.
-    stack: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]
+    """Blocks of a page in order: what they are (main, open, out), text, share of it in links.
+
+    A name decides for an element unless that holds an article or main.  What is nested in an article
+    (HTML: comments and the like) does not clear names inside that article."""
+    out: list[tuple[bool, tuple[int, ...], bool, str, float]] = []
+    # Open elements: name, furniture, numbers of the named elements around, inside a marked element, inside an article, inside a link.
+    stack: list[tuple[str, bool, tuple[int, ...], bool, bool, bool]] = [("", False, (), False, False, False)]
+    # Of each named element: whether its name decides, whether it stands in an article.
+    decides: list[bool] = []
+    nested: list[bool] = []
     text: list[str] = []
     linked = 0
 
@@ -70,8 +81,8 @@ def page_blocks(page: str) -> list[tuple[str, str, float]]:
         nonlocal linked
         told = _SPACES.sub(" ", "".join(text)).strip()
         if told:
-            _, furniture, main, _ = stack[-1]
-            out.append((OUT if furniture else MAIN if main else OPEN, told, linked / max(1, len(told))))
+            _, furniture, named, main, _, _ = stack[-1]
+            out.append((furniture, named, main, told, linked / max(1, len(told))))
         text.clear()
         linked = 0
 
@@ -82,7 +93,7 @@ def page_blocks(page: str) -> list[tuple[str, str, float]]:
         if token[0] != "<" or token == "<":
             told = html.unescape(token)
             text.append(told)
-            if stack[-1][3]:
+            if stack[-1][5]:
                 linked += len(told)
             continue
         name = _NAME.match(token)
@@ -120,12 +131,20 @@ def page_blocks(page: str) -> list[tuple[str, str, float]]:
         if tag in VOID or token.endswith("/>"):
             continue
         attributes = {a.lower(): x or y or z for a, x, y, z in _ATTRIBUTE.findall(token[len(name.group()):])}
-        _, furniture, main, link = stack[-1]
+        _, furniture, named, main, article, link = stack[-1]
         furniture = furniture or _is_furniture(tag, attributes, main)
-        main = main or tag in ("article", "main") or attributes.get("role") == "main"
-        stack.append((tag, furniture, main, link or tag == "a"))
+        if tag in ("article", "main") or attributes.get("role") == "main":
+            main = True
+            if not furniture:
+                for i in named:
+                    decides[i] = decides[i] and nested[i]
+        if _is_named(tag, attributes):
+            named = (*named, len(decides))
+            decides.append(True)
+            nested.append(article)
+        stack.append((tag, furniture, named, main, article or tag == "article", link or tag == "a"))
     close_block()
-    return out
+    return [(OUT if furniture or any(decides[i] for i in named) else MAIN if main else OPEN, told, share) for furniture, named, main, told, share in out]
 
 
 @dataclass(frozen=True)
