@@ -120,6 +120,40 @@ def test_extraction(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in got)
 
 
+def _texts(spark, rows):
+    got = extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return {r["page_id"]: r["text"] for r in got}
+
+
+def _own(i):
+    return f"Unique text number {i} about thing {i * 7} with words {i * 13} {i * 17} and {i * 31} more"
+
+
+def test_copied_pages_and_shared_paragraphs_stay(spark):
+    rights = "All rights reserved by the big site about cats and dogs company"
+    quote = "A paragraph of a dozen words or so that two articles of this host share with each other"
+    cited = "".join(f"<li><a href={i}>Smith and Jones {i}</a></li>" for i in range(5))
+    rows = [(i, f"http://h/{i}", f"<div><p>{_own(i)}</p></div><div>{rights}</div>") for i in range(8)]
+    rows += [(20 + i, f"http://h/20?v={i}", f"<nav>n{i}</nav><div>{_own(20)}</div><div>{rights}</div>") for i in range(6)]
+    rows += [(30 + i, f"http://h/{30 + i}", f"<p>{_own(30 + i)}<p>{quote}<div>{rights}</div>") for i in range(2)]
+    rows += [(40, "http://h/40", f"<p>{_own(40)}<ul>{cited}</ul><div>{rights}</div>")]
+    want = {i: _own(i) for i in range(8)} | {20 + i: _own(20) for i in range(6)} | {30 + i: f"{_own(30 + i)}\n\n{quote}" for i in range(2)}
+    want[40] = "\n\n".join([_own(40), *(f"Smith and Jones {i}" for i in range(5))])
+    assert _texts(spark, rows) == want
+
+
+def test_shared_runs_are_counted_exactly(spark):
+    """A window in ever other company, many times in one page, counts that page once."""
+    line = "one two three four five six seven eight nine ten"
+    rows = [(i, f"http://h/{i}", f"<p>{_own(i)}<p>{line}") for i in range(2)]
+    rows += [(2, "http://h/2", "".join(f"<p>{line}<p>{_own(50 + i)}" for i in range(6)))]
+    rows += [(5 + i, f"http://g/{i}", f"<p>{_own(i)}<p>{line}<p>{_own(i + 20)}") for i in range(2)]
+    few = _texts(spark, rows[1:])
+    assert all(line in text for text in few.values())
+    more = _texts(spark, rows)
+    assert [i for i, text in sorted(more.items()) if line in text] == [5, 6]
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     before, columns = docs, docs.columns

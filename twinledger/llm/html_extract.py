@@ -3,24 +3,26 @@
 Markup decides what is surely furniture (navigation, scripts, adverts, forms, comments ...) and what
 is surely the article.  Pages that mark no article keep *open* blocks, for which the host decides:
 token streams of its pages, furniture and open blocks one after another, are put together;
-long substrings that stand in distinct pages are found by suffix sorting; open blocks covered by
-them go, and so do blocks that are mostly links.  Streams are grouped by anchors (see ``repeats``), so a
+long substrings that stand in several distinct pages, and in a share of all of them, are found by suffix
+sorting; open blocks covered by them go.  Streams are grouped by anchors (see ``repeats``), so a
 host with a third of all pages is spread over many tasks.  Marked articles are in no stream:
 copies of an article are no furniture, however many there are.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .common import limit_batches, same_row, stored
-from .repeats import Windows, merged, repeated_spans, run_lengths
+from .repeats import LEAST_PAGES, Windows, merged, repeated_spans, run_lengths
 from .suffix_dedup import _dense
 from .windows import word_bounds, word_codes
 
@@ -167,7 +169,7 @@ class HostWindows(Windows):
 
 def host_suffix_index(length: int):
     """Index for ``repeats``: suffixes of all streams in a shard, sorted by their first ``length`` tokens
-    (ranks by doubling); equal neighbours of distinct pages are shared."""
+    (ranks by doubling).  Windows with equal neighbours are told with the set of segments that hold them."""
     def look(data, n, first, last, windows, at):
         parts = []
         for d in data:
@@ -185,11 +187,14 @@ def host_suffix_index(length: int):
         owner = np.repeat(np.arange(len(data)), windows)
         order, place = _dense([rank[begin], rank[begin + length - width]])
         groups = int(place.max(initial=-1)) + 1
-        low, high = np.full(groups, np.iinfo(np.int64).max), np.full(groups, np.iinfo(np.int64).min)
-        np.minimum.at(low, place, first[owner])
-        np.maximum.at(high, place, last[owner])
-        hit = low[place] < high[place]
-        return [run_lengths(np.zeros(w, dtype=np.int64), h) for w, h in zip(windows.tolist(), np.split(hit, np.cumsum(windows)[:-1]))]
+        # The code of a set is the sum of its members' codes.
+        member = np.array([int.from_bytes(hashlib.blake2b(d, digest_size=8).digest(), "big") for d in data], dtype=np.uint64)
+        pairs = np.unique(place * len(data) + owner)
+        held = np.zeros(groups, dtype=np.uint64)
+        np.add.at(held, pairs // len(data), member[pairs % len(data)])
+        hit = np.bincount(place, weights=n[owner], minlength=groups)[place] >= LEAST_PAGES
+        cuts = np.cumsum(windows)[:-1]
+        return [run_lengths(f, h) for f, h in zip(np.split(held.view(np.int64)[place], cuts), np.split(hit, cuts))]
     return look
 
 
@@ -204,6 +209,26 @@ def _article(blocks: list[tuple[str, str, float]]) -> list[str] | None:
     return found or None
 
 
+def _page(host: str, blocks: list[tuple[str, str, float]]) -> int:
+    """Number of a page: pages of a host whose blocks outside of furniture are equal are copies of one page."""
+    body = "\n".join([host, *(f"{kind} {t}" for kind, t, _ in blocks if kind != OUT)])
+    return int.from_bytes(hashlib.blake2b(body.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+def _kept(blocks: list[tuple[str, float, str, int, int]], length: int, covered: float, links: float) -> list[str]:
+    """Texts of the blocks that stay; blocks are kind, share of links, text, words, words in shared substrings.
+
+    Neighbours that are mostly links are one list: it goes if it is covered, or too short to be covered."""
+    out = []
+    for (kind, linked), run in groupby(blocks, lambda b: (b[0], b[0] == OPEN and b[1] > links)):
+        run = list(run)
+        size, hit = sum(b[3] for b in run), sum(b[4] for b in run)
+        if kind == OUT or linked and (size < length or hit >= covered * size):
+            continue
+        out += [t for _, _, t, words, h in run if linked or h < covered * max(1, words)]
+    return out
+
+
 def _result(batch, count: int, kept: list[list[str]], names: list[str]) -> pa.RecordBatch:
     told = ["\n\n".join(k) for k in kept]
     return pa.RecordBatch.from_arrays([*batch.columns[:count], pa.array(told, pa.string()), pa.array([len(t) for t in told], pa.int64())],
@@ -211,18 +236,20 @@ def _result(batch, count: int, kept: list[list[str]], names: list[str]) -> pa.Re
 
 
 def extract_text(pages: DataFrame, length: int = 8, covered: float = 0.8, links: float = 0.5, markup: str = "html", key: str = "page_id",
-                 url: str = "url") -> DataFrame:
+                 url: str = "url", share: float = 0.1) -> DataFrame:
     """``key, url, text, n_chars`` per input row: the main text, blocks joined by blank lines.
 
     White space inside a block becomes one space, character references are decoded.  Null and empty
     pages give empty text.  An article that the page marks is kept as it is, but for furniture inside it.
     Without one, blocks outside of furniture stay unless at least ``covered`` of their tokens lie in
-    substrings of ``length`` or more tokens that another page (id) of the host holds as well, or more than
-    ``links`` of their characters are links.  Pages without a host form one host; rows
-    of the same id are one page.  Other columns are ignored.
+    substrings of ``length`` or more tokens that stand in at least three pages and a ``share`` of all pages of the host.
+    A list of blocks with more than ``links`` of their characters in links goes by the same rule as a whole, or if it
+    has fewer than ``length`` words, which no substring can cover.  Pages without a host form one host.  Rows of the
+    same id are one page, and so are pages whose blocks outside of furniture are equal: copies of a page cover
+    nothing.  Other columns are ignored.
     """
     limit_batches(pages.sparkSession)
-    rows = pages.select(F.col(key).alias("_id"), F.col(url).alias("_url"), F.xxhash64(F.col(markup)).alias("_h"), host_of(F.col(url)).alias("_host"),
+    rows = pages.select(F.col(key).alias("_id"), F.col(url).alias("_url"), F.xxhash64(F.col(markup)).alias("_h"), host_of(F.col(url)).alias("_host"), F.xxhash64(host_of(F.col(url))).alias("_site"),
                         F.coalesce(F.col(markup), F.lit("")).alias("_html"))
     id_type = pages.schema[key].dataType
     schema = T.StructType([T.StructField(key, id_type), T.StructField(url, T.StringType()),
@@ -238,13 +265,14 @@ def extract_text(pages: DataFrame, length: int = 8, covered: float = 0.8, links:
     def streams(batches):
         """Host line, then a line per block outside of marked articles, led by its kind and share of links."""
         for b in batches:
-            out, found = [], []
+            out, found, page = [], [], []
             for host, h in zip(b.column("_host").to_pylist(), b.column("_html").to_pylist()):
                 blocks = page_blocks(h)
                 found.append(_article(blocks) is not None)
+                page.append(_page(host, blocks))
                 out.append("\n".join([host or "-", *(f"{kind}{round(share * 100)} {t}" for kind, t, share in blocks if kind != MAIN)]))
-            yield pa.RecordBatch.from_arrays([b.column("_id"), b.column("_url"), b.column("_h"), pa.array(out, pa.string()), pa.array(found, pa.bool_())],
-                                             names=["_id", "_url", "_h", "_text", "_marked"])
+            yield pa.RecordBatch.from_arrays([b.column("_id"), b.column("_url"), b.column("_h"), b.column("_site"), pa.array(page, pa.int64()), pa.array(out, pa.string()), pa.array(found, pa.bool_())],
+                                             names=["_id", "_url", "_h", "_site", "_page", "_text", "_marked"])
 
     def decided(batches):
         for b in batches:
@@ -254,24 +282,24 @@ def extract_text(pages: DataFrame, length: int = 8, covered: float = 0.8, links:
                 hit = np.zeros(sum(len(t.encode().split()) for t in blocks) + 1, dtype=np.int64)
                 for a, z in merged(spans):
                     hit[a:z] = 1
-                at, texts = 0, []
+                at, told = 0, []
                 for block in blocks:
                     size = len(block.encode().split())
-                    kind, told = block.split(" ", 1)
-                    part = hit[at + 1:at + size].sum() / max(1, size - 1)
+                    kind, text = block.split(" ", 1)
+                    told.append((kind[0], int(kind[1:]) / 100, text, size - 1, int(hit[at + 1:at + size].sum())))
                     at += size
-                    if kind[0] == OPEN and part < covered and int(kind[1:]) <= links * 100:
-                        texts.append(told)
-                kept.append(texts)
+                kept.append(_kept(told, length, covered, links))
             yield _result(b, 2, kept, names)
 
     done = rows.select("_id", "_url", "_html").mapInArrow(marked, schema)
     # The streams are short, as articles are left out, and are needed several times.
     stream = stored(rows.mapInArrow(streams, T.StructType([
-        T.StructField("_id", id_type), T.StructField("_url", T.StringType()), T.StructField("_h", T.LongType()),
-        T.StructField("_text", T.StringType()), T.StructField("_marked", T.BooleanType())])), "streams")
+        T.StructField("_id", id_type), T.StructField("_url", T.StringType()), T.StructField("_h", T.LongType()), T.StructField("_site", T.LongType()),
+        T.StructField("_page", T.LongType()), T.StructField("_text", T.StringType()), T.StructField("_marked", T.BooleanType())])), "streams")
     spec = HostWindows(length, max(1, length // 2), words=True, rule="shared")
-    spans = repeated_spans(stream.select("_id", "_h", "_text"), spec, host_suffix_index(length))
+    sites = stream.groupBy("_site").agg(F.countDistinct("_page").alias("_p"), F.countDistinct(F.coalesce("_id", "_page")).alias("_i"))
+    enough = stored(sites.select("_site", F.greatest(F.ceil(F.round(F.least("_p", "_i") * share, 6)), F.lit(LEAST_PAGES)).alias("_least")), "sites")
+    spans = repeated_spans(stream.select("_id", "_h", "_text", "_page", "_site"), spec, host_suffix_index(length), enough)
     rest = stream.filter(~F.col("_marked"))
     rest = rest.join(spans, same_row(rest, spans), "left").select(rest["_id"], "_url", "_text", "spans")
     return done.unionByName(rest.mapInArrow(decided, schema))

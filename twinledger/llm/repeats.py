@@ -21,12 +21,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import small
 from .common import limit_batches, same_row, stored
 from .windows import byte_codes, segments, word_bounds, word_codes
 
 # Bytes of one in-task index.
 SHARD_BYTES = 1 << 19
 NO_ID = (1 << 63) - 1
+# A "shared" window stands in so many pages, however small its site.
+LEAST_PAGES = 3
+BROADCAST = 8 << 20
 RUNS = "array<struct<from:int,to:int,first:long>>"
 
 
@@ -36,8 +40,8 @@ class Windows:
     length: int
     gram: int
     words: bool
-    # Which windows repeat: those that stand in a row of a smaller id ("earlier"), in rows of at
-    # least two ids ("shared"), or in any other place ("anywhere").
+    # Which windows repeat: those that stand in a row of a smaller id ("earlier"), in enough distinct
+    # pages of a site ("shared"), or in any other place ("anywhere").
     rule: str
     crowd: int = 2000
 
@@ -54,6 +58,8 @@ class Windows:
 
 
 def _occurrences(docs: DataFrame, spec: Windows) -> DataFrame:
+    more = ["_page", "_site"] if spec.rule == "shared" else []
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, hashes = batch.column("_id"), batch.column("_h")
@@ -63,9 +69,9 @@ def _occurrences(docs: DataFrame, spec: Windows) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found.anchor), pa.array(found.content), ids.take(pick), hashes.take(pick),
                      pa.array(found.start.astype(np.int32)), pa.array(found.windows.astype(np.int32)),
-                     pa.array((found.at - found.start).astype(np.int32))],
-                    names=["anchor", "content", "_id", "_h", "start", "windows", "at"])
-    return docs.mapInArrow(scan, "anchor long, content long, _id long, _h long, start int, windows int, at int")
+                     pa.array((found.at - found.start).astype(np.int32)), *(batch.column(c).take(pick) for c in more)],
+                    names=["anchor", "content", "_id", "_h", "start", "windows", "at", *more])
+    return docs.mapInArrow(scan, ", ".join(["anchor long, content long, _id long, _h long, start int, windows int, at int", *(f"{c} long" for c in more)]))
 
 
 def _first_id():
@@ -162,26 +168,45 @@ def _split_up(docs: DataFrame, crowded: DataFrame, spec: Windows) -> DataFrame:
     """Windows of crowded anchors, each counted under its own digest."""
     rows = stored(_segment_rows(docs, crowded, spec, digests=True), "crowded-windows")
     counted = rows.groupBy("digest").agg(F.sum("n").alias("_n"), F.min("first").alias("_first"), F.max("last").alias("_last"))
-    counted = stored(counted.filter("_first < _last" if spec.rule == "shared" else "_n > 1").drop("_n", "_last"), "crowded-counts")
+    if spec.rule == "shared":
+        counted = counted.filter(F.col("_n") >= LEAST_PAGES).withColumn("_first", F.xxhash64("digest"))
+    counted = stored(counted.filter("_n > 1").drop("_n", "_last"), "crowded-counts")
     return (rows.join(counted, "digest")
                 .groupBy("anchor", "content")
                 .agg(F.collect_list(F.struct(F.col("w").alias("from"), (F.col("w") + 1).cast("int").alias("to"),
                                              F.col("_first").alias("first"))).alias("runs")))
 
 
-def repeated_spans(docs: DataFrame, spec: Windows, index: Index) -> DataFrame:
+def _in_enough_pages(places: DataFrame, enough: DataFrame) -> DataFrame:
+    """The places whose run stands in as many distinct pages of its site as ``enough`` asks for."""
+    places = stored(places, "places")
+    counted = places.groupBy("anchor", F.col("r.first").alias("_set")).agg(
+        F.countDistinct("_page").alias("_p"), F.countDistinct(F.coalesce("_id", "_page")).alias("_i"), F.first("_site").alias("_site"))
+    counted = counted.filter(F.least("_p", "_i") >= LEAST_PAGES).join(small(enough, BROADCAST), "_site").filter(F.least("_p", "_i") >= F.col("_least"))
+    counted = stored(counted.select(F.col("anchor").alias("_anchor"), "_set"), "shared-runs")
+    return places.join(small(counted, BROADCAST), (F.col("anchor") == F.col("_anchor")) & (F.col("r.first") == F.col("_set")))
+
+
+def repeated_spans(docs: DataFrame, spec: Windows, index: Index, enough: DataFrame | None = None) -> DataFrame:
     """``_id, _h, spans`` for the rows of ``docs`` (see ``common.keyed``) with units to remove:
-    ``spans`` are the begin and end units of windows that stand elsewhere, ends exclusive."""
+    ``spans`` are the begin and end units of windows that stand elsewhere, ends exclusive.
+
+    For "shared" windows rows have a ``_page`` (copies of a page have the same) and a ``_site`` besides,
+    no window stands on two sites, and ``enough`` has ``_site, _least``: in how many pages, counted by ``_page``
+    and by id, a window has to stand.  The index then tells as ``first`` in which set of segments a window stands."""
     spark = docs.sparkSession
     limit_batches(spark)
     seen = _occurrences(docs, spec)
     if spec.rule == "anywhere":
         anchors = seen.groupBy("anchor").agg(F.count("*").alias("_n")).filter("_n > 1")
+    elif spec.rule == "shared":
+        anchors = seen.groupBy("anchor").agg(F.count("*").alias("_n"), F.first("_site").alias("_site"))
+        anchors = anchors.filter(F.col("_n") >= LEAST_PAGES).join(small(enough, BROADCAST), "_site").filter("_n >= _least")
     else:
         anchors = seen.groupBy("anchor").agg(_first_id().alias("_a"), _last_id().alias("_b")).filter("_a < _b")
     # Written down, so that the join below deals both sides anew and can split a frequent anchor.
     anchors = stored(anchors.select("anchor"), "anchors")
-    live = stored(seen.join(anchors, "anchor"), "live-segments")
+    live = stored(seen.join(small(anchors, BROADCAST) if spec.rule == "shared" else anchors, "anchor"), "live-segments")
     contents = live.groupBy("anchor", "content").agg(
         F.count("*").alias("n"), _first_id().alias("first"), _last_id().alias("last"),
         F.min(F.struct("_id", "_h", "start", "windows", "at")).alias("_one"))
@@ -189,12 +214,15 @@ def repeated_spans(docs: DataFrame, spec: Windows, index: Index) -> DataFrame:
     contents = stored(contents.join(kinds, "anchor").select("anchor", "content", "n", "first", "last", "d", "_one.*"), "contents")
     several = contents.filter((F.col("d") > 1) & (F.col("d") <= spec.crowd))
     crowded = contents.filter(F.col("d") > spec.crowd)
-    alone = contents.filter("d = 1").filter("first < last" if spec.rule == "shared" else "true").select("anchor", "content", F.array(F.struct(
-        F.lit(0).alias("from"), F.col("windows").alias("to"), F.col("first"))).cast(RUNS).alias("runs"))
+    alone = contents.filter("d = 1").select("anchor", "content", F.array(F.struct(
+        F.lit(0).alias("from"), F.col("windows").alias("to"), F.col("content" if spec.rule == "shared" else "first"))).cast(RUNS).alias("runs"))
     found = alone.unionByName(_looked_up(_segment_rows(docs, several, spec, digests=False), index))
     if not crowded.isEmpty():
         found = found.unionByName(_split_up(docs, crowded, spec).select("anchor", "content", F.col("runs").cast(RUNS)))
-    places = live.join(found, ["anchor", "content"]).select("_id", "_h", "start", F.explode("runs").alias("r"))
+    more = ["anchor", "_page", "_site"] if spec.rule == "shared" else []
+    places = live.join(found, ["anchor", "content"]).select("_id", "_h", "start", *more, F.explode("runs").alias("r"))
+    if spec.rule == "shared":
+        places = _in_enough_pages(places, enough)
     if spec.rule == "earlier":
         places = places.filter(F.coalesce("_id", F.lit(NO_ID)) > F.col("r.first"))
     return places.groupBy("_id", "_h").agg(F.collect_list(F.struct(
