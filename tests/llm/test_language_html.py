@@ -142,6 +142,19 @@ def test_copied_pages_and_shared_paragraphs_stay(spark):
     assert _texts(spark, rows) == want
 
 
+def test_host_decides_on_marked_articles_too(spark):
+    rights = "All rights reserved by the big site about cats and dogs company"
+    beside = "The second half of this article stands outside of what is marked"
+    copy = "Copied article of many words that is the same everywhere you look"
+    rows = [(i, f"http://h/{i}", f"<main><p>{_own(i)}</p><div>{rights}</div></main><p>{rights}</p><p>menu {i}</p>") for i in range(6)]
+    rows += [(9, "http://h/9", f"<article><p>{_own(9)}</p></article><p>{beside}</p><div>{rights}</div>")]
+    rows += [(10 + i, f"http://h/{10 + i}", f"<nav>n{i}</nav><article><p>{copy}</p></article>") for i in range(5)]
+    rows += [(20 + i, f"http://z/{i}", f"<article><p>{copy}</p></article><p>Beside every copy stands another paragraph, which is number {i}") for i in range(5)]
+    got = _texts(spark, rows)
+    assert {i: got[i] for i in range(6)} == {i: _own(i) for i in range(6)} and got[9] == f"{_own(9)}\n\n{beside}"
+    assert {got[10 + i] for i in range(5)} == {copy} and all(got[20 + i].startswith(copy) for i in range(5))
+
+
 def test_shared_runs_are_counted_exactly(spark):
     """A window in ever other company, many times in one page, counts that page once."""
     line = "one two three four five six seven eight nine ten"

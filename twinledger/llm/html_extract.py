@@ -1,12 +1,12 @@
-"""Main text of web pages: markup rules first, then a suffix array per host for the rest.
-
-Markup decides what is surely furniture (navigation, scripts, adverts, forms, comments ...) and what
-is surely the article.  Pages that mark no article keep *open* blocks, for which the host decides:
-token streams of its pages, furniture and open blocks one after another, are put together;
-long substrings that stand in several distinct pages, and in a share of all of them, are found by suffix
-sorting; open blocks covered by them go.  Streams are grouped by anchors (see ``repeats``), so a
-host with a third of all pages is spread over many tasks.  Marked articles are in no stream:
-copies of an article are no furniture, however many there are.
+"""Main text of web pages: markup rules first, then a suffix array per host for what they leave.
+
+Markup decides what is surely furniture (navigation, scripts, adverts, forms, comments ...) and which
+blocks a page marks as its article; all others are *open*.  For both the host decides: token
+streams of its pages, all blocks one after another, are put together; long substrings that stand in several
+distinct pages, and in a share of all of them, are found by suffix sorting; blocks covered by them go.
+Copies of a page count as one page, and a marked article never goes as a whole: copies of an article
+are no furniture, however many there are.  Streams are grouped by anchors (see ``repeats``), so a host with
+a third of all pages is spread over many tasks.
 """
 
 from __future__ import annotations
@@ -21,8 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ..session import small
 from .common import limit_batches, same_row, stored
-from .repeats import LEAST_PAGES, Windows, merged, repeated_spans, run_lengths
+from .repeats import BROADCAST, LEAST_PAGES, Windows, merged, repeated_spans, run_lengths
 from .suffix_dedup import _dense
 from .windows import word_bounds, word_codes
 
@@ -203,12 +204,6 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_replace(host, r"\s+", ""))
 
 
-def _article(blocks: list[tuple[str, str, float]]) -> list[str] | None:
-    """The texts of the marked article; None if there is none."""
-    found = [t for kind, t, _ in blocks if kind == MAIN]
-    return found or None
-
-
 def _page(host: str, blocks: list[tuple[str, str, float]]) -> int:
     """Number of a page: pages of a host whose blocks outside of furniture are equal are copies of one page."""
     body = "\n".join([host, *(f"{kind} {t}" for kind, t, _ in blocks if kind != OUT)])
@@ -218,14 +213,21 @@ def _page(host: str, blocks: list[tuple[str, str, float]]) -> int:
 def _kept(blocks: list[tuple[str, float, str, int, int]], length: int, covered: float, links: float) -> list[str]:
     """Texts of the blocks that stay; blocks are kind, share of links, text, words, words in shared substrings.
 
-    Neighbours that are mostly links are one list: it goes if it is covered, or too short to be covered."""
+    Neighbours that are mostly links are one list: it goes if it is covered, or too short to be covered.  Beside a
+    marked article other open neighbours go as well if what is left of them is too short.
+    If all blocks of a marked article are covered, all stay."""
     out = []
+    whole = lambda b: b[4] >= covered * max(1, b[3])
+    main = [b for b in blocks if b[0] == MAIN]
+    copied = all(map(whole, main))
     for (kind, linked), run in groupby(blocks, lambda b: (b[0], b[0] == OPEN and b[1] > links)):
         run = list(run)
         size, hit = sum(b[3] for b in run), sum(b[4] for b in run)
         if kind == OUT or linked and (size < length or hit >= covered * size):
             continue
-        out += [t for _, _, t, words, h in run if linked or h < covered * max(1, words)]
+        left = [b for b in run if linked or kind == MAIN and copied or not whole(b)]
+        if kind == MAIN or linked or not main or sum(b[3] for b in left) >= length:
+            out += [b[2] for b in left]
     return out
 
 
@@ -236,13 +238,14 @@ def _result(batch, count: int, kept: list[list[str]], names: list[str]) -> pa.Re
 
 
 def extract_text(pages: DataFrame, length: int = 8, covered: float = 0.8, links: float = 0.5, markup: str = "html", key: str = "page_id",
-                 url: str = "url", share: float = 0.1) -> DataFrame:
+                 url: str = "url", share: float = 0.5) -> DataFrame:
     """``key, url, text, n_chars`` per input row: the main text, blocks joined by blank lines.
 
     White space inside a block becomes one space, character references are decoded.  Null and empty
-    pages give empty text.  An article that the page marks is kept as it is, but for furniture inside it.
-    Without one, blocks outside of furniture stay unless at least ``covered`` of their tokens lie in
-    substrings of ``length`` or more tokens that stand in at least three pages and a ``share`` of all pages of the host.
+    pages give empty text.  Blocks outside of furniture stay unless at least ``covered`` of their tokens lie in
+    substrings of ``length`` or more tokens that stand in at least three pages and a ``share`` of all pages of the host;
+    an article that the page marks stays as it is if all of its blocks would go.  Beside it, open neighbours of together fewer
+    than ``length`` words, on which no substring can decide, go.
     A list of blocks with more than ``links`` of their characters in links goes by the same rule as a whole, or if it
     has fewer than ``length`` words, which no substring can cover.  Pages without a host form one host.  Rows of the
     same id are one page, and so are pages whose blocks outside of furniture are equal: copies of a page cover
@@ -256,23 +259,16 @@ def extract_text(pages: DataFrame, length: int = 8, covered: float = 0.8, links:
                            T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
     names = [key, url, "text", "n_chars"]
 
-    def marked(batches):
-        for b in batches:
-            kept = [_article(page_blocks(h)) for h in b.column(2).to_pylist()]
-            pick = pa.array([k is not None for k in kept])
-            yield _result(b.filter(pick), 2, [k for k in kept if k is not None], names)
-
     def streams(batches):
-        """Host line, then a line per block outside of marked articles, led by its kind and share of links."""
+        """Host line, then a line per block, led by its kind and share of links."""
         for b in batches:
-            out, found, page = [], [], []
+            out, page = [], []
             for host, h in zip(b.column("_host").to_pylist(), b.column("_html").to_pylist()):
                 blocks = page_blocks(h)
-                found.append(_article(blocks) is not None)
                 page.append(_page(host, blocks))
-                out.append("\n".join([host or "-", *(f"{kind}{round(share * 100)} {t}" for kind, t, share in blocks if kind != MAIN)]))
-            yield pa.RecordBatch.from_arrays([b.column("_id"), b.column("_url"), b.column("_h"), b.column("_site"), pa.array(page, pa.int64()), pa.array(out, pa.string()), pa.array(found, pa.bool_())],
-                                             names=["_id", "_url", "_h", "_site", "_page", "_text", "_marked"])
+                out.append("\n".join([host or "-", *(f"{kind}{round(share * 100)} {t}" for kind, t, share in blocks)]))
+            yield pa.RecordBatch.from_arrays([b.column("_id"), b.column("_url"), b.column("_h"), b.column("_site"), pa.array(page, pa.int64()), pa.array(out, pa.string())],
+                                             names=["_id", "_url", "_h", "_site", "_page", "_text"])
 
     def decided(batches):
         for b in batches:
@@ -291,15 +287,14 @@ def extract_text(pages: DataFrame, length: int = 8, covered: float = 0.8, links:
                 kept.append(_kept(told, length, covered, links))
             yield _result(b, 2, kept, names)
 
-    done = rows.select("_id", "_url", "_html").mapInArrow(marked, schema)
-    # The streams are short, as articles are left out, and are needed several times.
+    # The streams are needed several times.
     stream = stored(rows.mapInArrow(streams, T.StructType([
         T.StructField("_id", id_type), T.StructField("_url", T.StringType()), T.StructField("_h", T.LongType()), T.StructField("_site", T.LongType()),
-        T.StructField("_page", T.LongType()), T.StructField("_text", T.StringType()), T.StructField("_marked", T.BooleanType())])), "streams")
+        T.StructField("_page", T.LongType()), T.StructField("_text", T.StringType())])), "streams")
     spec = HostWindows(length, max(1, length // 2), words=True, rule="shared")
     sites = stream.groupBy("_site").agg(F.countDistinct("_page").alias("_p"), F.countDistinct(F.coalesce("_id", "_page")).alias("_i"))
     enough = stored(sites.select("_site", F.greatest(F.ceil(F.round(F.least("_p", "_i") * share, 6)), F.lit(LEAST_PAGES)).alias("_least")), "sites")
     spans = repeated_spans(stream.select("_id", "_h", "_text", "_page", "_site"), spec, host_suffix_index(length), enough)
-    rest = stream.filter(~F.col("_marked"))
-    rest = rest.join(spans, same_row(rest, spans), "left").select(rest["_id"], "_url", "_text", "spans")
-    return done.unionByName(rest.mapInArrow(decided, schema))
+    spans = small(stored(spans, "spans"), BROADCAST)
+    rest = stream.join(spans, same_row(stream, spans), "left").select(stream["_id"], "_url", "_text", "spans")
+    return rest.mapInArrow(decided, schema)

@@ -87,6 +87,8 @@ def _segment_rows(docs: DataFrame, picked: DataFrame, spec: Windows, digests: bo
     """Fetch the text of picked segments: as bytes, or as one digest per window."""
     wanted = picked.groupBy("_id", "_h").agg(F.collect_list(F.struct(
         "anchor", "content", "n", "first", "last", "start", "windows", "at")).alias("_wanted"))
+    if spec.rule == "shared":
+        wanted = small(stored(wanted, "wanted"), BROADCAST)
     joined = docs.join(wanted, same_row(docs, wanted)).select(docs["_text"], "_wanted")
 
     def scan(batches):
@@ -181,7 +183,7 @@ def _in_enough_pages(places: DataFrame, enough: DataFrame) -> DataFrame:
     """The places whose run stands in as many distinct pages of its site as ``enough`` asks for."""
     places = stored(places, "places")
     counted = places.groupBy("anchor", F.col("r.first").alias("_set")).agg(
-        F.countDistinct("_page").alias("_p"), F.countDistinct(F.coalesce("_id", "_page")).alias("_i"), F.first("_site").alias("_site"))
+        F.countDistinct("_page").alias("_p"), F.countDistinct(F.coalesce("_id", "_page")).alias("_i"), F.min("_site").alias("_site"))
     counted = counted.filter(F.least("_p", "_i") >= LEAST_PAGES).join(small(enough, BROADCAST), "_site").filter(F.least("_p", "_i") >= F.col("_least"))
     counted = stored(counted.select(F.col("anchor").alias("_anchor"), "_set"), "shared-runs")
     return places.join(small(counted, BROADCAST), (F.col("anchor") == F.col("_anchor")) & (F.col("r.first") == F.col("_set")))
@@ -200,7 +202,7 @@ def repeated_spans(docs: DataFrame, spec: Windows, index: Index, enough: DataFra
     if spec.rule == "anywhere":
         anchors = seen.groupBy("anchor").agg(F.count("*").alias("_n")).filter("_n > 1")
     elif spec.rule == "shared":
-        anchors = seen.groupBy("anchor").agg(F.count("*").alias("_n"), F.first("_site").alias("_site"))
+        anchors = seen.groupBy("anchor").agg(F.count("*").alias("_n"), F.min("_site").alias("_site"))
         anchors = anchors.filter(F.col("_n") >= LEAST_PAGES).join(small(enough, BROADCAST), "_site").filter("_n >= _least")
     else:
         anchors = seen.groupBy("anchor").agg(_first_id().alias("_a"), _last_id().alias("_b")).filter("_a < _b")
