@@ -9,7 +9,7 @@ import pytest
 import corpus_pipeline
 from twinledger.llm import queries
 from twinledger.llm.html_extract import MAIN, OPEN, OUT, extract_text, page_blocks
-from twinledger.llm.language import UNKNOWN, identify, keep_identified, marginals
+from twinledger.llm.language import SLOTS, UNKNOWN, _features, identify, keep_identified, marginals
 
 SF = "/root/testdata/sf0.001"
 
@@ -65,6 +65,12 @@ def test_language_on_held_out_rows(spark):
     assert kept.columns == rows.columns and 10**6 not in {r["doc_id"] for r in kept.collect()}
 
 
+def test_features_read_whole_words():
+    long = "ab" * 20
+    assert len(_features(long)) == len(long) + 7
+    assert set(_features(long + "xyz" + long)) - set(_features(long + long)) > {crc % SLOTS for crc in (zlib.crc32(b"gxyz"), zlib.crc32(b"gbxy"))}
+
+
 def test_language_without_labels(spark):
     docs = spark.createDataFrame([(1, "some text", None)], "doc_id long, text string, lang string")
     assert [(r["lang_pred"], r["score"]) for r in identify(docs).collect()] == [(UNKNOWN, 0.0)]

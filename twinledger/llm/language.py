@@ -29,7 +29,7 @@ UNKNOWN = "und"
 def _features(word: str) -> list[int]:
     w = f"^{word}$"
     found = [f"p{word[:n]}" for n in (1, 2, 3)] + [f"s{word[-n:]}" for n in (1, 2, 3)]
-    found += [f"g{w[i:i + 3]}" for i in range(min(len(w) - 2, 24))] + [f"w{word}"]
+    found += [f"g{w[i:i + 3]}" for i in range(len(w) - 2)] + [f"w{word}"]
     return [zlib.crc32(f.encode()) % SLOTS for f in found]
 
 
