@@ -32,13 +32,15 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: five-word shingles, similarity 0.8."""
-    kept = near_groups(docs, words=5, percent=80).filter("kept").select("doc_id").distinct()
-    kept = stored(kept, "kept-ids").withColumnRenamed("doc_id", "_kept")
-    out = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept"))).drop("_kept")
-    # Rows that repeat an id are one document.
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "source", "lang")
-    again = out.filter("doc_id is not null").withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n")
-    return again.unionByName(out.filter("doc_id is null"))
+    kept = near_groups(docs, words=5, percent=80, rows_too=True).filter("_stays")
+    kept = stored(kept.select(F.col("doc_id").alias("_kept"), F.col("_h").alias("_same"), (F.col("n_shingles") == 0).alias("_empty")).distinct(), "kept-rows")
+    out = docs.withColumn("_h", F.xxhash64("text"))
+    out = out.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")) & (F.col("_h") == F.col("_same")))
+    # Rows of the same id and text are one document; texts without words are copies of nothing.
+    alone = F.col("doc_id").isNull() & F.col("_empty")
+    first = Window.partitionBy("doc_id", "_h").orderBy("source", "lang")
+    again = out.filter(~alone).withColumn("_n", F.row_number().over(first)).filter("_n = 1")
+    return again.select(docs.columns).unionByName(out.filter(alone).select(docs.columns))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -173,6 +173,19 @@ def test_shared_runs_are_counted_exactly(spark):
     assert [i for i, text in sorted(more.items()) if line in text] == [5, 6]
 
 
+def test_near_dedup_decides_per_row(spark):
+    text = lambda n, end: " ".join(f"w{n}x{i}" for i in range(60)) + end
+    rows = [(3, text(0, "")), (5, text(0, " more")), (5, text(1, "")), (5, text(1, "")), (None, text(2, "")), (None, text(2, " more")), (None, text(1, " z")),
+            (None, text(4, "")), (None, ""), (None, ""), (6, None), (5, text(5, ""))]
+    docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.near_dedup(spark, docs, SF)
+    assert out.columns == docs.columns
+    got = Counter((r[0], r[1]) for r in out.collect())
+    near = [got.pop((None, text(2, end)), 0) for end in ("", " more")]
+    assert sorted(near) == [0, 1]
+    assert got == Counter([(3, text(0, "")), (5, text(1, "")), (None, text(4, "")), (None, ""), (None, ""), (6, None), (5, text(5, ""))])
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     before, columns = docs, docs.columns
