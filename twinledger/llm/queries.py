@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .common import read
 from .decontaminate import contaminated
 from .exact_dedup import exact_groups
+from .fill_middle import fill_in_middle
 from .html_extract import extract_text
 from .language import identify
 from .line_dedup import drop_repeated_lines
@@ -147,3 +148,20 @@ def op5_html_extract(spark: SparkSession, sf: str) -> DataFrame:
 def op2_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     out = drop_repeated_lines(read(spark, sf, "documents"), percent=80)
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query(r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents),
+h AS (SELECT *, ('0x' || x[1:8])::BIGINT % (n + 1) AS a, ('0x' || x[9:16])::BIGINT % (n + 1) AS b, ('0x' || x[17:24])::BIGINT AS h3, ('0x' || x[25:32])::BIGINT AS h4 FROM d),
+f AS (SELECT *, least(a, b) AS lo, greatest(a, b) AS hi,
+             CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                  WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, substr(t, 1, lo) AS pre, substr(t, lo + 1, hi - lo) AS mid, substr(t, hi + 1) AS suf FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN lo END AS prefix_chars, CASE WHEN form <> 'plain' THEN hi - lo END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                   ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p""")
+def op11_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    out = fill_in_middle(read(spark, sf, "documents"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                      F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
