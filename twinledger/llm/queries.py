@@ -18,6 +18,7 @@ from .near_dedup import near_groups
 from .secret_scan import scan_secrets
 from .substring_dedup import drop_repeated_passages
 from .suffix_dedup import drop_repeated_bytes
+from .whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -165,3 +166,8 @@ def op11_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
     out = fill_in_middle(read(spark, sf, "documents"))
     return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
                       F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+@query()
+def op12_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whiten(read(spark, sf, "embeddings"), components=32)
