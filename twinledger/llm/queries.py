@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .common import read
 from .decontaminate import contaminated
 from .exact_dedup import exact_groups
+from .exact_search import top_scores
 from .fill_middle import fill_in_middle
 from .html_extract import extract_text
 from .language import identify
@@ -171,3 +172,14 @@ def op11_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op12_whitening(spark: SparkSession, sf: str) -> DataFrame:
     return whiten(read(spark, sf, "embeddings"), components=32)
+
+
+@query(r"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5""")
+def op13_exact_search(spark: SparkSession, sf: str) -> DataFrame:
+    return top_scores(read(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
