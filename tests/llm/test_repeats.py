@@ -47,6 +47,9 @@ def test_word_codes_in_pieces(monkeypatch):
     whole = windows.word_codes(text).tolist()
     monkeypatch.setattr(windows, "SLICE", 8)
     assert windows.word_codes(text).tolist() == whole
+    monkeypatch.setattr(windows, "PIECE", 8)
+    monkeypatch.setattr(windows, "REMEMBERED", 2)
+    assert windows.word_codes(text).tolist() == whole
     assert len(set(whole)) == 7 and windows.word_codes(b"bb").tolist() == whole[1:2]
     assert windows.word_codes(b"").tolist() == [] and windows.word_codes(b"  ").tolist() == []
 
@@ -116,3 +119,26 @@ def test_bytes(spark, monkeypatch, crowd):
 def test_empty_table(spark):
     none = rows_of(spark, []).filter("false")
     assert drop_repeated_passages(none).collect() == [] and drop_repeated_bytes(none).collect() == []
+
+
+def thue_morse(n, one, zero):
+    """Two strings that differ everywhere; every polynomial modulo a power of two takes them for equal."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return [one if b else zero for b in bits], [zero if b else one for b in bits]
+
+
+def test_words_that_a_polynomial_mixes_up():
+    a, b = ("".join(x) for x in thue_morse(1024, "a", "b"))
+    assert len(set(windows.word_codes(f"{a} {b} {a}".encode()).tolist())) == 2
+
+
+def test_strings_that_a_polynomial_mixes_up(spark):
+    a, b = ("".join(x) for x in thue_morse(1024, "a", "b"))
+    words = lambda x: [f"w{i} {x}" for i in range(3)]
+    rows = [(1, " ".join(words(a) * 20)), (2, " ".join(words(b) * 20)), (3, " ".join(words(a) * 10)), (4, a), (5, b), (6, " ".join(words(b) * 9))]
+    many = ["".join(x) for x in thue_morse(2048, "left ", "right ")]
+    rows += [(10, many[0]), (11, many[1]), (12, "x " + many[0][:3000])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(map(tuple, drop_repeated_passages(docs, 50).collect())) == Counter(passages(rows, 50))
+    got = drop_repeated_bytes(docs, 400).collect()
+    assert Counter((*r[:4], bytes(r[4]) if not isinstance(r[4], str) else r[4].encode()) for r in map(tuple, got)) == Counter(byte_repeats(rows, 400))

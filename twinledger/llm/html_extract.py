@@ -154,7 +154,7 @@ def page_blocks(page: str) -> list[tuple[str, str, float]]:
 class HostWindows(Windows):
     """Windows over the tokens of a stream; its first line is the host, which belongs to every token."""
 
-    def codes(self, text: bytes) -> np.ndarray:
+    def units(self, text: bytes) -> np.ndarray:
         host, _, stream = text.partition(b"\n")
         own = word_codes(host or b"-")
         return word_codes(stream) * own[0]

@@ -53,7 +53,7 @@ def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     breaks = np.flatnonzero(np.frombuffer(joined, dtype=np.uint8) == 10)
     line = np.searchsorted(breaks, bounds[0])
     text = np.searchsorted(ends, bounds[0], side="right")
-    return word_codes(joined, bounds), text, line - np.searchsorted(breaks, ends - sizes)[text]
+    return word_codes(joined), text, line - np.searchsorted(breaks, ends - sizes)[text]
 
 
 def _slot(codes: np.ndarray) -> np.ndarray:

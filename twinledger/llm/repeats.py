@@ -2,8 +2,8 @@
 
 1. Each text is cut into segments (see ``windows``); a first shuffle counts the anchors, a second
    keeps the segments whose anchor stands more than once.
-2. Segments of equal content collapse to one before any text moves: a group of copies, however
-   large, is one row with a count.
+2. Segments of equal content (by a 128-bit digest of their bytes or words) collapse to one before any text
+   moves: a group of copies, however large, is one row with a count.
 3. Only segments whose anchor has several distinct contents need looking into.  One text of each
    is cut out and sent to the anchor's task, where an operator's own index (a suffix automaton,
    a suffix array) tells for each window where else it stands.
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import small
 from .common import limit_batches, same_row, stored
-from .windows import byte_codes, segments, word_bounds, word_codes
+from .windows import byte_units, segments, word_bounds, word_codes
 
 # Bytes of one in-task index.
 SHARD_BYTES = 1 << 19
@@ -45,8 +45,8 @@ class Windows:
     rule: str
     crowd: int = 2000
 
-    def codes(self, text: bytes) -> np.ndarray:
-        return word_codes(text) if self.words else byte_codes(text)
+    def units(self, text: bytes) -> np.ndarray:
+        return word_codes(text) if self.words else byte_units(text)
 
     def bounds(self, text: bytes):
         return word_bounds(text) if self.words else None
@@ -57,21 +57,23 @@ class Windows:
         return text[bounds[0][start]:bounds[1][end - 1]] if self.words else text[start:end]
 
 
-def _occurrences(docs: DataFrame, spec: Windows) -> DataFrame:
+def _occurrences(docs: DataFrame, spec: Windows, content: bool) -> DataFrame:
+    """Segments of all texts; without ``content`` only what anchors are counted by."""
     more = ["_page", "_site"] if spec.rule == "shared" else []
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, hashes = batch.column("_id"), batch.column("_h")
             texts = batch.column("_text").cast(pa.binary()).to_pylist()
-            for found in segments([spec.codes(t) for t in texts], spec.length, spec.gram):
+            for found in segments([spec.units(t) for t in texts], spec.length, spec.gram, content):
                 pick = pa.array(found.text)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found.anchor), pa.array(found.content), ids.take(pick), hashes.take(pick),
-                     pa.array(found.start.astype(np.int32)), pa.array(found.windows.astype(np.int32)),
-                     pa.array((found.at - found.start).astype(np.int32)), *(batch.column(c).take(pick) for c in more)],
-                    names=["anchor", "content", "_id", "_h", "start", "windows", "at", *more])
-    return docs.mapInArrow(scan, ", ".join(["anchor long, content long, _id long, _h long, start int, windows int, at int", *(f"{c} long" for c in more)]))
+                front = [pa.array(found.anchor), ids.take(pick)]
+                if content:
+                    front += [pa.array(found.content, pa.binary()), hashes.take(pick), pa.array(found.start.astype(np.int32)),
+                              pa.array(found.windows.astype(np.int32)), pa.array((found.at - found.start).astype(np.int32))]
+                yield pa.RecordBatch.from_arrays([*front, *(batch.column(c).take(pick) for c in more)], names=[f.split()[0] for f in fields])
+    fields = ["anchor long", "_id long", *(["content binary", "_h long", "start int", "windows int", "at int"] if content else []), *(f"{c} long" for c in more)]
+    return docs.mapInArrow(scan, ", ".join(fields))
 
 
 def _first_id():
@@ -114,8 +116,8 @@ def _segment_rows(docs: DataFrame, picked: DataFrame, spec: Windows, digests: bo
                         out = []
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=names)
-    kinds = ({"anchor": "long", "content": "long", "n": "long", "first": "long", "last": "long", "w": "int", "digest": "binary"} if digests else
-             {"anchor": "long", "content": "long", "n": "long", "first": "long", "last": "long", "windows": "int", "at": "int", "data": "binary"})
+    kinds = ({"anchor": "long", "content": "binary", "n": "long", "first": "long", "last": "long", "w": "int", "digest": "binary"} if digests else
+             {"anchor": "long", "content": "binary", "n": "long", "first": "long", "last": "long", "windows": "int", "at": "int", "data": "binary"})
     names = list(kinds)
 
     def typed(batches):
@@ -150,7 +152,7 @@ def _looked_up(rows: DataFrame, index: Index) -> DataFrame:
             anchor, content, *numbers, data = zip(*held)
             found = index(list(data), *(np.array(x, dtype=np.int64) for x in numbers))
             return pa.RecordBatch.from_arrays(
-                [pa.array(anchor, pa.int64()), pa.array(content, pa.int64()),
+                [pa.array(anchor, pa.int64()), pa.array(content, pa.binary()),
                  pa.array(found, pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32()), ("first", pa.int64())])))],
                 names=["anchor", "content", "runs"])
         for batch in batches:
@@ -163,7 +165,7 @@ def _looked_up(rows: DataFrame, index: Index) -> DataFrame:
         if held:
             yield flush()
     placed = rows.repartition("anchor").sortWithinPartitions("anchor", "first", "content")
-    return placed.mapInArrow(scan, f"anchor long, content long, runs {RUNS}")
+    return placed.mapInArrow(scan, f"anchor long, content binary, runs {RUNS}")
 
 
 def _split_up(docs: DataFrame, crowded: DataFrame, spec: Windows) -> DataFrame:
@@ -198,7 +200,7 @@ def repeated_spans(docs: DataFrame, spec: Windows, index: Index, enough: DataFra
     and by id, a window has to stand.  The index then tells as ``first`` in which set of segments a window stands."""
     spark = docs.sparkSession
     limit_batches(spark)
-    seen = _occurrences(docs, spec)
+    seen = _occurrences(docs, spec, content=False)
     if spec.rule == "anywhere":
         anchors = seen.groupBy("anchor").agg(F.count("*").alias("_n")).filter("_n > 1")
     elif spec.rule == "shared":
@@ -208,6 +210,7 @@ def repeated_spans(docs: DataFrame, spec: Windows, index: Index, enough: DataFra
         anchors = seen.groupBy("anchor").agg(_first_id().alias("_a"), _last_id().alias("_b")).filter("_a < _b")
     # Written down, so that the join below deals both sides anew and can split a frequent anchor.
     anchors = stored(anchors.select("anchor"), "anchors")
+    seen = _occurrences(docs, spec, content=True)
     live = stored(seen.join(small(anchors, BROADCAST) if spec.rule == "shared" else anchors, "anchor"), "live-segments")
     contents = live.groupBy("anchor", "content").agg(
         F.count("*").alias("n"), _first_id().alias("first"), _last_id().alias("last"),
@@ -217,7 +220,7 @@ def repeated_spans(docs: DataFrame, spec: Windows, index: Index, enough: DataFra
     several = contents.filter((F.col("d") > 1) & (F.col("d") <= spec.crowd))
     crowded = contents.filter(F.col("d") > spec.crowd)
     alone = contents.filter("d = 1").select("anchor", "content", F.array(F.struct(
-        F.lit(0).alias("from"), F.col("windows").alias("to"), F.col("content" if spec.rule == "shared" else "first"))).cast(RUNS).alias("runs"))
+        F.lit(0).alias("from"), F.col("windows").alias("to"), F.xxhash64("content") if spec.rule == "shared" else F.col("first"))).cast(RUNS).alias("runs"))
     found = alone.unionByName(_looked_up(_segment_rows(docs, several, spec, digests=False), index))
     if not crowded.isEmpty():
         found = found.unionByName(_split_up(docs, crowded, spec).select("anchor", "content", F.col("runs").cast(RUNS)))

@@ -9,6 +9,8 @@ by anchor brings all copies of every window together while each window travels o
 
 from __future__ import annotations
 
+import hashlib
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,16 +45,14 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Hashes:
-    """Hashes of all substrings of a unit array, by prefix sums of a polynomial."""
+    """Hashes of all substrings of one length, by prefix sums of a polynomial.  Strings that differ may
+    share one (modulo 2 ** 64 some do under any base): good for choosing and gathering, not for comparing."""
 
     def __init__(self, codes: np.ndarray):
         up, self.down = powers(len(codes) + 1)
         self.prefix = np.zeros(len(codes) + 1, dtype=np.uint64)
         np.cumsum(codes * up[:-1], out=self.prefix[1:])
 
-    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.prefix[end] - self.prefix[start]) * self.down[start])
-
     def grams(self, k: int) -> np.ndarray:
         n = len(self.prefix) - k
         return mix((self.prefix[k:] - self.prefix[:-k]) * self.down[:n]) if n > 0 else np.zeros(0, np.uint64)
@@ -73,20 +73,21 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 @dataclass
 class Segments:
     """Segments of a batch of texts: the text's index, the first window, the number of windows,
-    where the anchor stands, the hashes of the anchor and of the units covered."""
+    where the anchor stands, the hash of the anchor and, if asked for, a digest of the units covered."""
     text: np.ndarray
     start: np.ndarray
     windows: np.ndarray
     at: np.ndarray
     anchor: np.ndarray
-    content: np.ndarray
+    content: list[bytes] | None
 
 
-def _segments(codes: np.ndarray, text_of: np.ndarray, first: np.ndarray, length: int, gram: int) -> Segments | None:
-    n = len(codes) - length + 1
+def _segments(units: np.ndarray, text_of: np.ndarray, first: np.ndarray, length: int, gram: int, content: bool) -> Segments | None:
+    n = len(units) - length + 1
     if n <= 0:
         return None
-    hashes = Hashes(codes)
+    # Anchors may share a hash: that brings windows together that differ, and their contents tell them apart.
+    hashes = Hashes(BYTE_CODES[units] if units.dtype == np.uint8 else units)
     grams = hashes.grams(gram)
     low = np.uint64(0xFFFFFFFF)
     packed = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
@@ -99,12 +100,17 @@ def _segments(codes: np.ndarray, text_of: np.ndarray, first: np.ndarray, length:
         return None
     stops = np.flatnonzero(np.append(new[1:] | ~inside[1:], True) & inside) + 1
     p = at[starts]
+    digests = None
+    if content:
+        raw, size = memoryview(np.ascontiguousarray(units)).cast("B"), units.itemsize
+        digests = [hashlib.blake2b(raw[a:b], digest_size=16).digest()
+                   for a, b in zip((starts * size).tolist(), ((stops + length - 1) * size).tolist())]
     return Segments(text_of[starts], starts - first[text_of[starts]], stops - starts, p - first[text_of[starts]],
-                    grams[p].view(np.int64), hashes.of(starts, stops + length - 1).view(np.int64))
+                    grams[p].view(np.int64), digests)
 
 
-def segments(codes: list[np.ndarray], length: int, gram: int):
-    """Segments of several texts given as unit codes, in bounded pieces.  A text longer than a
+def segments(units: list[np.ndarray], length: int, gram: int, content: bool = True):
+    """Segments of several texts given as units (bytes or word codes), in bounded pieces.  A text longer than a
     piece is cut with an overlap, so that each of its windows is seen exactly once."""
     group: list[tuple[int, int, np.ndarray]] = []
     held = 0
@@ -113,7 +119,7 @@ def segments(codes: list[np.ndarray], length: int, gram: int):
         joined = np.concatenate([g[2] for g in group])
         sizes = np.array([len(g[2]) for g in group])
         ends = np.cumsum(sizes)
-        found = _segments(joined, np.repeat(np.arange(len(group)), sizes), ends - sizes, length, gram)
+        found = _segments(joined, np.repeat(np.arange(len(group)), sizes), ends - sizes, length, gram, content)
         if found is not None:
             skip = np.array([g[1] for g in group])[found.text]
             found.start, found.at = found.start + skip, found.at + skip
@@ -121,7 +127,7 @@ def segments(codes: list[np.ndarray], length: int, gram: int):
             return found
         return None
 
-    for i, c in enumerate(codes):
+    for i, c in enumerate(units):
         if len(c) < length:
             continue
         for cut in range(0, len(c) - length + 1, SLICE):
@@ -139,31 +145,48 @@ def segments(codes: list[np.ndarray], length: int, gram: int):
             yield out
 
 
-def byte_codes(data: bytes) -> np.ndarray:
-    return BYTE_CODES[np.frombuffer(data, dtype=np.uint8)]
+def byte_units(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, dtype=np.uint8)
 
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-def word_bounds(data: bytes, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
-    """Byte offsets where the words of a text begin and end; words are the runs of bytes not
-    marked in ``space`` (of a table with 256 entries)."""
-    gap = space[np.frombuffer(data, dtype=np.uint8)]
+def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Byte offsets where the words of a text begin and end; words are the runs of bytes that are no white space."""
+    gap = _SPACE[np.frombuffer(data, dtype=np.uint8)]
     edge = np.flatnonzero(np.diff(gap.astype(np.int8), prepend=np.int8(1), append=np.int8(1)))
     return edge[::2], edge[1::2]
 
 
-def word_codes(data: bytes, bounds: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
-    """A 64-bit code per word, made of its bytes."""
-    start, end = word_bounds(data) if bounds is None else bounds
-    out = np.empty(len(start), dtype=np.uint64)
-    raw = byte_codes(data)
-    i = 0
-    while i < len(start):  # in pieces, as the table of powers is as long as a piece
-        j = max(i + 1, int(np.searchsorted(end, start[i] + SLICE, side="right")))
-        low = start[i]
-        out[i:j] = Hashes(raw[low:end[j - 1]]).of(start[i:j] - low, end[i:j] - low)
-        i = j
-    return out | np.uint64(1)
+# Codes that a worker remembers, the longest word among them, and bytes of text split at once.
+REMEMBERED, LONG_WORD, PIECE = 200_000, 64, 4 << 20
+_GAP = re.compile(rb"[ \t-\r]")
+
+
+class _Codes(dict):
+    """Word to code: a digest of its bytes, so that different words differ whatever they are made of."""
+
+    def __missing__(self, word: bytes) -> int:
+        code = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little") | 1
+        if len(word) <= LONG_WORD:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = code
+        return code
+
+
+_codes = _Codes()
+
+
+def word_codes(data: bytes) -> np.ndarray:
+    """A 64-bit code per word of a text."""
+    out, low = [], 0
+    while low < len(data):
+        gap = _GAP.search(data, low + PIECE) if low + PIECE < len(data) else None
+        high = gap.start() if gap else len(data)
+        words = (data[low:high] if (low, high) != (0, len(data)) else data).split()
+        out.append(np.fromiter(map(_codes.__getitem__, words), dtype=np.uint64, count=len(words)))
+        low = high
+    return out[0] if len(out) == 1 else np.concatenate([np.zeros(0, dtype=np.uint64), *out])
