@@ -216,14 +216,15 @@ def reverse_transform(spark, sf):
 # Accounts come from the new side's customers, leads from suppliers, and every seventh
 # customer was loaded earlier in the run.
 def id_maps(spark, sf):
-    accounts = resolve.id_map_from_extract(long_side(spark, sf, "new", ("Customer",)).withColumn("obj", F.lit("Account")))
-    leads = resolve.id_map_from_extract(read(spark, sf, "supplier").selectExpr("'Lead' as obj", "concat('L', cast(s_suppkey as string)) as record_id", "cast(s_suppkey as string) as external_id"))
-    nations = resolve.id_map_from_extract(read(spark, sf, "nation").where("n_nationkey % 6 <> 0").selectExpr(
-        "'Nation' as obj", "concat('C', cast(n_nationkey as string)) as record_id", "cast(n_nationkey as string) as external_id"))
+    accounts = long_side(spark, sf, "new", ("Customer",)).selectExpr("'Account' as obj", "record_id", "external_id")
+    leads = read(spark, sf, "supplier").selectExpr("'Lead' as obj", "concat('L', cast(s_suppkey as string)) as record_id", "cast(s_suppkey as string) as external_id")
+    nations = read(spark, sf, "nation").where("n_nationkey % 6 <> 0").selectExpr(
+        "'Nation' as obj", "concat('C', cast(n_nationkey as string)) as record_id", "cast(n_nationkey as string) as external_id")
+    held = resolve.id_map_from_extract(accounts.unionByName(leads).unionByName(nations))
     loaded = resolve.id_map_from_results(read(spark, sf, "customer").where("c_custkey % 7 = 0").selectExpr(
         "'Account' as target_object", "cast(c_custkey as string) as source_record_id", "concat('R', cast(c_custkey as string)) as target_record_id",
         "case when c_custkey % 2 = 0 then 'TRUE' else 'FALSE' end as success"))
-    return accounts.unionByName(leads).unionByName(nations).unionByName(loaded)
+    return held.unionByName(loaded)
 
 
 IDS_SQL = f"""ids as (select k, coalesce(run_id, acc_id) as account_id, lead_id from (select cast(c_custkey as string) as k from customer) c

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from twinledger.functions import payload
 from twinledger.model import rows
 from twinledger.operators import audit, parity, schema_diff, wide as wide_compare_op
-from twinledger.session import checkpointed, work_folder
+from twinledger.session import work_folder
 from twinledger.sources import extract as ex, store
 
 from .fixtures import CANON, long_side, long_sql, parity_sql, read, wide, wide_sql
@@ -134,23 +134,25 @@ def invalid_pairs(spark, sf):
     return audit.invalid_pairs(audit.field_counts(both(spark, sf).fields), *scope_lists(spark))
 
 
-@query(parity_sql(PAIR) + f""", fd as ({FIELD_SQL}), r as (select * from status where change_type is not null)
-   select * from (values ('completed_bucket_count', null), ('record_part_count', null), ('field_part_count', null),
-      ('manifest_record_diff_rows', null), ('manifest_field_diff_rows', null), ('record_level_scan_completed', 'True'), ('field_level_scan_completed', 'True')) v(metric, value)
-   union all select 'audited_record_diff_rows', cast(count(*) as varchar) from r
-   union all select 'invalid_record_object_rows', cast(count(*) as varchar) from r where obj <> 'Orders'
-   union all select 'audited_field_diff_rows', cast(count(*) as varchar) from fd
-   union all select 'invalid_field_pair_rows', cast(count(*) as varchar) from fd where not (obj = 'Orders' and field in ('Status', 'Price'))
-   union all select 'unique_field_change_groups', cast(count(*) as varchar) from (select distinct obj, field, change_type from fd)""")
+def audited(spark, sf):
+    """The diff as it is stored: written once, with its counts, and audited from there."""
+    path = work_folder(spark, "audited")
+    new, old = (ex.with_bucket(long_side(spark, sf, s, PAIR), s) for s in ("new", "old"))
+    store.write_paired(parity.record_parity(new, old).paired, new.unionByName(old), path, "a")
+    return path
+
+
+@query()
 def audit_summary(spark, sf):
-    p = both(spark, sf)
-    paired = checkpointed(p.paired)  # written once, counted twice
+    path = audited(spark, sf)
+    paired = store.read_paired(spark, path)
     counts, per_field = audit.record_counts(parity.records(paired)), audit.field_counts(parity.fields(paired))
     objects, pairs = scope_lists(spark)
-    return audit.summary(counts, audit.invalid_objects(counts, objects), per_field, audit.invalid_pairs(per_field, objects, pairs))
+    return audit.summary(counts, audit.invalid_objects(counts, objects), per_field, audit.invalid_pairs(per_field, objects, pairs), store.manifest_rows(spark, path))
 
 
-@query()
+@query(parity_sql(PAIR) + """select obj, change_type, coalesce(new_record_id, '') as new_record_id, coalesce(old_record_id, '') as old_record_id from status where change_type is not null
+   qualify row_number() over (partition by obj, change_type order by md5(concat_ws('|', '8451', coalesce(new_record_id, ''), coalesce(old_record_id, '')))) <= 5""")
 def group_sample(spark, sf):
     r = both(spark, sf).records
     return audit.record_sample(r, 5).select("obj", "change_type", "new_record_id", "old_record_id")

@@ -429,16 +429,16 @@ def running_errors(spark, sf):
     return jobs.stored_error_counts(spark, f"{base}/out").groupBy("target_object", "error_category").agg(F.sum("row_count").alias("row_count"))
 
 
-@query("""select cast(user_id as varchar) as target_object, event_type as source_record_id, min(event_id) as event_id from (
-   select user_id, event_type, event_id, row_number() over (partition by user_id, event_type order by event_id % 2, event_id) as r from events e
-   where not exists (select 1 from events d where d.user_id = e.user_id and d.event_type = e.event_type and d.event_id % 4 = 0)) where r = 1 group by 1, 2""")
+@query("""with k as (select user_id, event_type, min(event_id % 3) as b, bool_or(event_id % 40 = 0) as early, bool_or(event_id % 40 = 6) as late from events group by 1, 2)
+   select cast(e.user_id as varchar) as target_object, e.event_type as source_record_id, min(event_id) as event_id from events e join k on k.user_id = e.user_id and k.event_type = e.event_type and event_id % 3 = k.b
+   where not early and not (late and k.b = 2) group by 1, 2""")
 def arriving_work(spark, sf):
-    """Two files that share keys, one batch each."""
+    """Three batches that share keys; results are there ahead of the first and of the last."""
     base = work_folder(spark, "work")
     e = read(spark, sf, "events").selectExpr("cast(user_id as string) as target_object", "event_type as source_record_id", "event_id")
-    e.where("event_id % 4 = 0").selectExpr("target_object", "source_record_id", "'TRUE' as success").write.parquet(f"{base}/results")
-    for part in (0, 1):
-        e.where(F.col("event_id") % 2 == part).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    for part, known in enumerate(("event_id % 40 = 0", "false", "event_id % 40 = 6")):
+        e.where(known).selectExpr("target_object", "source_record_id", "'TRUE' as success").write.mode("append").parquet(f"{base}/results")
+        e.where(F.col("event_id") % 3 == part).write.mode("append").parquet(f"{base}/in")
         arriving = spark.readStream.schema(e.schema).parquet(f"{base}/in")
-        jobs.fresh_work(arriving, f"{base}/results", f"{base}/out", f"{base}/cp").awaitTermination()
+        jobs.fresh_work(arriving, jobs.result_keys(spark, f"{base}/results"), f"{base}/out", f"{base}/cp").awaitTermination()
     return spark.read.parquet(f"{base}/out").select("target_object", "source_record_id", "event_id")

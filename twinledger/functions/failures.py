@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .literals import literal_json
 from .text import collapse, joined, load_text, strip
 
 # Identifier shapes that are masked before failures are grouped.
@@ -61,9 +62,8 @@ def failed_field(message: Column, requested: Column) -> Column:
 def field_list(text: Column) -> Column:
     """A field list given as JSON or single-quoted array text, or as plain text."""
     clean = strip(text)
-    parsed = F.from_json(F.translate(clean, "'", '"'), "array<string>")
-    good = clean.startswith("[") & parsed.isNotNull()
-    return F.coalesce(F.when(good, joined(F.transform(parsed, strip))).otherwise(clean), F.lit(""))
+    parsed = F.from_json(F.when(clean.startswith("["), literal_json(clean)), "array<string>")
+    return F.coalesce(F.when(parsed.isNotNull(), joined(F.transform(parsed, strip))).otherwise(clean), F.lit(""))
 
 
 def _variant_list(v: Column, path: str) -> Column:
@@ -75,18 +75,13 @@ def _variant_list(v: Column, path: str) -> Column:
 def with_parsed_error(df: DataFrame, message: str = "message") -> DataFrame:
     """Add ``error_code``, ``error_fields`` and ``error_message`` parsed from a raw message.
 
-    JSON is read as such; the single-quoted spelling of the same structure is rewritten to
-    JSON first when it holds no double quote; anything else goes through three patterns.
+    JSON is read as such; a literal of the same structure, in whatever quotes, is rewritten to JSON
+    first (``literals``); anything else goes through three patterns.
     Steps are separate columns because each is used several times by the next.
     """
     marker = "Response content:"
     raw, content, v = F.col("_raw"), F.col("_content"), F.col("_v")
     first, bulk = F.col("_first"), F.col("_bulk")
-    rewritten = F.translate(content, "'", '"')
-    for word, token in (("None", "null"), ("True", "true"), ("False", "false")):
-        rewritten = F.regexp_replace(rewritten, rf"(?<=[\[,:]\s?){word}(?=\s*[,\]}}])", token)
-    quoted = content.rlike(r"\A[\[{]") & ~content.contains('"')
-
     def is_object(node: Column, path: str) -> Column:
         return F.try_variant_get(node, path, "map<string,variant>").isNotNull()
 
@@ -96,7 +91,8 @@ def with_parsed_error(df: DataFrame, message: str = "message") -> DataFrame:
     df = df.withColumn("_raw", load_text(F.col(message)))
     df = df.withColumn("_content", F.when(raw.contains(marker), strip(F.substring(
         raw, F.instr(raw, marker) + len(marker), F.length(raw)))).otherwise(raw))
-    df = df.withColumn("_v", F.try_parse_json(F.when(quoted, rewritten).otherwise(content)))
+    df = df.withColumn("_v", F.try_parse_json(content))
+    df = df.withColumn("_v", F.when(v.isNull() & content.rlike(r"\A[\[{(]"), F.try_parse_json(literal_json(content))).otherwise(v))
     df = df.withColumn("_first", F.coalesce(F.try_variant_get(v, "$[0]", "variant"), F.when(is_object(v, "$"), v)))
     df = df.withColumn("_bulk", F.try_variant_get(first, "$.errors[0]", "variant"))
     df = df.withColumn("_bulk_text", text(first, "$.errors"))

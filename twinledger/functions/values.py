@@ -100,7 +100,20 @@ def lookup_key(c: Column, text: Column | None = None) -> Column:
              .otherwise(F.concat(F.lit("text:"), text)))
 
 
-def outcome(success: Column) -> Column:
-    """Success flag of a result: a true boolean or the text ``true``.  An absent flag is a
-    failure whether or not errors are listed."""
-    return F.coalesce(F.lower(strip(success.cast("string"))) == "true", F.lit(False))
+def outcome(success: Column, kind: T.DataType | None = None, errors: Column | None = None) -> Column:
+    """Success flag of a result, by the type of the flag (text, if not given).
+
+    A boolean is itself, text is true if it says ``true``, a number if it is not zero.  A variant is judged by what it
+    holds.  Without a flag, and with listed errors beside a number, the row failed.
+    """
+    failed = F.lit(False) if errors is None else F.coalesce(F.size(errors) > 0, F.lit(False))
+    text = lambda c: F.lower(strip(c.cast("string"))) == "true"
+    if isinstance(kind, T.VariantType):
+        shape = F.schema_of_variant(success)
+        value = F.try_variant_get(success, "$", "string")
+        number = ~failed & (F.try_variant_get(success, "$", "double") != 0)
+        return F.coalesce(F.when(shape.isin("STRING", "BOOLEAN"), text(value)).when(shape.startswith("OBJECT") | shape.startswith("ARRAY"), ~failed & (F.length(value) > 2))
+                          .when(shape != "VOID", number), F.lit(False))
+    if isinstance(kind, (T.NumericType,)):
+        return F.coalesce(~failed & (success != 0), F.lit(False))
+    return F.coalesce(text(success), F.lit(False))

@@ -53,38 +53,28 @@ def field_sample(fields: DataFrame, k: int = 5, order=("old_record_id", "new_rec
 
 
 def summary(counts: DataFrame, bad_objects: DataFrame, per_field: DataFrame, bad_pairs: DataFrame,
-            stored_records: DataFrame | None = None, stored_fields: DataFrame | None = None) -> DataFrame:
-    """Metric and value rows: what the stored output declares against what was counted.
+            stored: DataFrame | None = None) -> DataFrame:
+    """Metric and value rows: what the store declares against what was counted.
 
-    ``stored_*`` are the row counts written by the diff job (``obj, join_bucket, row_count``).
+    ``stored`` are the rows of the diff store's manifest (``obj, join_bucket, record_rows, field_rows``), counted by the
+    runs that wrote them; without a store those five metrics are null.
     """
-    none = F.lit(None).cast("string")
-
-    def total(df: DataFrame, metric: str) -> DataFrame:
-        return df.agg(F.coalesce(F.sum("row_count"), F.lit(0)).cast("string").alias("value")).select(
-            F.lit(metric).alias("metric"), "value")
-
-    def size(df: DataFrame, metric: str) -> DataFrame:
-        return df.agg(F.count("*").cast("string").alias("value")).select(F.lit(metric).alias("metric"), "value")
-
-    def absent(df: DataFrame, metric: str) -> DataFrame:
-        return df.limit(0).agg(F.count("*").alias("n")).select(F.lit(metric).alias("metric"), none.alias("value"))
-
-    parts = [
-        size(stored_records, "completed_bucket_count") if stored_records is not None else absent(counts, "completed_bucket_count"),
-        size(stored_records, "record_part_count") if stored_records is not None else absent(counts, "record_part_count"),
-        size(stored_fields, "field_part_count") if stored_fields is not None else absent(counts, "field_part_count"),
-        total(stored_records, "manifest_record_diff_rows") if stored_records is not None else absent(counts, "manifest_record_diff_rows"),
-        total(stored_fields, "manifest_field_diff_rows") if stored_fields is not None else absent(counts, "manifest_field_diff_rows"),
-        total(counts, "audited_record_diff_rows"),
-        total(bad_objects, "invalid_record_object_rows"),
-        size(counts.limit(0), "record_level_scan_completed").withColumn("value", F.lit("True")),
-        total(per_field, "audited_field_diff_rows"),
-        total(bad_pairs, "invalid_field_pair_rows"),
-        size(per_field, "unique_field_change_groups"),
-        size(per_field.limit(0), "field_level_scan_completed").withColumn("value", F.lit("True")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    def row(metric: str, value: Column) -> Column:
+        return F.struct(F.lit(metric).alias("metric"), value.cast("string").alias("value"))
+
+    def told(df: DataFrame, **metrics: Column) -> DataFrame:
+        """One row of aggregates, as rows of metric and value."""
+        one = df.agg(*[v.alias(k) for k, v in metrics.items()])
+        return one.select(F.inline(F.array(*[row(k, F.col(k)) for k in metrics])))
+
+    def total(column: str) -> Column:
+        return F.coalesce(F.sum(column), F.lit(0).cast("long"))
+
+    done = {"completed_bucket_count": F.count("*"), "record_part_count": F.count_if(F.col("record_rows") > 0),
+            "field_part_count": F.count_if(F.col("field_rows") > 0), "manifest_record_diff_rows": total("record_rows"),
+            "manifest_field_diff_rows": total("field_rows")}
+    declared = told(stored, **done) if stored is not None else told(counts.limit(0), **{k: F.max(F.lit(None).cast("string")) for k in done})
+    return (declared.unionByName(told(counts, audited_record_diff_rows=total("row_count"), record_level_scan_completed=F.lit("True")))
+            .unionByName(told(bad_objects, invalid_record_object_rows=total("row_count")))
+            .unionByName(told(per_field, audited_field_diff_rows=total("row_count"), unique_field_change_groups=F.count("*"), field_level_scan_completed=F.lit("True")))
+            .unionByName(told(bad_pairs, invalid_field_pair_rows=total("row_count"))))

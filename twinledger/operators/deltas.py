@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.values import equivalent
-from ..session import small
+from ..session import config, small
 from .skew import skew_join
 
 
 def field_types(catalog: DataFrame) -> DataFrame:
     """One map of field to type per object."""
-    return catalog.groupBy(F.col("object").alias("target_object")).agg(
+    return config(catalog).groupBy(F.col("object").alias("target_object")).agg(
         F.map_from_entries(F.collect_set(F.struct("field", "type"))).alias("_types"))
 
 

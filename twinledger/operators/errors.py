@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.failures import advice, category, masked, with_parsed_error
 from ..functions.payload import key_list
 from ..functions.text import load_text, strip
-from .ranking import top_per_group
+from .ranking import number_rows, top_per_group
 
 ERROR_KEY = ["target_object", "source_object", "operation", "error_category", "error_code", "error_fields", "error_message"]
 
@@ -61,3 +61,9 @@ def group_failures(failed: DataFrame, order: list[str]) -> DataFrame:
 
 def review_order(df: DataFrame) -> DataFrame:
     return df.orderBy(F.col("occurrence_count").desc(), "target_object", "error_code", "normalized_error_message")
+
+
+def review_places(df: DataFrame) -> DataFrame:
+    """The review order as a column ``place``, from 1; what is equal in it is told apart by the other columns of a group."""
+    rest = ["source_object", "operation", "error_category", "error_fields"]
+    return number_rows(df, [], [F.col("occurrence_count").desc(), "target_object", "error_code", "normalized_error_message", *rest], "place")

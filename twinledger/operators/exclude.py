@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.text import first_glob, strip
-from ..session import small
+from ..session import checkpointed, small
+from .patterns import FEW, first_specs, listed, with_spec
 
 GLOB_REASON = "Comparison-only field exclusion from function parameter: "
 
@@ -46,12 +47,24 @@ def comparison_spec(specs):
     return first_glob(F.col("obj"), F.col("field"), specs)
 
 
+def spec_table(names: DataFrame, specs) -> DataFrame | None:
+    """For many specs, or specs that are a table (``place, spec``), the first that matches each of ``names`` (``obj, field``); for a few None,
+    as :func:`comparison_spec` does without a table."""
+    if not isinstance(specs, DataFrame):
+        if len(specs or ()) <= FEW:
+            return None
+        specs = listed(names.sparkSession, specs)
+    return checkpointed(first_specs(names, specs))
+
+
 def exclusion_audit(long_df: DataFrame, exclusions: DataFrame | None, specs=()) -> DataFrame:
     """Rows excluded per env, object, field and reason.  A hard-excluded row counts once,
     under its hard reason; only surviving rows can count under a comparison-only spec."""
     # Count first: the rules then see one row per env, object and field.
     counts = long_df.groupBy("env", "obj", "field").agg(F.count("*").alias("_n"))
-    tagged = with_reason(counts, exclusions).withColumn("spec", comparison_spec(specs))
+    tagged = with_reason(counts, exclusions)
+    table = spec_table(long_df.select("obj", "field"), specs)
+    tagged = tagged.withColumn("spec", comparison_spec(specs)) if table is None else with_spec(tagged, table)
     reason = F.when(F.col("reason").isNotNull(), F.col("reason")).when(
         F.col("spec").isNotNull(), F.concat(F.lit(GLOB_REASON), F.col("spec")))
     return tagged.select("env", "obj", "field", reason.alias("reason"), F.col("_n").alias("excluded_row_count")).filter(

@@ -6,6 +6,7 @@ shared checkpoint folder every round; only row counts come back to the driver.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import count
 
 from pyspark.sql import DataFrame, functions as F
@@ -169,17 +170,93 @@ def closure(start: DataFrame, edges: DataFrame, keys: tuple[str, str] = ("object
             seen = checkpointed(seen)
 
 
+def _stacked(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _jumped(single: DataFrame) -> DataFrame:
+    """Follow chains to their ends by doubling.
+
+    ``single`` has ``node, needs, w, base``: the level of a node is the greater of ``base`` and the level of ``needs``
+    plus ``w``.  Two such steps make one of the same kind, so the way that a row covers doubles each round.
+    Returns ``node, stop, w, base``, where ``stop`` is no node of ``single``; nodes in or behind a ring of such nodes
+    have no end and are left out.
+    """
+    known = single.select(F.col("node").alias("needs"), F.lit(True).alias("_on"))
+    now = checkpointed(skew_join(single, known, ["needs"], "left").select(
+        "node", F.col("needs").alias("stop"), "w", "base", F.coalesce("_on", F.lit(False)).alias("on")))
+    total, done, active, covered = now.count(), [now.filter(~F.col("on"))], now.filter("on"), 1
+    while covered <= total and not active.isEmpty():
+        ahead = _stacked([*done, active]).select(F.col("node").alias("stop"), F.col("stop").alias("_s"), F.col("w").alias("_w"),
+                                                 F.col("base").alias("_b"), F.col("on").alias("_on"))
+        step = skew_join(active, ahead, ["stop"], "inner")
+        now = checkpointed(step.select("node", F.col("_s").alias("stop"), (F.col("w") + F.col("_w")).alias("w"),
+                                       F.greatest("base", F.col("_b") + F.col("w")).alias("base"), F.col("_on").alias("on")))
+        done, active, covered = [*done, now.filter(~F.col("on"))], now.filter("on"), 2 * covered
+    return _stacked(done).drop("on")
+
+
+def levels(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``node, level`` of all nodes that depend on no cycle (0 without ``needs``, else one more than the highest of them),
+    and the nodes in or behind one.  ``edges`` has ``node`` and ``needs``, both among the nodes.
+
+    Nodes with one open dependency form chains, which are followed by doubling and set aside with the node at their
+    end; only nodes with several are taken off round by round.  Rounds grow with the logarithm of
+    chains and with the depth to which branchings follow each other, not with the length of a path.
+    """
+    nodes = checkpointed(nodes.select("node").distinct())
+    every = checkpointed(edges.select("node", "needs").distinct().withColumn("w", F.lit(1).cast("long")))
+    # Nodes with open dependencies, and the level they have by those that are met.
+    waiting = checkpointed(every.select("node").distinct().withColumn("base", F.lit(0).cast("long")))
+    fresh = checkpointed(nodes.join(waiting.select("node"), "node", "left_anti").withColumn("level", F.lit(0).cast("long")))
+    known, aside = [fresh], []
+    while True:
+        counted = every.groupBy("node").agg(F.count("*").alias("_n"), F.first("needs").alias("needs"), F.first("w").alias("w"))
+        single = checkpointed(counted.filter("_n = 1").drop("_n").join(waiting, "node"))
+        raised = []
+        # Dependencies that may name a node whose level has been known for longer, and those that cannot.
+        moved, rows = (every, every.limit(0)) if len(known) == 1 else (every.limit(0), every)
+        if not single.isEmpty():
+            chains = _jumped(single)
+            aside.append(chains)
+            ends = chains.select(F.col("node").alias("needs"), "stop", F.col("w").alias("_w"), F.col("base").alias("_b"))
+            rest = checkpointed(skew_join(every.join(single.select("node"), "node", "left_anti"), ends, ["needs"], "left"))
+            went = F.col("stop").isNotNull()
+            raised.append(rest.filter(went).select("node", (F.col("_b") + F.col("w")).alias("_up")))
+            moved = rest.filter(went | F.lit(len(known) == 1)).select(
+                "node", F.coalesce("stop", "needs").alias("needs"), (F.col("w") + F.coalesce("_w", F.lit(0))).alias("w"))
+            rows = rest.filter(~went & F.lit(len(known) > 1)).select("node", "needs", "w")
+            waiting = waiting.join(single.select("node"), "node", "left_anti")
+        level = lambda df: df.select(F.col("node").alias("needs"), "level")
+        met = checkpointed(skew_join(moved, level(_stacked(known)), ["needs"], "left").unionByName(skew_join(rows, level(fresh), ["needs"], "left")))
+        raised.append(met.filter(F.col("level").isNotNull()).select("node", (F.col("level") + F.col("w")).alias("_up")))
+        up = _stacked(raised).groupBy("node").agg(F.max("_up").alias("_up"))
+        every = checkpointed(met.filter(F.col("level").isNull()).groupBy("node", "needs").agg(F.max("w").alias("w")))
+        waiting = checkpointed(waiting.join(up, "node", "left").join(every.select("node").distinct().withColumn("_open", F.lit(True)), "node", "left")
+                               .select("node", F.greatest("base", F.coalesce("_up", F.lit(0))).alias("base"), F.col("_open").isNotNull().alias("_open")))
+        fresh = waiting.filter(~F.col("_open")).select("node", F.col("base").alias("level"))
+        waiting = waiting.filter("_open").drop("_open")
+        if fresh.isEmpty():
+            break
+        known.append(fresh)
+    # The chains that were set aside last end at what is known first of all.
+    for chains in reversed(aside):
+        placed = skew_join(chains, _stacked(known).select(F.col("node").alias("stop"), "level"), ["stop"], "inner")
+        known.append(checkpointed(placed.select("node", F.greatest("base", F.col("level") + F.col("w")).alias("level"))))
+    out = _stacked(known)
+    return out, nodes.join(out.select("node"), "node", "left_anti")
+
+
 def load_waves(records: DataFrame, edges: DataFrame) -> DataFrame:
     """Wave per record, parents first: 0 without a parent to load, else one more than the
-    latest parent.  Records in or behind a cycle get a null wave and ``in_cycle``."""
+    latest parent.  Records in or behind a cycle get a null wave and ``in_cycle``.  See :func:`levels` for the rounds."""
     node = lambda o, r: F.struct(F.col(o).alias("object"), F.col(r).alias("record_id"))
     nodes = records.select(node("object", "record_id").alias("node")).distinct()
     inner = (edges.select(node("object", "record_id").alias("node"), node("needs_object", "needs_id").alias("needs"))
                   .filter(F.col("node") != F.col("needs"))
                   .join(nodes, "node", "left_semi"))
     inner = skew_join(inner, nodes.select(F.col("node").alias("needs")), ["needs"], "left_semi")
-    done, cyclic = _peel(nodes, inner, lambda freed, taken: freed.select("node", "level"))
-    out = cyclic.select("node", F.lit(None).cast("int").alias("level")).withColumn("in_cycle", F.lit(True))
-    if done is not None:
-        out = done.withColumn("in_cycle", F.lit(False)).unionByName(out)
+    done, cyclic = levels(nodes, inner)
+    out = done.select("node", F.col("level").cast("int").alias("level"), F.lit(False).alias("in_cycle")).unionByName(
+        cyclic.select("node", F.lit(None).cast("int").alias("level"), F.lit(True).alias("in_cycle")))
     return out.select("node.*", F.col("level").alias("wave"), "in_cycle")

@@ -15,7 +15,7 @@ from ..functions.payload import item
 from ..functions.text import BLANK_IN_LOADS, is_blank, load_text, name_candidates, strip_name, unless_blank
 from ..functions.values import coerced, is_bad_number, lookup_key
 from ..model import EXTERNAL_ID, RECORD_TYPE
-from ..session import small
+from ..session import config, small
 from .schema_diff import is_writable
 
 VALUE_MAP = ("struct<source:struct<object:string,field:string>,"
@@ -39,7 +39,7 @@ def numbered(mapping: DataFrame) -> DataFrame:
 def value_lookup(mapping: DataFrame) -> DataFrame:
     """The value maps as rows ``(mapping_id, key, mapped_value)``, read in the direction the
     map declares; the last of repeated keys wins."""
-    m = numbered(mapping).filter(F.col("value_map").isNotNull()).withColumn("m", F.from_json("value_map", VALUE_MAP))
+    m = numbered(config(mapping)).filter(F.col("value_map").isNotNull()).withColumn("m", F.from_json("value_map", VALUE_MAP))
     for side in ("source", "target"):
         for part in ("object", "field"):
             m = m.withColumn(f"_{side}_{part}", load_text(F.col(f"m.{side}.{part}")))
@@ -73,7 +73,7 @@ def field_targets(catalog: DataFrame) -> DataFrame:
     kept = ["type", "relationship_name", "reference_to", "nillable", "createable", "updateable"]
     meta = F.struct(F.col("field"), *kept)
     by_field = catalog.select(F.col("object").alias("target_object"), F.lit("field").alias("_way"), F.col("field").alias("_name"), meta.alias("meta"))
-    by_relation = (catalog.filter(F.length("relationship_name") > 0)
+    by_relation = (config(catalog).filter(F.length("relationship_name") > 0)
                    .groupBy(F.col("object").alias("target_object"), F.lit("relation").alias("_way"), F.col("relationship_name").alias("_name"))
                    .agg(F.max_by(meta, "field").alias("meta")))
     return by_field.unionByName(by_relation)
@@ -144,7 +144,7 @@ def infer_entries(rows: DataFrame, catalog: DataFrame, inferred: DataFrame, key:
     return named.unionByName(referenced)
 
 
-def map_payload(work: DataFrame, mapping: DataFrame, catalog: DataFrame, inferred: DataFrame | None = None) -> DataFrame:
+def map_payload(work: DataFrame, mapping: DataFrame, catalog: DataFrame, inferred: DataFrame | None = None, keyed: bool = False) -> DataFrame:
     """Map each work row's ``payload`` (map of source field to value) to target entries.
 
     ``work`` carries the record columns plus ``operation`` and ``hint``.  Returns one row per
@@ -177,9 +177,9 @@ def map_payload(work: DataFrame, mapping: DataFrame, catalog: DataFrame, inferre
              .when(F.col("inferred_entry").isNotNull(), F.concat(field, F.lit(" -> "), target, F.lit(": not available; used inferred target field")))
              .otherwise(F.concat(field, F.lit(" -> "), target, F.lit(": not writable or unsupported"))))
     placed = shaped.select(*RECORD, "_at", F.coalesce("entry", "inferred_entry").alias("entry"), skip.alias("skip"))
-    # Both aggregates below run on the partitioning of this one exchange.
-    keyed = placed.repartition("target_object", "source_record_id")
-    per_name = keyed.groupBy(*RECORD, F.col("entry.name").alias("name"), F.col("entry.ext_field").alias("ext")).agg(
+    # Both aggregates below run on one partitioning by record: that of ``work`` if it has it (``keyed``), else this one.
+    placed = placed if keyed else placed.repartition("target_object", "source_record_id")
+    per_name = placed.groupBy(*RECORD, F.col("entry.name").alias("name"), F.col("entry.ext_field").alias("ext")).agg(
         F.max(F.struct("_at", "entry")).alias("last"),
         F.collect_list(F.when(F.col("skip").isNotNull(), F.struct("_at", "skip"))).alias("skips"))
     out = per_name.groupBy(*RECORD).agg(

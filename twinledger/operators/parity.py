@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.markup import has_markup, with_clean_text
 from ..functions.text import BLANK_IN_KEYS, canonical, cell, strip_name, unless_blank
 from ..model import DATA_GAP, LONG_COLUMNS, MISSING_FROM
-from .exclude import comparison_spec, exclusion_audit, hard_excluded
+from .exclude import comparison_spec, exclusion_audit, hard_excluded, spec_table
+from .patterns import with_spec
 from .skew import hot_keys, is_hot
 
 KEY = ["obj", "key"]
@@ -32,7 +33,7 @@ class Parity:
     stacked: DataFrame
     raw: tuple[DataFrame, DataFrame]
     exclusions: DataFrame | None
-    comparison_excluded: tuple
+    comparison_excluded: tuple | DataFrame
 
     @property
     def records(self) -> DataFrame:
@@ -106,8 +107,9 @@ def _field_level(rows: DataFrame) -> DataFrame:
         F.min(F.when(new, identity)).alias("new_first"), F.min(F.when(~new, identity)).alias("old_first"))
 
 
-def _record_level(field_rows: DataFrame, specs) -> DataFrame:
-    spec = comparison_spec(specs)
+def _record_level(field_rows: DataFrame, specs, table: DataFrame | None) -> DataFrame:
+    spec = comparison_spec(specs) if table is None else F.col("spec")
+    field_rows = field_rows if table is None else with_spec(field_rows, table)
     field_rows = field_rows.select("*", differs(F.col("n.value"), F.col("o.value")).alias("differs"),
                                    spec.isNotNull().alias("load_only"))
     both = F.col("n").isNotNull() & F.col("o").isNotNull()
@@ -148,12 +150,14 @@ def record_parity(new_long: DataFrame, old_long: DataFrame, exclusions: DataFram
     hot = hot_keys(keyed.select(*KEY), KEY) if hot is None else hot
     key_columns = [F.col(k) for k in KEY]
     cold = keyed.filter(~is_hot(key_columns, hot)) if hot else keyed
-    paired = _record_level(_field_level(cold.repartition(*KEY)), comparison_excluded)
+    table = spec_table(keyed.select("obj", "field"), comparison_excluded)
+    paired = _record_level(_field_level(cold.repartition(*KEY)), comparison_excluded, table)
     if hot:
         # No repartition here: the field-level aggregate combines ahead of its own shuffle.
         paired = paired.unionByName(_record_level(
-            _field_level(keyed.filter(is_hot(key_columns, hot))), comparison_excluded))
-    return Parity(paired, stacked, (new_long, old_long), exclusions, tuple(comparison_excluded))
+            _field_level(keyed.filter(is_hot(key_columns, hot))), comparison_excluded, table))
+    return Parity(paired, stacked, (new_long, old_long), exclusions,
+                  comparison_excluded if isinstance(comparison_excluded, DataFrame) else tuple(comparison_excluded))
 
 
 def _map(items: Column, name: str) -> Column:
@@ -179,12 +183,20 @@ def records(paired: DataFrame) -> DataFrame:
         part(True, "new").alias("new_load_value"), part(True, "old").alias("old_load_value"))
 
 
+def _shown(x: Column) -> Column:
+    """Whether an entry is reported as a field: compared, and of a missing record not null."""
+    return ~x["load_only"] & ((F.col("change_type") == DATA_GAP) | x["new_value"].isNotNull() | x["old_value"].isNotNull())
+
+
+def shown_fields() -> Column:
+    """How many rows :func:`fields` makes of a paired row."""
+    return F.size(F.filter("items", _shown))
+
+
 def fields(paired: DataFrame) -> DataFrame:
     """One row per reported field.  Missing records skip fields that are null; ids and
     values are CSV cells (null is empty, line breaks escaped)."""
-    rows = paired.select("*", F.explode("items").alias("x")).filter(
-        ~F.col("x.load_only") & ((F.col("change_type") == DATA_GAP) |
-                                 F.col("x.new_value").isNotNull() | F.col("x.old_value").isNotNull()))
+    rows = paired.select("*", F.explode("items").alias("x")).filter(_shown(F.col("x")))
     return rows.select(
         "obj", F.col("x.field").alias("field"), cell(F.col("new_record_id")).alias("new_record_id"),
         cell(F.col("old_record_id")).alias("old_record_id"), cell(F.col("external_id")).alias("external_id"),

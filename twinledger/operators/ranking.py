@@ -8,6 +8,8 @@ from ..session import checkpointed, input_bytes, small
 
 # Up to this k Spark itself cuts each task's rows to k per group before shuffling.
 PARTIAL_LIMIT = 1000
+# Up to SMALL_K one window per group is enough, up to MERGED_K partial results are merged in steps of FAN tasks.
+SMALL_K, MERGED_K, FAN = 100, 100_000, 32
 # Input that one numbering task is meant to sort.
 TASK_BYTES = 64 << 20
 UNKNOWN_BYTES = 1 << 60
@@ -51,15 +53,41 @@ def number_rows(df: DataFrame, group: list[str], order: list, name: str = "rank"
                          (F.col("_at") - F.col("_first") + F.col("_before") + 1).alias(name))
 
 
+def _first(df: DataFrame, by: list[str], order: list, k: int) -> DataFrame:
+    """The first k rows per group.  Spark cuts each task's rows to k per group ahead of the shuffle."""
+    window = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy(*_sort(order))
+    return df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= k).drop("_rank")
+
+
+def merged_top(df: DataFrame, group: list[str], order: list, k: int) -> DataFrame:
+    """The first k rows per group, merged in steps like the partial results of an aggregate.
+
+    Each task keeps k rows per group; those of ``FAN`` tasks are merged to k, and of ``FAN`` such tasks again, so the last
+    task of a group reads k rows for every ``FAN`` squared tasks of the input instead of k for each.
+    """
+    name = "spark.sql.optimizer.windowGroupLimitThreshold"  # up to this k the cut works ahead of the shuffle
+    conf = df.sparkSession.conf
+    conf.set(name, str(max(int(conf.get(name)), k)))
+    out = df.withColumn("_task", F.spark_partition_id())
+    for width in (FAN, FAN * FAN):
+        out = _first(out.withColumn("_some", F.floor(F.col("_task") / width)), [*group, "_some"], order, k)
+    return _first(out.drop("_task", "_some"), group, order, k)
+
+
 def top_per_group(df: DataFrame, group: list[str], order: list, k: int) -> DataFrame:
+    """The first k rows per group in the given order (which must leave no ties to be repeatable)."""
+    if k <= SMALL_K:
+        return _first(df, group, order, k)
+    if k <= MERGED_K:
+        return merged_top(df, group, order, k)
     return number_rows(df, group, order, "_rank", upto=k).filter(F.col("_rank") <= k).drop("_rank")
 
 
 def seeded_sample(df: DataFrame, group: list[str], key: list[str], k: int, seed: int = 8451) -> DataFrame:
     """``k`` rows per group, chosen by a seeded hash of the row key: uniform, repeatable and
-    independent of partitioning."""
-    order = [F.xxhash64(F.lit(seed), *[F.col(c) for c in key]), *key]
-    return top_per_group(df, group, order, k)
+    independent of partitioning.  The hash is MD5 of seed and key, so that another engine can tell the same rows."""
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key]
+    return top_per_group(df, group, [F.md5(F.concat_ws("|", F.lit(str(seed)), *text)), *key], k)
 
 
 def _pick(df: DataFrame, keys: list[str], order: list[str], function) -> DataFrame:

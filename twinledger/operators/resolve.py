@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.text import load_text, strip
 from ..model import EXTERNAL_ID, RECORD_KEY, rows
-from ..session import small
+from ..session import config, small
 from .skew import skew_join
 
 # Where a target id came from; the lowest found for an object wins.
@@ -42,10 +42,12 @@ def best_ids(id_map: DataFrame) -> DataFrame:
         F.min_by("target_id", F.struct("origin", "target_id")).alias("target_id"), F.min("origin").alias("origin"))
 
 
-def resolve_ids(df: DataFrame, id_map: DataFrame, object_col: Column, ext_col: Column, name: str) -> DataFrame:
+def resolve_ids(df: DataFrame, id_map: DataFrame, object_col: Column, ext_col: Column, name: str, distinct: bool = True) -> DataFrame:
     """Add ``name``: the target id of each row's (object, external id), or null.  Parents
-    that a great many rows point to are split at run time."""
-    ids = best_ids(id_map).select(F.col("object").alias("_o"), F.col("ext_id").alias("_e"), F.col("target_id").alias(name))
+    that a great many rows point to are split at run time.  A map that has one row per key already is not
+    aggregated with ``distinct`` False."""
+    ids = best_ids(id_map) if distinct else id_map
+    ids = ids.select(F.col("object").alias("_o"), F.col("ext_id").alias("_e"), F.col("target_id").alias(name))
     keyed = df.withColumn("_o", object_col).withColumn("_e", load_text(ext_col))
     return skew_join(keyed, ids, ["_o", "_e"], "left").drop("_o", "_e")
 
@@ -61,54 +63,66 @@ def create_to_update(work: DataFrame, id_map: DataFrame) -> DataFrame:
 
 
 def reference_fields(catalog: DataFrame) -> DataFrame:
-    return (catalog.filter(F.length("relationship_name") > 0)
+    return (config(catalog).filter(F.length("relationship_name") > 0)
             .groupBy(F.col("object").alias("target_object"), F.col("relationship_name").alias("name"))
             .agg(F.max_by(F.struct("field", "nillable", "reference_to"), "field").alias("meta"))
             .select("target_object", "name", "meta.*"))
 
 
-def resolve_references(prepared: DataFrame, catalog: DataFrame, id_map: DataFrame) -> DataFrame:
+def resolve_references(prepared: DataFrame, catalog: DataFrame, id_map: DataFrame | list[DataFrame]) -> DataFrame:
     """Replace reference entries by the target id of the record they name.
 
     The objects a reference may point to are tried in their order, and per object the ids of
     this run before those of the extract before looked-up ones: the first hit wins.  A blank
     key clears the field if it may be empty; a miss drops the entry and says so.
-    ``prepared`` has one row per record with ``entries`` and ``skipped``.
+    ``prepared`` has one row per record with ``entries`` and ``skipped``.  ``id_map`` may be a list of maps that hold one
+    row per (object, external id); each is joined as it is partitioned.
+
+    Records are read once: each travels as a row of its own beside the ids its references ask for, and both meet again
+    by record.
     """
-    refs = (prepared.select(*RECORD_KEY, F.explode("entries").alias("e"))
-            .filter(F.col("e.ext_field") == EXTERNAL_ID)
-            .select(*RECORD_KEY, F.col("e.name").alias("name"), load_text(F.col("e.value")).alias("ext_id"))
-            .join(small(reference_fields(catalog)), ["target_object", "name"]))
-    tries = refs.select(*RECORD_KEY, "name", "field", "nillable", "ext_id", "reference_to",
-                        F.posexplode_outer("reference_to").alias("pos", "object"))
-    ids = best_ids(id_map).select("object", "ext_id", "target_id", "origin")
-    found = skew_join(tries, ids, ["object", "ext_id"], "left")
-    per_ref = found.groupBy(*RECORD_KEY, "name").agg(
-        F.first("field").alias("field"), F.first("nillable").alias("nillable"), F.first("ext_id").alias("ext_id"),
-        F.first("reference_to").alias("reference_to"),
-        F.min(F.when(F.col("target_id").isNotNull(), F.struct("pos", "origin", "target_id"))).alias("best"))
+    packed = reference_fields(catalog).groupBy("target_object").agg(F.map_from_entries(F.collect_list(F.struct(
+        "name", F.struct("field", "nillable", "reference_to")))).alias("_refs"))
+    known = small(packed)
+    is_ref = lambda e: (e["ext_field"] == EXTERNAL_ID) & F.coalesce(F.map_contains_key("_refs", e["name"]), F.lit(False))
+    asked = F.filter("entries", lambda e: is_ref(e) & load_text(e["value"]).isNotNull())
+    tries = F.flatten(F.transform(asked, lambda e: F.transform(F.element_at("_refs", e["name"])["reference_to"], lambda o, i: F.struct(
+        e["name"].alias("name"), i.alias("pos"), o.alias("object"), load_text(e["value"]).alias("ext_id")))))
+    # The record's own row asks for nothing; its key keeps such rows apart from each other.
+    own = F.struct(F.lit(None).cast("string").alias("name"), F.lit(-1).alias("pos"), F.lit("\0").alias("object"), F.coalesce("source_record_id", F.lit("")).alias("ext_id"))
+    rows = prepared.join(known, "target_object", "left").withColumn("_try", F.explode(F.concat(F.array(own), F.coalesce(tries, F.array().cast(
+        "array<struct<name:string,pos:int,object:string,ext_id:string>>")))))
+    rows = rows.select(*RECORD_KEY, F.when(F.col("_try.pos") < 0, F.struct(*prepared.columns)).alias("_record"), "_try.*")
+    found = []
+    for i, ids in enumerate(id_map if isinstance(id_map, list) else [best_ids(id_map)]):
+        rows = skew_join(rows, ids.select("object", "ext_id", F.struct("origin", "target_id").alias(f"_hit{i}")), ["object", "ext_id"], "left")
+        found.append(F.col(f"_hit{i}"))
+    best = F.least(*found) if len(found) > 1 else found[0]
+    met = rows.groupBy(*RECORD_KEY).agg(
+        F.collect_list("_record").alias("_records"),
+        F.collect_list(F.when(best.isNotNull(), F.struct("name", "pos", best.alias("hit")))).alias("_hits"))
+    out = met.select("_hits", F.explode("_records").alias("_record")).select("_record.*", "_hits").join(known, "target_object", "left")
     # Name, resolved field and value, and the reason when there is none.
-    blank = F.col("ext_id").isNull()
-    where = F.coalesce(F.nullif(F.array_join("reference_to", "; "), F.lit("")), F.lit("reference object"))
-    note = (F.when(blank, F.when(~F.col("nillable"), F.concat("name", F.lit(f".{EXTERNAL_ID}: blank required relationship"))))
-             .when(F.col("best").isNull(), F.concat("name", F.lit(f".{EXTERNAL_ID}="), "ext_id",
-                                                    F.lit(": related record not found in "), where)))
-    keep = (blank & F.col("nillable")) | (~blank & F.col("best").isNotNull())
-    outcome = per_ref.groupBy(*RECORD_KEY).agg(
-        F.collect_set("name").alias("_names"),
-        F.sort_array(F.collect_list(F.when(keep, F.struct(
-            F.col("field").alias("name"), F.lit(None).cast("string").alias("ext_field"),
-            F.col("best.target_id").alias("value"))))).alias("_new"),
-        F.sort_array(F.collect_list(note)).alias("_notes"))
-    out = prepared.join(outcome, RECORD_KEY, "left")
-    rest = F.filter("entries", lambda e: e["ext_field"].isNull() | (e["ext_field"] != EXTERNAL_ID)
-                    | ~F.array_contains(F.coalesce("_names", F.array().cast("array<string>")), e["name"]))
+    judged = F.transform(F.filter("entries", is_ref), lambda e: F.struct(
+        e["name"].alias("name"), load_text(e["value"]).alias("ext_id"), F.element_at("_refs", e["name"]).alias("meta"),
+        F.array_min(F.filter("_hits", lambda h: h["name"] == e["name"]))["hit"]["target_id"].alias("target_id")))
+    out = out.withColumn("_judged", F.coalesce(judged, F.expr("array()")))
+
+    def note(r):
+        where = F.coalesce(F.nullif(F.array_join(r["meta"]["reference_to"], "; "), F.lit("")), F.lit("reference object"))
+        return (F.when(r["ext_id"].isNull(), F.when(~r["meta"]["nillable"], F.concat(r["name"], F.lit(f".{EXTERNAL_ID}: blank required relationship"))))
+                 .when(r["target_id"].isNull(), F.concat(r["name"], F.lit(f".{EXTERNAL_ID}="), r["ext_id"], F.lit(": related record not found in "), where)))
+    keep = lambda r: F.when(r["ext_id"].isNull(), r["meta"]["nillable"]).otherwise(r["target_id"].isNotNull())
+    new = F.transform(F.filter("_judged", keep), lambda r: F.struct(
+        r["meta"]["field"].alias("name"), F.lit(None).cast("string").alias("ext_field"), r["target_id"].alias("value")))
+    out = out.withColumn("_new", new).withColumn("_named", F.transform("_new", lambda e: e["name"]))
     # A resolved field replaces a plain entry of the same name.
-    named = F.transform(F.coalesce("_new", F.expr("array()")), lambda e: e["name"])
-    plain = F.filter(rest, lambda e: e["ext_field"].isNotNull() | ~F.array_contains(named, e["name"]))
-    return (out.withColumn("entries", F.when(F.col("_new").isNull(), F.col("entries")).otherwise(F.sort_array(F.concat(plain, "_new"))))
-               .withColumn("skipped", F.when(F.col("_notes").isNull(), F.col("skipped")).otherwise(F.concat("skipped", "_notes")))
-               .drop("_names", "_new", "_notes"))
+    rest = F.filter("entries", lambda e: ~is_ref(e) & (e["ext_field"].isNotNull() | ~F.array_contains("_named", e["name"])))
+    notes = F.sort_array(F.array_compact(F.transform("_judged", note)))
+    some = F.size("_judged") > 0
+    return out.select(*[(F.when(some, F.sort_array(F.concat(rest, "_new"))).otherwise(F.col("entries")) if c == "entries" else
+                         F.when(some, F.concat("skipped", notes)).otherwise(F.col("skipped")) if c == "skipped" else F.col(f"`{c}`")).alias(c)
+                        for c in prepared.columns])
 
 
 def entry_value(entries: Column, name: str | Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import load_text
 from ..model import rows
-from ..session import small
+from ..session import config, small
 from .resolve import has_entry
 
 RULE_COLUMNS = ["object", "source_object", "operation", "field", "action", "if_present", "value", "reason"]
@@ -62,7 +62,7 @@ def apply_rules(df: DataFrame, rule_table: DataFrame, catalog: DataFrame, record
     is narrow.  ``record_types`` has ``object, developer_name, id``.
     """
     flags = catalog.select("object", "field", "createable", "updateable")
-    r = rule_table.join(small(flags), ["object", "field"], "left")
+    r = config(rule_table).join(small(flags), ["object", "field"], "left")
     if record_types is not None:
         ids = record_types.select("object", F.col("developer_name").alias("value"), F.col("id").alias("_id"))
         r = r.join(small(ids), ["object", "value"], "left")

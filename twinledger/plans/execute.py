@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -13,13 +15,15 @@ from ..operators.deltas import actual_deltas
 from ..operators.graph import load_waves
 from ..operators.links import CONTACT_ROLE, Link, classify_links, route_to_link
 from ..operators.ranking import number_rows
-from ..operators.resolve import (create_to_update, entry_value, has_entry, id_map_from_results, known_links,
-                                 natural_key_match, resolve_ids, resolve_references)
+from ..operators.resolve import (FROM_EXTRACT, FROM_RUN, best_ids, create_to_update, entry_value, has_entry, id_map_from_results,
+                                 known_links, natural_key_match, resolve_ids, resolve_references)
 from ..operators.rules import apply_rules
 from ..operators.skew import skew_join
 from ..operators.state import pending
 from ..operators.sample import reference_edges
-from ..session import checkpointed, small
+from ..session import checkpointed, small, work_folder
+from ..sources.result_store import keep_outcomes, stored_outcomes
+from ..sources.scope import drop_foreign_sources, enabled_objects
 from .prepare import key_fields
 
 OP_COLUMNS = [*WORK_COLUMNS, "operation", "entries", "skipped", "status", "message"]
@@ -64,7 +68,7 @@ def natural_key_updates(df: DataFrame, links: DataFrame, keys: DataFrame, catalo
                .select(*df.columns))
 
 
-def plan_operations(work: DataFrame, catalog: DataFrame, id_map: DataFrame, rule_table: DataFrame,
+def plan_operations(work: DataFrame, catalog: DataFrame, id_map: DataFrame | list[DataFrame], rule_table: DataFrame,
                     current: DataFrame | None = None, links: DataFrame | None = None, keys: DataFrame | None = None,
                     record_types: DataFrame | None = None, flip_creates: bool = False) -> DataFrame:
     """Decide what happens to each prepared record: ``status`` is ready, skipped (success,
@@ -75,7 +79,7 @@ def plan_operations(work: DataFrame, catalog: DataFrame, id_map: DataFrame, rule
     """
     df = work.select(*WORK_COLUMNS, "operation", "entries", "skipped")
     if flip_creates:
-        df = create_to_update(df, id_map).select(*df.columns)
+        df = create_to_update(df, _stacked(id_map) if isinstance(id_map, list) else id_map).select(*df.columns)
     df = resolve_references(df, catalog, id_map)
     if links is not None and keys is not None:
         df = natural_key_updates(df, links, keys, catalog)
@@ -118,25 +122,57 @@ def default_new_id(source_id: Column) -> Column:
     return F.concat(F.lit("T"), source_id)
 
 
+@dataclass(frozen=True)
+class Held:
+    """A target in two bucketed tables: ``rows`` (``object, record_id, external_id, values``) by record, ``keys``
+    (``object, ext_id, target_id, origin``, one row each) by external id.  Joins and aggregates on these columns
+    read the buckets as they are, so the target is shuffled once, when it is written."""
+    rows: DataFrame
+    keys: DataFrame
+
+    def only(self, objects: list[str]) -> Held:
+        """The part of some objects; buckets are sorted by object, so others are mostly skipped by the scan."""
+        pick = F.col("object").isin(*objects)
+        return Held(self.rows.filter(pick), self.keys.filter(pick))
+
+
+def held_target(target: DataFrame) -> Held:
+    """Write a target down by record and by external id, in the shared folder.  Tables are known to the session under
+    names of their own and may be dropped when the result is stored."""
+    spark = target.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def table(df: DataFrame, by: list[str], kind: str) -> DataFrame:
+        name = f"held_{kind}_{uuid.uuid4().hex}"
+        (df.repartition(buckets, *by).write.format("parquet").option("path", work_folder(spark, name)).bucketBy(buckets, *by).sortBy(*by).saveAsTable(name))
+        return spark.table(name)
+    rows = table(target.select("object", "record_id", "external_id", "values"), ["object", "record_id"], "rows")
+    keys = rows.filter(F.col("external_id").isNotNull()).groupBy("object", F.col("external_id").alias("ext_id")).agg(
+        F.min("record_id").alias("target_id")).withColumn("origin", F.lit(FROM_EXTRACT))
+    return Held(rows, table(keys, ["object", "ext_id"], "keys"))
+
+
 @dataclass(frozen=True)
 class Applied:
     target: DataFrame
     results: DataFrame
 
 
-def outcomes(ops: DataFrame, target: DataFrame, new_id=default_new_id) -> DataFrame:
+def outcomes(ops: DataFrame, target: DataFrame | Held, new_id=default_new_id) -> DataFrame:
     """Check each ready operation against the target and give it the id it lands on.
 
-    ``target`` has ``object, record_id, external_id, values``.  Updating an unknown record
+    ``target`` has ``object, record_id, external_id, values``, one row per record.  Updating an unknown record
     and creating an existing external id fail; an upsert updates or creates.
     """
-    keys = target.select("object", F.col("external_id").alias("ext_id"), F.col("record_id").alias("target_id"), F.lit(0).alias("origin")).dropna(subset=["ext_id"])
+    held_once = isinstance(target, Held)
+    keys = target.keys if held_once else target.select("object", F.col("external_id").alias("ext_id"), F.col("record_id").alias("target_id"), F.lit(0).alias("origin")).dropna(subset=["ext_id"])
+    target = target.rows if held_once else target
     ready, held = F.col("status") == "ready", F.col("_by_key").isNotNull()
     key = F.when(ready & (F.col("operation") == "upsert"), F.col("source_record_id")).when(
         ready & (F.col("operation") == "create"), entry_value(F.col("entries"), EXTERNAL_ID))
     df = ops.withColumn("_key", key)
-    df = resolve_ids(df, keys, F.col("target_object"), F.col("_key"), "_by_key")
-    ids = target.select(F.col("object").alias("target_object"), F.col("record_id").alias("_wanted"), F.lit(True).alias("_exists")).distinct()
+    df = resolve_ids(df, keys, F.col("target_object"), F.col("_key"), "_by_key", distinct=not held_once)
+    ids = target.select(F.col("object").alias("target_object"), F.col("record_id").alias("_wanted"), F.lit(True).alias("_exists"))
     df = df.withColumn("_wanted", F.when(ready & (F.col("operation") == "update"), F.col("target_record_id")))
     df = skew_join(df, ids, ["target_object", "_wanted"], "left")
     op = F.col("operation")
@@ -188,10 +224,13 @@ def merge_into(target: DataFrame, checked: DataFrame) -> DataFrame:
     return both.select("object", "record_id", F.coalesce("_ext", "external_id").alias("external_id"), values.alias("values"))
 
 
-def apply_operations(target: DataFrame, ops: DataFrame, target_env: str = "new", source_env: str = "old",
+def apply_operations(target: DataFrame | Held, ops: DataFrame, target_env: str = "new", source_env: str = "old",
                      dry_run: bool = False, new_id=default_new_id) -> Applied:
+    """Operations applied to a target: its new state and a result row per operation.  A target that is used
+    more than once is best given as :func:`held_target`."""
     checked = outcomes(ops, target, new_id)
-    return Applied(target if dry_run else merge_into(target, checked), result_rows(checked, target_env, source_env, dry_run))
+    rows = target.rows if isinstance(target, Held) else target
+    return Applied(rows if dry_run else merge_into(rows, checked), result_rows(checked, target_env, source_env, dry_run))
 
 
 def _links_of(target: DataFrame, link: Link) -> DataFrame:
@@ -227,49 +266,75 @@ def load_links(work: DataFrame, target: DataFrame, catalog: DataFrame, id_map: D
     return own.unionByName(applied(routed.select(*own.columns[:len(routed.columns)]), known.unionByName(fresh)))
 
 
-def run_load(work: DataFrame, target: DataFrame, catalog: DataFrame, rule_table: DataFrame,
+def run_load(work: DataFrame, target: DataFrame | Held, catalog: DataFrame, rule_table: DataFrame,
              links: DataFrame | None = None, keys: DataFrame | None = None, record_types: DataFrame | None = None,
              target_env: str = "new", source_env: str = "old", dry_run: bool = False, new_id=default_new_id,
-             results: DataFrame | None = None, retry_failed: bool = False, link: Link | None = CONTACT_ROLE) -> Applied:
+             results: DataFrame | None = None, retry_failed: bool = False, link: Link | None = CONTACT_ROLE,
+             sequence: DataFrame | None = None, policy: DataFrame | None = None, only: DataFrame | None = None, store: str | None = None) -> Applied:
     """Load prepared work parents first, so that a child finds the id its parent got.
 
-    One pass per wave plans that wave's records with the ids of all earlier waves; the
-    target is merged once, at the end.  Records in a reference cycle go last, together, and the link
-    object after them: its own deltas and the fields that are routed to it.  Objects with a natural
-    key (``keys``, with ``links`` or else the target's own rows) are matched by it.  Records that
-    ``results`` already hold are left out, failed ones included unless ``retry_failed``.
+    One pass per wave plans that wave's records with the ids of all earlier waves; the target is written down by record
+    and by key once, and a wave reads the buckets of its objects; it is merged once, at the end.  Records in a
+    reference cycle go last, together, and the link object after them: its own deltas and the fields
+    that are routed to it.  Objects with a natural key (``keys``, with ``links`` or else the target's own rows) are
+    matched by it.  Records that ``results`` already hold are left out, failed ones included unless ``retry_failed``.
+
+    ``sequence`` (see ``scope``) restricts the load to its enabled objects, ``only`` to a list, and ``policy`` leaves out objects
+    that must come from another source.  With ``store`` each wave's results are kept there as it ends
+    (``result_store``), and a later call takes up what is left.
     """
-    id_map = target.select("object", F.col("external_id").alias("ext_id"), F.col("record_id").alias("target_id"),
-                           F.lit(1).alias("origin")).dropna(subset=["ext_id"])
+    if sequence is not None:
+        objects = enabled_objects(sequence, only)
+        objects = drop_foreign_sources(objects, policy, source_env) if policy is not None else objects
+        work = work.join(small(objects.select(F.col("object").alias("target_object"))), "target_object", "left_semi")
+    if store is not None:
+        kept = stored_outcomes(work.sparkSession, store)
+        results = kept if results is None else results.unionByName(kept, allowMissingColumns=True)
+    held = target if isinstance(target, Held) else held_target(target)
+    earlier = None
     if results is not None:
-        id_map = id_map.unionByName(id_map_from_results(results))
+        earlier = checkpointed(best_ids(id_map_from_results(results)))
         work = pending(work, results, retry_failed)
     if keys is not None and links is None:
-        links = known_links(target, keys)
+        links = known_links(held.rows, keys)
     work = checkpointed(work)
     mine = work.filter(F.col("target_object") != link.object) if link else work
     objects = mine.select(F.col("target_object").alias("object")).distinct()
-    edges = reference_edges(mine, catalog, objects, id_map)
+    before = held.keys if earlier is None else held.keys.unionByName(earlier)
+    edges = reference_edges(mine, catalog, objects, before)
     nodes = mine.select(F.col("target_object").alias("object"), F.col("source_record_id").alias("record_id"))
     waves = load_waves(nodes, edges).select(F.col("object").alias("target_object"), F.col("record_id").alias("source_record_id"),
                                             F.coalesce("wave", F.lit(1 << 30)).alias("wave"))
     placed = checkpointed(mine.join(waves, RECORD_KEY))
-    done = None
-    for wave in sorted(r[0] for r in placed.select("wave").distinct().collect()):
-        ops = plan_operations(placed.filter(F.col("wave") == wave), catalog, id_map, rule_table,
-                              current=target, links=links, keys=keys, record_types=record_types)
-        checked = checkpointed(outcomes(ops, target, new_id))
-        done = checked if done is None else done.unionByName(checked)
-        fresh = checked.filter(F.col("success") & load_text(F.col("landed_id")).isNotNull()).select(
+    plan: dict[int, list[str]] = {}
+    for r in placed.select("wave", "target_object").distinct().collect():  # objects per wave, not records
+        plan.setdefault(r.wave, []).append(r.target_object)
+    done, fresh = [], [] if earlier is None else [earlier]
+    for wave in sorted(plan):
+        part = held.only(plan[wave])
+        maps = [held.keys, *([best_ids(_stacked(fresh))] if fresh else [])]
+        ops = plan_operations(placed.filter(F.col("wave") == wave), catalog, maps, rule_table,
+                              current=part.rows, links=links, keys=keys, record_types=record_types)
+        checked = checkpointed(outcomes(ops, part, new_id))
+        done.append(checked)
+        if store is not None and not dry_run:
+            keep_outcomes(result_rows(checked, target_env, source_env, False), store)
+        fresh.append(checked.filter(F.col("success") & load_text(F.col("landed_id")).isNotNull()).select(
             F.col("target_object").alias("object"), F.col("source_record_id").alias("ext_id"),
-            F.col("landed_id").alias("target_id"), F.lit(0).alias("origin"))
-        id_map = id_map.unionByName(fresh)
+            F.col("landed_id").alias("target_id"), F.lit(FROM_RUN).alias("origin")))
     if link is not None:
-        routed = checkpointed(load_links(work, target, catalog, id_map, rule_table, link, new_id))
-        done = routed if done is None else done.unionByName(routed)
-    if done is None:
+        routed = checkpointed(load_links(work, held.rows, catalog, _stacked([held.keys, *fresh]), rule_table, link, new_id))
+        if store is not None and not dry_run:
+            keep_outcomes(result_rows(routed, target_env, source_env, False), store)
+        done.append(routed)
+    if not done:
         raise ValueError("there is no work to load")
-    return Applied(target if dry_run else merge_into(target, done), result_rows(done, target_env, source_env, dry_run))
+    every = _stacked(done)
+    return Applied(held.rows if dry_run else merge_into(held.rows, every), result_rows(every, target_env, source_env, dry_run))
+
+
+def _stacked(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
 
 
 def target_state(long_df: DataFrame) -> DataFrame:

@@ -6,14 +6,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.payload import items_json, merged
+from ..functions.payload import is_malformed, items_json, merged
 from ..functions.text import load_text
 from ..model import DATA_GAP, EXTERNAL_ID, MISSING_FROM, RECORD_KEY, WORK_COLUMNS
 from ..operators.mapping import map_payload
 from ..operators.ranking import first_wins
 from ..operators.rules import operation_hint
 from ..operators.state import pending, restrict
-from ..session import small
+from ..session import config, small
 
 
 def work_queue(records: DataFrame, mapping: DataFrame, objects: DataFrame | None = None, load_side: str = "old",
@@ -28,7 +28,7 @@ def work_queue(records: DataFrame, mapping: DataFrame, objects: DataFrame | None
     """
     other = "new" if load_side == "old" else "old"
     kinds = change_types or [DATA_GAP, MISSING_FROM + other]
-    routes = mapping.select("source_object", "target_object").distinct()
+    routes = config(mapping).select("source_object", "target_object").distinct()
     load_only = F.col(f"{load_side}_load_value")
     rows = (records.filter(F.col("change_type").isin(*kinds)).select(
                 F.col("obj").alias("source_object"), load_text(F.col(f"{load_side}_record_id")).alias("source_record_id"),
@@ -48,7 +48,7 @@ def work_queue(records: DataFrame, mapping: DataFrame, objects: DataFrame | None
 
 def key_fields(catalog: DataFrame) -> DataFrame:
     """Per target object: is there an external-id field, is it an upsert key, is it writable."""
-    return catalog.filter(F.col("field") == EXTERNAL_ID).select(
+    return config(catalog).filter(F.col("field") == EXTERNAL_ID).select(
         F.col("object").alias("target_object"), F.lit(True).alias("_key_known"), F.col("external_id").alias("_key_upsert"),
         F.col("createable").alias("_key_createable"), F.col("updateable").alias("_key_updateable")).dropDuplicates(["target_object"])
 
@@ -78,7 +78,8 @@ class Prepared:
 
 
 def prepare_work(queue: DataFrame, mapping: DataFrame, catalog: DataFrame, inferred: DataFrame | None = None) -> Prepared:
-    mapped = map_payload(with_operation(queue, catalog), mapping, catalog, inferred)
+    # A queue leaves its last aggregate by record.
+    mapped = map_payload(with_operation(queue, catalog), mapping, catalog, inferred, keyed=inferred is None)
     has_any = F.size("entries") > 0
     return Prepared(mapped.filter(has_any), mapped.filter(~has_any).select(*RECORD_KEY, "skipped"))
 
@@ -90,3 +91,13 @@ def prepared_summary(work: DataFrame, results: DataFrame | None = None, status:
     open_rows = left.groupBy("target_object").agg(F.count("*").alias("pending_rows"))
     return all_rows.join(open_rows, "target_object", "left").select(
         "target_object", "prepared_rows", F.coalesce("pending_rows", F.lit(0)).alias("pending_rows"), F.lit(status).alias("status"))
+
+
+def split_malformed(df: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows whose payload texts can be read, and the others with a ``reason``, to be put aside and looked at.  Blank text is an
+    empty payload."""
+    bad = F.lit(False)
+    for c in columns:
+        bad = bad | F.coalesce(is_malformed(F.col(c)), F.lit(False))
+    marked = df.withColumn("_bad", bad)
+    return marked.filter(~F.col("_bad")).drop("_bad"), marked.filter("_bad").drop("_bad").withColumn("reason", F.lit("payload is no JSON object"))

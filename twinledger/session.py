@@ -49,6 +49,12 @@ def small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     return F.broadcast(df) if size_in_bytes(df) <= limit else df
 
 
+def config(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """A configuration table in one partition, where the estimate proves it small: what is aggregated from it
+    needs no exchange."""
+    return df.coalesce(1) if size_in_bytes(df) <= limit else df
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: the one the session names in ``spark.checkpoint.dir``, else one
     beside the tables of its warehouse."""

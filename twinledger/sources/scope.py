@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.text import metadata_text, strip, truthy
+from ..operators.ranking import number_rows
 
 # Header names of the stored files and the neutral names they get here.
 SCOPE_HEADERS = {
@@ -141,3 +142,8 @@ def drop_foreign_sources(objects: DataFrame, policy: DataFrame, source_env: str)
 def in_sequence(df: DataFrame) -> DataFrame:
     """Sort by effective order, then name; objects without an order come last."""
     return df.orderBy(F.col("position").asc_nulls_last(), "object")
+
+
+def placed(df: DataFrame) -> DataFrame:
+    """The same order as a column: ``place`` counts from 1."""
+    return number_rows(df, [], [F.col("position").asc_nulls_last(), "object"], "place")
