@@ -17,10 +17,10 @@ def limit_batches(spark: SparkSession) -> None:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a table under the shared folder and read it back: cuts lineage, survives lost
+    """Write a table under the shared folder, packed well, and read it back: cuts lineage, survives lost
     executors, and gives the optimizer the table's real size."""
     folder = work_folder(df.sparkSession, name)
-    df.write.parquet(folder)
+    df.write.option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

@@ -9,22 +9,33 @@ than words may differ.  What passes is compared completely.
 The order of words comes from a table of fixed size: counts of hashed words.  Any order that all
 lines share keeps the join exact; rare words first only makes it fast.  As a count is never too small,
 it also tells words that stand in one line only, and words whose lists are surely short.
+
+Equal sets are one class, numbered in the order in which they first stand.  Only whether a class
+matches an earlier one matters, so no pairs of a group are listed: each class names the earliest candidate that passes the filters,
+and those that turn out not to match it name the next four, then sixteen, and so on.  In long lists
+all classes first ask the earliest rows, which settles groups of near copies however large; only the
+others go through the list block by block.
 """
 
 from __future__ import annotations
 
 import zlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from ..operators.ranking import merged_top
 from ..session import small
 from .common import keyed, limit_batches, same_row, stored
 from .windows import mix, word_bounds, word_codes
 
 COUNT_BITS, NAME_BITS, CHUNKS = 22, 40, 64
 SHORT_LIST, BLOCK = 1024, 1024
+# Candidates that a class names more of each time; tables of counts that are added at once, and how often.
+MORE, FAN, LEVELS = 4, 64, 3
 # Bytes of text taken at once in a task, and classes a task remembers to have listed.
 PIECE, REMEMBERED = 1 << 20, 500_000
 # Rows looked at together for pairs.
@@ -86,16 +97,16 @@ def _line_sets(texts: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, ...]
 
 
 def word_counts(rows: DataFrame) -> np.ndarray:
-    """Counts of hashed words, 2 ** 22 of them.  Tasks hand on tables of this size (packed), which
-    are added up by chunk."""
+    """Counts of hashed words, 2 ** 22 of them.  Tasks hand on tables of this size (packed, in chunks), which are added up
+    ``FAN`` at a time."""
     slots = 1 << COUNT_BITS
 
-    def pack(chunk, part):
-        return chunk, zlib.compress(np.minimum(part, np.iinfo(np.uint32).max).astype(np.uint32).tobytes(), 1)
+    def pack(part):
+        return zlib.compress(np.minimum(part, np.iinfo(np.uint32).max).astype(np.uint32).tobytes(), 1)
 
     def batch_of(cells):
-        return pa.RecordBatch.from_arrays([pa.array([c[0] for c in cells], pa.int32()), pa.array([c[1] for c in cells], pa.binary())],
-                                          names=["chunk", "counts"])
+        return pa.RecordBatch.from_arrays([pa.array([c[0] for c in cells], pa.int32()), pa.array([c[1] for c in cells], pa.int32()),
+                                           pa.array([c[2] for c in cells], pa.binary())], names=["chunk", "part", "counts"])
 
     def scan(batches):
         counts = np.zeros(slots, dtype=np.int64)
@@ -104,20 +115,24 @@ def word_counts(rows: DataFrame) -> np.ndarray:
             for low, high in _pieces(texts):
                 found, n = np.unique(_slot(_words(texts[low:high])[0]).astype(np.uint32), return_counts=True)
                 counts[found] += n
-        yield batch_of([pack(i, part) for i, part in enumerate(np.split(counts, CHUNKS))])
+        at = TaskContext.get().partitionId()
+        yield batch_of([(i, at, pack(part)) for i, part in enumerate(np.split(counts, CHUNKS))])
 
     def add(batches):
-        done: dict[int, np.ndarray] = {}
+        done: dict[tuple, np.ndarray] = {}
         for batch in batches:
-            for chunk, data in zip(*(c.to_pylist() for c in batch.columns)):
-                done[chunk] = done.get(chunk, 0) + np.frombuffer(zlib.decompress(data), dtype=np.uint32).astype(np.int64)
+            for *key, data in zip(*(c.to_pylist() for c in batch.columns)):
+                done[tuple(key)] = done.get(tuple(key), 0) + np.frombuffer(zlib.decompress(data), dtype=np.uint32).astype(np.int64)
         if done:
-            yield batch_of([pack(i, part) for i, part in done.items()])
-    schema = "chunk int, counts binary"
-    out = np.zeros((CHUNKS, slots // CHUNKS), dtype=np.uint32)
-    for r in rows.select("_text").mapInArrow(scan, schema).repartition("chunk").mapInArrow(add, schema).collect():
-        out[r["chunk"]] = np.frombuffer(zlib.decompress(r["counts"]), dtype=np.uint32)
-    return out.reshape(-1)
+            yield batch_of([(*key, pack(part)) for key, part in done.items()])
+    schema = "chunk int, part int, counts binary"
+    tables = rows.select("_text").mapInArrow(scan, schema)
+    for _ in range(LEVELS):
+        tables = tables.withColumn("part", F.floor(F.col("part") / FAN).cast("int")).repartition("chunk", "part").mapInArrow(add, schema)
+    out = np.zeros((CHUNKS, slots // CHUNKS), dtype=np.int64)
+    for r in tables.select("chunk", "counts").collect():
+        out[r["chunk"]] += np.frombuffer(zlib.decompress(r["counts"]), dtype=np.uint32)
+    return np.minimum(out.reshape(-1), np.iinfo(np.uint32).max).astype(np.uint32)
 
 
 def _ceil_share(n, percent: int):
@@ -170,11 +185,12 @@ def _spot(prefix: str = "") -> Column:
     return F.struct(c("_id").isNull().alias("none"), c("_id").alias("_id"), c("_h").alias("_h"), c("line").alias("line"))
 
 
-def _close_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes that share a listed word and pass all filters.  Rows have ``w, key, bits, more, n, at``
-    and, for lists that are cut, ``blocks, side`` (which two blocks meet, and in which of them the row is)."""
-    names, group = ["a", "abits", "b", "bbits"], [c for c in ("w", "blocks") if c in rows.columns]
-    columns = [*group, "key", "bits", "more", "n", "at", *[c for c in ("side",) if c in rows.columns]]
+def _candidates(rows: DataFrame, percent: int, most: int) -> DataFrame:
+    """``a, b``: for each class that asks in a list, its first ``most`` earlier classes there that pass all filters.
+
+    Rows have ``w, block`` (the list), ``c`` (class), ``bits, more, n, at``, whether they ``ask`` and ``tell``, and ``after``: only
+    later classes than that are named."""
+    group, columns = ["w", "block"], ["w", "block", "c", "bits", "more", "n", "at", "ask", "tell", "after"]
 
     def gathered(batches):
         held = []
@@ -193,68 +209,69 @@ def _close_pairs(rows: DataFrame, percent: int) -> DataFrame:
                 continue
             if rest is not None:
                 part = {c: np.concatenate([rest[c], part[c]]) for c in columns}
-            last = np.ones(len(part["w"]), dtype=bool)
-            for c in group:
-                last &= part[c] == part[c][-1]
+            last = (part["w"] == part["w"][-1]) & (part["block"] == part["block"][-1])
             cut = int(np.argmax(last))  # the last list may go on
             rest = {c: part[c][cut:] for c in columns}
             if cut:
-                yield pairs({c: part[c][:cut] for c in columns})
+                yield named({c: part[c][:cut] for c in columns})
         if rest is not None:
-            yield pairs(rest)
-
-    def pairs(part):
-        key, bits, more, n, at = (part[c] for c in ("key", "bits", "more", "n", "at"))
+            yield named(rest)
+
+    def named(part):
+        c, bits, more, n, at = (part[x] for x in ("c", "bits", "more", "n", "at"))
+        here = np.arange(len(c))
+        new = np.ones(len(c), dtype=bool)
+        new[1:] = (part["w"][1:] != part["w"][:-1]) | (part["block"][1:] != part["block"][:-1])
+        first = np.maximum.accumulate(np.where(new, here, 0))
+        fresh = new.copy()
+        fresh[1:] |= c[1:] != c[:-1]
+        own = np.maximum.accumulate(np.where(fresh, here, 0))
+        tells, before = np.flatnonzero(part["tell"]), np.concatenate([[0], np.cumsum(part["tell"])])
+        j = np.flatnonzero(part["ask"])
+        t, end = before[first[j]], before[own[j]]
+        hits = np.zeros(len(j), dtype=np.int64)
         found = []
-        i = np.arange(len(key))
-        step = 1
-        while len(i):
-            i = i[i + step < len(key)]
-            for c in group:
-                i = i[part[c][i] == part[c][i + step]]
-            x, j = i, i + step
-            if "side" in part:  # of two blocks, one against the other; of one block, all
-                good = (part["side"][x] != part["side"][j]) | (part["blocks"][x] % (1 << 31) == part["blocks"][x] >> 31)
-                x, j = x[good], j[good]
+        while True:
+            live = (t < end) & (hits < most)
+            j, t, end, hits = j[live], t[live], end[live], hits[live]
+            if not len(j):
+                break
+            x = tells[t]
             total = n[x] + n[j]
             need = -(-total * percent // (100 + percent))
-            good = (n[x] * 100 >= n[j] * percent) & (n[j] * 100 >= n[x] * percent) & (np.minimum(n[x] - at[x], n[j] - at[j]) >= need)
-            x, j, most = x[good], j[good], (total - 2 * need)[good]
-            bits_apart = sum(np.bitwise_count((b[x] ^ b[j]).view(np.uint64)).astype(np.int64) for b in (bits, more))
-            good = (bits_apart <= most) & ((key[x] != key[j]) | (bits[x] != bits[j]))
-            found.append(np.stack([x[good], j[good]]))
-            step += 1
-        x, j = np.concatenate(found, axis=1) if found else (i, i)
-        cells = np.unique(np.stack([key[x], bits[x], key[j], bits[j]]), axis=1) if len(x) else np.zeros((4, 0), dtype=np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cells], names=names)
-    return rows.repartition(*group).sortWithinPartitions(*group).mapInArrow(scan, ", ".join(f"{c} long" for c in names))
-
-
-def duplicate_lines(docs: DataFrame, percent: int = 80, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
-    """The keyed rows and ``_id, _h, lines``: the numbers of the lines to remove from each row."""
-    limit_batches(docs.sparkSession)
-    rows = keyed(docs, text, key)
-    lines = stored(_line_table(rows, word_counts(rows), percent), "lines")
-    owner = ["key", "bits"]
-    classes = stored(lines.groupBy(*owner).agg(F.min(_spot()).alias("first"), F.count("*").alias("copies")), "line-classes")
-    listed = lines.select(*owner, "more", "n", F.explode(F.arrays_zip("words", "places", "rare")).alias("x")).select(
-        F.col("x.words").alias("w"), *owner, "more", "n", F.col("x.places").alias("at"), "x.rare")
-    pairs = _close_pairs(listed.filter("rare").drop("rare"), percent)
-
-    # Lists that may be long are cut into blocks, and every two blocks meet.
-    others = stored(listed.filter(~F.col("rare")).drop("rare").distinct(), "frequent-words")
-    often = stored(others.groupBy("w").agg(F.count("*").alias("m")).filter("m > 1"), "word-lists")
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    cut = others.join(often, "w").withColumn("_b", F.pmod(F.xxhash64(*owner), blocks).cast("long")).withColumn(
-        "_o", F.explode(F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1)))
-    meeting = (F.greatest("_b", "_o") * F.lit(1 << 31) + F.least("_b", "_o")).alias("blocks")
-    cut = cut.select("w", meeting, *owner, "more", "n", "at", F.when(F.col("_b") > F.col("_o"), 1).otherwise(0).alias("side"))
-    pairs = stored(pairs.unionByName(_close_pairs(cut, percent)).distinct(), "line-pairs")
-
-    # Complete sets of the classes that meet another.
-    met = pairs.select(F.col("a").alias("key"), F.col("abits").alias("bits")).unionByName(
-        pairs.select(F.col("b").alias("key"), F.col("bbits").alias("bits"))).distinct()
-    wanted = classes.join(met, owner).select("first._id", "first._h", F.struct(*owner, "first.line").alias("x"))
+            good = (n[x] * 100 >= n[j] * percent) & (n[j] * 100 >= n[x] * percent) & (np.minimum(n[x] - at[x], n[j] - at[j]) >= need) & (c[x] > part["after"][j])
+            k = np.flatnonzero(good)
+            apart = sum(np.bitwise_count((b[x[k]] ^ b[j[k]]).view(np.uint64)).astype(np.int64) for b in (bits, more))
+            k = k[apart <= (total - 2 * need)[k]]
+            found.append(np.stack([c[j[k]], c[x[k]]]))
+            hits[k] += 1
+            t = t + 1
+        cells = np.concatenate(found, axis=1) if found else np.zeros((2, 0), dtype=np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in cells], names=["a", "b"])
+    ready = rows.select("w", "block", "c", "bits", "more", F.col("n").cast("long").alias("n"), F.col("at").cast("long").alias("at"), "ask", "tell", "after")
+    return ready.repartition(*group).sortWithinPartitions(*group, "c").mapInArrow(scan, "a long, b long")
+
+
+def _first_named(pairs: DataFrame, most: int) -> DataFrame:
+    """Over all lists, the first ``most`` candidates of each class."""
+    if most == 1:
+        return pairs.groupBy("a").agg(F.min("b").alias("b"))
+    by = Window.partitionBy("a").orderBy("b")
+    return pairs.distinct().withColumn("_n", F.row_number().over(by)).filter(F.col("_n") <= most).drop("_n")
+
+
+def _line_classes(lines: DataFrame) -> DataFrame:
+    """Classes of equal lines, numbered in the order of their first lines: ``c, key, bits, first, copies, more, n, words, places, rare``."""
+    body = F.struct("more", "n", "words", "places", "rare")
+    made = lines.groupBy("key", "bits").agg(F.min(_spot()).alias("first"), F.count("*").alias("copies"), F.max_by(body, F.size("words")).alias("_b"))
+    made = made.select("key", "bits", "first", "copies", "_b.*")
+    return stored(made.repartitionByRange("first").sortWithinPartitions("first").withColumn("c", F.monotonically_increasing_id()), "line-classes")
+
+
+def _checked(pairs: DataFrame, classes: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """``a, b, ok``: whether the complete sets of two classes match."""
+    met = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
+    wanted = classes.join(met, "c").select("first._id", "first._h", F.struct("c", "first.line").alias("x"))
     wanted = stored(wanted.groupBy("_id", "_h").agg(F.collect_list("x").alias("wanted")), "wanted-lines")
     texts = rows.join(small(wanted, BROADCAST), same_row(rows, wanted)).select(rows["_text"], "wanted")
 
@@ -263,25 +280,72 @@ def duplicate_lines(docs: DataFrame, percent: int = 80, text: str = "text", key:
             out = []
             for t, want in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist()):
                 parts = t.lower().split(b"\n")
-                out += [(w["key"], w["bits"], np.unique(word_codes(parts[w["line"]])).view(np.int64)) for w in want]
-            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()),
-                                              pa.array([o[2] for o in out], pa.list_(pa.int64()))], names=["key", "bits", "set"])
+                out += [(w["c"], np.unique(word_codes(parts[w["line"]])).view(np.int64)) for w in want]
+            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.list_(pa.int64()))], names=["c", "set"])
     # A row that is there twice gives its sets twice.
-    sets = stored(texts.mapInArrow(fetch, "key long, bits long, set array<long>").dropDuplicates(owner), "line-sets")
-    side = lambda a, b, c: sets.select(F.col("key").alias(a), F.col("bits").alias(b), F.col("set").alias(c))
-    checked = pairs.join(side("a", "abits", "sa"), ["a", "abits"]).join(side("b", "bbits", "sb"), ["b", "bbits"])
+    sets = stored(texts.mapInArrow(fetch, "c long, set array<long>").dropDuplicates(["c"]), "line-sets")
+    side = lambda name, s: sets.select(F.col("c").alias(name), F.col("set").alias(s))
+    both = pairs.join(small(side("a", "sa"), BROADCAST), "a").join(small(side("b", "sb"), BROADCAST), "b")
     common = F.size(F.array_intersect("sa", "sb"))
-    checked = checked.filter(common * 100 >= (F.size("sa") + F.size("sb") - common) * percent).select("a", "abits", "b", "bbits")
-    checked = stored(checked, "line-matches")
-    names = ["key", "bits", "other", "obits"]
-    matches = checked.toDF(*names).unionByName(checked.select("b", "bbits", "a", "abits").toDF(*names))
-
-    # A line goes if it, or a line it matches, stands earlier.
-    theirs = classes.select(F.col("key").alias("other"), F.col("bits").alias("obits"), F.col("first").alias("_theirs"))
-    earliest = matches.join(theirs, ["other", "obits"]).groupBy(*owner).agg(F.min("_theirs").alias("_theirs"))
-    marks = classes.join(earliest, owner, "left").select(*owner, F.least("first", "_theirs").alias("mark"), "copies", "first")
-    marks = stored(marks.filter((F.col("copies") > 1) | (F.col("mark") < F.col("first"))).select(*owner, "mark"), "line-marks")
-    gone = lines.select("_id", "_h", "line", *owner).join(small(marks, BROADCAST), owner).filter(_spot() > F.col("mark"))
+    return stored(both.select("a", "b", (common * 100 >= (F.size("sa") + F.size("sb") - common) * percent).alias("ok")), "line-checks")
+
+
+def _matched(classes: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """``a``: the classes that match an earlier one."""
+    no, yes, none = F.lit(False), F.lit(True), F.lit(-1).cast("long")
+    listed = classes.select("c", "bits", "more", "n", F.explode(F.arrays_zip("words", "places", "rare")).alias("x")).select(
+        F.col("x.words").alias("w"), "c", "bits", "more", "n", F.col("x.places").alias("at"), "x.rare")
+    others = stored(listed.filter(~F.col("rare")).drop("rare"), "frequent-words")
+    often = stored(others.groupBy("w").agg(F.count("*").alias("m")).filter("m > 1"), "word-lists")
+    others = others.join(often, "w")
+    row = ["w", "c", "bits", "more", "n", "at"]
+    short = listed.filter("rare").select(*row).unionByName(others.filter(F.col("m") <= SHORT_LIST).select(*row)).withColumn("block", none)
+    long = others.filter(F.col("m") > SHORT_LIST).withColumn("_parts", F.ceil(F.col("m") / BLOCK).cast("long"))
+    place = lambda parts: F.pmod(F.xxhash64("c"), F.col(parts)).cast("long")
+    every = lambda parts: F.explode(F.sequence(F.lit(0).cast("long"), F.col(parts) - 1))
+
+    # All ask in short lists; in long ones the earliest rows answer, a copy of them for each part of the list.
+    heads = stored(merged_top(long, ["w"], ["c"], BLOCK), "list-heads")
+    asked = short.select("*", yes.alias("ask"), yes.alias("tell")).unionByName(
+        long.select(*row, place("_parts").alias("block"), yes.alias("ask"), no.alias("tell"))).unionByName(
+        heads.select(*row, every("_parts").alias("block"), no.alias("ask"), yes.alias("tell")))
+    most = 1
+    checks = _checked(_first_named(_candidates(asked.withColumn("after", none), percent, most), most), classes, rows, percent)
+    done = [checks.filter("ok").select("a")]
+    failed = checks.filter(~F.col("ok")).select("a")
+    left = failed.unionByName(long.select(F.col("c").alias("a"))).distinct().join(done[0], "a", "left_anti")
+    left = stored(left.select(F.col("a").alias("c"), none.alias("after")), "asking-lines")
+    while not left.isEmpty():
+        most *= MORE
+        mine = short.join(left, "c", "left").withColumn("ask", F.col("after").isNotNull()).withColumn("after", F.coalesce("after", none))
+        mine = mine.join(mine.filter("ask").select("w").distinct(), "w", "left_semi").withColumn("tell", yes)
+        asking = stored(long.join(left, "c"), "asking-rows")
+        parts = asking.groupBy("w").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("_asking"))
+        meet = lambda ask, tell: (F.col(ask) * F.lit(1 << 31) + F.col(tell)).alias("block")
+        asks = asking.join(parts, "w").select(*row, "after", place("_asking").alias("_a"), every("_parts").alias("_t")).select(
+            *row, meet("_a", "_t"), yes.alias("ask"), no.alias("tell"), "after")
+        tells = long.join(parts, "w").select(*row, place("_parts").alias("_t"), every("_asking").alias("_a")).select(
+            *row, meet("_a", "_t"), no.alias("ask"), yes.alias("tell"), none.alias("after"))
+        asked = mine.select(*row, "block", "ask", "tell", "after").unionByName(asks).unionByName(tells)
+        checks = _checked(_first_named(_candidates(asked, percent, most), most), classes, rows, percent)
+        done.append(checks.filter("ok").select("a").distinct())
+        # Who named as many as asked for, none of them a match, may have more.
+        more = checks.groupBy("a").agg(F.count("*").alias("_n"), F.max("b").alias("after"), F.bool_or("ok").alias("_ok"))
+        left = stored(more.filter((F.col("_n") >= most) & ~F.col("_ok")).select(F.col("a").alias("c"), "after"), "asking-lines")
+    return reduce(DataFrame.unionByName, done)
+
+
+def duplicate_lines(docs: DataFrame, percent: int = 80, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """The keyed rows and ``_id, _h, lines``: the numbers of the lines to remove from each row."""
+    limit_batches(docs.sparkSession)
+    rows = keyed(docs, text, key)
+    lines = stored(_line_table(rows, word_counts(rows), percent), "lines")
+    classes = _line_classes(lines)
+    matched = _matched(classes, rows, percent).select(F.col("a").alias("c"), F.lit(True).alias("_all"))
+    # The first line of a class goes if the class matches an earlier one, its copies go in any case.
+    marks = classes.select("c", "key", "bits", "first", "copies").join(matched, "c", "left").filter((F.col("copies") > 1) | F.col("_all"))
+    marks = stored(marks.select("key", "bits", F.when(F.col("_all").isNull(), F.col("first")).alias("mark")), "line-marks")
+    gone = lines.select("_id", "_h", "line", "key", "bits").join(small(marks, BROADCAST), ["key", "bits"]).filter(F.col("mark").isNull() | (_spot() > F.col("mark")))
     gone = gone.groupBy("_id", "_h").agg(F.collect_set("line").alias("lines"))
     return rows, small(stored(gone, "gone-lines"), BROADCAST)
 
