@@ -7,7 +7,7 @@ stage as Parquet under the shared folder of the session and reads it again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from twinledger.llm.common import read, stored
 from twinledger.llm.decontaminate import drop_contaminated
@@ -31,16 +31,16 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: five-word shingles, similarity 0.8."""
+    """One document of each group of near duplicates stays: five-word shingles, similarity 0.8.  Columns pass as they are,
+    whatever their names."""
     kept = near_groups(docs, words=5, percent=80, rows_too=True).filter("_stays")
     kept = stored(kept.select(F.col("doc_id").alias("_kept"), F.col("_h").alias("_same"), (F.col("n_shingles") == 0).alias("_empty")).distinct(), "kept-rows")
-    out = docs.withColumn("_h", F.xxhash64("text"))
-    out = out.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")) & (F.col("_h") == F.col("_same")))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_key"), F.xxhash64("text").alias("_own"))
+    out = rows.join(kept, F.col("_key").eqNullSafe(F.col("_kept")) & (F.col("_own") == F.col("_same")))
     # Rows of the same id and text are one document; texts without words are copies of nothing.
-    alone = F.col("doc_id").isNull() & F.col("_empty")
-    first = Window.partitionBy("doc_id", "_h").orderBy("source", "lang")
-    again = out.filter(~alone).withColumn("_n", F.row_number().over(first)).filter("_n = 1")
-    return again.select(docs.columns).unionByName(out.filter(alone).select(docs.columns))
+    alone = F.col("_key").isNull() & F.col("_empty")
+    again = out.filter(~alone).groupBy("_key", "_own").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return again.select("row").unionByName(out.filter(alone).select("row")).select("row.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
