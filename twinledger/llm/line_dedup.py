@@ -11,10 +11,8 @@ lines share keeps the join exact; rare words first only makes it fast.  As a cou
 it also tells words that stand in one line only, and words whose lists are surely short.
 
 Equal sets are one class, numbered in the order in which they first stand.  Only whether a class
-matches an earlier one matters, so no pairs of a group are listed: each class names the earliest candidate that passes the filters,
-and those that turn out not to match it name the next four, then sixteen, and so on.  In long lists
-all classes first ask the earliest rows, which settles groups of near copies however large; only the
-others go through the list block by block.
+matches an earlier one matters, so the pairs of a group are not listed: each class names the earliest four candidates that pass the
+filters, and only those that turn out to match none of them name more.
 """
 
 from __future__ import annotations
@@ -27,14 +25,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ..operators.ranking import merged_top
 from ..session import small
 from .common import keyed, limit_batches, same_row, stored
 from .windows import mix, word_bounds, word_codes
 
 COUNT_BITS, NAME_BITS, CHUNKS = 22, 40, 64
 SHORT_LIST, BLOCK = 1024, 1024
-# Candidates that a class names more of each time; tables of counts that are added at once, and how often.
+# Candidates that a class names first; tables of counts that are added at once, and how often.
 MORE, FAN, LEVELS = 4, 64, 3
 # Bytes of text taken at once in a task, and classes a task remembers to have listed.
 PIECE, REMEMBERED = 1 << 20, 500_000
@@ -188,9 +185,9 @@ def _spot(prefix: str = "") -> Column:
 def _candidates(rows: DataFrame, percent: int, most: int) -> DataFrame:
     """``a, b``: for each class that asks in a list, its first ``most`` earlier classes there that pass all filters.
 
-    Rows have ``w, block`` (the list), ``c`` (class), ``bits, more, n, at``, whether they ``ask`` and ``tell``, and ``after``: only
-    later classes than that are named."""
-    group, columns = ["w", "block"], ["w", "block", "c", "bits", "more", "n", "at", "ask", "tell", "after"]
+    Rows have ``w, block`` (the list, or two blocks of it), ``c`` (class), ``bits, more, n, at, side`` (of two blocks, 2 if there is
+    one), whether they ``ask``, and ``after``: only later classes than that are named."""
+    group, columns = ["w", "block"], ["w", "block", "c", "bits", "more", "n", "at", "side", "ask", "after"]
 
     def gathered(batches):
         held = []
@@ -223,32 +220,27 @@ def _candidates(rows: DataFrame, percent: int, most: int) -> DataFrame:
         new = np.ones(len(c), dtype=bool)
         new[1:] = (part["w"][1:] != part["w"][:-1]) | (part["block"][1:] != part["block"][:-1])
         first = np.maximum.accumulate(np.where(new, here, 0))
-        fresh = new.copy()
-        fresh[1:] |= c[1:] != c[:-1]
-        own = np.maximum.accumulate(np.where(fresh, here, 0))
-        tells, before = np.flatnonzero(part["tell"]), np.concatenate([[0], np.cumsum(part["tell"])])
         j = np.flatnonzero(part["ask"])
-        t, end = before[first[j]], before[own[j]]
-        hits = np.zeros(len(j), dtype=np.int64)
-        found = []
+        x, hits = first[j], np.zeros(len(j), dtype=np.int64)
+        found, side = [], part["side"]
         while True:
-            live = (t < end) & (hits < most)
-            j, t, end, hits = j[live], t[live], end[live], hits[live]
+            live = (x < j) & (hits < most)
+            j, x, hits = j[live], x[live], hits[live]
             if not len(j):
                 break
-            x = tells[t]
             total = n[x] + n[j]
             need = -(-total * percent // (100 + percent))
-            good = (n[x] * 100 >= n[j] * percent) & (n[j] * 100 >= n[x] * percent) & (np.minimum(n[x] - at[x], n[j] - at[j]) >= need) & (c[x] > part["after"][j])
+            good = (n[x] * 100 >= n[j] * percent) & (n[j] * 100 >= n[x] * percent) & (np.minimum(n[x] - at[x], n[j] - at[j]) >= need)
+            good &= (c[x] > part["after"][j]) & ((side[j] == 2) | (side[x] != side[j])) & (c[x] < c[j])
             k = np.flatnonzero(good)
             apart = sum(np.bitwise_count((b[x[k]] ^ b[j[k]]).view(np.uint64)).astype(np.int64) for b in (bits, more))
             k = k[apart <= (total - 2 * need)[k]]
             found.append(np.stack([c[j[k]], c[x[k]]]))
             hits[k] += 1
-            t = t + 1
+            x = x + 1
         cells = np.concatenate(found, axis=1) if found else np.zeros((2, 0), dtype=np.int64)
         return pa.RecordBatch.from_arrays([pa.array(x) for x in cells], names=["a", "b"])
-    ready = rows.select("w", "block", "c", "bits", "more", F.col("n").cast("long").alias("n"), F.col("at").cast("long").alias("at"), "ask", "tell", "after")
+    ready = rows.select("w", "block", "c", "bits", "more", F.col("n").cast("long").alias("n"), F.col("at").cast("long").alias("at"), "side", "ask", "after")
     return ready.repartition(*group).sortWithinPartitions(*group, "c").mapInArrow(scan, "a long, b long")
 
 
@@ -292,47 +284,40 @@ def _checked(pairs: DataFrame, classes: DataFrame, rows: DataFrame, percent: int
 
 def _matched(classes: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     """``a``: the classes that match an earlier one."""
-    no, yes, none = F.lit(False), F.lit(True), F.lit(-1).cast("long")
+    none = F.lit(-1).cast("long")
     listed = classes.select("c", "bits", "more", "n", F.explode(F.arrays_zip("words", "places", "rare")).alias("x")).select(
         F.col("x.words").alias("w"), "c", "bits", "more", "n", F.col("x.places").alias("at"), "x.rare")
+    # Lists that may be long are cut into blocks, and every two blocks meet.
     others = stored(listed.filter(~F.col("rare")).drop("rare"), "frequent-words")
     often = stored(others.groupBy("w").agg(F.count("*").alias("m")).filter("m > 1"), "word-lists")
-    others = others.join(often, "w")
     row = ["w", "c", "bits", "more", "n", "at"]
-    short = listed.filter("rare").select(*row).unionByName(others.filter(F.col("m") <= SHORT_LIST).select(*row)).withColumn("block", none)
-    long = others.filter(F.col("m") > SHORT_LIST).withColumn("_parts", F.ceil(F.col("m") / BLOCK).cast("long"))
-    place = lambda parts: F.pmod(F.xxhash64("c"), F.col(parts)).cast("long")
-    every = lambda parts: F.explode(F.sequence(F.lit(0).cast("long"), F.col(parts) - 1))
-
-    # All ask in short lists; in long ones the earliest rows answer, a copy of them for each part of the list.
-    heads = stored(merged_top(long, ["w"], ["c"], BLOCK), "list-heads")
-    asked = short.select("*", yes.alias("ask"), yes.alias("tell")).unionByName(
-        long.select(*row, place("_parts").alias("block"), yes.alias("ask"), no.alias("tell"))).unionByName(
-        heads.select(*row, every("_parts").alias("block"), no.alias("ask"), yes.alias("tell")))
-    most = 1
-    checks = _checked(_first_named(_candidates(asked.withColumn("after", none), percent, most), most), classes, rows, percent)
-    done = [checks.filter("ok").select("a")]
-    failed = checks.filter(~F.col("ok")).select("a")
-    left = failed.unionByName(long.select(F.col("c").alias("a"))).distinct().join(done[0], "a", "left_anti")
-    left = stored(left.select(F.col("a").alias("c"), none.alias("after")), "asking-lines")
-    while not left.isEmpty():
-        most *= MORE
-        mine = short.join(left, "c", "left").withColumn("ask", F.col("after").isNotNull()).withColumn("after", F.coalesce("after", none))
-        mine = mine.join(mine.filter("ask").select("w").distinct(), "w", "left_semi").withColumn("tell", yes)
-        asking = stored(long.join(left, "c"), "asking-rows")
-        parts = asking.groupBy("w").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("_asking"))
-        meet = lambda ask, tell: (F.col(ask) * F.lit(1 << 31) + F.col(tell)).alias("block")
-        asks = asking.join(parts, "w").select(*row, "after", place("_asking").alias("_a"), every("_parts").alias("_t")).select(
-            *row, meet("_a", "_t"), yes.alias("ask"), no.alias("tell"), "after")
-        tells = long.join(parts, "w").select(*row, place("_parts").alias("_t"), every("_asking").alias("_a")).select(
-            *row, meet("_a", "_t"), no.alias("ask"), yes.alias("tell"), none.alias("after"))
-        asked = mine.select(*row, "block", "ask", "tell", "after").unionByName(asks).unionByName(tells)
-        checks = _checked(_first_named(_candidates(asked, percent, most), most), classes, rows, percent)
+    alone = F.lit(2).alias("side")  # a list, or a block with itself
+
+    def lists(of: DataFrame, often: DataFrame) -> DataFrame:
+        blocks = F.ceil(F.col("m") / BLOCK).cast("long")
+        cut = of.join(often, "w").withColumn("_b", F.pmod(F.xxhash64("c"), blocks).cast("long")).withColumn(
+            "_o", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+        meeting = (F.greatest("_b", "_o") * F.lit(1 << 31) + F.least("_b", "_o")).alias("block")
+        return cut.select(*row, meeting, F.when(F.col("_b") == F.col("_o"), 2).when(F.col("_b") > F.col("_o"), 1).otherwise(0).alias("side"))
+    short = listed.filter("rare").select(*row, none.alias("block"), alone)
+    most = MORE
+    named = _candidates(short.unionByName(lists(others, often)).select("*", none.alias("after"), F.lit(True).alias("ask")), percent, most)
+    done = []
+    while True:
+        checks = _checked(stored(_first_named(named, most), "line-pairs"), classes, rows, percent)
         done.append(checks.filter("ok").select("a").distinct())
         # Who named as many as asked for, none of them a match, may have more.
-        more = checks.groupBy("a").agg(F.count("*").alias("_n"), F.max("b").alias("after"), F.bool_or("ok").alias("_ok"))
-        left = stored(more.filter((F.col("_n") >= most) & ~F.col("_ok")).select(F.col("a").alias("c"), "after"), "asking-lines")
-    return reduce(DataFrame.unionByName, done)
+        told = checks.groupBy("a").agg(F.count("*").alias("_n"), F.max("b").alias("after"), F.bool_or("ok").alias("_ok"))
+        left = stored(told.filter((F.col("_n") >= most) & ~F.col("_ok")).select(F.col("a").alias("c"), "after"), "asking-lines")
+        if left.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        most *= MORE * MORE
+        # Only the lists that hold one who asks.
+        asked = stored(listed.join(small(left, BROADCAST), "c").select("w").distinct(), "asked-words")
+        again = short.join(small(asked, BROADCAST), "w", "left_semi").unionByName(
+            lists(others.join(small(asked, BROADCAST), "w", "left_semi"), often))
+        again = again.join(small(left, BROADCAST), "c", "left").withColumn("ask", F.col("after").isNotNull())
+        named = _candidates(again.withColumn("after", F.coalesce("after", none)), percent, most)
 
 
 def duplicate_lines(docs: DataFrame, percent: int = 80, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
