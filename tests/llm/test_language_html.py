@@ -1,6 +1,7 @@
 """Language field, page extraction, the pipeline and the registered queries."""
 
 import zlib
+import time
 from collections import Counter
 
 import numpy as np
@@ -96,6 +97,33 @@ def test_scripts_end_at_their_own_end_tag():
     assert page_blocks("<p>a<style>b<c") == [(OPEN, "a", 0.0)]
 
 
+def test_elements_around_the_only_article_do_not_decide():
+    kinds = lambda page: [(k, t) for k, t, _ in page_blocks(page)]
+    assert kinds("<form><article><p>Text</p></article><p>x</p></form>") == [(MAIN, "Text"), (OPEN, "x")]
+    assert kinds("<div role=dialog><main>Story</main></div><footer>f</footer>") == [(MAIN, "Story"), (OUT, "f")]
+    assert kinds("<nav><a>n</a><article>Art</article>") == [(OPEN, "n"), (MAIN, "Art")]
+    assert kinds("<nav><article>teaser</article></nav><article>Art</article>") == [(OUT, "teaser"), (MAIN, "Art")]
+    assert kinds("<p hidden>no</p><article>E <math><mi>x</mi>=1</math></article>") == [(OUT, "no"), (MAIN, "E x=1")]
+    assert kinds("<p class='hidden x'>a</p><p data-x=hidden>b</p><p style='visibility:hidden'>c</p>") == [(OPEN, "a"), (OPEN, "b"), (OUT, "c")]
+    assert kinds("<div class=search><p>A story</p></div>") == [(OPEN, "A story")]
+    assert kinds("<nav>menu</nav>") == [(OUT, "menu")]
+
+
+@pytest.mark.parametrize("page", ["<" + "a" * 10**6, "<b " * 333_333, '<a href="x ' * 90_000, "<a '\"" * 200_000, "<!" * 500_000, "<div>" * 200_000, "<b>" * 150_000 + "</span>" * 150_000,
+                                  "<div class=ad>" * 70_000, "<b>" * 100_000 + "<hr>" * 200_000, "<a " + "x-" * 500_000 + ">", "<a \"'" * 100_000 + ">" * 100_000])
+def test_broken_markup_takes_time_in_proportion(page):
+    start = time.process_time()
+    page_blocks(page)
+    assert time.process_time() - start < 10
+
+
+def test_tags_end_outside_of_quotes():
+    kinds = lambda page: [(k, t) for k, t, _ in page_blocks(page)]
+    assert kinds("<p title='a>b'>x<a href=\"<c>\">y</a>") == [(OPEN, "xy")]
+    assert kinds("a < b <p>c<3 <br d='") == [(OPEN, "a < b"), (OPEN, "c<3 <br d='")]
+    assert kinds("x<!-- <p>n</p>") == [(OPEN, "x")] and kinds("x<!y") == [(OPEN, "x")]
+
+
 def test_names_of_wrappers_do_not_decide():
     kinds = lambda page: [(k, t) for k, t, _ in page_blocks(page)]
     for name in ("class='content no-sidebar'", "class=has-sidebar", "class=layout-sidebar-right", "id=search-page", "class=search", "id=banner"):

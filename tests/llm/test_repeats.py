@@ -48,7 +48,6 @@ def test_word_codes_in_pieces(monkeypatch):
     monkeypatch.setattr(windows, "SLICE", 8)
     assert windows.word_codes(text).tolist() == whole
     monkeypatch.setattr(windows, "PIECE", 8)
-    monkeypatch.setattr(windows, "REMEMBERED", 2)
     assert windows.word_codes(text).tolist() == whole
     assert len(set(whole)) == 7 and windows.word_codes(b"bb").tolist() == whole[1:2]
     assert windows.word_codes(b"").tolist() == [] and windows.word_codes(b"  ").tolist() == []

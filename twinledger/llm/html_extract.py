@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
 from itertools import groupby
 
@@ -29,7 +30,7 @@ from .windows import word_bounds, word_codes
 
 # Fixed values of HTML: elements whose content is never text, elements that begin a new block, elements
 # without an end, and names (of elements, classes, ids, roles) of what surrounds an article.
-RAW = frozenset("script style noscript template iframe object svg math canvas head title textarea select".split())
+RAW = frozenset("script style noscript template iframe object svg canvas head title textarea select".split())
 BLOCKS = frozenset(("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure "
                     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody "
                     "td tfoot th thead tr ul").split())
@@ -40,21 +41,90 @@ NAMES = frozenset(("ad ads advert advertisement advertising adsense banner spons
                    "sidebar aside widget widgets footer header masthead topbar cookie cookies consent gdpr notice notices notification alert "
                    "popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended "
                    "comment comments commentlist disqus discussion respond reply replies pagination pager skip search").split())
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|</?[a-zA-Z][^\s/>]*(?:\"[^\"]*\"|'[^']*'|[^'\">])*>|[^<]+|<", re.S)
-_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
-_ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+# A tag without angle brackets in its quotes, which is nearly all of them; others are looked at one quote at a time.
+_TAG = re.compile(r"""</?[a-zA-Z][^<>'"]*+(?:"[^"<>]*+"[^<>'"]*+|'[^'<>]*+'[^<>'"]*+)*+>""")
+_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*+)")
+_ATTRIBUTE = re.compile(r"""(?<![a-zA-Z-])([a-zA-Z-]++)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]++))""")
+_HIDDEN = re.compile(r"(?<!\S)hidden(?=[\s/>])", re.I)
 _RAW_END = {tag: re.compile(rf"</{tag}(?![^\s/>])[^>]*>?", re.I) for tag in RAW}
 _SPACES = re.compile(r"\s+")
 MAIN, OPEN, OUT = "M", "O", "X"
 
 
-def _is_furniture(tag: str, attributes: dict[str, str], in_main: bool) -> bool:
+class _Ends:
+    """Where tags of a page end, quotes minded.  What is found, or found missing, once is not searched again, so all
+    searches together take time in proportion to the page."""
+
+    def __init__(self, page: str):
+        self.at = [m.start() for m in re.finditer("['\">]", page)]
+        self.mark = [page[i] for i in self.at]
+        later: dict[str, int | None] = {"'": None, '"': None}
+        self.twin: list[int | None] = [None] * len(self.at)
+        for i in range(len(self.at) - 1, -1, -1):
+            if self.mark[i] != ">":
+                self.twin[i], later[self.mark[i]] = later[self.mark[i]], i
+        self.known: dict[int, int | None] = {}
+
+    def of(self, start: int) -> int | None:
+        """Behind the first ``>`` from ``start`` on that is not in quotes."""
+        i, seen, end = bisect_left(self.at, start), [], None
+        while i < len(self.at):
+            if i in self.known:
+                end = self.known[i]
+                break
+            seen.append(i)
+            if self.mark[i] == ">":
+                end = self.at[i] + 1
+                break
+            if self.twin[i] is None:
+                break
+            i = self.twin[i] + 1
+        self.known.update(dict.fromkeys(seen, end))
+        return end
+
+
+def _tokens(page: str):
+    """Texts and tags of a page in order, as they stand.  A ``<`` that begins no tag is text.  The caller may say where to go on."""
+    at, ends = 0, None
+    while at < len(page):
+        less = page.find("<", at)
+        if less != at:
+            stop = less if less >= 0 else len(page)
+            yield page[at:stop], stop
+            at = stop
+            continue
+        second = page[at + 1:at + 2]
+        if page.startswith("<!--", at):
+            stop = page.find("-->", at + 4)
+            at = stop + 3 if stop >= 0 else len(page)
+            continue
+        if second in ("!", "?"):
+            stop = page.find(">", at)
+            at = stop + 1 if stop >= 0 else len(page)
+            continue
+        stop = None
+        letter = page[at + 2:at + 3] if second == "/" else second
+        if letter.isascii() and letter.isalpha():
+            quick = _TAG.match(page, at)
+            if quick:
+                stop = quick.end()
+            else:
+                ends = ends or _Ends(page)
+                stop = ends.of(at)
+        stop = at + 1 if stop is None else stop
+        moved = yield page[at:stop], stop
+        at = stop if moved is None else moved
+        if moved is not None:
+            yield "", at
+
+
+def _is_furniture(tag: str, attributes: dict[str, str], hidden: bool, in_main: bool) -> bool:
     """Whether the element itself, its role or its style says so."""
     if tag in FURNITURE or tag == "header" and not in_main:
         return True
-    if attributes.get("role", "").lower() in ROLES or attributes.get("aria-hidden") == "true":
+    if hidden or attributes.get("role", "").lower() in ROLES or attributes.get("aria-hidden") == "true":
         return True
-    return bool(re.search(r"display\s*:\s*none", attributes.get("style", "")))
+    return bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", "")))
 
 
 def _is_named(tag: str, attributes: dict[str, str]) -> bool:
@@ -66,17 +136,48 @@ def _is_named(tag: str, attributes: dict[str, str]) -> bool:
     return any(p and all(x in NAMES for x in p) for p in parts)
 
 
+@dataclass
+class _Suspect:
+    """An element that its name, role or style (``sure``), or else its class or id, takes for furniture."""
+    parent: int
+    sure: bool
+    nested: bool  # inside an article: articles in it are comments and the like
+    holds: bool = False  # an article or main outside of sure furniture
+    holds_any: bool = False
+
+
+def _decided(suspects: list[_Suspect], any_main: bool, names: bool) -> list[bool]:
+    """For each suspect whether it, or one around it, is furniture.  No name decides for what holds an article or main outside of
+    sure furniture; with ``any_main`` no element, role or style does for what holds one; without ``names`` classes and ids say
+    nothing."""
+    for s in reversed(suspects):
+        if s.parent >= 0:
+            up = suspects[s.parent]
+            up.holds, up.holds_any = up.holds or s.holds and not s.sure, up.holds_any or s.holds_any
+    out: list[bool] = []
+    for s in suspects:
+        kept = (any_main and s.holds_any if s.sure else s.holds) and not s.nested
+        out.append(s.parent >= 0 and out[s.parent] or not kept and (s.sure or names))
+    return out
+
+
 def page_blocks(page: str) -> list[tuple[str, str, float]]:
     """Blocks of a page in order: what they are (main, open, out), text, share of it in links.
 
-    A name decides for an element unless that holds an article or main.  What is nested in an article
-    (HTML: comments and the like) does not clear names inside that article."""
-    out: list[tuple[bool, tuple[int, ...], bool, str, float]] = []
-    # Open elements: name, furniture, numbers of the named elements around, inside a marked element, inside an article, inside a link.
-    stack: list[tuple[str, bool, tuple[int, ...], bool, bool, bool]] = [("", False, (), False, False, False)]
-    # Of each named element: whether its name decides, whether it stands in an article.
-    decides: list[bool] = []
-    nested: list[bool] = []
+    Elements, roles, styles and names tell what is furniture, but no name decides for what holds an article or main.
+    If a page has no article outside of furniture, elements do not either: an article in a form, a dialog or a menu that
+    was never closed counts.  If a page without any article has nothing left, names say nothing.  What is nested in an
+    article (HTML: comments and the like) clears nothing inside that article.  Broken markup is read as far as it goes: a tag that never ends is
+    text, end tags of what is not open mean nothing; the time is in proportion to the page.
+    """
+    out: list[tuple[int, bool, str, float]] = []
+    # Open elements: name, innermost suspect around, inside a marked element, inside an article, inside a link.
+    stack: list[tuple[str, int, bool, bool, bool]] = [("", -1, False, False, False)]
+    suspects: list[_Suspect] = []
+    # Places on the stack of each name, of blocks, and of what only its own end tag ends.
+    places: dict[str, list[int]] = {}
+    blocks: list[int] = []
+    walls: list[int] = []
     text: list[str] = []
     linked = 0
 
@@ -84,70 +185,90 @@ def page_blocks(page: str) -> list[tuple[str, str, float]]:
         nonlocal linked
         told = _SPACES.sub(" ", "".join(text)).strip()
         if told:
-            _, furniture, named, main, _, _ = stack[-1]
-            out.append((furniture, named, main, told, linked / max(1, len(told))))
+            out.append((stack[-1][1], stack[-1][2], told, linked / max(1, len(told))))
         text.clear()
         linked = 0
 
-    at = 0
-    while at < len(page):
-        m = _TOKEN.match(page, at)
-        token, at = m.group(), m.end()
+    def close_from(i: int):
+        while len(stack) > i:
+            tag = stack.pop()[0]
+            places[tag].pop()
+            if tag in BLOCKS:
+                blocks.pop()
+            if tag in ("article", "main", "body"):
+                walls.pop()
+
+    tokens = _tokens(page)
+    moved = None
+    while True:
+        try:
+            token, at = tokens.send(moved)
+        except StopIteration:
+            break
+        moved = None
+        if not token:
+            continue
         if token[0] != "<" or token == "<":
             told = html.unescape(token)
             text.append(told)
-            if stack[-1][5]:
+            if stack[-1][4]:
                 linked += len(told)
             continue
         name = _NAME.match(token)
-        if name is None:
-            continue
         tag = name.group(1).lower()
         if token[1] == "/":
             if tag in BLOCKS:
                 close_block()
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
-                if stack[i][0] in ("article", "main", "body") and tag not in ("article", "main", "body", "html"):
-                    break
+            found = places.get(tag)
+            if found and (tag in ("article", "main", "body", "html") or not walls or found[-1] > walls[-1]):
+                close_from(found[-1])
             continue
         if tag in RAW:
             if not token.endswith("/>") and tag != "head":
                 # Only its own end tag ends it: a '<' inside is no tag.
                 end = _RAW_END[tag].search(page, at)
-                at = end.end() if end else len(page)
+                moved = end.end() if end else len(page)
             continue
         if tag == "br":
             text.append(" ")
             continue
         if tag in BLOCKS:
             close_block()
-            if tag != "a":  # a new block ends an open paragraph and what was left open in it
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] == "p":
-                        del stack[i:]
-                        break
-                    if stack[i][0] in BLOCKS:
-                        break
+            if blocks and stack[blocks[-1]][0] == "p":  # a new block ends an open paragraph and what was left open in it
+                close_from(blocks[-1])
         if tag in VOID or token.endswith("/>"):
             continue
-        attributes = {a.lower(): x or y or z for a, x, y, z in _ATTRIBUTE.findall(token[len(name.group()):])}
-        _, furniture, named, main, article, link = stack[-1]
-        furniture = furniture or _is_furniture(tag, attributes, main)
+        rest = token[len(name.group()):]
+        attributes = {a.lower(): x or y or z for a, x, y, z in _ATTRIBUTE.findall(rest)}
+        _, suspect, main, article, link = stack[-1]
+        hidden = "hidden" in attributes or bool(_HIDDEN.search(rest) and _HIDDEN.search(_ATTRIBUTE.sub(" ", rest)))
+        if _is_furniture(tag, attributes, hidden, main):
+            suspects.append(_Suspect(suspect, True, article))
+            suspect = len(suspects) - 1
         if tag in ("article", "main") or attributes.get("role") == "main":
             main = True
-            if not furniture:
-                for i in named:
-                    decides[i] = decides[i] and nested[i]
+            if suspect >= 0:
+                suspects[suspect].holds_any = True
+                suspects[suspect].holds = not suspects[suspect].sure
         if _is_named(tag, attributes):
-            named = (*named, len(decides))
-            decides.append(True)
-            nested.append(article)
-        stack.append((tag, furniture, named, main, article or tag == "article", link or tag == "a"))
+            suspects.append(_Suspect(suspect, False, article))
+            suspect = len(suspects) - 1
+        places.setdefault(tag, []).append(len(stack))
+        if tag in BLOCKS:
+            blocks.append(len(stack))
+        if tag in ("article", "main", "body"):
+            walls.append(len(stack))
+        stack.append((tag, suspect, main, article or tag == "article", link or tag == "a"))
     close_block()
-    return [(OUT if furniture or any(decides[i] for i in named) else MAIN if main else OPEN, told, share) for furniture, named, main, told, share in out]
+    kind = lambda gone, s, main: OUT if s >= 0 and gone[s] else MAIN if main else OPEN
+    kinds: list[str] = []
+    for any_main, names in ((False, True), (True, True), (True, False)):
+        gone = _decided(suspects, any_main, names)
+        kinds = [kind(gone, s, main) for s, main, _, _ in out]
+        marked = any(s.holds_any for s in suspects)
+        if MAIN in kinds or OPEN in kinds and (any_main or not marked) or any_main and marked:
+            break
+    return [(k, told, share) for k, (_, _, told, share) in zip(kinds, out)]
 
 
 @dataclass(frozen=True)

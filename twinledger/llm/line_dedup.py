@@ -30,7 +30,7 @@ from .common import keyed, limit_batches, same_row, stored
 from .windows import mix, word_bounds, word_codes
 
 COUNT_BITS, NAME_BITS, CHUNKS = 22, 40, 64
-SHORT_LIST, BLOCK = 1024, 1024
+SHORT_LIST, BLOCK = 1024, 4096
 # Candidates that a class names first; tables of counts that are added at once, and how often.
 MORE, FAN, LEVELS = 4, 64, 3
 # Bytes of text taken at once in a task, and classes a task remembers to have listed.

@@ -10,10 +10,12 @@ by anchor brings all copies of every window together while each window travels o
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import TaskContext
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
@@ -160,33 +162,28 @@ def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
-# Codes that a worker remembers, the longest word among them, and bytes of text split at once.
-REMEMBERED, LONG_WORD, PIECE = 200_000, 64, 4 << 20
+# Bytes of a text that are split at once.
+PIECE = 4 << 20
 _GAP = re.compile(rb"[ \t-\r]")
+_checked = False
 
 
-class _Codes(dict):
-    """Word to code: a digest of its bytes, so that different words differ whatever they are made of."""
-
-    def __missing__(self, word: bytes) -> int:
-        code = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little") | 1
-        if len(word) <= LONG_WORD:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = code
-        return code
-
-
-_codes = _Codes()
+def _same_everywhere() -> None:
+    """Codes are Python's keyed hashes of bytes (SipHash), alike in all workers because Spark gives them one seed."""
+    global _checked
+    if not _checked and TaskContext.get() is not None and "PYTHONHASHSEED" not in os.environ:
+        raise RuntimeError("workers need one PYTHONHASHSEED, as Spark sets it")
+    _checked = True
 
 
 def word_codes(data: bytes) -> np.ndarray:
-    """A 64-bit code per word of a text."""
+    """A 64-bit code per word of a text, the same in all workers of a session."""
+    _same_everywhere()
     out, low = [], 0
     while low < len(data):
         gap = _GAP.search(data, low + PIECE) if low + PIECE < len(data) else None
         high = gap.start() if gap else len(data)
         words = (data[low:high] if (low, high) != (0, len(data)) else data).split()
-        out.append(np.fromiter(map(_codes.__getitem__, words), dtype=np.uint64, count=len(words)))
+        out.append(np.fromiter(map(hash, words), dtype=np.int64, count=len(words)).view(np.uint64) | np.uint64(1))
         low = high
     return out[0] if len(out) == 1 else np.concatenate([np.zeros(0, dtype=np.uint64), *out])
