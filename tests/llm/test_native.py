@@ -5,8 +5,10 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from brute import WORD, lowered
+from twinledger.llm import mixing
 from twinledger.llm.decontaminate import contaminated, drop_contaminated
 from twinledger.llm.exact_dedup import ContentTable, exact_groups
 from twinledger.llm.mixing import mix_sources, source_targets, split_quotas
@@ -129,6 +131,23 @@ def test_mixing(spark):
     assert mix_sources(docs.filter("false")).collect() == []
 
 
+def test_split_law(spark):
+    # 64 shards of 150 draws out of 6,400 and 3,200: counts spread like draws without replacement.
+    got = split_quotas(spark.createDataFrame([("a", 6400), ("b", 3200)], "_s string, quota long"), 6).filter("_s = 'a'").collect()
+    counts = [r["quota"] for r in got]
+    spread = sum((c - 100) ** 2 for c in counts) / (150 * 2 / 9)
+    assert len(counts) == 64 and sum(counts) == 6400 and 63 - 4 * 11.3 < spread < 63 + 4 * 11.3
+
+
+def test_mix_takes_what_the_tree_deals(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "w " * 20, f"s{i % 3}") for i in range(600)], "doc_id long, text string, source string")
+    words = mix_sources(docs).agg(F.sum("taken")).first()[0]
+    assert words == pytest.approx(12000, abs=60)
+    # Shards that are dealt nothing give nothing; only the document that fits the gap is left.
+    monkeypatch.setattr(mixing, "split_quotas", lambda quotas, levels: split_quotas(quotas, levels).filter("shard < 0"))
+    assert mix_sources(docs).agg(F.sum(F.size("places"))).first()[0] <= 3
+
+
 RULE = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 

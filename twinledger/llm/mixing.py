@@ -1,11 +1,12 @@
 """Mixing sources to target weights, with DataFrame functions only.
 
 Sizes are summed per source; targets follow from the weights by water filling; each source's
-documents form blocks, and its target becomes a quota of block draws: whole passes over all
-blocks, then blocks in permuted order up to the target.  A splitting tree deals the quotas to
+documents form blocks in a permuted order, and its target becomes a quota of block draws, turns that go
+round over this order until the target is met.  A splitting tree deals the quotas to
 output shards: at every node a random half of the node's draws goes left, which splits the
 source counts by a multivariate hypergeometric law.  Shards then take disjoint runs of each
-source's permuted draws, and a hash orders the documents inside a shard.
+source's turns, and a hash orders the documents inside a shard.  What is taken of a document are the draws
+of its block that the shards hold; the last turn of a source may be of part of a block.
 
 Only tables of one row per source or block are joined to the documents.
 """
@@ -65,9 +66,9 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: i
     """One row per document: ``key, source, size, source_size, target, taken`` and ``places``, the output shard
     and the order in it of every copy taken (array of ``copy, shard, order``).
 
-    Size is the number of words (null text: 0).  A document is taken whole, ``floor(target / source_size)``
-    times and once more if it lies ahead of the cut, and one document of each source to fit
-    the gap that is left; nothing is taken more than ``most`` times.  Rows of equal id and size share their fate; a null source is a source of its own; documents without words
+    Size is the number of words (null text: 0).  A document is taken whole, once for every draw of its block that a
+    shard holds; of a source's last block only what lies ahead of the cut, and one document of each source to fit
+    the gap that is left.  Nothing is taken more than ``most`` times.  Rows of equal id and size share their fate; a null source is a source of its own; documents without words
     are taken 0 words.  Everything follows from the ids: reruns agree.
     """
     tag = F.when(F.col(source).isNull(), "null").otherwise(F.concat(F.lit("="), F.col(source)))
@@ -84,7 +85,9 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: i
     ahead = Window.unboundedPreceding, -1
     sums = lambda order: F.coalesce(F.sum("_words").over(Window.partitionBy("_s").orderBy(order).rowsBetween(*ahead)), F.lit(0))
     state = F.when(F.col("_before") + F.col("_words") <= F.col("_rest"), "all").when(F.col("_before") >= F.col("_rest"), "none").otherwise("cut")
+    turns = Window.partitionBy("_s").orderBy(_draw("source", "_block"))
     blocks = sized.groupBy("_s", "source", "_block").agg(F.sum("size").alias("_words")).withColumn("_before", sums(_draw("source", "_block")))
+    blocks = blocks.withColumn("_index", F.row_number().over(turns)).withColumn("_blocks", F.count("*").over(Window.partitionBy("_s")))
     blocks = stored(blocks.join(small(targets.drop("source")), "_s").withColumn("_state", state), "mix-blocks")
     cut = blocks.filter("_state = 'cut'").select("_s", "_block", "_before", "_rest")
     within = sized.join(small(cut), ["_s", "_block"])
@@ -97,14 +100,16 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: i
     # The first part that is not taken as a whole.
     edges = parts.filter("_inside <> 'all'").groupBy("_s").agg(F.min(F.struct("_part", "_inside")).alias("_edge"))
 
-    # Block draws, dealt to the shards.
-    times = F.col("_full") + F.when(F.col("_state") == "none", 0).otherwise(1)
-    draws = blocks.select("_s", "_block", F.explode(F.when(times > 0, F.sequence(F.lit(1), times)).otherwise(F.array())).alias("copy"))
-    draws = draws.withColumn("_turn", F.row_number().over(Window.partitionBy("_s").orderBy(_draw("_s", "copy", "_block"))))
-    shards = split_quotas(draws.groupBy("_s").agg(F.count("*").alias("quota")), levels)
+    # Quotas of block draws, dealt to the shards; a shard's run of turns names blocks and copies.
+    quotas = blocks.groupBy("_s").agg(F.sum(F.col("_full") + F.when(F.col("_state") == "none", 0).otherwise(1)).alias("quota"))
+    shards = split_quotas(quotas, levels)
     runs = shards.select("_s", "shard", F.explode(F.sequence(F.lit(1), F.col("quota").cast("int"))).alias("_i"))
-    runs = runs.withColumn("_turn", F.row_number().over(Window.partitionBy("_s").orderBy("shard", "_i"))).drop("_i")
-    dealt = draws.join(runs, ["_s", "_turn"]).groupBy("_s", "_block").agg(F.sort_array(F.collect_list(F.struct("copy", "shard"))).alias("_draws"))
+    runs = runs.withColumn("_turn", F.row_number().over(Window.partitionBy("_s").orderBy("shard", "_i")) - 1).drop("_i")
+    order = blocks.select("_s", "_block", "_index", "_blocks")
+    drawn = runs.join(small(order.select("_s", "_blocks").distinct()), "_s").select(
+        "_s", "shard", (F.col("_turn") % F.col("_blocks") + 1).cast("int").alias("_index"),
+        (F.floor(F.col("_turn") / F.col("_blocks")) + 1).cast("int").alias("copy"))
+    dealt = drawn.join(order, ["_s", "_index"]).groupBy("_s", "_block").agg(F.sort_array(F.collect_list(F.struct("copy", "shard"))).alias("_draws"))
     plan = blocks.select("_s", "_block", "source_size", "target", "_full", "_state").join(dealt, ["_s", "_block"], "left")
     plan = stored(plan.join(edges, "_s", "left").join(ends, "_s", "left"), "mix-plan")
 
@@ -113,23 +118,24 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: i
     beyond = F.lit("g")
     inside = (F.col("_part") < F.col("_edge._part")) | (
         (F.col("_part") == F.col("_edge._part")) & (F.col("_edge._inside") == "cut") & (F.col("_key") < F.coalesce("_stop", beyond)))
-    more = F.when(F.col("_state") == "all", 1).when((F.col("_state") == "cut") & inside, 1).otherwise(0)
-    out = out.withColumn("_more", more)
+    none = F.array().cast("array<struct<copy:int,shard:int>>")
+    held = F.size(F.coalesce("_draws", none)) - F.when((F.col("_state") == "cut") & ~F.coalesce(inside, F.lit(False)), 1).otherwise(0)
+    out = out.withColumn("_held", held)
 
     # What is still missing goes to the document whose size fits the gap best.
-    gaps = out.groupBy("_s").agg(F.sum(F.col("size") * F.col("_more")).alias("_in")).join(small(targets.select("_s", "_rest")), "_s")
+    gaps = out.groupBy("_s").agg(F.sum(F.col("size") * (F.col("_held") - F.col("_full"))).alias("_in")).join(small(targets.select("_s", "_rest")), "_s")
     gaps = stored(gaps.select("_s", (F.col("_rest") - F.col("_in")).alias("_gap")), "mix-gaps")
-    left = out.filter((F.col("_more") == 0) & (F.col("size") > 0)).select("_s", "_key", "size").join(small(gaps), "_s")
+    left = out.filter((F.col("_held") == F.col("_full")) & (F.col("size") > 0)).select("_s", "_key", "size").join(small(gaps), "_s")
     misses = F.abs(F.col("_gap") - F.col("size"))
     fits = left.filter(misses < F.col("_gap")).groupBy("_s").agg(F.min(F.struct(misses.alias("d"), "_key")).alias("_fit"))
     out = out.join(small(stored(fits.select("_s", F.col("_fit._key").alias("_fit")), "mix-fits")), "_s", "left")
-    copies = F.col("_full") + F.when(F.col("_key") == F.col("_fit"), 1).otherwise(F.col("_more"))
+    copies = F.col("_held") + F.when(F.col("_key") == F.col("_fit"), 1).otherwise(0)
     place = lambda copy, shard: F.struct(copy.alias("copy"), shard.cast("int").alias("shard"),
                                          F.xxhash64(shard.cast("int"), F.col("_key"), copy).alias("order"))
-    placed = F.transform(F.filter(F.coalesce("_draws", F.array().cast("array<struct<copy:int,shard:int>>")), lambda d: d["copy"] <= copies),
+    placed = F.transform(F.filter(F.coalesce("_draws", none), lambda d: d["copy"] <= copies),
                          lambda d: place(d["copy"], d["shard"]))
     # The fitted document's block may have no draw for its last copy.
-    alone = F.array(place(copies, F.pmod(F.xxhash64("_key"), F.lit(1 << levels))))
+    alone = F.array(place(copies, F.conv(F.substring("_key", 5, 4), 16, 10).cast("int") % (1 << levels)))
     placed = F.when((copies > 0) & ~F.exists(placed, lambda d: d["copy"] == copies), F.concat(placed, alone)).otherwise(placed)
     return out.select(F.col("_id").alias(key), F.col("source").alias(source), "size", "source_size", "target",
                       (F.col("size") * copies).alias("taken"), placed.alias("places"))

@@ -101,11 +101,29 @@ j AS (SELECT keyed.*, source_size, target, passes, target - passes * source_size
       FROM keyed JOIN c ON keyed.k = c.k AND keyed.source IS NOT DISTINCT FROM c.source JOIN s5 ON keyed.source IS NOT DISTINCT FROM s5.source),
 gaps AS (SELECT source, max(rest) - sum(size * more) AS gap FROM j GROUP BY source),
 fits AS (SELECT j.source, arg_min(k, (abs(gap - size), k)) AS fit FROM j JOIN gaps ON j.source IS NOT DISTINCT FROM gaps.source
-         WHERE more = 0 AND size > 0 AND abs(gap - size) < gap GROUP BY j.source)
-SELECT doc_id, size, source_size, target, (size * (passes + CASE WHEN k = fit THEN 1 ELSE more END))::BIGINT AS taken
-FROM j LEFT JOIN fits ON j.source IS NOT DISTINCT FROM fits.source""")
+         WHERE more = 0 AND size > 0 AND abs(gap - size) < gap GROUP BY j.source),
+b0 AS (SELECT source, k[:2] AS b, sum(size) AS words FROM keyed GROUP BY source, k[:2]),
+b1 AS (SELECT *, coalesce(sum(words) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, row_number() OVER o AS i,
+              count(*) OVER (PARTITION BY source) AS n
+       FROM b0 WINDOW o AS (PARTITION BY source ORDER BY md5('mix|' || coalesce(source, '<null>') || '|' || b))),
+b2 AS (SELECT b1.*, CASE WHEN b1.source IS NULL THEN 'null' ELSE '=' || b1.source END AS s,
+              passes + CASE WHEN before + words > target - passes * source_size AND before >= target - passes * source_size THEN 0 ELSE 1 END AS times
+       FROM b1 JOIN s5 ON b1.source IS NOT DISTINCT FROM s5.source),
+t0 AS (SELECT 0 AS shard, s, sum(times)::BIGINT AS quota FROM b2 GROUP BY s),
+""" + "".join(f"""d{i} AS (SELECT shard, s, unnest(generate_series(1, quota)) AS i FROM t{i}),
+h{i} AS (SELECT s, shard * 2 + CASE WHEN 2 * row_number() OVER (PARTITION BY shard ORDER BY md5('mix|{i}|' || shard || '|' || s || '|' || i))
+                <= count(*) OVER (PARTITION BY shard) + shard % 2 THEN 0 ELSE 1 END AS shard FROM d{i}),
+t{i + 1} AS (SELECT shard, s, count(*) AS quota FROM h{i} GROUP BY shard, s),
+""" for i in range(4)) + r"""turns AS (SELECT s, shard, row_number() OVER (PARTITION BY s ORDER BY shard) - 1 AS turn FROM h3),
+draws AS (SELECT b2.source, b2.b, list(shard ORDER BY turn) AS draws FROM turns JOIN b2 ON turns.s = b2.s AND turn % n + 1 = b2.i GROUP BY b2.source, b2.b),
+z AS (SELECT j.*, coalesce(draws, []) AS draws, (passes + CASE WHEN k = fit THEN 1 ELSE more END)::BIGINT AS copies
+      FROM j LEFT JOIN fits ON j.source IS NOT DISTINCT FROM fits.source LEFT JOIN draws ON j.source IS NOT DISTINCT FROM draws.source AND k[:2] = draws.b)
+SELECT doc_id, size, source_size, target, size * copies AS taken,
+       array_to_string(list_concat(draws[1:copies], CASE WHEN copies > len(draws) THEN [('0x' || k[5:8])::BIGINT % 16] ELSE [] END), ',') AS shards
+FROM z""")
 def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
-    return mix_sources(read(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    shards = F.transform(F.array_sort("places"), lambda p: p["shard"].cast("string"))
+    return mix_sources(read(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken", F.array_join(shards, ",").alias("shards"))
 
 
 @query(r"""
