@@ -10,7 +10,7 @@ import pytest
 import corpus_pipeline
 from twinledger.llm import queries
 from twinledger.llm.html_extract import MAIN, OPEN, OUT, extract_text, page_blocks
-from twinledger.llm.language import SLOTS, UNKNOWN, _features, identify, keep_identified, marginals
+from twinledger.llm.language import SLOTS, UNKNOWN, _features, identify, keep_identified, labelled_sample, marginals
 
 SF = "/root/testdata/sf0.001"
 
@@ -72,6 +72,21 @@ def test_features_read_whole_words():
     assert set(_features(long + "xyz" + long)) - set(_features(long + long)) > {crc % SLOTS for crc in (zlib.crc32(b"gxyz"), zlib.crc32(b"gbxy"))}
 
 
+def test_sample_is_the_first_of_each_label_by_hash(spark):
+    rows = [(i, f"text {i} " * 9, "abc"[i % 3]) for i in range(600)]
+    # One id with many texts, one row many times, rows that are never learned from.
+    rows += [(1, f"other {i}", "a") for i in range(300)] + [(2, "again", "b")] * 300
+    rows += [(None, "no id", "a"), (3, None, "a"), (4, "no label", None), (7, "alone", "d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    hashed = docs.selectExpr("*", "xxhash64(11, doc_id) o", "xxhash64(text) t", "crc32(cast(string(doc_id) as binary)) % 5 = 0 out").collect()
+    for per_label in (1, 40, 1000):
+        want = []
+        for label in "abcd":
+            known = sorted((r["o"], r["t"], r["text"][:12]) for r in hashed if r["lang"] == label and r["text"] and r["out"] is False)
+            want += [(x[2], label) for x in known[:per_label]]
+        assert labelled_sample(docs, "text", "lang", "doc_id", per_label, 12) == want
+
+
 def test_language_without_labels(spark):
     docs = spark.createDataFrame([(1, "some text", None)], "doc_id long, text string, lang string")
     assert [(r["lang_pred"], r["score"]) for r in identify(docs).collect()] == [(UNKNOWN, 0.0)]

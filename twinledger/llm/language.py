@@ -17,13 +17,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from .common import limit_batches
+from ..session import small
+from .common import limit_batches, stored
 
 LETTERS = re.compile(r"[^\W\d_]+")
 SLOTS = 1 << 16
 BLOCK = 64
 CACHE = 300_000
 UNKNOWN = "und"
+# Parts in which the sample of a label is picked first.
+SAMPLE_PARTS = 256
 
 
 def _features(word: str) -> list[int]:
@@ -175,14 +178,21 @@ def train(samples: list[tuple[str, str]], sequences: int = 2400, epochs: int = 6
 
 
 def labelled_sample(docs: DataFrame, text: str, label: str, key: str, per_label: int, chars: int) -> list[tuple[str, str]]:
-    """At most ``per_label`` learnable rows of each label, picked by a hash of the id, of each text ``chars``
-    characters: the bound of what the fit sees."""
+    """At most ``per_label`` learnable rows of each label, picked by a hash of the id (then of the text), of each text
+    ``chars`` characters: the bound of what the fit sees."""
+    order = [F.xxhash64(F.lit(11), F.col(key)).alias("_o"), F.xxhash64(text).alias("_t")]
     learnable = docs.filter(F.col(text).isNotNull() & F.col(label).isNotNull() & ~_held_out(F.col(key)))
-    picked = learnable.select(F.col(label).alias("label"), F.substring(F.col(text), 1, chars).alias("text"),
-                              F.xxhash64(F.lit(11), F.col(key)).alias("_o"))
-    order = Window.partitionBy("label").orderBy("_o", "text")
-    picked = picked.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= per_label)
-    return [(r["text"], r["label"]) for r in picked.select("label", "text", "_o").orderBy("label", "_o", "text").collect()]
+    learnable = learnable.select(F.col(label).alias("label"), *order, F.substring(F.col(text), 1, chars).alias("text"))
+
+    def first(rows: DataFrame, *group) -> DataFrame:
+        by = Window.partitionBy("label", *group).orderBy("_o", "_t")
+        return rows.withColumn("_r", F.row_number().over(by)).filter(F.col("_r") <= per_label).drop("_r")
+    # The last hashes picked are found without the texts, in parts of a label first.
+    narrow = learnable.select("label", "_o", "_t").withColumn("_part", F.pmod(F.xxhash64("_o", "_t"), F.lit(SAMPLE_PARTS)))
+    last = first(first(narrow, "_part").drop("_part")).groupBy("label").agg(F.max(F.struct("_o", "_t")).alias("_last"))
+    last = small(stored(last, "sample-bounds"))
+    picked = first(learnable.join(last, "label").filter(F.struct("_o", "_t") <= F.col("_last")).drop("_last"))
+    return [(r["text"], r["label"]) for r in picked.orderBy("label", "_o", "_t").collect()]
 
 
 def _held_out(key):
