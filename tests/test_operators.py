@@ -195,3 +195,16 @@ def test_closure_of_a_long_chain(spark):
     e = spark.createDataFrame([("A", str(i), "A", str(i + 1)) for i in range(n)], "object string, record_id string, needs_object string, needs_id string")
     got = graph.closure(spark.createDataFrame([("A", "3")], "object string, record_id string"), e)
     assert {r.record_id for r in got.collect()} == {str(i) for i in range(3, n + 1)} and got.count() == n - 2
+
+
+def test_numbering_after_joins_of_cut_lineage_makes_as_many_tasks_as_its_rows_need(spark, monkeypatch):
+    from twinledger.operators import ranking
+    from twinledger.session import checkpointed
+    a = checkpointed(spark.range(300).selectExpr("id", "id % 7 as g"))
+    for _ in range(2):  # the estimate multiplies, the rows stay
+        a = checkpointed(a.join(checkpointed(a.selectExpr("id", "g as g2")), "id").selectExpr("id", "g"))
+    parts, real = [], type(a).repartitionByRange
+    monkeypatch.setattr(type(a), "repartitionByRange", lambda self, n, *c: parts.append(n) or real(self, min(n, 8), *c))
+    out = ranking.number_rows(a, ["g"], ["id"], "n")
+    assert {(r.g, r.id): r.n for r in out.collect()} == {(i % 7, i): i // 7 + 1 for i in range(300)}
+    assert parts == [1]
