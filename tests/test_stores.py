@@ -325,3 +325,23 @@ def test_error_counts_are_compacted(spark, tmp_path):
     assert [r.row_count for r in jobs.stored_error_counts(spark, into).collect()] == [5]
     spark.createDataFrame([row(9, 2)], columns).write.mode("append").partitionBy("batch").parquet(into)
     assert [r.row_count for r in jobs.stored_error_counts(spark, into).collect()] == [9]
+
+
+def test_rings_end_the_doubling_at_once(spark, monkeypatch):
+    """Ten thousand rings of two, each with a chain of three behind it, and a chain of 40 that ends: the rounds of the chain, not of all nodes."""
+    rounds, real = [], graph.skew_join
+    monkeypatch.setattr(graph, "skew_join", lambda *a, **k: (rounds.append(1), real(*a, **k))[1])
+    ring = spark.range(50_000).selectExpr("id as node", "case when id % 5 = 0 then id + 1 else id - 1 end as needs")
+    chain = spark.range(100_001, 100_040).selectExpr("id as node", "id - 1 as needs")
+    single = ring.unionByName(chain).selectExpr("node", "needs", "1L as w", "0L as base")
+    got = {r.node: (r.stop, r.w) for r in graph._jumped(single).collect()}
+    assert got == {i: (100_000, i - 100_000) for i in range(100_001, 100_040)}
+    assert len(rounds) <= 9
+
+
+def test_waves_of_records_without_an_id_and_given_twice(spark):
+    n = spark.createDataFrame([("A", "1"), ("A", "1"), ("A", None), ("B", "1"), (None, "1")], "object string, record_id string")
+    e = spark.createDataFrame([("B", "1", "A", None), ("A", None, "A", "1"), ("A", "1", "Z", "9"), ("Z", "9", "A", "1"), ("A", "1", "A", "1"), (None, "1", "B", "1")],
+                              "object string, record_id string, needs_object string, needs_id string")
+    got = sorted(map(tuple, graph.load_waves(n, e).collect()), key=str)
+    assert got == sorted([("A", "1", 0, False), ("A", None, 1, False), ("B", "1", 2, False), (None, "1", 3, False)], key=str)
