@@ -1,7 +1,8 @@
 """Nested literals in single or double quotes (lists, tuples, dicts, numbers, None) rewritten as JSON.
 
 The text is cut into tokens; a fold over their kinds, with a stack of open brackets, tells whether they
-nest and follow each other as they must; then each token is spelled as JSON.  All of it is column expressions.
+nest and follow each other as they must; then each token is spelled as JSON.  All of it is column expressions;
+what several of them use, or one for each token, is worked out once (``_let``), so the time follows the length of the text.
 """
 
 from __future__ import annotations
@@ -19,9 +20,15 @@ _OTHER = {"\\'": "'", '\\"': '\\"', "\\a": "\\u0007", "\\v": "\\u000b", "\\\n":
 _NAMES = {"None": "null", "True": "true", "False": "false"}
 
 
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once per row, however often it is named there."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _json_text(c: Column) -> Column:
     """The inside of a JSON string that spells a text."""
-    return F.regexp_extract(F.to_json(F.array(c)), r"(?s)\A\[\"(.*)\"\]\z", 1)
+    escaped = F.regexp_extract(F.to_json(F.array(c)), r"(?s)\A\[\"(.*)\"\]\z", 1)
+    return F.when(c.rlike(r'["\\\x00-\x1F]'), escaped).otherwise(c)
 
 
 def _unit(number: Column) -> Column:
@@ -45,10 +52,11 @@ def _piece(p: Column) -> Column:
 
 def _text(token: Column) -> Column:
     """A quoted text as the inside of a JSON string; null if an escape is broken."""
-    inner = F.regexp_extract(token, r"""(?s)\A[uU]?['"](.*)['"]\z""", 1)
-    pieces = F.transform(F.regexp_extract_all(inner, F.lit(_PIECE), F.lit(0)), _piece)
-    spelled = F.when(F.exists(pieces, lambda p: p.isNull()), None).otherwise(F.array_join(pieces, ""))
-    return F.when(inner.contains("\\"), spelled).otherwise(_json_text(inner))
+    def inside(inner):
+        pieces = F.transform(F.regexp_extract_all(inner, F.lit(_PIECE), F.lit(0)), _piece)
+        spelled = _let(pieces, lambda ps: F.when(F.exists(ps, lambda p: p.isNull()), None).otherwise(F.array_join(ps, "")))
+        return F.when(inner.contains("\\"), spelled).otherwise(_json_text(inner))
+    return _let(F.regexp_extract(token, r"""(?s)\A[uU]?['"](.*)['"]\z""", 1), inside)
 
 
 def _number(token: Column) -> Column:
@@ -111,22 +119,25 @@ def literal_json(c: Column) -> Column:
     complex numbers, raw and formatted texts, characters by name, keys of a dict that are no text, and a value in plain
     parentheses are not covered and give null."""
     tokens = F.filter(F.regexp_extract_all(c, F.lit(_TOKEN), F.lit(0)), lambda t: ~t.rlike(r"\A\s"))
-    kinds = F.transform(tokens, _kind)
-    spelled = F.transform(F.arrays_zip(tokens.alias("t"), kinds.alias("k")), lambda x: F.struct(
-        x["k"].alias("k"), F.when(x["k"] == "s", _text(x["t"])).when(x["t"].isin(*_NAMES), _name(x["t"])).when(x["k"] == "v", _number(x["t"]))
-        .when(x["k"] == "(", "[").when(x["k"] == ")", "]").otherwise(x["t"]).alias("t")))
-    last = F.size(spelled) - 1
+    return _let(tokens, lambda ts: _let(F.transform(ts, _kind), lambda kinds: _spelled(ts, kinds)))
 
+
+def _spelled(tokens: Column, kinds: Column) -> Column:
+    """The tokens as JSON; null if they are no literal."""
     def joined(x, i):
         ahead, behind = F.get(kinds, i + 1), F.get(kinds, i - 1)
         first, end = F.coalesce(behind, F.lit("")) != "s", F.coalesce(ahead, F.lit("")) != "s"
         return (F.when(x["k"] == "s", F.concat(F.when(first, '"').otherwise(""), x["t"], F.when(end, '"').otherwise("")))
-                 .when((x["k"] == ",") & (i < last) & ahead.isin("]", ")", "}"), "")
+                 .when((x["k"] == ",") & (i < F.size(kinds) - 1) & ahead.isin("]", ")", "}"), "")
                  .otherwise(x["t"]))
+    spelled = F.transform(F.arrays_zip(tokens.alias("t"), kinds.alias("k")), lambda x: F.struct(
+        x["k"].alias("k"), F.when(x["k"] == "s", _text(x["t"])).when(x["t"].isin(*_NAMES), _name(x["t"])).when(x["k"] == "v", _number(x["t"]))
+        .when(x["k"] == "(", "[").when(x["k"] == ")", "]").otherwise(x["t"]).alias("t")))
     # A key is a text: the token ahead of a colon.
-    keyed = ~F.exists(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: (F.get(kinds, i) == ":") & (F.coalesce(F.get(kinds, i - 1), F.lit("")) != "s"))
-    good = _nests(kinds) & keyed & ~F.exists(spelled, lambda x: x["t"].isNull())
-    return F.when(F.coalesce(good, F.lit(False)), F.array_join(F.transform(spelled, joined), ""))
+    unkeyed = F.exists(F.sequence(F.lit(0), F.greatest(F.size(kinds) - 1, F.lit(0))), lambda i: (F.get(kinds, i) == ":") & (F.coalesce(F.get(kinds, i - 1), F.lit("")) != "s"))
+    good = _nests(kinds) & ~F.coalesce(unkeyed, F.lit(False))
+    told = _let(spelled, lambda xs: F.when(~F.exists(xs, lambda x: x["t"].isNull()), F.array_join(F.transform(xs, joined), "")))
+    return F.when(F.coalesce(good, F.lit(False)), told)
 
 
 def _name(token: Column) -> Column:
