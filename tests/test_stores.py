@@ -345,3 +345,21 @@ def test_waves_of_records_without_an_id_and_given_twice(spark):
                               "object string, record_id string, needs_object string, needs_id string")
     got = sorted(map(tuple, graph.load_waves(n, e).collect()), key=str)
     assert got == sorted([("A", "1", 0, False), ("A", None, 1, False), ("B", "1", 2, False), (None, "1", 3, False)], key=str)
+
+
+def test_the_rest_of_a_plan_is_read_in_few_passes(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(i // 2, f"{i}") for i in range(600)] + [(None, "a"), (None, "b")], "id long, v string")
+    base, written, real = str(tmp_path), [], type(df.write).parquet
+    paged.plan_pages(df, "id", 5, f"{base}/plan", pages_a_step=1)
+    monkeypatch.setattr(type(df.write), "parquet", lambda self, path, *a, **k: (written.append(path), real(self, path, *a, **k))[1])
+    assert not paged.read_paged(df, "id", f"{base}/plan", f"{base}/out", f"{base}/cp", steps=2)
+    assert len(written) == 2
+    assert paged.read_paged(df, "id", f"{base}/plan", f"{base}/out", f"{base}/cp")
+    assert len(written) <= 2 + 1 + paged.BATCHES
+    got = paged.paged_rows(spark, f"{base}/out", df.schema)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    # Pages are the ranges of the plan, and rows without an id a page of their own.
+    cut = spark.read.parquet(f"{base}/plan").filter("page >= 0")
+    spans = [(r.page, r.low, r.high) for r in cut.collect()]
+    for r in spark.read.parquet(f"{base}/out").collect():
+        assert [r.page] == ([-1] if r.id is None else [p for p, low, high in spans if (low is None or r.id > low) and (high is None or r.id <= high)])
