@@ -363,3 +363,13 @@ def test_the_rest_of_a_plan_is_read_in_few_passes(spark, tmp_path, monkeypatch):
     spans = [(r.page, r.low, r.high) for r in cut.collect()]
     for r in spark.read.parquet(f"{base}/out").collect():
         assert [r.page] == ([-1] if r.id is None else [p for p, low, high in spans if (low is None or r.id > low) and (high is None or r.id <= high)])
+
+
+def test_the_time_of_a_literal_follows_its_length(spark):
+    import time
+    text = "[" + ", ".join(f"{{'k': 'it\\'s {i}', \"n\": None}}" for i in range(2000)) + "]"
+    df = spark.createDataFrame([(text,)], "t string").repartition(1)
+    began = time.time()
+    told = df.select(literal_json(F.col("t"))).first()[0]
+    assert json.loads(told) == ast.literal_eval(text)
+    assert time.time() - began < 20
