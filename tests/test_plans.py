@@ -219,3 +219,27 @@ def test_shipped_natural_keys(spark):
                                f"target_object string, entries {ENTRIES}")
     got = [(r.target_object, r.natural_id) for r in resolve.natural_key_match(df, links, keys).collect()]
     assert sorted(got, key=str) == sorted([("AccountContactRelation", "L1"), ("Account_Relationship__c", "M"), ("Account_Relationship__c", None), ("Account", None)], key=str)
+
+
+def test_rows_without_a_key_are_spread_over_a_held_target(spark):
+    """The buckets of a held target are not split at run time, so rows that ask it for nothing must not meet in one of them."""
+    target = spark.range(200).selectExpr("'A' as object", "concat('R', id) as record_id", "concat('E', id) as external_id", "map('N', 'old') as values")
+    ops = spark.range(4000).selectExpr(
+        "'A' as target_object", "'S' as source_object", "cast(id as string) as source_record_id", "if(id % 100 = 0, concat('R', id div 100), null) as target_record_id",
+        "'missing_from_new' as change_type", "if(id % 100 = 0, 'update', 'create') as operation",
+        f"cast(array(named_struct('name','N','ext_field',cast(null as string),'value','v')) as {ENTRIES}) as entries", "cast(array() as array<string>) as skipped",
+        "'ready' as status", "cast(null as string) as message")
+    held, old = execute.held_target(target), {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for df in (execute.outcomes(ops, held), execute.actual_deltas(ops, held.rows, ld.field_catalog(spark), F.col("operation") == "update"),
+                   resolve.resolve_ids(ops, held.keys, F.col("target_object"), F.col("target_record_id"), "_id", distinct=False)):
+            sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == 4000 and max(sizes) < 2000
+        got = execute.outcomes(ops, held)
+        assert got.filter("operation = 'update' and success and landed_id = target_record_id").count() == 40
+        assert got.filter("operation = 'create' and success and landed_id = concat('T', source_record_id)").count() == 3960
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
