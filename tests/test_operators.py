@@ -116,6 +116,14 @@ def test_hot_keys_are_found(spark, monkeypatch):
     assert skew.hot_keys(df, ["k"]) == [want]
 
 
+def test_keys_are_not_sketched_where_no_bin_is_full(spark, monkeypatch):
+    df = spark.range(3000).selectExpr("cast(id as string) as k")
+    monkeypatch.setattr(skew, "TASK_BYTES", 0)
+    monkeypatch.setattr(skew, "TASK_ROWS", 500)
+    monkeypatch.setattr(skew, "FOUND", 0)  # a sketch of this size is refused
+    assert skew.hot_keys(df, ["k"]) == []
+
+
 def test_first_and_last_wins(spark):
     df = spark.createDataFrame([("a", 2, {"x": "1"}), ("a", 1, {"x": "2"}), ("b", 5, {})], "k string, o int, m map<string,string>")
     assert sorted((r.k, r.o) for r in ranking.first_wins(df, ["k"], ["o"]).collect()) == [("a", 1), ("b", 5)]

@@ -243,3 +243,16 @@ def test_rows_without_a_key_are_spread_over_a_held_target(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_code_of_prepared_work_is_compiled(spark):
+    """The JVM compiles methods of up to 8,000 bytes; Spark gives up on code it cannot build (-1)."""
+    import re
+    held = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        plan = ld.prepared(spark, SF).work._jdf.queryExecution().executedPlan()
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(-?\d+)", spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(plan))]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", held)
+    assert sizes and min(sizes) >= 0 and max(sizes) <= 8000
