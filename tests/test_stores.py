@@ -373,3 +373,17 @@ def test_the_time_of_a_literal_follows_its_length(spark):
     told = df.select(literal_json(F.col("t"))).first()[0]
     assert json.loads(told) == ast.literal_eval(text)
     assert time.time() - began < 20
+
+
+def test_doubling_leaves_one_table_whatever_its_rounds(spark):
+    chain = lambda n: spark.range(1, n).selectExpr("id as node", "id - 1 as needs", "1L as w", "0L as base")
+    parts = lambda df: df.rdd.getNumPartitions()
+    short, long = graph._jumped(chain(3)), graph._jumped(chain(600))
+    assert parts(long) <= parts(short)
+    assert {r.node: (r.stop, r.w) for r in long.collect()} == {i: (0, i) for i in range(1, 600)}
+
+
+def test_doubling_ends_with_a_ring_beside_a_long_chain(spark):
+    rows = [(i, i - 1) for i in range(1, 300)] + [(1000 + i, 1000 + (i + 1) % 7) for i in range(7)] + [(2000, 1003), (2001, 2000)]
+    single = spark.createDataFrame(rows, "node long, needs long").selectExpr("*", "1L as w", "0L as base")
+    assert {r.node: (r.stop, r.w) for r in graph._jumped(single).collect()} == {i: (0, i) for i in range(1, 300)}
