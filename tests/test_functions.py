@@ -65,6 +65,15 @@ def test_bucket_is_crc32(spark, table):
     assert column(df, join_bucket(F.col("k"))) == want
 
 
+def test_bucket_numbers_are_padded_without_a_formatter(spark, table):
+    keys = ["001A", "\t001A\u00a0", "é", "x" * 50, "\u2003z", "7", "8", "9"]
+    df = table("k", [(k,) for k in keys]).coalesce(1)
+    for buckets in (7, 1000, 5000):
+        out = df.select(join_bucket(F.col("k"), buckets).alias("b"))
+        assert [r.b for r in out.collect()] == [f"{zlib.crc32(k.strip().encode()) % buckets:03d}" for k in keys]
+        assert "format_string" not in out._jdf.queryExecution().toString()
+
+
 def test_globs(spark, table):
     cases = [("Orders", "Id"), ("Orders", "OwnerId"), ("Orders", "Owner.Id"), ("Customer", "Name"), ("Orders", "customer"), ("Orders", "id")]
     df = table("o f", cases).coalesce(1)

@@ -116,6 +116,17 @@ def test_hot_keys_are_found(spark, monkeypatch):
     assert skew.hot_keys(df, ["k"]) == [want]
 
 
+def test_text_rules_of_keys_are_worked_out_only_where_a_raw_bin_is_full(spark, monkeypatch):
+    raw = spark.range(3000).selectExpr("cast(id as string) as k")
+    df = raw.selectExpr("cast(raise_error('worked out') as string) as k")
+    monkeypatch.setattr(skew, "TASK_BYTES", 0)
+    monkeypatch.setattr(skew, "TASK_ROWS", 500)
+    assert skew.hot_keys(df, ["k"], raw) == []
+    hot = spark.range(3000).selectExpr("case when id % 3 = 0 then ' hot' else cast(id as string) end as k")
+    want = spark.range(1).select(key_hash([F.lit("hot")])).first()[0]
+    assert skew.hot_keys(hot.selectExpr("trim(k) as k"), ["k"], hot) == [want]
+
+
 def test_keys_are_not_sketched_where_no_bin_is_full(spark, monkeypatch):
     df = spark.range(3000).selectExpr("cast(id as string) as k")
     monkeypatch.setattr(skew, "TASK_BYTES", 0)
