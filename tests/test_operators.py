@@ -127,6 +127,15 @@ def test_text_rules_of_keys_are_worked_out_only_where_a_raw_bin_is_full(spark, m
     assert skew.hot_keys(hot.selectExpr("trim(k) as k"), ["k"], hot) == [want]
 
 
+def test_the_diff_sorts_by_key_ahead_of_object(spark):
+    side = spark.createDataFrame([("N", "A", "1", "f", "x", "1"), ("N", "A", "2", "f", "y", "2"), ("N", "B", "1", "f", "x", "1")],
+                                 "env string, obj string, record_id string, field string, value string, external_id string")
+    paired = parity.record_parity(side, side.withColumn("value", F.lit("x")), hot=[]).paired
+    assert [(r.obj, r.new_record_id, r.change_type) for r in paired.collect()] == [("A", "2", "data_gap")]
+    plan = paired._jdf.queryExecution().executedPlan().toString()
+    assert "Sort [key#" in plan and "Sort [obj#" not in plan
+
+
 def test_keys_are_not_sketched_where_no_bin_is_full(spark, monkeypatch):
     df = spark.range(3000).selectExpr("cast(id as string) as k")
     monkeypatch.setattr(skew, "TASK_BYTES", 0)
