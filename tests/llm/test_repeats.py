@@ -8,6 +8,7 @@ import pytest
 
 from brute import byte_repeats, passages
 from twinledger.llm import repeats, windows
+from twinledger.llm.common import keyed
 from twinledger.llm.substring_dedup import SuffixAutomaton, drop_repeated_passages
 from twinledger.llm.suffix_dedup import CoverRanks, difference_cover, drop_repeated_bytes, sorted_windows, suffix_index
 
@@ -141,3 +142,17 @@ def test_strings_that_a_polynomial_mixes_up(spark):
     assert Counter(map(tuple, drop_repeated_passages(docs, 50).collect())) == Counter(passages(rows, 50))
     got = drop_repeated_bytes(docs, 400).collect()
     assert Counter((*r[:4], bytes(r[4]) if not isinstance(r[4], str) else r[4].encode()) for r in map(tuple, got)) == Counter(byte_repeats(rows, 400))
+
+
+def test_few_crowded_segments_do_not_move_the_texts(spark):
+    docs = keyed(spark.createDataFrame([(d, " ".join(f"w{d}x{i}" for i in range(20))) for d in range(6)], "doc_id long, text string"))
+    crowded = docs.where("_id < 2").selectExpr("7l as anchor", "cast('c' as binary) as content", "1l as n", "_id as first", "_id as last", "_id", "_h", "0 as start", "3 as windows", "0 as at")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only what is found to be small is sent
+    try:
+        out = repeats._segment_rows(docs, crowded, repeats.Windows(5, 2, words=True, rule="earlier"), digests=True)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert out.count() == 6
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
