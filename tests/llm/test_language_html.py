@@ -8,8 +8,8 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from twinledger.llm import queries
-from twinledger.llm.html_extract import MAIN, OPEN, OUT, extract_text, page_blocks
+from twinledger.llm import queries, windows
+from twinledger.llm.html_extract import MAIN, OPEN, OUT, extract_text, host_windows, page_blocks
 from twinledger.llm.language import SLOTS, UNKNOWN, _features, identify, keep_identified, labelled_sample, marginals
 
 SF = "/root/testdata/sf0.001"
@@ -216,6 +216,14 @@ def test_shared_runs_are_counted_exactly(spark):
     assert [i for i, text in sorted(more.items()) if line in text] == [5, 6]
 
 
+def test_host_windows_make_few_segments_and_meet():
+    rng = np.random.default_rng(3)
+    codes = [rng.integers(1, 1 << 40, 20000).astype(np.uint64)]
+    spec = host_windows(8)
+    found = list(windows.segments(codes, spec.length, spec.gram))
+    assert sum(len(s.start) for s in found) < 0.31 * sum(int(s.windows.sum()) for s in found)
+
+
 def test_near_dedup_decides_per_row(spark):
     text = lambda n, end: " ".join(f"w{n}x{i}" for i in range(60)) + end
     rows = [(3, text(0, "")), (5, text(0, " more")), (5, text(1, "")), (5, text(1, "")), (None, text(2, "")), (None, text(2, " more")), (None, text(1, " z")),

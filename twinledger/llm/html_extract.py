@@ -289,6 +289,12 @@ class HostWindows(Windows):
         return text.partition(b"\n")[0] + b"\n" + super().cut(text, bounds, start, windows)
 
 
+def host_windows(length: int) -> HostWindows:
+    """Shared windows of ``length`` tokens.  Shorter anchors make fewer segments to count (2 in 7 windows begin one at 3 of 8
+    tokens, 1 in 3 at 4 of 8); what an anchor takes in by chance is told apart by content."""
+    return HostWindows(length, max(1, length * 3 // 8), words=True, rule="shared")
+
+
 def host_suffix_index(length: int):
     """Index for ``repeats``: suffixes of all streams in a shard, sorted by their first ``length`` tokens
     (ranks by doubling).  Windows with equal neighbours are told with the set of segments that hold them."""
@@ -411,8 +417,8 @@ def extract_text(pages: DataFrame, length: int = 8, covered: float = 0.8, links:
     # The streams are needed several times.
     stream = stored(rows.mapInArrow(streams, T.StructType([
         T.StructField("_id", id_type), T.StructField("_url", T.StringType()), T.StructField("_h", T.LongType()), T.StructField("_site", T.LongType()),
-        T.StructField("_page", T.LongType()), T.StructField("_text", T.StringType())])), "streams")
-    spec = HostWindows(length, max(1, length // 2), words=True, rule="shared")
+        T.StructField("_page", T.LongType()), T.StructField("_text", T.StringType())])), "streams", level=9)
+    spec = host_windows(length)
     sites = stream.groupBy("_site").agg(F.countDistinct("_page").alias("_p"), F.countDistinct(F.coalesce("_id", "_page")).alias("_i"))
     enough = stored(sites.select("_site", F.greatest(F.ceil(F.round(F.least("_p", "_i") * share, 6)), F.lit(LEAST_PAGES)).alias("_least")), "sites")
     spans = repeated_spans(stream.select("_id", "_h", "_text", "_page", "_site"), spec, host_suffix_index(length), enough)
