@@ -351,9 +351,9 @@ PARSED_SQL = f"""select *, case event_id % 8 when 0 then 'DUPLICATE_VALUE' when
 
 
 def error_results(spark, sf):
-    return errors.classified(read(spark, sf, "events").selectExpr(
+    return errors.classified(errors.spread(read(spark, sf, "events").selectExpr(
         "cast(user_id as string) as target_object", "event_type as source_object", "concat('S', lpad(cast(event_id as string), 9, '0')) as source_record_id", "cast(event_id as string) as target_record_id",
-        "case when event_id % 5 = 0 then 'skip' else 'update' end as operation", "'data_gap' as change_type", "1 as payload_field_count", "props as payload_json", f"{MESSAGES} as message", "'FALSE' as success", "event_id as seq"))
+        "case when event_id % 5 = 0 then 'skip' else 'update' end as operation", "'data_gap' as change_type", "1 as payload_field_count", "props as payload_json", f"{MESSAGES} as message", "'FALSE' as success", "event_id as seq")))
 
 
 @query(f"select source_record_id, error_code, error_fields, error_message, error_category from ({PARSED_SQL})")

@@ -5,8 +5,9 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from twinledger.model import catalog, env_names, rows
-from twinledger.operators import graph, parity, ranking, resolve, schema_diff, skew, wide
+from twinledger.operators import errors, graph, parity, ranking, resolve, schema_diff, skew, wide
 from twinledger.operators.skew import key_hash
+from twinledger.streaming import jobs
 
 LONG = "env obj record_id field value external_id"
 
@@ -236,3 +237,13 @@ def test_numbering_after_joins_of_cut_lineage_makes_as_many_tasks_as_its_rows_ne
     out = ranking.number_rows(a, ["g"], ["id"], "n")
     assert {(r.g, r.id): r.n for r in out.collect()} == {(i % 7, i): i // 7 + 1 for i in range(300)}
     assert parts == [1]
+
+
+def test_messages_are_parsed_by_all_tasks(spark, table):
+    names = "target_object source_object source_record_id operation success message"
+    rows = table(names, [("A", "S", str(i), "update", "FALSE", f"REQUIRED_FIELD_MISSING:Required fields are missing: [F{i % 3}]:F{i % 3} --") for i in range(200)]).coalesce(1)
+    out = jobs.running_error_counts(rows)
+    assert "RoundRobinPartitioning" in out._jdf.queryExecution().executedPlan().toString()
+    assert sum(r["row_count"] for r in out.collect()) == 200
+    told = errors.classified(errors.spread(rows)).withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
+    assert len(told) > 1 and sum(r["count"] for r in told) == 200

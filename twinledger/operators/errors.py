@@ -12,6 +12,11 @@ from .ranking import number_rows, top_per_group
 ERROR_KEY = ["target_object", "source_object", "operation", "error_category", "error_code", "error_fields", "error_message"]
 
 
+def spread(results: DataFrame) -> DataFrame:
+    """Results dealt evenly to tasks.  Parsing a message takes far longer than reading it, and a small file is read by one or two tasks."""
+    return results.repartition(int(results.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def classified(results: DataFrame) -> DataFrame:
     """Add error category, code, fields and message parsed from the raw message."""
     return with_parsed_error(results).withColumn(

@@ -10,7 +10,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..functions.failures import masked
 from ..model import RECORD_KEY
-from ..operators.errors import ERROR_KEY, classified
+from ..operators.errors import ERROR_KEY, classified, spread
 from ..operators.ranking import first_wins, last_wins
 from ..operators.state import failed
 from ..sources.extract import tolerant_select, unpivot_records, with_bucket
@@ -38,7 +38,7 @@ def stream_extract(spark: SparkSession, path: str, schema: T.StructType, out: st
 def running_error_counts(results: DataFrame) -> DataFrame:
     """Failures per error as results arrive; run in update or complete mode.  Messages are masked, so
     state holds one counter per kind of error, however many records fail."""
-    rows = classified(failed(results)).withColumn("error_message", masked(F.col("error_message")))
+    rows = classified(spread(failed(results))).withColumn("error_message", masked(F.col("error_message")))
     return rows.groupBy(*ERROR_KEY).agg(F.count("*").alias("row_count"))
 
 
