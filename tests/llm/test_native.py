@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brute import WORD, lowered
-from twinledger.llm import mixing
+from twinledger.llm import decontaminate, mixing
 from twinledger.llm.decontaminate import contaminated, drop_contaminated
 from twinledger.llm.exact_dedup import ContentTable, exact_groups
 from twinledger.llm.mixing import mix_sources, source_targets, split_quotas
@@ -186,3 +186,21 @@ def test_contamination(spark):
     assert Counter((r[0], r[1]) for r in kept.collect()) == Counter((d, t) for (d, t), w in zip(rows, want) if not w[4])
     assert contaminated(docs.filter("false"), bench).collect() == []
     assert all(not r["contaminated"] for r in contaminated(docs, bench.filter("false")).collect())
+
+
+def test_what_rows_meet_is_numbers(spark, monkeypatch):
+    """Tables that grow with the rows hold no words and are not broadcast, and results are the same by shuffle joins."""
+    words = [f"w{i}" for i in range(60)]
+    bench = spark.createDataFrame([(1, " ".join(words[:20])), (2, " ".join(words[5:30])), (3, "w1 w2")], "item_id long, text string")
+    rows = [(i, " ".join(words[i % 7:i % 7 + 25])) for i in range(30)] + [(None, " ".join(words[:14])), (3, None), (4, "w1 W2"), (4, "w1 W2")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept, store = {}, decontaminate.stored
+    monkeypatch.setattr(decontaminate, "stored", lambda df, name, *a: kept.setdefault(name, store(df, name, *a)))
+    want = Counter((r[0], r[1], r[2], tuple(r[3]), r[4]) for r in contaminated(docs, bench).collect())
+    assert "string" not in kept["candidates"].schema.simpleString() and "string" not in kept["seen-shingles"].schema.simpleString()
+    kept.clear()
+    for limit in ("SHINGLES", "BROADCAST", "PACKED"):
+        monkeypatch.setattr(decontaminate, limit, 0)
+    out = contaminated(docs, bench)
+    assert Counter((r[0], r[1], r[2], tuple(r[3]), r[4]) for r in out.collect()) == want
+    assert "SortMergeJoin" in out._jdf.queryExecution().executedPlan().toString() and sum(r[2] > 0 for r in want) > 20
