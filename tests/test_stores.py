@@ -3,12 +3,14 @@
 import ast
 import fnmatch
 import json
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F, types as T
 
 from checks import loading as ld, stores as st
+from twinledger import session
 from twinledger.functions import values
 from twinledger.functions.literals import literal_json
 from twinledger.model import rows
@@ -37,6 +39,20 @@ def peeled(n, edges):
         left -= set(free)
 
 
+def test_waves_leave_only_what_the_result_reads(spark):
+    """Rounds write packed tables, which go when the next round is there, and shuffle files go with their job."""
+    folder, name = session.shared_folder(spark).removeprefix("file:"), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    listed = lambda: set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    rdds = lambda: sum(d.startswith("rdd-") for _, found, _ in os.walk(folder) for d in found)
+    before, files, old = listed(), rdds(), spark.conf.get(name, "false")
+    records = spark.range(300).selectExpr("'A' as object", "cast(id as string) as record_id")
+    edges = spark.range(1, 300).selectExpr("'A' as object", "cast(id as string) as record_id", "'A' as needs_object", "cast(id - 1 as string) as needs_id")
+    out = graph.load_waves(records, edges)
+    left = sorted(f.rsplit("-", 1)[0] for f in listed() - before)
+    assert set(left) == {"names", "nodes", "known"} and rdds() == files and spark.conf.get(name, "false") == old
+    assert sorted((int(r["record_id"]), r["wave"]) for r in out.collect()) == [(i, i) for i in range(300)]
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_levels_equal_the_peel(spark, seed):
     rng, n = random.Random(seed), 50
